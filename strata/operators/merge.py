@@ -85,7 +85,7 @@ def diff_condition(values: list[str], left: str, right: str, null_safe: bool = F
 
 
 def new_key_rows(add: DataFrame, history: DataFrame, keys: list[str],
-                 broadcast_limit: int | None = None) -> DataFrame:
+                 broadcast_limit: int | None = None, cached: list | None = None) -> DataFrame:
     """ADD rows whose key has no history row (anti join, composite key).
 
     With a measured-small ADD key set, history is semi-filtered against the
@@ -95,6 +95,8 @@ def new_key_rows(add: DataFrame, history: DataFrame, keys: list[str],
     """
     add_keys = add.select(*[F.col(f"`{k}`") for k in keys]).dropna().distinct()
     m = bounded(add_keys, broadcast_limit)
+    if cached is not None:
+        cached.append(m.df)
     hist_keys = history.select(*[F.col(f"`{k}`") for k in keys])
     if m.broadcast:
         present = hist_keys.join(m.df, keys, "left_semi").distinct()
@@ -111,6 +113,11 @@ class MergeParts:
     staying: DataFrame     # open versions of CHANGE keys that stay open
     untouched: DataFrame   # open versions whose key CHANGE does not mention
     inserted: DataFrame    # new open versions from CHANGE
+    cached: tuple = ()     # frames persisted for reuse; see release()
+
+    def release(self) -> None:
+        for df in self.cached:
+            df.unpersist()
 
     @property
     def open_rows(self) -> DataFrame:
@@ -134,30 +141,34 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
     cols = lambda df, names: df.select(*[F.col(f"`{n}`") for n in names])
     hist = cols(history, layout)
     spark = hist.sparkSession
+    cached: list = []
 
     # 1. ADD -> new keys only, checked against every version.
     open0 = hist.filter(F.col(END_DATE).isNull())
     shut = hist.filter(F.col(END_DATE).isNotNull())
     if add is not None:
-        ins_add = stamp(new_key_rows(cols(add, biz), hist, keys, broadcast_limit), as_of, biz)
+        ins_add = stamp(new_key_rows(cols(add, biz), hist, keys, broadcast_limit, cached),
+                        as_of, biz)
         open1 = open0.unionByName(ins_add)
     else:
         open1 = open0
 
     if change is None:
         empty = spark.createDataFrame([], hist.schema)
-        return MergeParts(shut, empty, empty, open1, empty)
+        return MergeParts(shut, empty, empty, open1, empty, tuple(cached))
 
     chg = cols(change, biz)
     # 2. Split open rows by whether CHANGE names their key (null-safe, so that
     #    the EXCEPT below sees every row that could equal a CHANGE row).
     chg_keys = bounded(chg.select(*[F.col(f"`{k}`") for k in keys]).distinct(), broadcast_limit)
+    cached.append(chg_keys.df)
     hit = key_condition(keys, "m", "k", null_safe=True)
     touched = open1.alias("m").join(chg_keys.df.alias("k"), hit, "left_semi")
     untouched = open1.alias("m").join(chg_keys.df.alias("k"), hit, "left_anti")
     if materialize:
         # touched feeds three joins: persist once instead of three scans.
         touched = touched.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(touched)
 
     # 3. Close: semi and anti on one condition are exact complements.
     chg_side = chg
@@ -173,7 +184,7 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
     #    hold rows equal to a CHANGE row (untouched keys differ, closed rows
     #    are no longer open).
     ins_chg = stamp(chg.subtract(cols(staying, biz)), as_of, biz)
-    return MergeParts(shut, closing, staying, untouched, ins_chg)
+    return MergeParts(shut, closing, staying, untouched, ins_chg, tuple(cached))
 
 
 def merge(history: DataFrame, add: DataFrame | None, change: DataFrame | None,

@@ -108,3 +108,272 @@ def q_diff_predicate(spark, sf_dir):
             .select(F.col("m.o_orderkey").alias("o_orderkey"), F.col("m.start_date").alias("start_date"),
                     diff_condition(values, "m", "c").alias("differs"),
                     diff_condition(values, "m", "c", null_safe=True).alias("differs_null_safe")))
+
+
+# --- scalar typing ------------------------------------------------------------
+
+from ..functions import (file_stem, landing_key, link_kept, load_filter,  # noqa: E402
+                         load_folder, member_name, parse_date, parse_date_drop_time,
+                         route_load, route_table, text_to_int, url_basename)
+from ..operators.typed import lower_rename, typed  # noqa: E402
+from ..sources.delimited import read_delimited, read_feed, read_feed_files  # noqa: E402
+from . import feedfiles as FF  # noqa: E402
+from .scenarios import table  # noqa: E402
+
+
+def _date_text(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    k, ts = F.col("o_orderkey"), F.col("o_orderdate")
+    d = F.pmod(k, 5)
+    raw = (F.when(d == 0, F.date_format(ts, "MM/dd/yyyy"))
+           .when(d == 1, F.date_format(ts, "yyyy/MM/dd"))
+           .when(d == 2, F.date_format(ts, "dd/MM/yyyy"))
+           .when(d == 3, F.date_format(ts, "yyyy-MM-dd"))
+           .otherwise(F.lit("")))
+    return o.select(k, ts, d.alias("_d"), raw.alias("raw"))
+
+
+_DATE_TEXT_SQL = """WITH t AS (
+  SELECT o_orderkey, o_orderdate, o_orderkey % 5 AS _d,
+         CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%m/%d/%Y')
+                             WHEN 1 THEN strftime(o_orderdate, '%Y/%m/%d')
+                             WHEN 2 THEN strftime(o_orderdate, '%d/%m/%Y')
+                             WHEN 3 THEN strftime(o_orderdate, '%Y-%m-%d')
+                             ELSE '' END AS raw
+  FROM orders)"""
+
+
+@register("date_multiformat", _DATE_TEXT_SQL + f"""
+SELECT o_orderkey, raw, {FF.date_sql('raw')} AS parsed FROM t""")
+def q_date_multiformat(spark, sf_dir):
+    t = _date_text(spark, sf_dir)
+    return t.select("o_orderkey", "raw", parse_date("raw").alias("parsed"))
+
+
+@register("date_drop_time", _DATE_TEXT_SQL.replace("ELSE '' END AS raw", "ELSE '' END AS raw0")
+          + """,
+u AS (SELECT o_orderkey, CASE WHEN _d < 3 THEN raw0 || ' ' || strftime(o_orderdate, '%H:%M:%S')
+                              ELSE raw0 END AS raw FROM t)
+SELECT o_orderkey, raw, """ + FF.date_sql("raw") + " AS plain, "
+          + FF.date_sql("split_part(raw, ' ', 1)") + " AS parsed FROM u")
+def q_date_drop_time(spark, sf_dir):
+    t = _date_text(spark, sf_dir)
+    raw = F.when(F.col("_d") < 3, F.concat(F.col("raw"), F.lit(" "),
+                                           F.date_format("o_orderdate", "HH:mm:ss"))
+                 ).otherwise(F.col("raw"))
+    u = t.select("o_orderkey", raw.alias("raw"))
+    return u.select("o_orderkey", "raw", parse_date("raw").alias("plain"),
+                    parse_date_drop_time("raw").alias("parsed"))
+
+
+@register("int_cast", """WITH t AS (
+  SELECT l_orderkey, l_linenumber, CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR) AS q FROM lineitem),
+u AS (SELECT l_orderkey, l_linenumber,
+             CASE l_linenumber % 4 WHEN 0 THEN q WHEN 1 THEN q || '.0'
+                                   WHEN 2 THEN ' ' || q || ' ' ELSE 'x' || q END AS raw FROM t)
+SELECT l_orderkey, l_linenumber, raw, """ + FF.int_sql("raw") + " AS parsed FROM u")
+def q_int_cast(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    q = F.floor("l_quantity").cast("bigint").cast("string")
+    d = F.pmod(F.col("l_linenumber"), 4)
+    raw = (F.when(d == 0, q).when(d == 1, F.concat(q, F.lit(".0")))
+           .when(d == 2, F.concat(F.lit(" "), q, F.lit(" "))).otherwise(F.concat(F.lit("x"), q)))
+    u = li.select("l_orderkey", "l_linenumber", raw.alias("raw"))
+    return u.select("l_orderkey", "l_linenumber", "raw", text_to_int("raw").alias("parsed"))
+
+
+# --- typed projection over raw feed rows ----------------------------------------
+
+def _raw_orders(spark, sf_dir):
+    f = FF._fields(table(spark, sf_dir, "orders"))
+    return f.select(F.col("f0").alias("o_orderkey"), F.col("f1").alias("o_custkey"),
+                    F.col("f2").alias("o_orderstatus"), F.col("f3").alias("o_orderdate"),
+                    F.col("f4").alias("o_orderpriority"))
+
+
+@register("typed_projection", FF.RAW_PLAIN_SQL + f"\nSELECT {FF.typed_select_sql()} FROM raw")
+def q_typed_projection(spark, sf_dir):
+    view = "orders_feed_raw_vw"
+    _raw_orders(spark, sf_dir).createOrReplaceTempView(view)
+    return typed(spark.table(view), FF.ORDERS_FEED, require=False)
+
+
+@register("required_key", FF.RAW_PLAIN_SQL
+          + f"\nSELECT {FF.typed_select_sql()} FROM raw WHERE o_orderkey IS NOT NULL")
+def q_required_key(spark, sf_dir):
+    return typed(_raw_orders(spark, sf_dir), FF.ORDERS_FEED)
+
+
+@register("required_raw_date", FF.RAW_PLAIN_SQL + f"\nSELECT {FF.typed_select_sql()} FROM raw "
+          "WHERE o_orderkey IS NOT NULL AND o_orderdate IS NOT NULL")
+def q_required_raw_date(spark, sf_dir):
+    return typed(_raw_orders(spark, sf_dir), FF.ORDERS_FEED, full_load=True)
+
+
+@register("version_stamp", FF.RAW_PLAIN_SQL + f"\nSELECT {FF.typed_select_sql(AS_OF)} FROM raw "
+          "WHERE o_orderkey IS NOT NULL")
+def q_version_stamp(spark, sf_dir):
+    return typed(_raw_orders(spark, sf_dir), FF.ORDERS_FEED, as_of=AS_OF)
+
+
+# --- delimited text scans ----------------------------------------------------------
+
+_RAW_COLS = "o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority, start_date, end_date"
+
+
+def _folder(root, load="FUL"):
+    return f"{root}/feed={FF.ORDERS_FEED.name}/load={load}"
+
+
+@register("pipe_csv_scan", FF.RAW_PLAIN_SQL + f"\nSELECT {_RAW_COLS} FROM raw")
+def q_pipe_csv_scan(spark, sf_dir):
+    root = FF.land_orders(spark, sf_dir)
+    return read_feed_files(spark, _folder(root), FF.ORDERS_FEED)
+
+
+@register("ragged_rows", FF.RAW_RAGGED_SQL + f"\nSELECT {_RAW_COLS} FROM raw")
+def q_ragged_rows(spark, sf_dir):
+    root = FF.land_orders(spark, sf_dir, ragged=True)
+    return read_feed_files(spark, _folder(root), FF.ORDERS_FEED)
+
+
+@register("lower_rename", FF.RAW_PLAIN_SQL
+          + "\nSELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority FROM raw")
+def q_lower_rename(spark, sf_dir):
+    root = FF.land_orders(spark, sf_dir)
+    # header-named read (no schema, no inference: every column a string)
+    df = spark.read.option("header", True).option("sep", "|").csv(_folder(root))
+    return lower_rename(df, FF.ORDERS_FEED)
+
+
+_LOADS = ("FUL", "add", "change")
+
+
+@register("folder_scan", FF.RAW_PLAIN_SQL + f"\nSELECT {_RAW_COLS} FROM raw WHERE _k % 3 = 1")
+def q_folder_scan(spark, sf_dir):
+    root = FF.land_orders(spark, sf_dir, loads=_LOADS)
+    return read_feed(spark, root, FF.ORDERS_FEED, "add")
+
+
+@register("landing_write", FF.RAW_PLAIN_SQL + """
+SELECT 'orders_feed' AS feed,
+       CASE _k % 3 WHEN 0 THEN 'FUL' WHEN 1 THEN 'add' ELSE 'change' END AS load,
+       concat_ws('|', COALESCE(o_orderkey, ''), COALESCE(o_custkey, ''), COALESCE(o_orderstatus, ''),
+                 COALESCE(o_orderdate, ''), COALESCE(o_orderpriority, '')) AS line
+FROM raw""")
+def q_landing_write(spark, sf_dir):
+    root = FF.land_orders(spark, sf_dir, loads=_LOADS)
+    # read back as plain text with the partition columns; header lines dropped
+    back = spark.read.text(root)
+    return (back.filter(F.col("value") != FF.HEADER)
+            .select(F.col("feed"), F.col("load"), F.col("value").alias("line")))
+
+
+@register("staging_replace", FF.RAW_PLAIN_SQL + f"\nSELECT {FF.typed_select_sql(AS_OF)} FROM raw "
+          "WHERE _k % 3 = 1 AND o_orderkey IS NOT NULL")
+def q_staging_replace(spark, sf_dir):
+    from ..session import scratch_path
+    from .snapshot import replace_table
+    root = FF.land_orders(spark, sf_dir, loads=_LOADS)
+    staging = scratch_path(spark, "staging") + "/orders_feed_staging_ADD"
+    add = typed(read_feed(spark, root, FF.ORDERS_FEED, "add"), FF.ORDERS_FEED, as_of=AS_OF)
+    chg = typed(read_feed(spark, root, FF.ORDERS_FEED, "change"), FF.ORDERS_FEED, as_of=AS_OF)
+    replace_table(chg, staging)          # an earlier staging content ...
+    return replace_table(add, staging)   # ... is dropped, not appended to
+
+
+@register("full_load", FF.RAW_PLAIN_SQL + f"\nSELECT {FF.typed_select_sql(AS_OF)} FROM raw "
+          "WHERE o_orderkey IS NOT NULL AND o_orderdate IS NOT NULL")
+def q_full_load(spark, sf_dir):
+    from ..session import scratch_path
+    from . import jobs, snapshot
+    root = FF.land_orders(spark, sf_dir)
+    tbl = scratch_path(spark, "table")
+    jobs.full_load(spark, root, FF.ORDERS_FEED, tbl, AS_OF)
+    return snapshot.read_history(spark, tbl)
+
+
+@register("incremental_load", FF.RAW_PLAIN_SQL + f"""
+SELECT CASE WHEN _k % 3 = 1 THEN 'add' ELSE 'change' END AS load, {FF.typed_select_sql(AS_OF)}
+FROM raw WHERE _k % 3 IN (1, 2) AND o_orderkey IS NOT NULL""")
+def q_incremental_load(spark, sf_dir):
+    from . import jobs
+    root = FF.land_orders(spark, sf_dir, loads=_LOADS)
+    st = jobs.incremental_load(spark, root, FF.ORDERS_FEED, AS_OF)
+    return (st.add.select(F.lit("add").alias("load"), "*")
+            .unionByName(st.change.select(F.lit("change").alias("load"), "*")))
+
+
+# --- stored history -------------------------------------------------------------------
+
+@register("history_scan", "WITH " + merge_ctes(ORDERS_TRIO)[5:].split(",\nins_add")[0]
+          + "\nSELECT * FROM main0")
+def q_history_scan(spark, sf_dir):
+    from ..session import scratch_path
+    from . import snapshot
+    t = trio(spark, sf_dir, ORDERS_TRIO)
+    tbl = scratch_path(spark, "history")
+    open_rows, closed_rows = snapshot.split_open(t.history)
+    snapshot.publish(spark, tbl, open_rows, closed_rows, fresh=True)
+    return snapshot.read_history(spark, tbl)
+
+
+def _counts_sql(feed, t):
+    return (f"SELECT '{feed}' AS feed, COUNT(*) AS total_rows, "
+            "COUNT(*) FILTER (WHERE end_date IS NULL) AS open_rows, "
+            "COUNT(*) FILTER (WHERE end_date IS NOT NULL) AS closed_rows "
+            f"FROM ({merge_sql(t)}) s")
+
+
+@register("multi_feed_run", _counts_sql("orders", ORDERS_TRIO) + "\nUNION ALL\n"
+          + _counts_sql("lineitem", LINEITEM_TRIO))
+def q_multi_feed_run(spark, sf_dir):
+    from ..session import scratch_path
+    from . import jobs, snapshot
+    out = None
+    for feed, spec in (("orders", ORDERS_TRIO), ("lineitem", LINEITEM_TRIO)):
+        t = trio(spark, sf_dir, spec)
+        tbl = scratch_path(spark, f"multi-{feed}")
+        open_rows, closed_rows = snapshot.split_open(t.history)
+        snapshot.publish(spark, tbl, open_rows, closed_rows, fresh=True)
+        jobs.merge_into(spark, tbl, t.add, t.change, t.mk, AS_OF)
+        h = snapshot.read_history(spark, tbl)
+        c = h.agg(F.lit(feed).alias("feed"), F.count(F.lit(1)).alias("total_rows"),
+                  F.count(F.when(F.col("end_date").isNull(), 1)).alias("open_rows"),
+                  F.count(F.when(F.col("end_date").isNotNull(), 1)).alias("closed_rows"))
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+# --- width check --------------------------------------------------------------------
+
+# Declared widths checked against two driver tables.
+WIDTHS = (("documents", "text", 4000), ("documents", "source", 50), ("documents", "lang", 50),
+          ("part", "p_name", 50), ("part", "p_type", 25), ("part", "p_brand", 10))
+
+
+def width_check(df: DataFrame, tbl: str, widths) -> DataFrame:
+    """Per declared column: rows longer than the width and the longest value,
+    in one aggregate pass."""
+    aggs = []
+    for col, w in widths:
+        aggs += [F.count(F.when(F.length(col) > w, 1)).alias(f"{col}__over"),
+                 F.max(F.length(col)).alias(f"{col}__max")]
+    r = df.agg(*aggs)
+    stack = ", ".join(f"'{c}', {w}, `{c}__over`, `{c}__max`" for c, w in widths)
+    return r.selectExpr(f"'{tbl}' AS tbl",
+                        f"stack({len(widths)}, {stack}) AS (col, width, rows_over, max_len)")
+
+
+@register("width_check", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS tbl, '{c}' AS col, {w} AS width, "
+    f"COUNT(*) FILTER (WHERE length({c}) > {w}) AS rows_over, MAX(length({c})) AS max_len FROM {t}"
+    for t, c, w in WIDTHS))
+def q_width_check(spark, sf_dir):
+    out = None
+    for tbl in dict.fromkeys(t for t, _, _ in WIDTHS):
+        r = width_check(table(spark, sf_dir, tbl), tbl, [(c, w) for t, c, w in WIDTHS if t == tbl])
+        out = r if out is None else out.unionByName(r)
+    return out.select("tbl", "col", F.col("width").cast("int").alias("width"),
+                      F.col("rows_over").cast("long").alias("rows_over"),
+                      F.col("max_len").cast("int").alias("max_len"))
