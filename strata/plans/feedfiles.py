@@ -149,3 +149,86 @@ def typed_select_sql(stamp: str | None = None) -> str:
     if stamp:
         s += f", DATE '{stamp}' AS start_date, CAST(NULL AS DATE) AS end_date"
     return s
+
+
+# --- archives -------------------------------------------------------------------
+
+def _local(path: str) -> str:
+    if path.startswith("file:"):
+        path = path[len("file:"):]
+        while path.startswith("//"):
+            path = path[1:]
+        return path
+    if "://" in path:
+        raise NotImplementedError("zip fixtures are written with POSIX file IO; "
+                                  f"{path!r} is not a local or mounted path")
+    return path
+
+
+def zip_orders(spark: SparkSession, sf_dir: str, archives: int = 4) -> str:
+    """Pack the orders feed into ``archives`` zip files (one member each, with
+    a header line), written by the tasks themselves; returns the folder."""
+    import os
+    import zipfile
+
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    root = scratch_path(spark, "archives")
+    local = _local(root)
+    header = HEADER
+
+    def write(batches):
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        os.makedirs(local, exist_ok=True)
+        name = f"ordersfeed{pid:05d}"
+        n = 0
+        with zipfile.ZipFile(os.path.join(local, name + ".zip"), "w",
+                             compression=zipfile.ZIP_DEFLATED) as zf:
+            with zf.open(name + ".txt", "w") as fh:
+                fh.write((header + "\n").encode())
+                for pdf in batches:
+                    fh.write(("\n".join(pdf["line"]) + "\n").encode() if len(pdf) else b"")
+                    n += len(pdf)
+        yield pd.DataFrame({"archive": [name + ".zip"], "lines": [n]})
+
+    schema = T.StructType([T.StructField("archive", T.StringType()),
+                           T.StructField("lines", T.LongType())])
+    (orders_lines(spark, sf_dir).repartition(archives)
+     .mapInPandas(write, schema).count())
+    return root
+
+
+# --- file names for routing -----------------------------------------------------------
+
+def published_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One published file name per event: feed token by ``event_id % 5``
+    (upper-cased when ``% 7 = 0``), load kind by ``% 3``, extension by ``% 2``."""
+    e = table(spark, sf_dir, "events").select("event_id")
+    i = F.col("event_id")
+    tok = F.element_at(F.array(*[F.lit(t) for t in ("mdrfoi", "patient", "foidev", "foitext", "misc")]),
+                       (F.pmod(i, 5) + 1).cast("int"))
+    tok = F.when(F.pmod(i, 7) == 0, F.upper(tok)).otherwise(tok)
+    kind = F.element_at(F.array(F.lit(""), F.lit("Add"), F.lit("change")), (F.pmod(i, 3) + 1).cast("int"))
+    ext = F.when(F.pmod(i, 2) == 0, F.lit(".zip")).otherwise(F.lit(".txt"))
+    return e.select(i, F.concat(tok, i.cast("string"), kind, ext).alias("name"))
+
+
+NAMES_SQL = """names AS (
+  SELECT event_id,
+         (CASE WHEN event_id % 7 = 0 THEN upper(tok) ELSE tok END) || CAST(event_id AS VARCHAR)
+         || CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'Add' ELSE 'change' END
+         || CASE WHEN event_id % 2 = 0 THEN '.zip' ELSE '.txt' END AS name
+  FROM (SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'mdrfoi' WHEN 1 THEN 'patient'
+                                           WHEN 2 THEN 'foidev' WHEN 3 THEN 'foitext'
+                                           ELSE 'misc' END AS tok FROM events))"""
+
+ROUTE_SQL = """CASE WHEN contains(name, 'mdrfoi') THEN 'mdrfoi_event'
+                    WHEN contains(name, 'patient') THEN 'patient'
+                    WHEN contains(name, 'dev') THEN 'foidev_device'
+                    WHEN contains(name, 'foitext') THEN 'foitext_text'
+                    ELSE 'notfound' END"""
+
+LOAD_SQL = """CASE WHEN lower(landed) LIKE '%change.txt' THEN 'change'
+                   WHEN lower(landed) LIKE '%add.txt' THEN 'add' ELSE 'FUL' END"""

@@ -377,3 +377,120 @@ def q_width_check(spark, sf_dir):
     return out.select("tbl", "col", F.col("width").cast("int").alias("width"),
                       F.col("rows_over").cast("long").alias("rows_over"),
                       F.col("max_len").cast("int").alias("max_len"))
+
+
+# --- routing of published files ------------------------------------------------------
+
+LANDING_PREFIX = "landing/"
+
+
+@register("load_filter", "WITH " + FF.NAMES_SQL + """
+SELECT event_id, name,
+       NOT (lower(name) LIKE '%change.zip' OR lower(name) LIKE '%add.zip') AS keep_full,
+       (lower(name) LIKE '%change.zip' OR lower(name) LIKE '%add.zip') AS keep_inc
+FROM names""")
+def q_load_filter(spark, sf_dir):
+    n = FF.published_names(spark, sf_dir)
+    return n.select("event_id", "name", load_filter("name", "FUL").alias("keep_full"),
+                    load_filter("name", "INC").alias("keep_inc"))
+
+
+@register("file_stem", "WITH " + FF.NAMES_SQL + """
+SELECT event_id, name, split_part(name, '.', 1) AS stem,
+       split_part(name, '.', 1) || '.txt' AS landed FROM names""")
+def q_file_stem(spark, sf_dir):
+    n = FF.published_names(spark, sf_dir)
+    return n.select("event_id", "name", file_stem("name").alias("stem"),
+                    member_name("name").alias("landed"))
+
+
+@register("route_table", "WITH " + FF.NAMES_SQL + f"\nSELECT event_id, name, {FF.ROUTE_SQL} AS feed FROM names")
+def q_route_table(spark, sf_dir):
+    n = FF.published_names(spark, sf_dir)
+    return n.select("event_id", "name", route_table("name").alias("feed"))
+
+
+@register("route_load", "WITH " + FF.NAMES_SQL + """,
+l AS (SELECT event_id, split_part(name, '.', 1) || '.txt' AS landed FROM names)
+SELECT event_id, landed, """ + FF.LOAD_SQL + """ AS load,
+       CASE """ + FF.LOAD_SQL + """ WHEN 'change' THEN 'INC/change/' WHEN 'add' THEN 'INC/add/'
+            ELSE 'FUL/' END AS folder FROM l""")
+def q_route_load(spark, sf_dir):
+    n = FF.published_names(spark, sf_dir).select("event_id", member_name("name").alias("landed"))
+    return n.select("event_id", "landed", route_load("landed").alias("load"),
+                    load_folder(route_load("landed")).alias("folder"))
+
+
+@register("landing_key", "WITH " + FF.NAMES_SQL + """,
+l AS (SELECT event_id, name, split_part(name, '.', 1) || '.txt' AS landed FROM names)
+SELECT event_id, '""" + LANDING_PREFIX + "' || " + FF.ROUTE_SQL + """ || '/'
+       || CASE """ + FF.LOAD_SQL + """ WHEN 'change' THEN 'INC/change/' WHEN 'add' THEN 'INC/add/'
+               ELSE 'FUL/' END || landed AS landing_key
+FROM l""")
+def q_landing_key(spark, sf_dir):
+    n = FF.published_names(spark, sf_dir)
+    landed = member_name("name")
+    return n.select("event_id", landing_key(LANDING_PREFIX, route_table("name"),
+                                            load_folder(route_load(landed)), landed)
+                    .alias("landing_key"))
+
+
+# --- link index from pages ----------------------------------------------------------
+
+from ..sources.links import ANCHOR, anchor_links, kept_links  # noqa: E402
+
+_LINKS_SQL = f"""WITH p AS (
+  SELECT page_id, regexp_extract_all(html, '{ANCHOR}', 1) AS u,
+         regexp_extract_all(html, '{ANCHOR}', 2) AS n FROM pages),
+links AS (SELECT page_id, CAST(generate_subscripts(u, 1) - 1 AS INTEGER) AS pos,
+                 unnest(n) AS name, unnest(u) AS url FROM p)"""
+
+
+@register("link_index", _LINKS_SQL + "\nSELECT * FROM links")
+def q_link_index(spark, sf_dir):
+    return anchor_links(table(spark, sf_dir, "pages"))
+
+
+@register("link_exclude", _LINKS_SQL + "\nSELECT * FROM links WHERE NOT contains(name, 'problem')")
+def q_link_exclude(spark, sf_dir):
+    return kept_links(anchor_links(table(spark, sf_dir, "pages")))
+
+
+@register("url_basename", "SELECT page_id, url, regexp_extract(url, '[^/]*$') AS basename FROM pages")
+def q_url_basename(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", "url", url_basename("url").alias("basename"))
+
+
+# --- archives ------------------------------------------------------------------------
+
+from ..sources.archives import archive_lines  # noqa: E402
+
+
+@register("archive_expand", "WITH " + FF.FIELDS_SQL[0:] + """
+SELECT concat_ws('|', COALESCE(f0, ''), COALESCE(f1, ''), COALESCE(f2, ''), COALESCE(f3, ''),
+                 COALESCE(f4, '')) AS line FROM fields""")
+def q_archive_expand(spark, sf_dir):
+    root = FF.zip_orders(spark, sf_dir)
+    lines = archive_lines(spark, root)
+    return lines.filter(F.col("line_no") > 0).select("line")
+
+
+# --- JDBC ----------------------------------------------------------------------------
+
+from ..sources.jdbc import jdbc_append, jdbc_read  # noqa: E402
+
+
+@register("jdbc_append", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
+FROM orders""")
+def q_jdbc_append(spark, sf_dir):
+    """Typed rows appended over JDBC and read back (an embedded in-memory
+    database inside the driver JVM: no server, no port)."""
+    import uuid
+    url = f"jdbc:derby:memory:strata{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                              "o_totalprice", "o_orderpriority")
+    jdbc_append(o, url, "ORDERS_COPY", props, num_partitions=4)
+    back = jdbc_read(spark, url, "ORDERS_COPY", props)
+    return back.toDF(*[c.lower() for c in back.columns])
