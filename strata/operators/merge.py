@@ -37,7 +37,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.sizing import bounded
+from ..plans.sizing import bounded, broadcast_limit as broadcast_limit_of, fits, measure_all
 from ..specs import END_DATE, START_DATE, FeedSpec
 from .typed import as_date, stamp
 
@@ -85,22 +85,24 @@ def diff_condition(values: list[str], left: str, right: str, null_safe: bool = F
 
 
 def new_key_rows(add: DataFrame, history: DataFrame, keys: list[str],
-                 broadcast_limit: int | None = None, cached: list | None = None) -> DataFrame:
+                 add_fits: bool | None = None, broadcast_limit: int | None = None) -> DataFrame:
     """ADD rows whose key has no history row (anti join, composite key).
 
-    With a measured-small ADD key set, history is semi-filtered against the
-    broadcast keys (a streaming pass, no shuffle of history), the matched keys
-    are de-duplicated (partial aggregation before the shuffle, so a hot key
-    costs one row per task) and ADD is anti-joined against that small set.
+    When ADD is measured small, history keys are semi-filtered against the
+    broadcast ADD keys (a streaming pass, no shuffle of history), the matched
+    keys are de-duplicated (partial aggregation first, so a hot key costs one
+    row per task before the shuffle) and ADD is anti-joined against that set,
+    which is no larger than ADD's key set.  Otherwise a sort-merge anti join.
     """
-    add_keys = add.select(*[F.col(f"`{k}`") for k in keys]).dropna().distinct()
-    m = bounded(add_keys, broadcast_limit)
-    if cached is not None:
-        cached.append(m.df)
-    hist_keys = history.select(*[F.col(f"`{k}`") for k in keys])
-    if m.broadcast:
-        present = hist_keys.join(m.df, keys, "left_semi").distinct()
-        # present is a subset of the measured key set, so the same bound holds
+    kcols = [F.col(f"`{k}`") for k in keys]
+    if add_fits is None:
+        (rows, payload), = measure_all([add.select(*kcols)])
+        add_fits = fits(rows, payload, broadcast_limit or broadcast_limit_of(add.sparkSession))
+    hist_keys = history.select(*kcols)
+    if add_fits:
+        # build sides of semi/anti joins only test existence: duplicates are harmless
+        add_keys = F.broadcast(add.select(*kcols).dropna())
+        present = hist_keys.join(add_keys, keys, "left_semi").distinct()
         return add.join(F.broadcast(present), keys, "left_anti")
     return add.join(hist_keys, keys, "left_anti")
 
@@ -143,38 +145,46 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
     spark = hist.sparkSession
     cached: list = []
 
+    # Measure both batches in one job; broadcast only what fits.
+    limit = broadcast_limit or broadcast_limit_of(spark)
+    chg = cols(change, biz) if change is not None else None
+    batches = [cols(add, biz)] if add is not None else []
+    if chg is not None:
+        batches.append(chg)
+    sizes = measure_all(batches) if batches else []
+    add_fits = add is not None and fits(*sizes[0], limit)
+    chg_fits = chg is not None and fits(*sizes[-1], limit)
+
     # 1. ADD -> new keys only, checked against every version.
     open0 = hist.filter(F.col(END_DATE).isNull())
     shut = hist.filter(F.col(END_DATE).isNotNull())
     if add is not None:
-        ins_add = stamp(new_key_rows(cols(add, biz), hist, keys, broadcast_limit, cached),
-                        as_of, biz)
+        ins_add = stamp(new_key_rows(cols(add, biz), hist, keys, add_fits, limit), as_of, biz)
         open1 = open0.unionByName(ins_add)
     else:
         open1 = open0
 
-    if change is None:
+    if chg is None:
         empty = spark.createDataFrame([], hist.schema)
         return MergeParts(shut, empty, empty, open1, empty, tuple(cached))
 
-    chg = cols(change, biz)
     # 2. Split open rows by whether CHANGE names their key (null-safe, so that
     #    the EXCEPT below sees every row that could equal a CHANGE row).
-    chg_keys = bounded(chg.select(*[F.col(f"`{k}`") for k in keys]).distinct(), broadcast_limit)
-    cached.append(chg_keys.df)
+    chg_keys = chg.select(*[F.col(f"`{k}`") for k in keys])
+    if chg_fits:
+        chg_keys = F.broadcast(chg_keys)
+    else:
+        chg_keys = chg_keys.distinct()
     hit = key_condition(keys, "m", "k", null_safe=True)
-    touched = open1.alias("m").join(chg_keys.df.alias("k"), hit, "left_semi")
-    untouched = open1.alias("m").join(chg_keys.df.alias("k"), hit, "left_anti")
+    touched = open1.alias("m").join(chg_keys.alias("k"), hit, "left_semi")
+    untouched = open1.alias("m").join(chg_keys.alias("k"), hit, "left_anti")
     if materialize:
         # touched feeds three joins: persist once instead of three scans.
         touched = touched.persist(StorageLevel.MEMORY_AND_DISK)
         cached.append(touched)
 
     # 3. Close: semi and anti on one condition are exact complements.
-    chg_side = chg
-    m = bounded(chg, broadcast_limit, persist=False)
-    if m.broadcast:
-        chg_side = m.df
+    chg_side = F.broadcast(chg) if chg_fits else chg
     cond = key_condition(keys, "m", "c") & diff_condition(values, "m", "c", null_safe)
     closing = (touched.alias("m").join(chg_side.alias("c"), cond, "left_semi")
                .withColumn(END_DATE, as_date(as_of)))

@@ -43,6 +43,25 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return int(r["n"]), int(r["b"] or 0)
 
 
+def measure_all(frames: list[DataFrame]) -> list[tuple[int, int]]:
+    """Exact (rows, payload bytes) of several frames in a single job."""
+    parts = []
+    for i, df in enumerate(frames):
+        cols = df.columns
+        width = (reduce(lambda a, b: a + b,
+                        [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
+                         for c in cols]) if cols else F.lit(0))
+        parts.append(df.agg(F.lit(i).alias("i"), F.count(F.lit(1)).alias("n"),
+                            F.sum(width).cast("long").alias("b")))
+    out = reduce(lambda a, b: a.unionByName(b), parts).collect()
+    got = {r["i"]: (int(r["n"]), int(r["b"] or 0)) for r in out}
+    return [got[i] for i in range(len(frames))]
+
+
+def fits(rows: int, payload: int, limit: int) -> bool:
+    return payload + rows * ROW_OVERHEAD <= limit
+
+
 def bounded(df: DataFrame, limit: int | None = None, persist: bool = True) -> Measured:
     """Measure ``df``; mark it for broadcast only if it fits ``limit``."""
     if limit is None:
