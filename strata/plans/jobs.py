@@ -54,14 +54,15 @@ def incremental_load(spark: SparkSession, landing: str, spec: FeedSpec, as_of,
 
 def merge_into(spark: SparkSession, table_root: str, add: DataFrame | None,
                change: DataFrame | None, mk: MergeKeys, as_of, null_safe: bool = False,
-               broadcast_limit: int | None = None) -> snapshot.Pointer:
+               broadcast_limit: int | None = None, batch_id: int | None = None) -> snapshot.Pointer:
     """Merge one ADD + CHANGE batch into a stored history and publish the
     next version: newly closed rows are appended, open rows rewritten."""
     ptr = snapshot.current(spark, table_root)
     history = snapshot.read_history(spark, table_root, ptr=ptr)
     parts = merge_parts(history, add, change, mk, as_of, null_safe, broadcast_limit)
     try:
-        return snapshot.publish(spark, table_root, parts.open_rows, parts.closing)
+        return snapshot.publish(spark, table_root, parts.open_rows, parts.closing,
+                                batch_id=batch_id)
     finally:
         parts.release()
 

@@ -494,3 +494,27 @@ def q_jdbc_append(spark, sf_dir):
     jdbc_append(o, url, "ORDERS_COPY", props, num_partitions=4)
     back = jdbc_read(spark, url, "ORDERS_COPY", props)
     return back.toDF(*[c.lower() for c in back.columns])
+
+
+# --- incremental loads as a stream -------------------------------------------------
+
+@register("stream_merge", FF.RAW_PLAIN_SQL + f"""
+SELECT {FF.typed_select_sql(AS_OF)} FROM raw
+WHERE _k % 3 = 0 AND o_orderkey IS NOT NULL AND o_orderdate IS NOT NULL
+UNION ALL
+SELECT {FF.typed_select_sql(AS_OF)} FROM raw WHERE _k % 3 = 1 AND o_orderkey IS NOT NULL
+UNION ALL
+SELECT * FROM (SELECT DISTINCT {FF.typed_select_sql(AS_OF)} FROM raw
+               WHERE _k % 3 = 2 AND o_orderkey IS NOT NULL)""")
+def q_stream_merge(spark, sf_dir):
+    """FULL load, then the ADD and CHANGE folders drained by a file stream
+    whose micro-batches are merged into the history."""
+    from ..session import scratch_path
+    from ..streaming import start_merge_stream
+    from . import jobs, snapshot
+    root = FF.land_orders(spark, sf_dir, loads=_LOADS)
+    tbl = scratch_path(spark, "stream-table")
+    jobs.full_load(spark, root, FF.ORDERS_FEED, tbl, AS_OF)
+    q = start_merge_stream(spark, root, FF.ORDERS_FEED, tbl, AS_OF)
+    q.awaitTermination()
+    return snapshot.read_history(spark, tbl)

@@ -4,10 +4,10 @@ Layout under a table root (any shared file system Spark writes to)::
 
     open/v=<n>/        all open versions as of run n (rewritten each run)
     closed/run=<n>/    versions closed by run n (append-only, never rewritten)
-    _current/          one-row JSON pointer {version, closed_from}
+    _versions/         append-only JSON pointers {version, closed_from, batch_id}
 
-Run n+1 writes ``closed/run=n+1`` and ``open/v=n+1`` and only then switches
-the pointer, so readers (and a failed run's retry) always see a complete
+Run n+1 writes ``closed/run=n+1`` and ``open/v=n+1`` and only then appends
+pointer n+1 (the highest pointer is current), so readers (and a failed run's retry) always see a complete
 snapshot: a half-written run is invisible because its number is above the
 pointer.  Closed rows, the bulk of a long history, are never rewritten.
 A FULL load starts a fresh history by moving ``closed_from`` past every
@@ -25,13 +25,15 @@ from pyspark.sql import types as T
 from ..specs import END_DATE
 
 POINTER_SCHEMA = T.StructType([T.StructField("version", T.LongType()),
-                               T.StructField("closed_from", T.LongType())])
+                               T.StructField("closed_from", T.LongType()),
+                               T.StructField("batch_id", T.LongType())])
 
 
 @dataclass(frozen=True)
 class Pointer:
     version: int
     closed_from: int
+    batch_id: int | None = None   # last stream micro-batch folded in (exactly-once)
 
 
 def _p(root: str, *parts: str) -> str:
@@ -40,15 +42,21 @@ def _p(root: str, *parts: str) -> str:
 
 def current(spark: SparkSession, root: str) -> Pointer | None:
     try:
-        row = spark.read.schema(POINTER_SCHEMA).json(_p(root, "_current")).first()
+        row = (spark.read.schema(POINTER_SCHEMA).json(_p(root, "_versions"))
+               .orderBy(F.col("version").desc()).first())
     except Exception:  # noqa: BLE001 - no table yet
         return None
-    return None if row is None else Pointer(int(row["version"]), int(row["closed_from"]))
+    if row is None:
+        return None
+    b = row["batch_id"]
+    return Pointer(int(row["version"]), int(row["closed_from"]), None if b is None else int(b))
 
 
 def _switch(spark: SparkSession, root: str, ptr: Pointer) -> None:
-    (spark.createDataFrame([(ptr.version, ptr.closed_from)], POINTER_SCHEMA)
-     .coalesce(1).write.mode("overwrite").json(_p(root, "_current")))
+    # Appending is atomic at job commit: the new pointer appears whole or not
+    # at all, and the previous pointers stay readable throughout.
+    (spark.createDataFrame([(ptr.version, ptr.closed_from, ptr.batch_id)], POINTER_SCHEMA)
+     .coalesce(1).write.mode("append").json(_p(root, "_versions")))
 
 
 def read_history(spark: SparkSession, root: str, schema: T.StructType | None = None,
@@ -77,7 +85,7 @@ def read_history(spark: SparkSession, root: str, schema: T.StructType | None = N
 
 def publish(spark: SparkSession, root: str, open_rows: DataFrame,
             closed_rows: DataFrame | None = None, fresh: bool = False,
-            open_partitions: int | None = None) -> Pointer:
+            open_partitions: int | None = None, batch_id: int | None = None) -> Pointer:
     """Write run n+1 and switch the pointer to it.
 
     ``fresh`` (a FULL load) hides every earlier closed run.
@@ -90,7 +98,9 @@ def publish(spark: SparkSession, root: str, open_rows: DataFrame,
          .parquet(_p(root, "closed", f"run={n}")))
     w = open_rows if open_partitions is None else open_rows.repartition(open_partitions)
     w.write.mode("overwrite").parquet(_p(root, "open", f"v={n}"))
-    ptr = Pointer(n, closed_from)
+    if batch_id is None and prev is not None:
+        batch_id = prev.batch_id
+    ptr = Pointer(n, closed_from, batch_id)
     _switch(spark, root, ptr)
     return ptr
 
