@@ -97,7 +97,8 @@ def new_key_rows(add: DataFrame, history: DataFrame, keys: list[str],
     kcols = [F.col(f"`{k}`") for k in keys]
     if add_fits is None:
         (rows, payload), = measure_all([add.select(*kcols)])
-        add_fits = fits(rows, payload, broadcast_limit or broadcast_limit_of(add.sparkSession))
+        add_fits = fits(rows, payload, broadcast_limit if broadcast_limit is not None
+                        else broadcast_limit_of(add.sparkSession))
     hist_keys = history.select(*kcols)
     if add_fits:
         # build sides of semi/anti joins only test existence: duplicates are harmless
@@ -146,7 +147,7 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
     cached: list = []
 
     # Measure both batches in one job; broadcast only what fits.
-    limit = broadcast_limit or broadcast_limit_of(spark)
+    limit = broadcast_limit if broadcast_limit is not None else broadcast_limit_of(spark)
     chg = cols(change, biz) if change is not None else None
     batches = [cols(add, biz)] if add is not None else []
     if chg is not None:

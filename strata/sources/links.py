@@ -122,8 +122,9 @@ def _table_batches(batches):
                 out["pos"].append(i)
                 out["name"].append(name)
                 out["url"].append(url)
-        yield pd.DataFrame(out, columns=["page_id", "pos", "name", "url"]).astype(
-            {"page_id": "int64", "pos": "int32"})
+        if out["page_id"]:
+            yield pd.DataFrame(out, columns=["page_id", "pos", "name", "url"]).astype(
+                {"page_id": "int64", "pos": "int32"})
 
 
 def table_links(pages: DataFrame, html_col: str = "html", id_col: str = "page_id") -> DataFrame:
