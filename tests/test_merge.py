@@ -101,3 +101,28 @@ def test_plan_fallback_is_shuffle_join(spark):
     h, add, chg = frames(spark)
     p = merge_parts(h, add, chg, MK, D, broadcast_limit=0, materialize=False)
     assert "SortMergeJoin" in _plan(p.untouched) or "ShuffledHashJoin" in _plan(p.untouched)
+
+
+def test_conflicting_changes_flip_on_rerun(spark):
+    """Two CHANGE rows for one key both open; an identical second run closes
+    each by the other and reopens both."""
+    D2 = dt.date(2024, 3, 2)
+    h = spark.createDataFrame([(1, "x", "x", S, None)], SCHEMA)
+    chg = spark.createDataFrame([(1, "a", "a"), (1, "b", "b")], BATCH)
+    r1 = merge(h, None, chg, keys=["k"], values=["v", "w"], as_of=D)
+    assert Counter(tuple(r) for r in r1.collect()) == Counter(
+        [(1, "x", "x", S, D), (1, "a", "a", D, None), (1, "b", "b", D, None)])
+    r2 = merge(r1, None, chg, keys=["k"], values=["v", "w"], as_of=D2)
+    assert Counter(tuple(r) for r in r2.collect()) == Counter(
+        [(1, "x", "x", S, D), (1, "a", "a", D, D2), (1, "b", "b", D, D2),
+         (1, "a", "a", D2, None), (1, "b", "b", D2, None)])
+
+
+def test_same_day_add_then_change(spark):
+    """Added and changed in one run: start_date = end_date."""
+    h = spark.createDataFrame([(1, "x", "x", S, None)], SCHEMA)
+    add = spark.createDataFrame([(9, "n", "n")], BATCH)
+    chg = spark.createDataFrame([(9, "n", "m")], BATCH)
+    out = Counter(tuple(r) for r in merge(h, add, chg, keys=["k"], values=["v", "w"],
+                                          as_of=D).collect())
+    assert out[(9, "n", "n", D, D)] == 1 and out[(9, "n", "m", D, None)] == 1
