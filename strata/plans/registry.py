@@ -347,24 +347,13 @@ def q_multi_feed_run(spark, sf_dir):
 
 # --- width check --------------------------------------------------------------------
 
+from ..operators.checks import width_report  # noqa: E402
+
 # Declared widths checked against two driver tables.
 WIDTHS = (("documents", "text", 4000), ("documents", "source", 50), ("documents", "lang", 50),
           ("part", "p_name", 50), ("part", "p_type", 25), ("part", "p_brand", 10))
 
 
-def width_check(df: DataFrame, tbl: str, widths) -> DataFrame:
-    """Per declared column: rows longer than the width and the longest value,
-    in one aggregate pass."""
-    aggs = []
-    for col, w in widths:
-        aggs += [F.count(F.when(F.length(col) > w, 1)).alias(f"{col}__over"),
-                 F.max(F.length(col)).alias(f"{col}__max")]
-    r = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', {w}, `{c}__over`, `{c}__max`" for c, w in widths)
-    return r.selectExpr(f"'{tbl}' AS tbl",
-                        f"stack({len(widths)}, {stack}) AS (col, width, rows_over, max_len)")
-
-
 @register("width_check", "\nUNION ALL\n".join(
     f"SELECT '{t}' AS tbl, '{c}' AS col, {w} AS width, "
     f"COUNT(*) FILTER (WHERE length({c}) > {w}) AS rows_over, MAX(length({c})) AS max_len FROM {t}"
@@ -372,7 +361,7 @@ def width_check(df: DataFrame, tbl: str, widths) -> DataFrame:
 def q_width_check(spark, sf_dir):
     out = None
     for tbl in dict.fromkeys(t for t, _, _ in WIDTHS):
-        r = width_check(table(spark, sf_dir, tbl), tbl, [(c, w) for t, c, w in WIDTHS if t == tbl])
+        r = width_report(table(spark, sf_dir, tbl), [(c, w) for t, c, w in WIDTHS if t == tbl], tbl)
         out = r if out is None else out.unionByName(r)
     return out.select("tbl", "col", F.col("width").cast("int").alias("width"),
                       F.col("rows_over").cast("long").alias("rows_over"),

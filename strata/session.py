@@ -52,7 +52,13 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return ``spark.checkpoint.dir``; set a local one only when unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote session has no SparkContext
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return d
     d = sc.getCheckpointDir()
     if d:
         return d

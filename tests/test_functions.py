@@ -101,3 +101,14 @@ def test_names_and_keys(spark):
     assert (r.b, r.s, r.m, r.full, r.inc) == ("mdrfoiAdd.zip", "mdrfoiAdd", "mdrfoiAdd.txt",
                                               False, True)
     assert r.k == "landing/mdrfoi_event/INC/add/mdrfoiAdd.txt"
+
+
+def test_width_enforcement(spark):
+    from strata.operators.checks import enforce_widths, width_report
+    df = spark.createDataFrame([("abc", "x"), ("abcdef", None)], "a string, b string")
+    rep = {r.col: (r.rows_over, r.max_len) for r in width_report(df, [("a", 4), ("b", 1)]).collect()}
+    assert rep == {"a": (1, 6), "b": (0, 1)}
+    assert [r.a for r in enforce_widths(df, {"a": 4}, "null").collect()] == ["abc", None]
+    assert [r.width_ok for r in enforce_widths(df, {"a": 4}, "flag").collect()] == [True, False]
+    with pytest.raises(Exception):
+        enforce_widths(df, {"a": 4}, "fail").collect()
