@@ -194,10 +194,30 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
     # 4. CHANGE EXCEPT (distinct, null-equal) open rows; only `staying` can
     #    hold rows equal to a CHANGE row (untouched keys differ, closed rows
     #    are no longer open).
-    ins_chg = stamp(chg.subtract(cols(staying, biz)), as_of, biz)
+    ins_chg = stamp(except_rows(chg, cols(staying, biz), biz, chg_fits), as_of, biz)
     return MergeParts(shut, closing, staying, untouched, ins_chg, tuple(cached))
 
 
+def except_rows(batch: DataFrame, rows: DataFrame, names: list[str],
+                batch_fits: bool) -> DataFrame:
+    """``batch EXCEPT rows`` (distinct, nulls equal) over ``names``.
+
+    With a measured-small batch, ``rows`` is only streamed: a broadcast
+    null-safe semi join keeps its rows equal to some batch row, de-duplicated
+    map-side (so a hot key's many identical rows cost one row per task), and
+    the distinct batch is anti-joined against that set, which is no larger
+    than the batch.  Otherwise Spark's EXCEPT (both sides shuffled).
+    """
+    if not batch_fits:
+        return batch.subtract(rows)
+    same = key_condition(names, "r", "b", null_safe=True)
+    equal = (rows.alias("r").join(F.broadcast(batch).alias("b"), same, "left_semi")
+             .distinct())
+    back = key_condition(names, "b", "r", null_safe=True)
+    return (batch.distinct().alias("b")
+            .join(F.broadcast(equal).alias("r"), back, "left_anti"))
+
+
 def merge(history: DataFrame, add: DataFrame | None, change: DataFrame | None,
           spec: FeedSpec | None = None, as_of=None, null_safe: bool = False,
           keys=None, values=None, broadcast_limit: int | None = None,

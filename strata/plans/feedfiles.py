@@ -165,9 +165,13 @@ def _local(path: str) -> str:
     return path
 
 
-def zip_orders(spark: SparkSession, sf_dir: str, archives: int = 4) -> str:
+def zip_orders(spark: SparkSession, sf_dir: str, archives: int = 4, by_load: bool = False) -> str:
     """Pack the orders feed into ``archives`` zip files (one member each, with
-    a header line), written by the tasks themselves; returns the folder."""
+    a header line), written by the tasks themselves; returns the folder.
+
+    With ``by_load`` every task writes one archive per load kind, named like
+    published files (``mdrfoi<part>.zip``, ``...Add.zip``, ``...change.zip``),
+    the kind chosen by ``o_orderkey % 3``."""
     import os
     import zipfile
 
@@ -178,25 +182,41 @@ def zip_orders(spark: SparkSession, sf_dir: str, archives: int = 4) -> str:
     local = _local(root)
     header = HEADER
 
+    kinds = ("", "Add", "change")
+
     def write(batches):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
         os.makedirs(local, exist_ok=True)
-        name = f"ordersfeed{pid:05d}"
-        n = 0
-        with zipfile.ZipFile(os.path.join(local, name + ".zip"), "w",
-                             compression=zipfile.ZIP_DEFLATED) as zf:
-            with zf.open(name + ".txt", "w") as fh:
-                fh.write((header + "\n").encode())
-                for pdf in batches:
-                    fh.write(("\n".join(pdf["line"]) + "\n").encode() if len(pdf) else b"")
-                    n += len(pdf)
-        yield pd.DataFrame({"archive": [name + ".zip"], "lines": [n]})
+        prefix = f"mdrfoi{pid:05d}" if by_load else f"ordersfeed{pid:05d}"
+        names = [prefix + k for k in kinds] if by_load else [prefix]
+        zips = {nm: zipfile.ZipFile(os.path.join(local, nm + ".zip"), "w",
+                                    compression=zipfile.ZIP_DEFLATED) for nm in names}
+        members = {nm: zips[nm].open(nm + ".txt", "w") for nm in names}
+        counts = dict.fromkeys(names, 0)
+        for fh in members.values():
+            fh.write((header + "\n").encode())
+        for pdf in batches:
+            groups = pdf.groupby("_kind") if by_load else [(0, pdf)]
+            for kind, g in groups:
+                nm = names[int(kind)]
+                members[nm].write(("\n".join(g["line"]) + "\n").encode())
+                counts[nm] += len(g)
+        for nm in names:
+            members[nm].close()
+            zips[nm].close()
+        yield pd.DataFrame({"archive": [n + ".zip" for n in names],
+                            "lines": [counts[n] for n in names]})
 
     schema = T.StructType([T.StructField("archive", T.StringType()),
                            T.StructField("lines", T.LongType())])
-    (orders_lines(spark, sf_dir).repartition(archives)
-     .mapInPandas(write, schema).count())
+    lines = orders_lines(spark, sf_dir)
+    if by_load:
+        f = _fields(table(spark, sf_dir, "orders"))
+        f0, f1, f2, f3, f4 = (F.col(c) for c in ("f0", "f1", "f2", "f3", "f4"))
+        lines = f.select(_join(f0, f1, f2, f3, f4).alias("line"),
+                         F.pmod(F.col("_k"), 3).cast("int").alias("_kind"))
+    lines.repartition(archives).mapInPandas(write, schema).count()
     return root
 
 

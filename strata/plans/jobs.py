@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.merge import MergeKeys, merge_parts
 from ..operators.typed import typed
+from ..functions import member_name, route_load, route_table
+from ..sources.archives import archive_lines
 from ..sources.delimited import read_feed
 from ..specs import FEED_ORDER, FEEDS, FeedSpec
 from . import snapshot
@@ -20,6 +22,27 @@ from . import snapshot
 LOAD_FULL, LOAD_ADD, LOAD_CHANGE = "FUL", "add", "change"
 
 
+def routed_lines(spark: SparkSession, archives_root: str, glob: str = "*.zip") -> DataFrame:
+    """Every data line of every published archive with its feed and load kind
+    (routed by the archive's name; the member's header line is dropped)."""
+    from pyspark.sql import functions as F
+    lines = archive_lines(spark, archives_root, glob)
+    return (lines.filter(F.col("line_no") > 0)
+            .select(route_table("archive").alias("feed"),
+                    route_load(member_name("archive")).alias("load"),
+                    F.col("archive"), F.col("member"), F.col("line_no"), F.col("line")))
+
+
+def land_archives(spark: SparkSession, archives_root: str, landing: str,
+                  mode: str = "append") -> None:
+    """Expand and route published archives and land their lines under
+    ``feed=/load=`` in one pass over the archives (headerless text: the
+    header was checked off at expansion; read with ``header=False``)."""
+    routed = routed_lines(spark, archives_root).select("feed", "load", "line")
+    (routed.select("line", "feed", "load").write.mode(mode)
+     .partitionBy("feed", "load").text(landing))
+
+
 def typed_batch(spark: SparkSession, landing: str, spec: FeedSpec, load: str, as_of,
                 header: bool = True) -> DataFrame:
     """Scan one feed/load folder and type it (FULL loads also apply the

@@ -507,3 +507,21 @@ def q_stream_merge(spark, sf_dir):
     q = start_merge_stream(spark, root, FF.ORDERS_FEED, tbl, AS_OF)
     q.awaitTermination()
     return snapshot.read_history(spark, tbl)
+
+
+@register("archive_landing", "WITH " + FF.FIELDS_SQL + """
+SELECT 'mdrfoi_event' AS feed,
+       CASE _k % 3 WHEN 0 THEN 'FUL' WHEN 1 THEN 'add' ELSE 'change' END AS load,
+       concat_ws('|', COALESCE(f0, ''), COALESCE(f1, ''), COALESCE(f2, ''), COALESCE(f3, ''),
+                 COALESCE(f4, '')) AS line
+FROM fields""")
+def q_archive_landing(spark, sf_dir):
+    """Published archives -> expanded, routed by name -> landed by feed and
+    load kind -> read back."""
+    from ..session import scratch_path
+    from . import jobs
+    archives = FF.zip_orders(spark, sf_dir, by_load=True)
+    landing = scratch_path(spark, "landing")
+    jobs.land_archives(spark, archives, landing)
+    back = spark.read.text(landing)
+    return back.select("feed", "load", F.col("value").alias("line"))
