@@ -52,3 +52,31 @@ def test_stream_batch_replay_is_skipped(spark, tmp_root):
     assert first == again and len(first) == 2
     assert snapshot.current(spark, tbl).batch_id == 0
     assert MergeKeys.of(SPEC).keys == ["mdr_report_key", "patient_sequence_number"]
+
+
+def test_archives_to_typed_history(spark, tmp_root):
+    """Published archives -> routed landing -> typed FULL load of a real feed."""
+    import io
+    import os
+    import zipfile
+    arch = os.path.join(tmp_root, "arch")
+    os.makedirs(arch)
+    header = "|".join(c.upper() for c in SPEC.names)
+    for name, body in {"patient.zip": ["1|1|01/02/2020|t|o", "2|x|2020/01/03|t|o"],
+                       "patientAdd.zip": ["3|2|25/12/2020|t|o"],
+                       "misc.zip": ["junk"]}.items():
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w") as zf:
+            zf.writestr(name.replace(".zip", ".txt"), "\n".join([header] + body) + "\n")
+        with open(os.path.join(arch, name), "wb") as fh:
+            fh.write(buf.getvalue())
+    landing = os.path.join(tmp_root, "landing")
+    jobs.land_archives(spark, arch, landing)
+    loads = sorted((r.feed, r.load) for r in spark.read.text(landing)
+                   .select("feed", "load").distinct().collect())
+    assert loads == [("notfound", "FUL"), ("patient", "FUL"), ("patient", "add")]
+    full = jobs.typed_batch(spark, landing, SPEC, "FUL", D1, header=False).collect()
+    assert sorted((r.mdr_report_key, r.patient_sequence_number, str(r.date_received))
+                  for r in full) == [("1", 1, "2020-01-02"), ("2", None, "2020-01-03")]
+    add = jobs.typed_batch(spark, landing, SPEC, "add", D1, header=False).first()
+    assert str(add.date_received) == "2020-12-25"
