@@ -138,7 +138,13 @@ class MergeParts:
 def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | None,
                 mk: MergeKeys, as_of, null_safe: bool = False,
                 broadcast_limit: int | None = None,
-                materialize: bool = True) -> MergeParts:
+                materialize: bool = True, closed: DataFrame | None = None) -> MergeParts:
+    """The merge as separate parts (see ``MergeParts``).
+
+    ``history`` holds every version; or, with ``closed`` given, ``history``
+    holds the open versions only and ``closed`` the closed ones, so the open
+    branches never touch closed data.
+    """
     keys, values, biz = mk.keys, mk.values, mk.business
     layout = biz + VERSION_COLS
     cols = lambda df, names: df.select(*[F.col(f"`{n}`") for n in names])
@@ -148,8 +154,9 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
 
     # Measure both batches in one job; broadcast only what fits.
     limit = broadcast_limit if broadcast_limit is not None else broadcast_limit_of(spark)
+    add_b = cols(add, biz) if add is not None else None
     chg = cols(change, biz) if change is not None else None
-    batches = [cols(add, biz)] if add is not None else []
+    batches = [add_b] if add_b is not None else []
     if chg is not None:
         batches.append(chg)
     sizes = measure_all(batches) if batches else []
@@ -157,10 +164,15 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
     chg_fits = chg is not None and fits(*sizes[-1], limit)
 
     # 1. ADD -> new keys only, checked against every version.
-    open0 = hist.filter(F.col(END_DATE).isNull())
-    shut = hist.filter(F.col(END_DATE).isNotNull())
+    if closed is None:
+        open0 = hist.filter(F.col(END_DATE).isNull())
+        shut = hist.filter(F.col(END_DATE).isNotNull())
+        versions = hist
+    else:
+        open0, shut = hist, cols(closed, layout)
+        versions = open0.unionByName(shut)
     if add is not None:
-        ins_add = stamp(new_key_rows(cols(add, biz), hist, keys, add_fits, limit), as_of, biz)
+        ins_add = stamp(new_key_rows(add_b, versions, keys, add_fits, limit), as_of, biz)
         open1 = open0.unionByName(ins_add)
     else:
         open1 = open0

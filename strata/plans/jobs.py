@@ -81,11 +81,14 @@ def merge_into(spark: SparkSession, table_root: str, add: DataFrame | None,
     """Merge one ADD + CHANGE batch into a stored history and publish the
     next version: newly closed rows are appended, open rows rewritten."""
     ptr = snapshot.current(spark, table_root)
-    history = snapshot.read_history(spark, table_root, ptr=ptr)
-    parts = merge_parts(history, add, change, mk, as_of, null_safe, broadcast_limit)
+    open_rows = snapshot.read_open(spark, table_root, ptr=ptr)
+    closed = snapshot.read_closed(spark, table_root, ptr=ptr)
+    parts = merge_parts(open_rows, add, change, mk, as_of, null_safe, broadcast_limit,
+                        closed=closed)
     try:
+        # one job writes the new open set and the rows this run closed
         return snapshot.publish(spark, table_root, parts.open_rows, parts.closing,
-                                batch_id=batch_id)
+                                batch_id=batch_id, ptr=ptr)
     finally:
         parts.release()
 

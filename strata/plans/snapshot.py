@@ -2,16 +2,22 @@
 
 Layout under a table root (any shared file system Spark writes to)::
 
-    open/v=<n>/        all open versions as of run n (rewritten each run)
-    closed/run=<n>/    versions closed by run n (append-only, never rewritten)
-    _versions/         append-only JSON pointers {version, closed_from, batch_id}
-
-Run n+1 writes ``closed/run=n+1`` and ``open/v=n+1`` and only then appends
-pointer n+1 (the highest pointer is current), so readers (and a failed run's retry) always see a complete
-snapshot: a half-written run is invisible because its number is above the
-pointer.  Closed rows, the bulk of a long history, are never rewritten.
-A FULL load starts a fresh history by moving ``closed_from`` past every
-earlier run.
+    data/run=<n>/is_open=true/     all open versions as of run n
+    data/run=<n>/is_open=false/    versions closed by run n (never rewritten)
+    _versions/                     append-only JSON pointers
+                                   {version, closed_from, batch_id}
+
+Run n writes its open set and its newly closed rows in ONE partitioned write
+(``data/run=n``), and only then appends pointer n; the highest pointer is
+current.  Readers therefore always see complete runs: a half-written or
+retried run has a number above the pointer, and its folder is simply
+overwritten by the retry.  Closed rows, the bulk of a long history, are
+written once and afterwards only read; the history at version v is
+
+    data/run=v/is_open=true  +  data/run in [closed_from, v]/is_open=false
+
+(partition-pruned).  A FULL load starts a fresh history by moving
+``closed_from`` to its own run.
 """
 
 from __future__ import annotations
@@ -27,6 +33,7 @@ from ..specs import END_DATE
 POINTER_SCHEMA = T.StructType([T.StructField("version", T.LongType()),
                                T.StructField("closed_from", T.LongType()),
                                T.StructField("batch_id", T.LongType())])
+PART_COLS = [T.StructField("run", T.LongType()), T.StructField("is_open", T.BooleanType())]
 
 
 @dataclass(frozen=True)
@@ -59,50 +66,70 @@ def _switch(spark: SparkSession, root: str, ptr: Pointer) -> None:
      .coalesce(1).write.mode("append").json(_p(root, "_versions")))
 
 
-def read_history(spark: SparkSession, root: str, schema: T.StructType | None = None,
-                 ptr: Pointer | None = None, open_only: bool = False) -> DataFrame:
-    """The current history: open rows of the pointed version plus closed runs
-    in ``[closed_from, version]``.  ``open_only`` reads just the open folder."""
+def _data(spark: SparkSession, root: str, schema: T.StructType | None) -> DataFrame:
+    r = spark.read.option("basePath", _p(root, "data"))
+    if schema is not None:
+        r = r.schema(T.StructType(list(schema.fields) + PART_COLS))
+    return r.parquet(_p(root, "data"))
+
+
+def _require(spark: SparkSession, root: str, ptr: Pointer | None) -> Pointer:
     ptr = ptr or current(spark, root)
     if ptr is None:
         raise FileNotFoundError(f"no history table at {root}")
-    r = spark.read.schema(schema) if schema is not None else spark.read
-    open_rows = r.parquet(_p(root, "open", f"v={ptr.version}"))
+    return ptr
+
+
+def read_open(spark: SparkSession, root: str, schema: T.StructType | None = None,
+              ptr: Pointer | None = None) -> DataFrame:
+    """Open versions of the current (or given) version: one folder."""
+    ptr = _require(spark, root, ptr)
+    d = _data(spark, root, schema)
+    return (d.filter((F.col("run") == ptr.version) & F.col("is_open"))
+            .drop("run", "is_open"))
+
+
+def read_closed(spark: SparkSession, root: str, schema: T.StructType | None = None,
+                ptr: Pointer | None = None) -> DataFrame:
+    """Closed versions visible at the current (or given) version."""
+    ptr = _require(spark, root, ptr)
+    d = _data(spark, root, schema)
+    return (d.filter(F.col("run").between(ptr.closed_from, ptr.version) & ~F.col("is_open"))
+            .drop("run", "is_open"))
+
+
+def read_history(spark: SparkSession, root: str, schema: T.StructType | None = None,
+                 ptr: Pointer | None = None, open_only: bool = False) -> DataFrame:
+    """Open plus visible closed versions, as one partition-pruned scan."""
+    ptr = _require(spark, root, ptr)
     if open_only:
-        return open_rows
-    closed_reader = spark.read
-    if schema is not None:
-        closed_reader = closed_reader.schema(
-            T.StructType(list(schema.fields) + [T.StructField("run", T.LongType())]))
-    try:
-        closed = (closed_reader.parquet(_p(root, "closed"))
-                  .filter((F.col("run") >= ptr.closed_from) & (F.col("run") <= ptr.version))
-                  .drop("run"))
-    except Exception:  # noqa: BLE001 - no closed run written yet
-        return open_rows
-    return open_rows.unionByName(closed.select(*open_rows.columns))
+        return read_open(spark, root, schema, ptr)
+    d = _data(spark, root, schema)
+    keep = (((F.col("run") == ptr.version) & F.col("is_open"))
+            | (F.col("run").between(ptr.closed_from, ptr.version) & ~F.col("is_open")))
+    return d.filter(keep).drop("run", "is_open")
 
 
 def publish(spark: SparkSession, root: str, open_rows: DataFrame,
             closed_rows: DataFrame | None = None, fresh: bool = False,
-            open_partitions: int | None = None, batch_id: int | None = None) -> Pointer:
-    """Write run n+1 and switch the pointer to it.
+            batch_id: int | None = None, ptr: Pointer | None = None) -> Pointer:
+    """Write run n+1 (open set + newly closed rows, one job) and switch to it.
 
     ``fresh`` (a FULL load) hides every earlier closed run.
     """
-    prev = current(spark, root)
+    prev = ptr or current(spark, root)
     n = 0 if prev is None else prev.version + 1
     closed_from = n if (fresh or prev is None) else prev.closed_from
+    out = open_rows.withColumn("is_open", F.lit(True))
     if closed_rows is not None:
-        (closed_rows.write.mode("overwrite")
-         .parquet(_p(root, "closed", f"run={n}")))
-    w = open_rows if open_partitions is None else open_rows.repartition(open_partitions)
-    w.write.mode("overwrite").parquet(_p(root, "open", f"v={n}"))
+        out = out.unionByName(closed_rows.select(*open_rows.columns)
+                              .withColumn("is_open", F.lit(False)))
+    out.write.mode("overwrite").partitionBy("is_open").parquet(_p(root, "data", f"run={n}"))
     if batch_id is None and prev is not None:
         batch_id = prev.batch_id
-    ptr = Pointer(n, closed_from, batch_id)
-    _switch(spark, root, ptr)
-    return ptr
+    new = Pointer(n, closed_from, batch_id)
+    _switch(spark, root, new)
+    return new
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
