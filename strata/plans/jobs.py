@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.merge import MergeKeys, merge_parts
 from ..operators.typed import typed
-from ..functions import member_name, route_load, route_table
+from ..functions import (file_stem, landing_key, load_filter, load_folder, member_name,
+                         route_load, route_table, url_basename)
 from ..sources.archives import archive_lines
 from ..sources.delimited import read_feed
 from ..specs import FEED_ORDER, FEEDS, FeedSpec
@@ -22,6 +23,21 @@ from . import snapshot
 LOAD_FULL, LOAD_ADD, LOAD_CHANGE = "FUL", "add", "change"
 
 
+def published_files(links: DataFrame, load_type: str = "FUL",
+                    prefix: str = "landing/") -> DataFrame:
+    """Routed download list from a link index (name, url): links of the
+    wanted load type whose text lacks the excluded token, with the file
+    name, feed, load kind after unzip, and landing key."""
+    from ..sources.links import kept_links
+    f = url_basename("url")
+    landed = member_name(f)
+    return (kept_links(links).filter(load_filter("name", load_type))
+            .select("name", "url", f.alias("filename"), file_stem(f).alias("stem"),
+                    route_table(f).alias("feed"), route_load(landed).alias("load"),
+                    landing_key(prefix, route_table(f), load_folder(route_load(landed)),
+                                landed).alias("landing_key")))
+
+
 def routed_lines(spark: SparkSession, archives_root: str, glob: str = "*.zip") -> DataFrame:
     """Every data line of every published archive with its feed and load kind
     (routed by the archive's name; the member's header line is dropped)."""

@@ -525,3 +525,31 @@ def q_archive_landing(spark, sf_dir):
     jobs.land_archives(spark, archives, landing)
     back = spark.read.text(landing)
     return back.select("feed", "load", F.col("value").alias("line"))
+
+
+@register("published_files", _LINKS_SQL + """,
+f AS (SELECT name, url, regexp_extract(url, '[^/]*$') AS filename FROM links
+      WHERE NOT contains(name, 'problem')
+        AND NOT (lower(name) LIKE '%change.zip' OR lower(name) LIKE '%add.zip')),
+g AS (SELECT name, url, filename, split_part(filename, '.', 1) AS stem,
+             split_part(filename, '.', 1) || '.txt' AS landed FROM f)
+SELECT name, url, filename, stem,
+       CASE WHEN contains(filename, 'mdrfoi') THEN 'mdrfoi_event'
+            WHEN contains(filename, 'patient') THEN 'patient'
+            WHEN contains(filename, 'dev') THEN 'foidev_device'
+            WHEN contains(filename, 'foitext') THEN 'foitext_text'
+            ELSE 'notfound' END AS feed,
+       """ + FF.LOAD_SQL + """ AS load,
+       '""" + LANDING_PREFIX + """' || CASE WHEN contains(filename, 'mdrfoi') THEN 'mdrfoi_event'
+            WHEN contains(filename, 'patient') THEN 'patient'
+            WHEN contains(filename, 'dev') THEN 'foidev_device'
+            WHEN contains(filename, 'foitext') THEN 'foitext_text'
+            ELSE 'notfound' END || '/'
+       || CASE """ + FF.LOAD_SQL + """ WHEN 'change' THEN 'INC/change/' WHEN 'add' THEN 'INC/add/'
+               ELSE 'FUL/' END || landed AS landing_key
+FROM g""")
+def q_published_files(spark, sf_dir):
+    """Link index of every page -> exclusion -> FULL load filter -> routing."""
+    from . import jobs
+    links = anchor_links(table(spark, sf_dir, "pages"))
+    return jobs.published_files(links, "FUL", LANDING_PREFIX)

@@ -80,3 +80,29 @@ def test_archives_to_typed_history(spark, tmp_root):
                   for r in full) == [("1", 1, "2020-01-02"), ("2", None, "2020-01-03")]
     add = jobs.typed_batch(spark, landing, SPEC, "add", D1, header=False).first()
     assert str(add.date_received) == "2020-12-25"
+
+
+def test_cli_land_and_load(spark, tmp_root):
+    """The command line over archives: land, FULL load, then an INC run."""
+    import io
+    import os
+    import zipfile
+
+    from strata.cli import main
+    arch = os.path.join(tmp_root, "arch")
+    os.makedirs(arch)
+    header = "|".join(c.upper() for c in SPEC.names)
+    for name, body in {"patient.zip": ["1|1|01/02/2020|t|o", "2|1|01/02/2020|t|o"],
+                       "patientchange.zip": ["1|1|01/02/2020|t|NEW"]}.items():
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w") as zf:
+            zf.writestr(name.replace(".zip", ".txt"), "\n".join([header] + body) + "\n")
+        with open(os.path.join(arch, name), "wb") as fh:
+            fh.write(buf.getvalue())
+    landing, tables = os.path.join(tmp_root, "landing"), os.path.join(tmp_root, "tables")
+    assert main(["land", "--archives", arch, "--landing", landing]) == 0
+    assert main(["load", "--landing", landing, "--tables", tables, "--load-type", "FUL",
+                 "--as-of", "2024-03-01", "--feeds", "patient", "--headerless"]) == 0
+    rows = {(r.mdr_report_key, r.sequence_number_outcome, r.end_date)
+            for r in snapshot.read_history(spark, f"{tables}/patient").collect()}
+    assert rows == {("1", "o", D1), ("1", "NEW", None), ("2", "o", None)}
