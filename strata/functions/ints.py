@@ -26,7 +26,9 @@ def text_to_int(c) -> Column:
     sign = F.regexp_extract(c, _SHAPE, 1)
     digits = F.regexp_extract(c, _SHAPE, 2)
     point = F.regexp_extract(c, _SHAPE, 3)
-    return (F.when(shaped & (digits != ""),
-                   F.concat(sign, digits).try_cast("int"))
-             .when(shaped & (point != ""), F.lit(0))
-             .otherwise(F.lit(None).cast("int")))
+    lenient = (F.when(shaped & (digits != ""), F.concat(sign, digits).try_cast("int"))
+                .when(shaped & (point != ""), F.lit(0))
+                .otherwise(F.lit(None).cast("int")))
+    # A value the strict cast accepts reads the same under both rules, so the
+    # regex path only runs for the rest (coalesce is evaluated lazily).
+    return F.coalesce(c.try_cast("int"), lenient)
