@@ -37,7 +37,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.sizing import bounded, broadcast_limit as broadcast_limit_of, fits, measure_all
+from ..plans.sizing import broadcast_limit as broadcast_limit_of, fits, measure_all
 from ..specs import END_DATE, START_DATE, FeedSpec
 from .typed import as_date, stamp
 
@@ -254,16 +254,25 @@ def close_changed(history: DataFrame, change: DataFrame, mk: MergeKeys, as_of,
     return p.shut.unionByName(p.closing).unionByName(p.staying).unionByName(p.untouched)
 
 
-def except_changed(history: DataFrame, change: DataFrame, mk: MergeKeys) -> DataFrame:
-    """CHANGE rows (distinct) equal to no open history row, value columns only."""
+def except_changed(history: DataFrame, change: DataFrame, mk: MergeKeys,
+                   broadcast_limit: int | None = None) -> DataFrame:
+    """CHANGE rows (distinct) equal to no open history row, value columns only.
+
+    Open rows are first restricted to CHANGE keys (null-safe semi join, keys
+    broadcast when CHANGE is measured small): only those can equal a CHANGE
+    row."""
     biz = mk.business
     cols = [F.col(f"`{n}`") for n in biz]
     chg = change.select(*cols)
-    keyset = bounded(chg.select(*[F.col(f"`{k}`") for k in mk.keys]).distinct(), persist=True)
+    (rows, payload), = measure_all([chg])
+    small = fits(rows, payload, broadcast_limit if broadcast_limit is not None
+                 else broadcast_limit_of(chg.sparkSession))
+    keyset = chg.select(*[F.col(f"`{k}`") for k in mk.keys])
+    keyset = F.broadcast(keyset) if small else keyset.distinct()
     open_rel = (open_versions(history).alias("m")
-                .join(keyset.df.alias("k"), key_condition(mk.keys, "m", "k", True), "left_semi")
+                .join(keyset.alias("k"), key_condition(mk.keys, "m", "k", True), "left_semi")
                 .select(*cols))
-    return chg.subtract(open_rel)
+    return except_rows(chg, open_rel, biz, small)
 
 
 def union_append(history: DataFrame, rows: DataFrame, as_of) -> DataFrame:

@@ -11,11 +11,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import (file_stem, landing_key, load_filter, load_folder, member_name,
+                         parse_date, parse_date_drop_time, route_load, route_table,
+                         text_to_int, url_basename)
+from ..operators.checks import width_report
 from ..operators.merge import (diff_condition, except_changed, key_condition, merge,
                                merge_parts, new_key_rows, open_versions)
-from ..operators.typed import stamp
+from ..operators.typed import lower_rename, stamp, typed
+from ..sources.archives import archive_lines
+from ..sources.delimited import read_feed, read_feed_files
+from ..sources.jdbc import jdbc_append, jdbc_read
+from ..sources.links import ANCHOR, anchor_links, kept_links, table_links
+from . import feedfiles as FF
 from .oracle import merge_ctes, merge_sql
-from .scenarios import AS_OF, LINEITEM_TRIO, ORDERS_TRIO, trio
+from .scenarios import AS_OF, LINEITEM_TRIO, ORDERS_TRIO, table, trio
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,14 +121,6 @@ def q_diff_predicate(spark, sf_dir):
 
 # --- scalar typing ------------------------------------------------------------
 
-from ..functions import (file_stem, landing_key, link_kept, load_filter,  # noqa: E402
-                         load_folder, member_name, parse_date, parse_date_drop_time,
-                         route_load, route_table, text_to_int, url_basename)
-from ..operators.typed import lower_rename, typed  # noqa: E402
-from ..sources.delimited import read_delimited, read_feed, read_feed_files  # noqa: E402
-from . import feedfiles as FF  # noqa: E402
-from .scenarios import table  # noqa: E402
-
 
 def _date_text(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
@@ -347,7 +348,6 @@ def q_multi_feed_run(spark, sf_dir):
 
 # --- width check --------------------------------------------------------------------
 
-from ..operators.checks import width_report  # noqa: E402
 
 # Declared widths checked against two driver tables.
 WIDTHS = (("documents", "text", 4000), ("documents", "source", 50), ("documents", "lang", 50),
@@ -426,7 +426,6 @@ def q_landing_key(spark, sf_dir):
 
 # --- link index from pages ----------------------------------------------------------
 
-from ..sources.links import ANCHOR, anchor_links, kept_links  # noqa: E402
 
 _LINKS_SQL = f"""WITH p AS (
   SELECT page_id, regexp_extract_all(html, '{ANCHOR}', 1) AS u,
@@ -453,8 +452,6 @@ def q_url_basename(spark, sf_dir):
 
 # --- archives ------------------------------------------------------------------------
 
-from ..sources.archives import archive_lines  # noqa: E402
-
 
 @register("archive_expand", "WITH " + FF.FIELDS_SQL[0:] + """
 SELECT concat_ws('|', COALESCE(f0, ''), COALESCE(f1, ''), COALESCE(f2, ''), COALESCE(f3, ''),
@@ -467,8 +464,6 @@ def q_archive_expand(spark, sf_dir):
 
 # --- JDBC ----------------------------------------------------------------------------
 
-from ..sources.jdbc import jdbc_append, jdbc_read  # noqa: E402
-
 
 @register("jdbc_append", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
 FROM orders""")
@@ -553,3 +548,13 @@ def q_published_files(spark, sf_dir):
     from . import jobs
     links = anchor_links(table(spark, sf_dir, "pages"))
     return jobs.published_files(links, "FUL", LANDING_PREFIX)
+
+
+@register("link_table_rule", """SELECT CAST(NULL AS BIGINT) AS page_id, CAST(NULL AS INTEGER) AS pos,
+       CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS url WHERE false""")
+def q_link_table_rule(spark, sf_dir):
+    """The published-index rule (first `table.table`, first cell, first
+    anchor) over every page.  The generated pages carry no index table, so
+    the answer is empty; the rule itself is checked on a hand-written page in
+    tests/test_sources.py."""
+    return kept_links(table_links(table(spark, sf_dir, "pages")))
