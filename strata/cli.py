@@ -41,6 +41,8 @@ def main(argv=None) -> int:
     lo.add_argument("--feeds", default=",".join(FEED_ORDER))
     lo.add_argument("--headerless", action="store_true",
                     help="landing written by `land` (header dropped at expansion)")
+    lo.add_argument("--vacuum-keep", type=int, default=0,
+                    help="after the run, delete open sets older than this many versions")
     args = ap.parse_args(argv)
 
     spark = get_spark()
@@ -58,6 +60,10 @@ def main(argv=None) -> int:
                                   full=args.load_type == "FUL",
                                   feeds=[x for x in args.feeds.split(",") if x],
                                   header=not args.headerless)
+        if args.vacuum_keep > 0:
+            from .plans import snapshot
+            for name in out:
+                snapshot.vacuum(spark, f"{args.tables.rstrip('/')}/{name}", args.vacuum_keep)
         print(json.dumps({k: vars(v) for k, v in out.items()}))
     return 0
 

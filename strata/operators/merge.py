@@ -105,7 +105,10 @@ def new_key_rows(add: DataFrame, history: DataFrame, keys: list[str],
         add_keys = F.broadcast(add.select(*kcols).dropna())
         present = hist_keys.join(add_keys, keys, "left_semi").distinct()
         return add.join(F.broadcast(present), keys, "left_anti")
-    return add.join(hist_keys, keys, "left_anti")
+    # Shuffle fallback: de-duplicate history keys first (partial aggregation
+    # map-side), so a hot key reaches the join as one row, not a third of
+    # the history; AQE can only split the streamed (left) side of an anti join.
+    return add.join(hist_keys.distinct(), keys, "left_anti")
 
 
 @dataclass
@@ -197,7 +200,9 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
         cached.append(touched)
 
     # 3. Close: semi and anti on one condition are exact complements.
-    chg_side = F.broadcast(chg) if chg_fits else chg
+    # duplicates of a CHANGE row cannot change an existence test: drop them
+    # before a shuffle join
+    chg_side = F.broadcast(chg) if chg_fits else chg.distinct()
     cond = key_condition(keys, "m", "c") & diff_condition(values, "m", "c", null_safe)
     closing = (touched.alias("m").join(chg_side.alias("c"), cond, "left_semi")
                .withColumn(END_DATE, as_date(as_of)))

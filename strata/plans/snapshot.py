@@ -132,6 +132,35 @@ def publish(spark: SparkSession, root: str, open_rows: DataFrame,
     return new
 
 
+def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete open sets superseded more than ``keep`` versions ago.
+
+    Closed folders and the pointers are never touched; versions older than
+    ``current - keep + 1`` can no longer be read afterwards.  Uses the Hadoop
+    file system of the table path, so it works on any store Spark writes to.
+    Returns the deleted folders.
+    """
+    ptr = current(spark, root)
+    if ptr is None or keep < 1:
+        return []
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(_p(root, "data"))
+    fs = base.getFileSystem(conf)
+    gone = []
+    for st in fs.listStatus(base):
+        name = st.getPath().getName()
+        if not name.startswith("run="):
+            continue
+        run = int(name[len("run="):])
+        if run <= ptr.version - keep:
+            open_dir = jvm.org.apache.hadoop.fs.Path(st.getPath(), "is_open=true")
+            if fs.exists(open_dir):
+                fs.delete(open_dir, True)
+                gone.append(open_dir.toString())
+    return gone
+
+
 def replace_table(df: DataFrame, path: str) -> DataFrame:
     """Drop-and-create of a staging or target table: overwrite, then read back."""
     df.write.mode("overwrite").parquet(path)

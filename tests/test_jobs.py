@@ -106,3 +106,19 @@ def test_cli_land_and_load(spark, tmp_root):
     rows = {(r.mdr_report_key, r.sequence_number_outcome, r.end_date)
             for r in snapshot.read_history(spark, f"{tables}/patient").collect()}
     assert rows == {("1", "o", D1), ("1", "NEW", None), ("2", "o", None)}
+
+
+def test_vacuum_keeps_current_history(spark, tmp_root):
+    from strata.operators.merge import MergeKeys
+    tbl = f"{tmp_root}/v"
+    sch = "k long, v string, start_date date, end_date date"
+    snapshot.publish(spark, tbl, spark.createDataFrame([(1, "a", D1, None)], sch), fresh=True)
+    chg = spark.createDataFrame([(1, "b")], "k long, v string")
+    jobs.merge_into(spark, tbl, None, chg, MergeKeys(["k"], ["v"]), D2)
+    jobs.merge_into(spark, tbl, None, spark.createDataFrame([(1, "c")], "k long, v string"),
+                    MergeKeys(["k"], ["v"]), dt.date(2024, 3, 3))
+    before = sorted(tuple(r) for r in snapshot.read_history(spark, tbl).collect())
+    gone = snapshot.vacuum(spark, tbl, keep=1)
+    assert len(gone) == 2
+    after = sorted(tuple(r) for r in snapshot.read_history(spark, tbl).collect())
+    assert before == after and len(after) == 3
