@@ -138,16 +138,46 @@ class MergeParts:
                 .unionByName(self.untouched).unionByName(self.inserted))
 
 
+def _collated(df: DataFrame, collation: str | None) -> DataFrame:
+    if not collation:
+        return df
+    return df.select(*[(F.collate(F.col(f"`{c}`"), collation) if t.startswith("string")
+                        else F.col(f"`{c}`")).alias(c) for c, t in df.dtypes])
+
+
+def _plain(df: DataFrame, collation: str | None) -> DataFrame:
+    if not collation:
+        return df
+    return df.select(*[(F.col(f"`{c}`").cast("string") if t.startswith("string")
+                        else F.col(f"`{c}`")).alias(c) for c, t in df.dtypes])
+
+
 def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | None,
                 mk: MergeKeys, as_of, null_safe: bool = False,
                 broadcast_limit: int | None = None,
-                materialize: bool = True, closed: DataFrame | None = None) -> MergeParts:
+                materialize: bool = True, closed: DataFrame | None = None,
+                collation: str | None = None) -> MergeParts:
     """The merge as separate parts (see ``MergeParts``).
 
     ``history`` holds every version; or, with ``closed`` given, ``history``
     holds the open versions only and ``closed`` the closed ones, so the open
     branches never touch closed data.
+
+    ``collation`` (e.g. ``UTF8_LCASE``, ``UTF8_LCASE_RTRIM``) makes every
+    string comparison of the merge -- key match, value difference, EXCEPT --
+    follow that collation, as a database collation would; results come back
+    as plain strings.  Among CHANGE rows equal under the collation, EXCEPT
+    keeps one (which one is unspecified, as in SQL).
     """
+    if collation:
+        p = merge_parts(_collated(history, collation),
+                        _collated(add, collation) if add is not None else None,
+                        _collated(change, collation) if change is not None else None,
+                        mk, as_of, null_safe, broadcast_limit, materialize,
+                        _collated(closed, collation) if closed is not None else None)
+        return MergeParts(*[_plain(d, collation) for d in (p.shut, p.closing, p.staying,
+                                                            p.untouched, p.inserted)],
+                          cached=p.cached)
     keys, values, biz = mk.keys, mk.values, mk.business
     layout = biz + VERSION_COLS
     cols = lambda df, names: df.select(*[F.col(f"`{n}`") for n in names])
@@ -238,13 +268,13 @@ def except_rows(batch: DataFrame, rows: DataFrame, names: list[str],
 def merge(history: DataFrame, add: DataFrame | None, change: DataFrame | None,
           spec: FeedSpec | None = None, as_of=None, null_safe: bool = False,
           keys=None, values=None, broadcast_limit: int | None = None,
-          materialize: bool = True) -> DataFrame:
+          materialize: bool = True, collation: str | None = None) -> DataFrame:
     """Merged history: business columns + start_date, end_date."""
     if as_of is None:
         raise ValueError("as_of is required: a fixed run date keeps reruns repeatable")
     mk = MergeKeys.of(spec, keys, values)
     return merge_parts(history, add, change, mk, as_of, null_safe,
-                       broadcast_limit, materialize).result()
+                       broadcast_limit, materialize, collation=collation).result()
 
 
 def open_versions(history: DataFrame) -> DataFrame:

@@ -93,14 +93,15 @@ def incremental_load(spark: SparkSession, landing: str, spec: FeedSpec, as_of,
 
 def merge_into(spark: SparkSession, table_root: str, add: DataFrame | None,
                change: DataFrame | None, mk: MergeKeys, as_of, null_safe: bool = False,
-               broadcast_limit: int | None = None, batch_id: int | None = None) -> snapshot.Pointer:
+               broadcast_limit: int | None = None, batch_id: int | None = None,
+               collation: str | None = None) -> snapshot.Pointer:
     """Merge one ADD + CHANGE batch into a stored history and publish the
     next version: newly closed rows are appended, open rows rewritten."""
     ptr = snapshot.current(spark, table_root)
     open_rows = snapshot.read_open(spark, table_root, ptr=ptr)
     closed = snapshot.read_closed(spark, table_root, ptr=ptr)
     parts = merge_parts(open_rows, add, change, mk, as_of, null_safe, broadcast_limit,
-                        closed=closed)
+                        closed=closed, collation=collation)
     try:
         # one job writes the new open set and the rows this run closed
         return snapshot.publish(spark, table_root, parts.open_rows, parts.closing,
