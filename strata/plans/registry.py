@@ -24,7 +24,7 @@ from ..sources.jdbc import jdbc_append, jdbc_read
 from ..sources.links import ANCHOR, anchor_links, kept_links, table_links
 from . import feedfiles as FF
 from .oracle import merge_ctes, merge_sql
-from .scenarios import AS_OF, LINEITEM_TRIO, ORDERS_TRIO, table, trio
+from .scenarios import AS_OF, LINEITEM_TRIO, ORDERS_TRIO, lower_v1, table, trio
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,6 +61,16 @@ def q_history_merge_null_safe(spark, sf_dir):
                  as_of=AS_OF, null_safe=True)
 
 
+@register("history_merge_nocase",
+          merge_sql(ORDERS_TRIO, nocase=("o_orderstatus", "o_orderpriority"), lower_v1_digit=4))
+def q_history_merge_nocase(spark, sf_dir):
+    """Merge under a case-insensitive collation: CHANGE rows that differ only
+    in letter case neither close a version nor open one."""
+    t = lower_v1(trio(spark, sf_dir, ORDERS_TRIO), ORDERS_TRIO)
+    return merge(t.history, t.add, t.change, keys=t.mk.keys, values=t.mk.values,
+                 as_of=AS_OF, collation="UTF8_LCASE")
+
+
 @register("insert_new_keys",
           merge_ctes(ORDERS_TRIO) + "\nSELECT *, DATE '" + AS_OF
           + "' AS start_date, CAST(NULL AS DATE) AS end_date FROM ins_add")

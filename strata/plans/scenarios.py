@@ -75,9 +75,21 @@ def trio(spark: SparkSession, sf_dir: str, t: TrioSpec) -> Trio:
     return Trio(history, add, change, t.mk)
 
 
-def trio_sql(t: TrioSpec) -> str:
-    """The same three inputs as DuckDB CTEs (main0, add_b, chg)."""
+def lower_v1(tr: Trio, t: TrioSpec, digit: int = 4) -> Trio:
+    """CHANGE with v1 lower-cased on one case digit: a difference in letter
+    case only, which a case-insensitive collation does not see."""
+    v1 = t.values[1]
+    d = F.pmod(F.col(t.case_col), F.lit(10))
+    chg = tr.change.withColumn(v1, F.when(d == digit, F.lower(F.col(v1))).otherwise(F.col(v1)))
+    return Trio(tr.history, tr.add, chg, tr.mk)
+
+
+def trio_sql(t: TrioSpec, lower_v1_digit: int | None = None) -> str:
+    """The same three inputs as DuckDB CTEs (main0, add_b, chg); optionally
+    CHANGE lower-cases v1 on one case digit (see ``lower_v1``)."""
     v0, v1, v2 = t.values
+    v1_chg = (v1 if lower_v1_digit is None
+              else f"CASE WHEN _d = {lower_v1_digit} THEN lower({v1}) ELSE {v1} END AS {v1}")
     k = ", ".join(t.keys)
     return f"""base AS (SELECT {k}, {v0}, {v1}, {v2}, ({t.case_col} % 10) AS _d FROM {t.table}),
 main0 AS (SELECT {k}, {v0}, CASE WHEN _d = 3 THEN NULL ELSE {v1} END AS {v1}, {v2},
@@ -85,6 +97,6 @@ main0 AS (SELECT {k}, {v0}, CASE WHEN _d = 3 THEN NULL ELSE {v1} END AS {v1}, {v
                  CASE WHEN _d = 7 THEN DATE '{HISTORY_CLOSED}' ELSE CAST(NULL AS DATE) END AS end_date
           FROM base WHERE _d < 8),
 add_b AS (SELECT {k}, {v0}, {v1}, {v2} FROM base WHERE _d >= 6),
-chg AS (SELECT {k}, CASE WHEN _d = 2 THEN 'Z' ELSE {v0} END AS {v0}, {v1},
+chg AS (SELECT {k}, CASE WHEN _d = 2 THEN 'Z' ELSE {v0} END AS {v0}, {v1_chg},
                CASE WHEN _d = 9 THEN {v2} + 1 ELSE {v2} END AS {v2}
         FROM base WHERE _d IN (2, 3, 4, 7, 9))"""
