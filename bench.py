@@ -33,19 +33,32 @@ def main():
                       extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
     # warm-up: one untimed run of each query (JIT, class loading, footers)
     warm = os.environ.get("BENCH_WARMUP", "1") != "0"
+    errors = {}
+
+    def run(n):
+        QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        spark.catalog.clearCache()
+
     if warm:
         for n in names:
-            QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            spark.catalog.clearCache()
+            try:
+                run(n)
+            except Exception as e:  # noqa: BLE001 - reported, not fatal
+                errors[n] = f"{type(e).__name__}: {str(e)[:200]}"
     timings = {}
     for n in names:
+        if n in errors:
+            continue
         best = None
-        for _ in range(repeat):
-            t0 = time.perf_counter()
-            QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            best = dt if best is None else min(best, dt)
-            spark.catalog.clearCache()
+        try:
+            for _ in range(repeat):
+                t0 = time.perf_counter()
+                run(n)
+                dt = time.perf_counter() - t0
+                best = dt if best is None else min(best, dt)
+        except Exception as e:  # noqa: BLE001
+            errors[n] = f"{type(e).__name__}: {str(e)[:200]}"
+            continue
         timings[n] = round(best, 3)
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({
@@ -53,7 +66,7 @@ def main():
         "value": round(sum(v for k, v in timings.items() if k in HEADLINE), 3), "unit": "sec",
         "queries": timings, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus, "repeat": repeat, "warmup": warm, "python": platform.python_version(),
-        "spark": spark.version,
+        "spark": spark.version, **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
