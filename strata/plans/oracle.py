@@ -7,7 +7,7 @@ inputs of ``scenarios.trio_sql``.
 
 from __future__ import annotations
 
-from .scenarios import AS_OF, TrioSpec, trio_sql
+from .scenarios import AS_OF, TrioSpec, q, trio_sql
 
 
 def _keys_eq(keys, a, b):
@@ -16,17 +16,17 @@ def _keys_eq(keys, a, b):
 
 def _diff(values, a, b, null_safe, nocase=()):
     op = "IS DISTINCT FROM" if null_safe else "<>"
-    return " OR ".join(f"{a}.{v} {op} {b}.{v}" + (" COLLATE NOCASE" if v in nocase else "")
+    return " OR ".join(f"{a}.{q(v)} {op} {b}.{q(v)}" + (" COLLATE NOCASE" if v in nocase else "")
                        for v in values)
 
 
 def merge_ctes(t: TrioSpec, null_safe: bool = False, nocase: tuple[str, ...] = (),
                lower_v1_digit: int | None = None) -> str:
     """``nocase``: text columns compared case-insensitively (also in EXCEPT)."""
-    keys, values = list(t.keys), list(t.values)
-    biz = ", ".join(keys + values)
-    mbiz = ", ".join(f"m.{c}" for c in keys + values)
-    ebiz = ", ".join(f"{c} COLLATE NOCASE AS {c}" if c in nocase else c for c in keys + values)
+    keys, values = list(t.keys), list(t.values) + list(t.carry)
+    biz = ", ".join(q(c) for c in keys + values)
+    mbiz = ", ".join(f"m.{q(c)}" for c in keys + values)
+    ebiz = ", ".join(f"{c} COLLATE NOCASE AS {c}" if c in nocase else q(c) for c in keys + values)
     return f"""WITH {trio_sql(t, lower_v1_digit)},
 ins_add AS (SELECT a.* FROM add_b a
             WHERE NOT EXISTS (SELECT 1 FROM main0 m WHERE {_keys_eq(keys, 'm', 'a')})),

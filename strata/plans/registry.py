@@ -24,7 +24,8 @@ from ..sources.jdbc import jdbc_append, jdbc_read
 from ..sources.links import ANCHOR, anchor_links, kept_links, table_links
 from . import feedfiles as FF
 from .oracle import merge_ctes, merge_sql
-from .scenarios import AS_OF, LINEITEM_TRIO, ORDERS_TRIO, lower_v1, table, trio
+from ..specs import FEEDS
+from .scenarios import AS_OF, LINEITEM_TRIO, ORDERS_TRIO, feed_from_events, lower_v1, table, trio
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -568,3 +569,23 @@ def q_link_table_rule(spark, sf_dir):
     the answer is empty; the rule itself is checked on a hand-written page in
     tests/test_sources.py."""
     return kept_links(table_links(table(spark, sf_dir, "pages")))
+
+
+# --- wide layouts: the published feed specs filled from `events` -------------------
+
+WIDE_EVENT = feed_from_events(FEEDS["mdrfoi_event"])      # 82 columns, 80 compared
+WIDE_DEVICE = feed_from_events(FEEDS["foidev_device"])    # 31 columns, hyphenated names
+
+
+@register("wide_merge", merge_sql(WIDE_EVENT))
+def q_wide_merge(spark, sf_dir):
+    """The event feed's full layout merged: an 80-column difference test and
+    an 82-column EXCEPT, restricted to the open rows of CHANGE keys."""
+    t = trio(spark, sf_dir, WIDE_EVENT)
+    return merge(t.history, t.add, t.change, keys=t.mk.keys, values=t.mk.values, as_of=AS_OF)
+
+
+@register("wide_merge_device", merge_sql(WIDE_DEVICE))
+def q_wide_merge_device(spark, sf_dir):
+    t = trio(spark, sf_dir, WIDE_DEVICE)
+    return merge(t.history, t.add, t.change, keys=t.mk.keys, values=t.mk.values, as_of=AS_OF)

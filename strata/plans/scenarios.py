@@ -30,10 +30,13 @@ class TrioSpec:
     keys: tuple[str, ...]
     case_col: str
     values: tuple[str, str, str]   # v0 (text), v1 (text), v2 (number)
+    carry: tuple[str, ...] = ()    # further value columns, carried unchanged
+    # Optional derived source: name -> (Spark expression builder, SQL expression)
+    derived: tuple = ()
 
     @property
     def mk(self) -> MergeKeys:
-        return MergeKeys(list(self.keys), list(self.values))
+        return MergeKeys(list(self.keys), list(self.values) + list(self.carry))
 
 
 ORDERS_TRIO = TrioSpec("orders", ("o_orderkey",), "o_orderkey",
@@ -56,22 +59,28 @@ class Trio:
 
 def trio(spark: SparkSession, sf_dir: str, t: TrioSpec) -> Trio:
     v0, v1, v2 = t.values
-    base = table(spark, sf_dir, t.table).select(
-        *t.keys, *t.values, F.pmod(F.col(t.case_col), F.lit(10)).alias("_d"))
+    src = table(spark, sf_dir, t.table)
+    case = F.pmod(F.col(t.case_col), F.lit(10)).alias("_d")
+    if t.derived:
+        base = src.select(*[build().alias(name) for name, build, _ in t.derived], case)
+    else:
+        base = src.select(*t.keys, *t.values, *t.carry, case)
     d: Column = F.col("_d")
+    carry = [F.col(f"`{c}`") for c in t.carry]
     history = (base.filter(d < 8)
                .select(*t.keys, v0,
                        F.when(d == 3, F.lit(None).cast("string")).otherwise(F.col(v1)).alias(v1),
-                       v2,
+                       v2, *carry,
                        F.lit(HISTORY_START).cast("date").alias(START_DATE),
                        F.when(d == 7, F.lit(HISTORY_CLOSED).cast("date"))
                         .otherwise(F.lit(None).cast("date")).alias(END_DATE)))
-    add = base.filter(d >= 6).select(*t.keys, *t.values)
+    add = base.filter(d >= 6).select(*t.keys, *t.values, *carry)
     change = (base.filter(d.isin(2, 3, 4, 7, 9))
               .select(*t.keys,
                       F.when(d == 2, F.lit("Z")).otherwise(F.col(v0)).alias(v0),
                       v1,
-                      F.when(d == 9, F.col(v2) + 1).otherwise(F.col(v2)).alias(v2)))
+                      F.when(d == 9, F.col(v2) + 1).otherwise(F.col(v2)).alias(v2),
+                      *carry))
     return Trio(history, add, change, t.mk)
 
 
@@ -91,12 +100,56 @@ def trio_sql(t: TrioSpec, lower_v1_digit: int | None = None) -> str:
     v1_chg = (v1 if lower_v1_digit is None
               else f"CASE WHEN _d = {lower_v1_digit} THEN lower({v1}) ELSE {v1} END AS {v1}")
     k = ", ".join(t.keys)
-    return f"""base AS (SELECT {k}, {v0}, {v1}, {v2}, ({t.case_col} % 10) AS _d FROM {t.table}),
-main0 AS (SELECT {k}, {v0}, CASE WHEN _d = 3 THEN NULL ELSE {v1} END AS {v1}, {v2},
+    cr = "".join(f", {q(c)}" for c in t.carry)
+    if t.derived:
+        cols = ", ".join(f"{sql} AS {q(name)}" for name, _, sql in t.derived)
+    else:
+        cols = f"{k}, {v0}, {v1}, {v2}{cr}"
+    return f"""base AS (SELECT {cols}, ({t.case_col} % 10) AS _d FROM {t.table}),
+main0 AS (SELECT {k}, {v0}, CASE WHEN _d = 3 THEN NULL ELSE {v1} END AS {v1}, {v2}{cr},
                  DATE '{HISTORY_START}' AS start_date,
                  CASE WHEN _d = 7 THEN DATE '{HISTORY_CLOSED}' ELSE CAST(NULL AS DATE) END AS end_date
           FROM base WHERE _d < 8),
-add_b AS (SELECT {k}, {v0}, {v1}, {v2} FROM base WHERE _d >= 6),
+add_b AS (SELECT {k}, {v0}, {v1}, {v2}{cr} FROM base WHERE _d >= 6),
 chg AS (SELECT {k}, CASE WHEN _d = 2 THEN 'Z' ELSE {v0} END AS {v0}, {v1_chg},
-               CASE WHEN _d = 9 THEN {v2} + 1 ELSE {v2} END AS {v2}
+               CASE WHEN _d = 9 THEN {v2} + 1 ELSE {v2} END AS {v2}{cr}
         FROM base WHERE _d IN (2, 3, 4, 7, 9))"""
+
+
+def q(name: str) -> str:
+    """SQL identifier, quoted when needed (layouts have names like `udi-di`)."""
+    return name if name.replace("_", "").isalnum() else f'"{name}"'
+
+
+def feed_from_events(spec, case_col: str = "event_id") -> TrioSpec:
+    """A feed layout filled from ``events``: keys from the event and user ids,
+    text columns from the event type and properties, ints from the value,
+    dates from the timestamp (shifted by column position).  Value columns 2-4
+    of the layout play v0 (text), v1 (text) and v2 (int)."""
+    texts = [c.name for c in spec.columns if not c.is_key and c.kind == "string"]
+    nums = [c.name for c in spec.columns if not c.is_key and c.kind == "int"] or \
+        [c.name for c in spec.columns if not c.is_key and c.kind == "date"]
+    v0, v1, v2 = texts[0], texts[1], nums[0]   # v2 + 1: next int, or next day
+    derived = []
+    for i, c in enumerate(spec.columns):
+        if c.is_key:
+            src = ("event_id", "user_id")[spec.keys.index(c.name) % 2]
+            derived.append((c.name, lambda s=src: F.col(s).cast("string"),
+                            f"CAST({src} AS VARCHAR)"))
+        elif c.kind == "string":
+            if i % 3 == 0:
+                derived.append((c.name, lambda: F.col("event_type"), "event_type"))
+            elif i % 3 == 1:
+                derived.append((c.name, lambda: F.col("props"), "props"))
+            else:
+                derived.append((c.name, lambda i=i: F.concat(F.col("event_type"), F.lit(f"_{i}")),
+                                f"event_type || '_{i}'"))
+        elif c.kind == "int":
+            derived.append((c.name, lambda i=i: (F.floor("value") % 1000 + i).cast("int"),
+                            f"CAST(CAST(floor(value) AS BIGINT) % 1000 + {i} AS INTEGER)"))
+        else:
+            derived.append((c.name, lambda i=i: F.date_add(F.to_date("ts"), i),
+                            f"CAST(ts AS DATE) + {i}"))
+    derived.append((case_col, lambda: F.col(case_col), case_col))
+    carry = tuple(n for n in spec.values if n not in (v0, v1, v2))
+    return TrioSpec("events", tuple(spec.keys), case_col, (v0, v1, v2), carry, tuple(derived))

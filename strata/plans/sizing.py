@@ -36,23 +36,36 @@ def measure(df: DataFrame) -> tuple[int, int]:
     """Exact (rows, payload bytes) of ``df`` in one pass."""
     if not df.columns:
         return df.count(), 0
-    width = reduce(lambda a, b: a + b,
-                   [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
-                    for c in df.columns])
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
     return int(r["n"]), int(r["b"] or 0)
 
 
+# Bytes of fixed-width values (as held in Spark's binary row format).
+FIXED_BYTES = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4,
+               "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+
+
+def row_bytes(df: DataFrame):
+    """Per-row payload bytes: fixed widths for fixed-width types (no
+    per-value work), actual octets for strings and other variable types."""
+    fixed = 0
+    var = []
+    for c, t in df.dtypes:
+        if t in FIXED_BYTES:
+            fixed += FIXED_BYTES[t]
+        elif t.startswith("string") or t == "binary":
+            var.append(F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)))
+        else:
+            var.append(F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)))
+    return reduce(lambda a, b: a + b, var, F.lit(fixed))
+
+
 def measure_all(frames: list[DataFrame]) -> list[tuple[int, int]]:
     """Exact (rows, payload bytes) of several frames in a single job."""
     parts = []
     for i, df in enumerate(frames):
-        cols = df.columns
-        width = (reduce(lambda a, b: a + b,
-                        [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
-                         for c in cols]) if cols else F.lit(0))
         parts.append(df.agg(F.lit(i).alias("i"), F.count(F.lit(1)).alias("n"),
-                            F.sum(width).cast("long").alias("b")))
+                            F.sum(row_bytes(df)).cast("long").alias("b")))
     out = reduce(lambda a, b: a.unionByName(b), parts).collect()
     got = {r["i"]: (int(r["n"]), int(r["b"] or 0)) for r in out}
     return [got[i] for i in range(len(frames))]
