@@ -226,6 +226,9 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
     untouched = open1.alias("m").join(chg_keys.alias("k"), hit, "left_anti")
     if materialize:
         # touched feeds three joins: persist once instead of three scans.
+        # (persist, not a reliable checkpoint: checkpointing an unpersisted
+        # frame computes it twice -- a second pass over the open history; a
+        # lost executor's cached blocks are recomputed from lineage.)
         touched = touched.persist(StorageLevel.MEMORY_AND_DISK)
         cached.append(touched)
 
