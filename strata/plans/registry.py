@@ -589,3 +589,15 @@ def q_wide_merge(spark, sf_dir):
 def q_wide_merge_device(spark, sf_dir):
     t = trio(spark, sf_dir, WIDE_DEVICE)
     return merge(t.history, t.add, t.change, keys=t.mk.keys, values=t.mk.values, as_of=AS_OF)
+
+
+@register("ragged_report", FF.RAW_RAGGED_SQL + """
+SELECT o_orderkey, o_orderpriority IS NULL AS short_line,
+       (start_date IS NOT NULL OR end_date IS NOT NULL) AS surplus_fields FROM raw""")
+def q_ragged_report(spark, sf_dir):
+    """Per-line shape of a ragged feed: short (last layout column missing)
+    and surplus (fields beyond the layout, parked in the version columns)."""
+    from ..sources.delimited import ragged_report
+    root = FF.land_orders(spark, sf_dir, ragged=True)
+    raw = read_feed_files(spark, _folder(root), FF.ORDERS_FEED)
+    return ragged_report(raw, FF.ORDERS_FEED).select("o_orderkey", "short_line", "surplus_fields")

@@ -81,3 +81,20 @@ def test_hyphen_columns_typed(spark):
     r = typed(raw, spec).first()
     assert r["udi-public"] == "u"
     assert F is not None
+
+
+def test_declared_widths_enforced_by_table(spark, tmp_root):
+    """A target created from the spec's DDL (VARCHAR(n) columns) rejects an
+    over-long value on insert, as the declared nvarchar(n) target does."""
+    import pytest
+    spec = make_spec("w", """
+k nvarchar(5) key
+d date
+""")
+    spark.sql("DROP TABLE IF EXISTS width_target")
+    spark.sql(f"CREATE TABLE width_target ({spec.ddl()}) USING parquet LOCATION '{tmp_root}/wt'")
+    spark.sql("INSERT INTO width_target VALUES ('abc', DATE'2024-01-01', NULL, NULL)")
+    with pytest.raises(Exception, match="(?i)length|limit"):
+        spark.sql("INSERT INTO width_target VALUES ('abcdefgh', NULL, NULL, NULL)")
+    assert spark.table("width_target").count() == 1
+    spark.sql("DROP TABLE width_target")
