@@ -43,3 +43,16 @@ def test_archive_lines(spark, tmp_root):
                           ("mdrfoiAdd.zip", "mdrfoiAdd.txt", 2, "2|b"),
                           ("two.zip", "a.txt", 0, "H"), ("two.zip", "a.txt", 1, "x"),
                           ("two.zip", "b.txt", 0, "H"), ("two.zip", "b.txt", 1, "y")])
+
+
+def test_cli_files_from_index_page(spark, tmp_root):
+    from strata.cli import main
+    pages = spark.createDataFrame([(1, PAGE)], "page_id long, html string")
+    src, out = os.path.join(tmp_root, "pages"), os.path.join(tmp_root, "files")
+    pages.write.parquet(src)
+    assert main(["files", "--pages", src, "--out", out, "--load-type", "FUL"]) == 0
+    got = [tuple(r) for r in spark.read.parquet(out).collect()]
+    assert got == [("mdrfoi.zip", "https://h.example/f/mdrfoi.zip", "mdrfoi.zip", "mdrfoi",
+                     "mdrfoi_event", "FUL", "landing/mdrfoi_event/FUL/mdrfoi.txt")]
+    assert main(["files", "--pages", src, "--out", out, "--load-type", "INC"]) == 0
+    assert spark.read.parquet(out).count() == 0
