@@ -18,9 +18,9 @@ Plan shape (no shuffle of history when the batches are small):
             -> distinct keys present -> ADD anti those keys
     split:  open rows semi / anti keys(CHANGE)   (null-safe, broadcast)
             "untouched" open rows pass straight through
-    close:  touched semi CHANGE on keys AND diff -> end_date = as_of
-    keep:   touched anti CHANGE on the same condition (exact complement)
-    insert: CHANGE EXCEPT keep   (only rows of CHANGE keys can be equal)
+    flag:   touched LEFT JOIN summary(CHANGE) on keys, one summary row per key
+            (least/greatest value per column) -> closes / stays
+    insert: CHANGE EXCEPT staying   (only rows of CHANGE keys can be equal)
 
 History is only ever *streamed* through broadcast hash joins; the only
 shuffles are over batch-sized data.  When a batch is too large to broadcast
@@ -224,22 +224,26 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
     hit = key_condition(keys, "m", "k", null_safe=True)
     touched = open1.alias("m").join(chg_keys.alias("k"), hit, "left_semi")
     untouched = open1.alias("m").join(chg_keys.alias("k"), hit, "left_anti")
+    # 3. Close: flag each touched open row against a per-key summary of
+    #    CHANGE (one row per key; see change_summary), a plain equi-join with
+    #    no pairwise comparison, so a hot key costs linear work.
+    summary = change_summary(chg, keys, values, null_safe)
+    sum_fits = chg_fits and fits(*_summary_bound(sizes[-1], len(values)), limit)
+    summary = F.broadcast(summary) if sum_fits else summary
+    flag = "__closes"
+    flagged = (touched.join(summary, keys, "left")
+               .select(*[F.col(f"`{c}`") for c in layout],
+                       closes_expr(values, null_safe).alias(flag)))
     if materialize:
-        # touched feeds three joins: persist once instead of three scans.
-        # (persist, not a reliable checkpoint: checkpointing an unpersisted
-        # frame computes it twice -- a second pass over the open history; a
-        # lost executor's cached blocks are recomputed from lineage.)
-        touched = touched.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(touched)
-
-    # 3. Close: semi and anti on one condition are exact complements.
-    # duplicates of a CHANGE row cannot change an existence test: drop them
-    # before a shuffle join
-    chg_side = F.broadcast(chg) if chg_fits else chg.distinct()
-    cond = key_condition(keys, "m", "c") & diff_condition(values, "m", "c", null_safe)
-    closing = (touched.alias("m").join(chg_side.alias("c"), cond, "left_semi")
+        # flagged feeds both branches and the EXCEPT: persist once instead of
+        # three scans.  (persist, not a reliable checkpoint: checkpointing an
+        # unpersisted frame computes it twice -- a second pass over the open
+        # history; a lost executor's cached blocks are recomputed from lineage.)
+        flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(flagged)
+    closing = (flagged.filter(F.col(flag)).select(*[F.col(f"`{c}`") for c in layout])
                .withColumn(END_DATE, as_date(as_of)))
-    staying = touched.alias("m").join(chg_side.alias("c"), cond, "left_anti")
+    staying = flagged.filter(~F.col(flag)).select(*[F.col(f"`{c}`") for c in layout])
 
     # 4. CHANGE EXCEPT (distinct, null-equal) open rows; only `staying` can
     #    hold rows equal to a CHANGE row (untouched keys differ, closed rows
@@ -248,6 +252,59 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
     return MergeParts(shut, closing, staying, untouched, ins_chg, tuple(cached))
 
 
+_MIN, _MAX, _NN, _N = "__min_", "__max_", "__nn_", "__n"
+
+
+def change_summary(chg: DataFrame, keys: list[str], values: list[str],
+                   null_safe: bool = False) -> DataFrame:
+    """One row per (non-null) CHANGE key: per value column the least and
+    greatest non-null value, and for the null-safe rule the non-null count,
+    plus the row count.
+
+    This is all the close test needs: an open row m closes iff some CHANGE
+    row c of its key differs in some column v -- the two "some" swap, so it
+    is iff some column v has a CHANGE value differing from m.v, and "every
+    non-null CHANGE value of v equals m.v" is "least = greatest = m.v".
+    Null keys never match with `=`, so their rows are left out.  Partial
+    aggregation runs before the shuffle, so a hot key arrives as one row per
+    task.
+    """
+    aggs = [F.count(F.lit(1)).alias(_N)]
+    for i, v in enumerate(values):
+        c = F.col(f"`{v}`")
+        aggs += [F.min(c).alias(f"{_MIN}{i}"), F.max(c).alias(f"{_MAX}{i}")]
+        if null_safe:
+            aggs.append(F.count(c).alias(f"{_NN}{i}"))
+    present = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+    return chg.filter(present).groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*aggs)
+
+
+def closes_expr(values: list[str], null_safe: bool = False) -> Column:
+    """True for an open row whose key has a CHANGE summary row (joined
+    alongside) with a differing value; False otherwise (never null)."""
+    parts = []
+    for i, v in enumerate(values):
+        m = F.col(f"`{v}`")
+        lo, hi = F.col(f"{_MIN}{i}"), F.col(f"{_MAX}{i}")
+        if null_safe:
+            nn = F.col(f"{_NN}{i}")
+            same = ((m.isNull() & (nn == 0))
+                    | (m.isNotNull() & (nn == F.col(_N)) & (lo == m) & (hi == m)))
+            parts.append(~same)
+        else:
+            # some non-null CHANGE value, m non-null, and not all equal to m
+            parts.append(m.isNotNull() & lo.isNotNull() & ~((lo == m) & (hi == m)))
+    anydiff = reduce(lambda a, b: a | b, parts) if parts else F.lit(False)
+    return F.coalesce(F.col(_N).isNotNull() & anydiff, F.lit(False))
+
+
+def _summary_bound(measured: tuple[int, int], n_values: int) -> tuple[int, int]:
+    """Size bound of the summary from CHANGE's measured (rows, bytes): at most
+    one row per CHANGE row, each holding two values per column and counts."""
+    rows, payload = measured
+    return rows, 2 * payload + rows * 8 * (2 + 2 * n_values)
+
+
 def except_rows(batch: DataFrame, rows: DataFrame, names: list[str],
                 batch_fits: bool) -> DataFrame:
     """``batch EXCEPT rows`` (distinct, nulls equal) over ``names``.
