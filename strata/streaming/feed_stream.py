@@ -51,6 +51,8 @@ def merge_batch(spark: SparkSession, table_root: str, spec: FeedSpec, as_of,
             return  # already folded in before a restart
         batch = batch.persist()
         try:
+            if batch.isEmpty():
+                return  # e.g. only FULL files arrived: nothing to merge, no version
             add = typed(batch.filter(F.col("load") == "add"), spec)
             chg = typed(batch.filter(F.col("load") == "change"), spec)
             jobs.merge_into(spark, table_root, add, chg, mk, as_of, null_safe,
@@ -63,12 +65,13 @@ def merge_batch(spark: SparkSession, table_root: str, spec: FeedSpec, as_of,
 def start_merge_stream(spark: SparkSession, landing: str, spec: FeedSpec, table_root: str,
                        as_of, checkpoint: str | None = None, available_now: bool = True,
                        processing_time: str | None = None, null_safe: bool = False,
-                       header: bool = True) -> StreamingQuery:
+                       header: bool = True,
+                       max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream.  ``available_now`` drains what has landed and stops
     (a scheduled incremental run); otherwise it polls every
     ``processing_time``."""
     checkpoint = checkpoint or scratch_path(spark, f"stream-{spec.name}")
-    w = (feed_stream(spark, landing, spec, header).writeStream
+    w = (feed_stream(spark, landing, spec, header, max_files_per_trigger).writeStream
          .foreachBatch(merge_batch(spark, table_root, spec, as_of, null_safe))
          .option("checkpointLocation", checkpoint))
     if available_now:

@@ -122,3 +122,26 @@ def test_vacuum_keeps_current_history(spark, tmp_root):
     assert len(gone) == 2
     after = sorted(tuple(r) for r in snapshot.read_history(spark, tbl).collect())
     assert before == after and len(after) == 3
+
+
+def test_stream_one_file_per_batch(spark, tmp_root):
+    """Files landed at different times are folded in as successive
+    micro-batches, each publishing one version."""
+    import time
+
+    from strata.streaming import start_merge_stream
+    landing, tbl = f"{tmp_root}/landing", f"{tmp_root}/t"
+    land(spark, landing, [("1|1|01/02/2020|t|o", "FUL")])
+    jobs.full_load(spark, landing, SPEC, tbl, D1)
+    land(spark, landing, [("2|1|01/02/2020|t|o", "add")])
+    time.sleep(1.1)
+    land(spark, landing, [("1|1|01/02/2020|t|X", "change")])
+    q = start_merge_stream(spark, landing, SPEC, tbl, D2, max_files_per_trigger=1,
+                           checkpoint=f"{tmp_root}/ckpt")
+    q.awaitTermination()
+    ptr = snapshot.current(spark, tbl)
+    # micro-batch 0 held only the FULL file (skipped); 1 = ADD, 2 = CHANGE
+    assert ptr.version == 2 and ptr.batch_id == 2
+    rows = {(r.mdr_report_key, r.sequence_number_outcome, r.end_date)
+            for r in snapshot.read_history(spark, tbl).collect()}
+    assert rows == {("1", "o", D2), ("1", "X", None), ("2", "o", None)}
