@@ -342,13 +342,19 @@ def _counts_sql(feed, t):
 def q_multi_feed_run(spark, sf_dir):
     from ..session import scratch_path
     from . import jobs, snapshot
-    out = None
-    for feed, spec in (("orders", ORDERS_TRIO), ("lineitem", LINEITEM_TRIO)):
-        t = trio(spark, sf_dir, spec)
+    specs = {"orders": ORDERS_TRIO, "lineitem": LINEITEM_TRIO}
+
+    def one_feed(feed):
+        t = trio(spark, sf_dir, specs[feed])
         tbl = scratch_path(spark, f"multi-{feed}")
         open_rows, closed_rows = snapshot.split_open(t.history)
         snapshot.publish(spark, tbl, open_rows, closed_rows, fresh=True)
         jobs.merge_into(spark, tbl, t.add, t.change, t.mk, AS_OF)
+        return tbl
+
+    tables = jobs.for_each_feed(one_feed, specs)   # feeds run concurrently
+    out = None
+    for feed, tbl in tables.items():
         h = snapshot.read_history(spark, tbl)
         c = h.agg(F.lit(feed).alias("feed"), F.count(F.lit(1)).alias("total_rows"),
                   F.count(F.when(F.col("end_date").isNull(), 1)).alias("open_rows"),
