@@ -41,6 +41,8 @@ def main(argv=None) -> int:
     lo.add_argument("--feeds", default=",".join(FEED_ORDER))
     lo.add_argument("--headerless", action="store_true",
                     help="landing written by `land` (header dropped at expansion)")
+    lo.add_argument("--staging", default=None,
+                    help="write ADD/CHANGE staging tables here; dropped after the merge")
     lo.add_argument("--vacuum-keep", type=int, default=0,
                     help="after the run, delete open sets older than this many versions")
     args = ap.parse_args(argv)
@@ -59,7 +61,7 @@ def main(argv=None) -> int:
         out = jobs.multi_feed_run(spark, args.landing, args.tables, args.as_of,
                                   full=args.load_type == "FUL",
                                   feeds=[x for x in args.feeds.split(",") if x],
-                                  header=not args.headerless)
+                                  header=not args.headerless, staging_root=args.staging)
         if args.vacuum_keep > 0:
             from .plans import snapshot
             for name in out:

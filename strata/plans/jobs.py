@@ -86,8 +86,9 @@ def incremental_load(spark: SparkSession, landing: str, spec: FeedSpec, as_of,
     add = typed_batch(spark, landing, spec, LOAD_ADD, as_of, header)
     chg = typed_batch(spark, landing, spec, LOAD_CHANGE, as_of, header)
     if staging_root:
-        add = snapshot.replace_table(add, f"{staging_root.rstrip('/')}/{spec.name}_staging_ADD")
-        chg = snapshot.replace_table(chg, f"{staging_root.rstrip('/')}/{spec.name}_staging_CHANGE")
+        add_path, chg_path = staging_paths(staging_root, spec)
+        add = snapshot.replace_table(add, add_path)
+        chg = snapshot.replace_table(chg, chg_path)
     return Staged(add, chg)
 
 
@@ -110,12 +111,30 @@ def merge_into(spark: SparkSession, table_root: str, add: DataFrame | None,
         parts.release()
 
 
+def staging_paths(staging_root: str, spec: FeedSpec) -> tuple[str, str]:
+    base = staging_root.rstrip("/")
+    return f"{base}/{spec.name}_staging_ADD", f"{base}/{spec.name}_staging_CHANGE"
+
+
 def run_feed(spark: SparkSession, landing: str, table_root: str, spec: FeedSpec, as_of,
-             full: bool = False, header: bool = True) -> snapshot.Pointer:
-    """One feed: optional FULL replace, then ADD/CHANGE staged and merged."""
+             full: bool = False, header: bool = True,
+             staging_root: str | None = None) -> snapshot.Pointer:
+    """One feed: optional FULL replace, then ADD/CHANGE staged and merged.
+
+    With ``staging_root`` the typed batches are written as staging tables
+    (replaced each run), merged from there, and dropped after the merge;
+    otherwise they are persisted for the merge and released.
+    """
     if full:
         full_load(spark, landing, spec, table_root, as_of, header)
-    staged = incremental_load(spark, landing, spec, as_of, header=header)
+    staged = incremental_load(spark, landing, spec, as_of, staging_root, header=header)
+    if staging_root:
+        try:
+            return merge_into(spark, table_root, staged.add, staged.change,
+                              MergeKeys.of(spec), as_of)
+        finally:
+            for path in staging_paths(staging_root, spec):
+                snapshot.drop_table(spark, path)
     add = staged.add.persist(StorageLevel.MEMORY_AND_DISK)
     chg = staged.change.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -140,9 +159,9 @@ def for_each_feed(fn, names, parallel: bool = True) -> dict:
 
 def multi_feed_run(spark: SparkSession, landing: str, tables_root: str, as_of,
                    full: bool = False, feeds=FEED_ORDER, header: bool = True,
-                   parallel: bool = True) -> dict:
+                   parallel: bool = True, staging_root: str | None = None) -> dict:
     """Every feed: optional FULL replace, then ADD + CHANGE merge; returns the
     published pointer per feed."""
     return for_each_feed(
         lambda name: run_feed(spark, landing, f"{tables_root.rstrip('/')}/{name}", FEEDS[name],
-                              as_of, full, header), feeds, parallel)
+                              as_of, full, header, staging_root), feeds, parallel)

@@ -161,6 +161,14 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     return gone
 
 
+def drop_table(spark: SparkSession, path: str) -> bool:
+    """Drop a path-based table if it exists (staging clean-up)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p) and fs.delete(p, True))
+
+
 def replace_table(df: DataFrame, path: str) -> DataFrame:
     """Drop-and-create of a staging or target table: overwrite, then read back."""
     df.write.mode("overwrite").parquet(path)

@@ -145,3 +145,16 @@ def test_stream_one_file_per_batch(spark, tmp_root):
     rows = {(r.mdr_report_key, r.sequence_number_outcome, r.end_date)
             for r in snapshot.read_history(spark, tbl).collect()}
     assert rows == {("1", "o", D2), ("1", "X", None), ("2", "o", None)}
+
+
+def test_feed_run_with_staging_tables(spark, tmp_root):
+    """Staging tables are written, merged from, and dropped after the merge."""
+    import os
+    landing, tbl, stg = f"{tmp_root}/landing", f"{tmp_root}/p", f"{tmp_root}/staging"
+    land(spark, landing, [("1|1|01/02/2020|t|o", "FUL"), ("2|1|01/02/2020|t|o", "add"),
+                          ("1|1|01/02/2020|t|NEW", "change")])
+    jobs.run_feed(spark, landing, tbl, SPEC, D1, full=True, staging_root=stg)
+    rows = {(r.mdr_report_key, r.sequence_number_outcome, r.end_date)
+            for r in snapshot.read_history(spark, tbl).collect()}
+    assert rows == {("1", "o", D1), ("1", "NEW", None), ("2", "o", None)}
+    assert not any(os.path.exists(p) for p in jobs.staging_paths(stg, SPEC))
