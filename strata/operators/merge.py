@@ -18,8 +18,9 @@ Plan shape (no shuffle of history when the batches are small):
             -> distinct keys present -> ADD anti those keys
     split:  open rows semi / anti keys(CHANGE)   (null-safe, broadcast)
             "untouched" open rows pass straight through
-    flag:   touched LEFT JOIN summary(CHANGE) on keys, one summary row per key
-            (least/greatest value per column) -> closes / stays
+    close:  few CHANGE rows per key (measured): touched semi / anti CHANGE on
+            keys AND diff; many: touched LEFT JOIN summary(CHANGE) on keys, one
+            summary row per key (least/greatest value per column)
     insert: CHANGE EXCEPT staying   (only rows of CHANGE keys can be equal)
 
 History is only ever *streamed* through broadcast hash joins; the only
@@ -37,11 +38,16 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.sizing import broadcast_limit as broadcast_limit_of, fits, measure_all
+from ..plans.sizing import (broadcast_limit as broadcast_limit_of, fits, measure_all,
+                            measure_with_multiplicity)
 from ..specs import END_DATE, START_DATE, FeedSpec
 from .typed import as_date, stamp
 
 VERSION_COLS = [START_DATE, END_DATE]
+# Largest number of CHANGE rows sharing a key for which the close test may
+# compare an open row with each of them (at most this many comparisons per
+# row); above it the per-key summary join is used.  Both ways are exact.
+PAIRWISE_MAX = 32
 
 
 @dataclass(frozen=True)
@@ -156,7 +162,7 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
                 mk: MergeKeys, as_of, null_safe: bool = False,
                 broadcast_limit: int | None = None,
                 materialize: bool = True, closed: DataFrame | None = None,
-                collation: str | None = None) -> MergeParts:
+                collation: str | None = None, close_test: str = "auto") -> MergeParts:
     """The merge as separate parts (see ``MergeParts``).
 
     ``history`` holds every version; or, with ``closed`` given, ``history``
@@ -168,13 +174,21 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
     follow that collation, as a database collation would; results come back
     as plain strings.  Among CHANGE rows equal under the collation, EXCEPT
     keeps one (which one is unspecified, as in SQL).
+
+    ``close_test``: "pairwise" compares each touched open row with the CHANGE
+    rows of its key (semi/anti join on keys plus the difference test);
+    "summary" joins a per-key CHANGE summary (linear however many CHANGE rows
+    share a key); "auto" measures the largest number of CHANGE rows per key
+    (in the same job as the batch sizes) and uses pairwise only up to
+    ``PAIRWISE_MAX``.
     """
     if collation:
         p = merge_parts(_collated(history, collation),
                         _collated(add, collation) if add is not None else None,
                         _collated(change, collation) if change is not None else None,
                         mk, as_of, null_safe, broadcast_limit, materialize,
-                        _collated(closed, collation) if closed is not None else None)
+                        _collated(closed, collation) if closed is not None else None,
+                        close_test=close_test)
         return MergeParts(*[_plain(d, collation) for d in (p.shut, p.closing, p.staying,
                                                             p.untouched, p.inserted)],
                           cached=p.cached)
@@ -192,7 +206,12 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
     batches = [add_b] if add_b is not None else []
     if chg is not None:
         batches.append(chg)
-    sizes = measure_all(batches) if batches else []
+    multiplicity = 0
+    if chg is not None and close_test == "auto":
+        sizes, multiplicity = measure_with_multiplicity(batches, chg, keys)
+    else:
+        sizes = measure_all(batches) if batches else []
+    pairwise = close_test == "pairwise" or (close_test == "auto" and multiplicity <= PAIRWISE_MAX)
     add_fits = add is not None and fits(*sizes[0], limit)
     chg_fits = chg is not None and fits(*sizes[-1], limit)
 
@@ -224,26 +243,34 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
     hit = key_condition(keys, "m", "k", null_safe=True)
     touched = open1.alias("m").join(chg_keys.alias("k"), hit, "left_semi")
     untouched = open1.alias("m").join(chg_keys.alias("k"), hit, "left_anti")
-    # 3. Close: flag each touched open row against a per-key summary of
-    #    CHANGE (one row per key; see change_summary), a plain equi-join with
-    #    no pairwise comparison, so a hot key costs linear work.
-    summary = change_summary(chg, keys, values, null_safe)
-    sum_fits = chg_fits and fits(*_summary_bound(sizes[-1], len(values)), limit)
-    summary = F.broadcast(summary) if sum_fits else summary
-    flag = "__closes"
-    flagged = (touched.join(summary, keys, "left")
-               .select(*[F.col(f"`{c}`") for c in layout],
-                       closes_expr(values, null_safe).alias(flag)))
     if materialize:
-        # flagged feeds both branches and the EXCEPT: persist once instead of
+        # touched feeds both branches and the EXCEPT: persist once instead of
         # three scans.  (persist, not a reliable checkpoint: checkpointing an
         # unpersisted frame computes it twice -- a second pass over the open
         # history; a lost executor's cached blocks are recomputed from lineage.)
-        flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(flagged)
-    closing = (flagged.filter(F.col(flag)).select(*[F.col(f"`{c}`") for c in layout])
-               .withColumn(END_DATE, as_date(as_of)))
-    staying = flagged.filter(~F.col(flag)).select(*[F.col(f"`{c}`") for c in layout])
+        touched = touched.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(touched)
+    layout_cols = [F.col(f"`{c}`") for c in layout]
+    if pairwise:
+        # 3a. Close by comparing with the (few) CHANGE rows of the key: semi
+        #     and anti on one condition are exact complements.
+        chg_side = F.broadcast(chg) if chg_fits else chg.distinct()
+        cond = key_condition(keys, "m", "c") & diff_condition(values, "m", "c", null_safe)
+        closing = (touched.alias("m").join(chg_side.alias("c"), cond, "left_semi")
+                   .withColumn(END_DATE, as_date(as_of)))
+        staying = touched.alias("m").join(chg_side.alias("c"), cond, "left_anti")
+    else:
+        # 3b. Close against a per-key summary of CHANGE (one row per key; see
+        #     change_summary): a plain equi-join, linear on a hot key.
+        summary = change_summary(chg, keys, values, null_safe)
+        sum_fits = chg_fits and fits(*_summary_bound(sizes[-1], len(values)), limit)
+        summary = F.broadcast(summary) if sum_fits else summary
+        flag = "__closes"
+        flagged = (touched.join(summary, keys, "left")
+                   .select(*layout_cols, closes_expr(values, null_safe).alias(flag)))
+        closing = (flagged.filter(F.col(flag)).select(*layout_cols)
+                   .withColumn(END_DATE, as_date(as_of)))
+        staying = flagged.filter(~F.col(flag)).select(*layout_cols)
 
     # 4. CHANGE EXCEPT (distinct, null-equal) open rows; only `staying` can
     #    hold rows equal to a CHANGE row (untouched keys differ, closed rows
@@ -328,13 +355,14 @@ def except_rows(batch: DataFrame, rows: DataFrame, names: list[str],
 def merge(history: DataFrame, add: DataFrame | None, change: DataFrame | None,
           spec: FeedSpec | None = None, as_of=None, null_safe: bool = False,
           keys=None, values=None, broadcast_limit: int | None = None,
-          materialize: bool = True, collation: str | None = None) -> DataFrame:
+          materialize: bool = True, collation: str | None = None,
+          close_test: str = "auto") -> DataFrame:
     """Merged history: business columns + start_date, end_date."""
     if as_of is None:
         raise ValueError("as_of is required: a fixed run date keeps reruns repeatable")
     mk = MergeKeys.of(spec, keys, values)
-    return merge_parts(history, add, change, mk, as_of, null_safe,
-                       broadcast_limit, materialize, collation=collation).result()
+    return merge_parts(history, add, change, mk, as_of, null_safe, broadcast_limit,
+                       materialize, collation=collation, close_test=close_test).result()
 
 
 def open_versions(history: DataFrame) -> DataFrame:

@@ -71,6 +71,28 @@ def measure_all(frames: list[DataFrame]) -> list[tuple[int, int]]:
     return [got[i] for i in range(len(frames))]
 
 
+def max_rows_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One-row frame: the largest number of rows sharing one key (exact; a
+    hash aggregate on the key columns, partial before the shuffle)."""
+    return (df.groupBy(*[F.col(f"`{k}`") for k in keys]).count()
+            .agg(F.coalesce(F.max("count"), F.lit(0)).alias("m")))
+
+
+def measure_with_multiplicity(frames: list[DataFrame], keyed: DataFrame,
+                              keys: list[str]) -> tuple[list[tuple[int, int]], int]:
+    """``measure_all`` plus the largest key multiplicity of ``keyed``, in the
+    same single job."""
+    parts = []
+    for i, df in enumerate(frames):
+        parts.append(df.agg(F.lit(i).alias("i"), F.count(F.lit(1)).alias("n"),
+                            F.sum(row_bytes(df)).cast("long").alias("b")))
+    parts.append(max_rows_per_key(keyed, keys).select(
+        F.lit(-1).alias("i"), F.col("m").cast("long").alias("n"), F.lit(0).cast("long").alias("b")))
+    out = reduce(lambda a, b: a.unionByName(b), parts).collect()
+    got = {r["i"]: (int(r["n"]), int(r["b"] or 0)) for r in out}
+    return [got[i] for i in range(len(frames))], got[-1][0]
+
+
 def fits(rows: int, payload: int, limit: int) -> bool:
     return payload + rows * ROW_OVERHEAD <= limit
 

@@ -27,17 +27,22 @@ EXPECTED = Counter([
 ])
 
 
+@pytest.mark.parametrize("close_test", ["auto", "pairwise", "summary"])
 @pytest.mark.parametrize("limit", [None, 0])
-def test_fixture_merge(spark, limit):
-    """limit=0 forces the shuffle-join fallback; same answer either way."""
+def test_fixture_merge(spark, limit, close_test):
+    """limit=0 forces the shuffle-join fallback; same answer either way, and
+    with either close test."""
     h, add, chg = frames(spark)
-    out = merge(h, add, chg, keys=MK.keys, values=MK.values, as_of=D, broadcast_limit=limit)
+    out = merge(h, add, chg, keys=MK.keys, values=MK.values, as_of=D, broadcast_limit=limit,
+                close_test=close_test)
     assert Counter(tuple(r) for r in out.collect()) == EXPECTED
 
 
-def test_fixture_merge_null_safe(spark):
+@pytest.mark.parametrize("close_test", ["pairwise", "summary"])
+def test_fixture_merge_null_safe(spark, close_test):
     h, add, chg = frames(spark)
-    out = merge(h, add, chg, keys=MK.keys, values=MK.values, as_of=D, null_safe=True)
+    out = merge(h, add, chg, keys=MK.keys, values=MK.values, as_of=D, null_safe=True,
+                close_test=close_test)
     exp = EXPECTED.copy()
     exp[(1, "a", None, S, None)] -= 1
     exp[(1, "a", None, S, D)] += 1
@@ -140,3 +145,18 @@ def test_collation_opt_in(spark, limit):
         [(1, "a", "x", S, None), (2, "B ", "y", S, None), (3, "n", "n", D, None)])
     binary = merge(h, None, chg, keys=["k"], values=["v", "w"], as_of=D)
     assert binary.filter("end_date IS NOT NULL").count() == 2
+
+
+def test_auto_picks_summary_for_a_hot_change_key(spark):
+    """More CHANGE rows on one key than PAIRWISE_MAX: the summary join is
+    planned (no theta join), with the same result as the pairwise test."""
+    from strata.operators.merge import PAIRWISE_MAX
+    h = spark.createDataFrame([(1, "a", "x", S, None), (2, "b", "y", S, None)], SCHEMA)
+    chg = spark.createDataFrame([(1, "a", f"x{i % 3}") for i in range(PAIRWISE_MAX + 5)]
+                                + [(2, "b", "y")], BATCH)
+    auto = merge_parts(h, None, chg, MK, D, materialize=False)
+    plan = _plan(auto.result())
+    assert "LeftOuter" in plan
+    want = Counter(tuple(r) for r in merge(h, None, chg, keys=MK.keys, values=MK.values, as_of=D,
+                                           close_test="pairwise").collect())
+    assert Counter(tuple(r) for r in auto.result().collect()) == want

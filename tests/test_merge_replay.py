@@ -79,7 +79,8 @@ def test_merge_equals_imperative_replay(spark, seed):
     c = spark.createDataFrame(chg, "k long, k2 long, v string, w string")
     want = replay(hist, add, chg, null_safe)
     for limit in (None, 0):   # measured broadcast, and the shuffle-join fallback
-        got = merge(h, a, c, keys=["k", "k2"], values=["v", "w"], as_of=D,
-                    null_safe=null_safe, broadcast_limit=limit)
-        assert Counter(tuple(r) for r in got.collect()) == want, (seed, limit)
+        for close_test in ("pairwise", "summary"):
+            got = merge(h, a, c, keys=["k", "k2"], values=["v", "w"], as_of=D,
+                        null_safe=null_safe, broadcast_limit=limit, close_test=close_test)
+            assert Counter(tuple(r) for r in got.collect()) == want, (seed, limit, close_test)
     spark.catalog.clearCache()
