@@ -133,13 +133,14 @@ def test_same_day_add_then_change(spark):
     assert out[(9, "n", "n", D, D)] == 1 and out[(9, "n", "m", D, None)] == 1
 
 
+@pytest.mark.parametrize("close_test", ["pairwise", "summary"])
 @pytest.mark.parametrize("limit", [None, 0])
-def test_collation_opt_in(spark, limit):
+def test_collation_opt_in(spark, limit, close_test):
     """Case- and trailing-blank-insensitive comparisons on request."""
     h = spark.createDataFrame([(1, "a", "x", S, None), (2, "B ", "y", S, None)], SCHEMA)
     chg = spark.createDataFrame([(1, "A", "x"), (2, "b", "y"), (3, "n", "n")], BATCH)
     out = merge(h, None, chg, keys=["k"], values=["v", "w"], as_of=D,
-                collation="UTF8_LCASE_RTRIM", broadcast_limit=limit)
+                collation="UTF8_LCASE_RTRIM", broadcast_limit=limit, close_test=close_test)
     assert dict(out.dtypes)["v"] == "string"
     assert Counter(tuple(r) for r in out.collect()) == Counter(
         [(1, "a", "x", S, None), (2, "B ", "y", S, None), (3, "n", "n", D, None)])
