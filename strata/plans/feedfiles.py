@@ -252,3 +252,78 @@ ROUTE_SQL = """CASE WHEN contains(name, 'mdrfoi') THEN 'mdrfoi_event'
 
 LOAD_SQL = """CASE WHEN lower(landed) LIKE '%change.txt' THEN 'change'
                    WHEN lower(landed) LIKE '%add.txt' THEN 'add' ELSE 'FUL' END"""
+
+
+# --- a published layout as text, filled from `events` -------------------------------
+
+_FMT_SPARK = ("MM/dd/yyyy", "yyyy/MM/dd", "dd/MM/yyyy")
+_FMT_SQL = ("%m/%d/%Y", "%Y/%m/%d", "%d/%m/%Y")
+
+
+def layout_text_columns(spec) -> list[tuple[str, object, str]]:
+    """Per layout column: (name, Spark text expression builder, SQL text).
+
+    Keys from the event and user ids, text columns from the event type and
+    properties, ints from the value, dates from the timestamp shifted by the
+    column position and written in one of the three accepted formats (by
+    position); a date carrying a time part gets the event's time appended.
+    """
+    out = []
+    for i, c in enumerate(spec.columns):
+        if c.is_key:
+            src = ("event_id", "user_id")[spec.keys.index(c.name) % 2]
+            out.append((c.name, lambda s=src: F.col(s).cast("string"), f"CAST({src} AS VARCHAR)"))
+        elif c.kind == "string":
+            if i % 3 == 0:
+                out.append((c.name, lambda: F.col("event_type"), "event_type"))
+            elif i % 3 == 1:
+                out.append((c.name, lambda: F.col("props"), "props"))
+            else:
+                out.append((c.name, lambda i=i: F.concat(F.col("event_type"), F.lit(f"_{i}")),
+                            f"event_type || '_{i}'"))
+        elif c.kind == "int":
+            out.append((c.name, lambda i=i: (F.floor("value") % 1000 + i).cast("string"),
+                        f"CAST(CAST(floor(value) AS BIGINT) % 1000 + {i} AS VARCHAR)"))
+        else:
+            f_s, f_q = _FMT_SPARK[i % 3], _FMT_SQL[i % 3]
+            if c.drop_time:
+                out.append((c.name,
+                            lambda i=i, f=f_s: F.concat(
+                                F.date_format(F.date_add(F.to_date("ts"), i), f), F.lit(" "),
+                                F.date_format("ts", "HH:mm:ss")),
+                            f"strftime(CAST(ts AS DATE) + {i}, '{f_q}') || ' ' || strftime(ts, '%H:%M:%S')"))
+            else:
+                out.append((c.name,
+                            lambda i=i, f=f_s: F.date_format(F.date_add(F.to_date("ts"), i), f),
+                            f"strftime(CAST(ts AS DATE) + {i}, '{f_q}')"))
+    return out
+
+
+def land_layout_from_events(spark: SparkSession, sf_dir: str, spec, load: str = "FUL") -> str:
+    """Land the whole `events` table as one feed's pipe text; returns the root."""
+    root = scratch_path(spark, f"landing-{spec.name}")
+    cols = layout_text_columns(spec)
+    e = table(spark, sf_dir, "events")
+    lines = e.select(_join(*[build() for _, build, _ in cols]).alias("line"),
+                     F.lit(spec.name).alias("feed"), F.lit(load).alias("load"))
+    land_lines(lines, root, "|".join(c.upper() for c in spec.names), partition_by=("feed", "load"))
+    return root
+
+
+def layout_typed_sql(spec, as_of: str) -> str:
+    """SQL twin: the typed FULL-load rows of ``land_layout_from_events``."""
+    cols = layout_text_columns(spec)
+    raw = ", ".join(f'{sql} AS "{name}"' for name, _, sql in cols)
+    typed_cols = []
+    for c in spec.columns:
+        n = f'"{c.name}"'
+        if c.kind == "date":
+            typed_cols.append(f"{date_sql(f'split_part({n}, chr(32), 1)' if c.drop_time else n)} AS {n}")
+        elif c.kind == "int":
+            typed_cols.append(f"{int_sql(n)} AS {n}")
+        else:
+            typed_cols.append(n)
+    req = " AND ".join(f'"{r}" IS NOT NULL' for r in (spec.first_key,) + tuple(spec.required))
+    return (f"WITH raw AS (SELECT {raw} FROM events)\n"
+            f"SELECT {', '.join(typed_cols)}, DATE '{as_of}' AS start_date, "
+            f"CAST(NULL AS DATE) AS end_date FROM raw WHERE {req}")

@@ -607,3 +607,14 @@ def q_ragged_report(spark, sf_dir):
     root = FF.land_orders(spark, sf_dir, ragged=True)
     raw = read_feed_files(spark, _folder(root), FF.ORDERS_FEED)
     return ragged_report(raw, FF.ORDERS_FEED).select("o_orderkey", "short_line", "surplus_fields")
+
+
+@register("wide_full_load", FF.layout_typed_sql(FEEDS["mdrfoi_event"], AS_OF))
+def q_wide_full_load(spark, sf_dir):
+    """The event feed's published 82-column layout end to end: the whole
+    `events` table landed as pipe text, scanned positionally, typed with the
+    feed spec (rotating date formats, a date with a time part, ints as text),
+    filtered and stamped."""
+    spec = FEEDS["mdrfoi_event"]
+    root = FF.land_layout_from_events(spark, sf_dir, spec)
+    return typed(read_feed(spark, root, spec, "FUL"), spec, as_of=AS_OF, full_load=True)
