@@ -618,3 +618,17 @@ def q_wide_full_load(spark, sf_dir):
     spec = FEEDS["mdrfoi_event"]
     root = FF.land_layout_from_events(spark, sf_dir, spec)
     return typed(read_feed(spark, root, spec, "FUL"), spec, as_of=AS_OF, full_load=True)
+
+
+def _layout_full_load(feed):
+    def q(spark, sf_dir):
+        spec = FEEDS[feed]
+        root = FF.land_layout_from_events(spark, sf_dir, spec)
+        return typed(read_feed(spark, root, spec, "FUL"), spec, as_of=AS_OF, full_load=True)
+    q.__doc__ = f"FULL load of the published {feed} layout from landed `events` text."
+    return q
+
+
+for _feed, _name in (("foidev_device", "full_load_device"), ("foitext_text", "full_load_text"),
+                     ("patient", "full_load_patient")):
+    register(_name, FF.layout_typed_sql(FEEDS[_feed], AS_OF))(_layout_full_load(_feed))
