@@ -21,12 +21,18 @@ CORRUPT = "_corrupt_record"
 
 def read_delimited(spark: SparkSession, paths, schema: T.StructType, header: bool = True,
                    sep: str = "|", quote: str | None = '"',
-                   corrupt_column: str | None = None) -> DataFrame:
-    """All-string scan of delimited text with an explicit schema."""
+                   corrupt_column: str | None = None, encoding: str | None = None) -> DataFrame:
+    """All-string scan of delimited text with an explicit schema.
+
+    ``encoding`` for raw published files that are not UTF-8 (e.g.
+    ``ISO-8859-1``); text landed by this package is UTF-8.
+    """
     if corrupt_column:
         schema = T.StructType(list(schema.fields) + [T.StructField(corrupt_column, T.StringType(), True)])
     r = (spark.read.schema(schema)
          .option("header", header).option("sep", sep).option("mode", "PERMISSIVE"))
+    if encoding:
+        r = r.option("encoding", encoding)
     if quote is not None:
         r = r.option("quote", quote if quote else "\u0000")
     if corrupt_column:

@@ -98,3 +98,12 @@ d date
         spark.sql("INSERT INTO width_target VALUES ('abcdefgh', NULL, NULL, NULL)")
     assert spark.table("width_target").count() == 1
     spark.sql("DROP TABLE width_target")
+
+
+def test_latin1_feed_file(spark, tmp_root):
+    path = os.path.join(tmp_root, "raw")
+    os.makedirs(path)
+    with open(os.path.join(path, "f.txt"), "wb") as fh:
+        fh.write("K|T|D\n1|Müller café|x\n".encode("latin-1"))
+    r = read_feed_files(spark, path, SPEC, encoding="ISO-8859-1").first()
+    assert r.text == "Müller café"
