@@ -66,6 +66,13 @@ def main():
                          formatted(p.result())))
         p.release()
 
+    from strata.plans.registry import WIDE_EVENT
+    t = trio(spark, sf, WIDE_EVENT)
+    p = merge_parts(t.history, t.add, t.change, t.mk, AS_OF)
+    sections.append(("history merge, published event layout (82 columns, 80 compared)"
+                     " -- whole result", formatted(p.result())))
+    p.release()
+
     root = FF.land_orders(spark, sf, loads=("FUL", "add", "change"))
     df = typed(read_feed(spark, root, FF.ORDERS_FEED, "FUL"), FF.ORDERS_FEED, as_of=AS_OF,
                full_load=True)
