@@ -21,7 +21,8 @@ from strata.session import get_spark  # noqa: E402
 # projection, pipe-text scan); its sum is the headline value.
 HEADLINE = ("history_merge", "history_merge_dups", "typed_projection", "pipe_csv_scan")
 # Also timed and reported, not summed.
-EXTRA = ("full_load", "ragged_rows", "incremental_load", "multi_feed_run")
+EXTRA = ("full_load", "ragged_rows", "incremental_load", "multi_feed_run", "wide_merge",
+         "wide_full_load")
 
 
 def main():
