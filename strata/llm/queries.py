@@ -4,9 +4,11 @@ DuckDB SQL for those that SQL can express."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .quality_rules import quality_rules
+from .simhash import simhash_groups
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -22,3 +24,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base verdict and adaptive verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return quality_rules(docs, carry=["doc_id"])
+
+
+@query
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    groups = simhash_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                         "component_id")
