@@ -6,12 +6,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import sql
 from .common import table
+from .mixing import mix
 from .quality_rules import quality_rules
 from .simhash import simhash_groups
 
 QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_mix_sources": sql.MIX,
+    "op10_quality_rules": sql.QUALITY,
+}
 
 
 def query(f):
@@ -32,3 +37,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                          "component_id")
+
+
+@query
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mix(docs, carry=["doc_id"])
