@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 from . import sql
 from .common import table
+from .langid import identify
 from .mixing import mix
 from .quality_rules import quality_rules
 from .simhash import simhash_groups
+from .url_filter import filter_urls
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {
+    "op3_url_filters": sql.URLS,
     "op7_mix_sources": sql.MIX,
     "op10_quality_rules": sql.QUALITY,
 }
@@ -44,3 +47,15 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix(docs, carry=["doc_id"])
+
+
+@query
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, deciding rule and verdict of every page."""
+    return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return identify(table(spark, sf_dir, "documents"))

@@ -3,6 +3,7 @@ the operator's definition rather than from its plan."""
 
 from .mixing import BLOCK_WORDS, MAX_EPOCHS, MIN_BLOCKS, PHI, SEED
 from .quality_rules import FENCES, MAX_REPEAT_PERCENT, MIN_WORDS, SYMBOLS
+from .url_filter import PATTERNS, PLACES, pattern
 
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -106,3 +107,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
            false) AS kept
 FROM m LEFT JOIN f ON m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source
 """
+
+
+def _places() -> str:
+    """(rule, says) of each place rule that fits, as rows of a list."""
+    out = []
+    for rule, verdict in PLACES:
+        host, _, path = rule.partition("/")
+        out.append(f"CASE WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}') "
+                   f"THEN {{'n': {len(rule)}, 'rule': '{rule}', 'says': '{verdict}'}} END")
+    return ", ".join(out)
+
+
+URLS = rf"""
+WITH u AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN
+    translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+    ELSE '' END AS host,
+  CASE WHEN contains(url, '://') THEN regexp_extract(url, '://[^/?#]*([^?#]*)', 1) ELSE '' END AS path,
+  CASE WHEN contains(url, '://') THEN lower(substr(url, instr(url, '://') + 3)) END AS rest FROM pages),
+r AS (SELECT *, list_reverse_sort(list_filter([{_places()}], lambda x: x IS NOT NULL))[1] AS best,
+  list_sort(list_filter([{", ".join(f"CASE WHEN regexp_matches(rest, '{pattern(p).regex}') THEN '{p}' END" for p in PATTERNS)}],
+            lambda x: x IS NOT NULL))[1] AS pattern FROM u)
+SELECT page_id, host, path, best.rule AS rule, pattern,
+  coalesce(best.says, CASE WHEN pattern IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict FROM r
+"""
