@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from . import sql
 from .common import table
+from .decontaminate import decontaminate
 from .langid import identify
+from .line_dedup import dedup_lines
 from .mixing import mix
 from .quality_rules import quality_rules
 from .simhash import simhash_groups
+from .substring_dedup import find_repeats
 from .url_filter import filter_urls
 
 QUERIES: dict = {}
@@ -59,3 +62,26 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of every document less its repeated line chunks."""
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that share spans with others: the spans (bytes) and those to
+    remove, each with the first document that has it."""
+    found = find_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    doc_id = F.when(F.col("ord") < 1 << 62, F.col("ord")).alias("doc_id")
+    return found.select(doc_id, "n_bytes", "shared", "removed")
+
+
+@query
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in a document, with its edit distance."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return d.select("doc.doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
