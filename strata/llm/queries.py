@@ -12,6 +12,7 @@ from .decontaminate import decontaminate
 from .langid import identify
 from .line_dedup import dedup_lines
 from .mixing import mix
+from .pii import replace_private
 from .quality_rules import quality_rules
 from .simhash import simhash_groups
 from .substring_dedup import find_repeats
@@ -85,3 +86,9 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     d = decontaminate(docs, table(spark, sf_dir, "benchmark"))
     return d.select("doc.doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+@query
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of every document with surrogates for personal data."""
+    return replace_private(table(spark, sf_dir, "documents").select("doc_id", "text"))
