@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import sql
 from .common import table
+from .cotraining import classify
 from .decontaminate import decontaminate
 from .langid import identify
 from .line_dedup import dedup_lines
@@ -92,3 +93,9 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text of every document with surrogates for personal data."""
     return replace_private(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality of every document by text, by metadata and by both."""
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
