@@ -9,10 +9,11 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from strata.plans import registry  # noqa: E402
 from check_oracle import TABLES, digest  # noqa: E402
 
 SF = os.environ.get("STRATA_TEST_SF", "/root/testdata/sf0.001")
-NAMES = sorted(E.queries())
+NAMES = sorted(registry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +29,9 @@ def duck():
 
 
 def test_every_query_has_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(registry.ORACLE) == set(registry.QUERIES)
+    assert set(registry.QUERIES) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry(spark):
