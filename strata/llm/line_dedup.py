@@ -85,7 +85,9 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
         F.collect_set(F.struct("first", "n", "digest")).alias("marks"))
     marked = stored(marked, "marked")       # as many as the document has chunks
     text = F.array_join(F.slice(lines, F.col("m.first") + 1, F.col("m.n")), "\n")
-    seen = (docs.join(marked, (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2")))
+    # texts are dealt out by key at every size, also where the marks would
+    # still fit a broadcast: one plan, whose cost is in proportion to the texts
+    seen = (docs.join(marked.hint("merge"), (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2")))
             .select("__doc_id", "k1", "k2", "__text", F.explode("marks").alias("m"))
             .select("__doc_id", "k1", "k2", "m.first", "m.n", "m.digest", text.alias("chunk"))
             .where(F.rlike("chunk", F.lit(r"[^\x20\x09-\x0D]"))))
@@ -105,7 +107,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     gone = repeated_chunks(d).groupBy("k1", "k2").agg(
         F.collect_set(F.struct("first", "n")).alias("gone"))
     gone = stored(gone, "gone")
-    out = d.join(gone, (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2")), "left")
+    out = d.join(gone.hint("merge"), (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2")), "left")
     inside = lambda i: F.exists(
         "gone", lambda g: (i >= g["first"]) & (i < g["first"] + g["n"]))
     left = F.array_join(F.filter(F.split("__text", "\n"), lambda _, i: ~inside(i)), "\n")
