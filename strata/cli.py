@@ -3,7 +3,7 @@
     python -m strata.cli files --pages PAGES.parquet --out FILES [--load-type FUL|INC]
     python -m strata.cli land  --archives DIR --landing DIR
     python -m strata.cli load  --landing DIR --tables DIR --load-type FUL|INC
-                               --as-of YYYY-MM-DD [--feeds a,b] [--headerless]
+                               --as-of YYYY-MM-DD [--feeds a,b]
 
 ``files`` turns stored index pages into the routed download list; ``land``
 expands downloaded archives into ``feed=/load=`` folders; ``load`` runs, per
@@ -39,8 +39,8 @@ def main(argv=None) -> int:
     lo.add_argument("--load-type", default="INC", choices=["FUL", "INC"])
     lo.add_argument("--as-of", default=dt.date.today().isoformat())
     lo.add_argument("--feeds", default=",".join(FEED_ORDER))
-    lo.add_argument("--headerless", action="store_true",
-                    help="landing written by `land` (header dropped at expansion)")
+    lo.add_argument("--encoding", default=None, help="of text landed by others, if not UTF-8")
+    la.add_argument("--encoding", default="utf-8", help="of the archives' text")
     lo.add_argument("--staging", default=None,
                     help="write ADD/CHANGE staging tables here; dropped after the merge")
     lo.add_argument("--vacuum-keep", type=int, default=0,
@@ -56,12 +56,12 @@ def main(argv=None) -> int:
         links = table_links(pages) if args.rule == "table" else anchor_links(pages)
         jobs.published_files(links, args.load_type).write.mode("overwrite").parquet(args.out)
     elif args.cmd == "land":
-        jobs.land_archives(spark, args.archives, args.landing)
+        jobs.land_archives(spark, args.archives, args.landing, encoding=args.encoding)
     else:
         out = jobs.multi_feed_run(spark, args.landing, args.tables, args.as_of,
                                   full=args.load_type == "FUL",
                                   feeds=[x for x in args.feeds.split(",") if x],
-                                  header=not args.headerless, staging_root=args.staging)
+                                  staging_root=args.staging, encoding=args.encoding)
         if args.vacuum_keep > 0:
             from .plans import snapshot
             for name in out:

@@ -16,17 +16,17 @@ Plan shape (no shuffle of history when the batches are small):
 
     ADD:    keys(ADD) --measured broadcast--> semi-filter keys(history)
             -> distinct keys present -> ADD anti those keys
-    split:  open rows semi / anti keys(CHANGE)   (null-safe, broadcast)
-            "untouched" open rows pass straight through
-    close:  few CHANGE rows per key (measured): touched semi / anti CHANGE on
-            keys AND diff; many: touched LEFT JOIN summary(CHANGE) on keys, one
-            summary row per key (least/greatest value per column)
-    insert: CHANGE EXCEPT staying   (only rows of CHANGE keys can be equal)
-
-History is only ever *streamed* through broadcast hash joins; the only
-shuffles are over batch-sized data.  When a batch is too large to broadcast
-(measured, see ``plans.sizing``) the same joins run as sort-merge joins with
-AQE skew splitting.
+    close:  one pass over the versions flags each open row that closes, by a
+            LEFT JOIN with one row per CHANGE key: the CHANGE rows themselves
+            if they are few per key (measured), else a summary (least and
+            greatest value per column).  Closed, closing and staying versions
+            leave in that same pass
+    insert: CHANGE EXCEPT (open rows equal to a CHANGE row that stay)
+
+So a stored history is streamed three times, once for its keys only, through
+broadcast hash joins; the only shuffles are over batch-sized data.  When a
+batch is too large to broadcast (measured, see ``plans.sizing``) the same joins
+run as sort-merge joins with AQE skew splitting.  Nothing is persisted.
 """
 
 from __future__ import annotations
@@ -34,7 +34,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,31 +116,45 @@ def new_key_rows(add: DataFrame, history: DataFrame, keys: list[str],
     return add.join(hist_keys.distinct(), keys, "left_anti")
 
 
+CLOSES = "__closes"
+
+
 @dataclass
 class MergeParts:
     """The pieces of a merged history, each a DataFrame of the full layout."""
-    shut: DataFrame        # versions closed before this run (never change)
-    closing: DataFrame     # open versions closed by this run
-    staying: DataFrame     # open versions of CHANGE keys that stay open
-    untouched: DataFrame   # open versions whose key CHANGE does not mention
-    inserted: DataFrame    # new open versions from CHANGE
-    cached: tuple = ()     # frames persisted for reuse; see release()
+    shut: DataFrame | None  # versions closed before this run, if given apart
+    flagged: DataFrame      # all other versions before CHANGE, with CLOSES
+    inserted: DataFrame     # new open versions from CHANGE
+    added: DataFrame | None  # new open versions from ADD (in ``flagged``, too)
+    as_of: object
 
-    def release(self) -> None:
-        for df in self.cached:
-            df.unpersist()
+    def _end(self, rows: DataFrame) -> DataFrame:
+        end = F.when(F.col(CLOSES), as_date(self.as_of)).otherwise(F.col(END_DATE))
+        return rows.withColumn(END_DATE, end).drop(CLOSES)
 
     @property
-    def open_rows(self) -> DataFrame:
-        return self.untouched.unionByName(self.staying).unionByName(self.inserted)
+    def closing(self) -> DataFrame:
+        """Open versions closed by this run."""
+        return self._end(self.flagged.filter(F.col(CLOSES)))
+
+    @property
+    def opened(self) -> DataFrame:
+        """Versions opened by this run, whether or not it closes them too."""
+        return self.inserted if self.added is None else self.added.unionByName(self.inserted)
 
     @property
-    def closed_rows(self) -> DataFrame:
-        return self.shut.unionByName(self.closing)
+    def updated(self) -> DataFrame:
+        """The history after the close step."""
+        rows = self._end(self.flagged)
+        return rows if self.shut is None else self.shut.unionByName(rows)
+
+    @property
+    def open_rows(self) -> DataFrame:
+        stay = self.flagged.filter(~F.col(CLOSES) & F.col(END_DATE).isNull()).drop(CLOSES)
+        return stay.unionByName(self.inserted)
 
     def result(self) -> DataFrame:
-        return (self.shut.unionByName(self.closing).unionByName(self.staying)
-                .unionByName(self.untouched).unionByName(self.inserted))
+        return self.updated.unionByName(self.inserted)
 
 
 def _collated(df: DataFrame, collation: str | None) -> DataFrame:
@@ -158,16 +171,61 @@ def _plain(df: DataFrame, collation: str | None) -> DataFrame:
                         else F.col(f"`{c}`")).alias(c) for c, t in df.dtypes])
 
 
+def same_row(names: list[str], left: str, right: str, collated: bool = False) -> Column:
+    """Equality of all columns, nulls equal.  One struct comparison, which
+    stays small in generated code however many columns there are; column by
+    column under a collation."""
+    if collated:
+        return key_condition(names, left, right, null_safe=True)
+    return F.struct(*[_c(left, n) for n in names]) == F.struct(*[_c(right, n) for n in names])
+
+
+def _flag(rows: DataFrame, chg: DataFrame, mk: MergeKeys, null_safe: bool, test: str,
+          side_fits: bool) -> DataFrame:
+    """``rows`` with CLOSES: open, and some CHANGE row of the key differs.  A
+    left join with one row per key, whatever the test."""
+    is_open = F.col(END_DATE).isNull()
+    columns = [F.col(f"m.`{c}`") for c in rows.columns]
+    keyed = chg.dropna(subset=mk.keys)      # a null key never matches
+    ck = [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(mk.keys)]
+    if test == "summary":
+        side = change_summary(keyed, mk.keys, mk.values, null_safe)
+        rest = [c for c in side.columns if c not in mk.keys]
+        side = side.select(*ck, *rest)
+        differs = closes_expr(mk.values, null_safe)
+    else:
+        one = F.struct(*[F.col(f"`{v}`").alias(f"v{i}") for i, v in enumerate(mk.values)], F.lit(1).alias("is"))
+        if test == "unique":
+            side = keyed.select(*ck, one.alias("__c"))
+            differs = _differs(F.col("__c"), mk.values, null_safe) & F.col("__c").isNotNull()
+        else:           # at most PAIRWISE_MAX rows of a key, as measured
+            side = keyed.select(*ck, one.alias("__c")).groupBy(*[f"__k{i}" for i in range(len(ck))]).agg(
+                F.collect_list("__c").alias("__c"))
+            differs = F.exists("__c", lambda c: _differs(c, mk.values, null_safe))
+    side = F.broadcast(side) if side_fits else side
+    on = reduce(lambda x, y: x & y, [F.col(f"m.`{k}`") == F.col(f"c.__k{i}") for i, k in enumerate(mk.keys)])
+    return rows.alias("m").join(side.alias("c"), on, "left").select(
+        *columns, (is_open & F.coalesce(differs, F.lit(False))).alias(CLOSES))
+
+
+def _differs(c: Column, values: list[str], null_safe: bool) -> Column:
+    """Some value of version ``m`` differs from CHANGE row ``c`` (v0, v1, ..)."""
+    parts = [(~F.col(f"m.`{v}`").eqNullSafe(c[f"v{i}"]) if null_safe else F.col(f"m.`{v}`") != c[f"v{i}"])
+             for i, v in enumerate(values)]
+    return reduce(lambda x, y: x | y, parts, F.lit(False))
+
+
 def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | None,
                 mk: MergeKeys, as_of, null_safe: bool = False,
-                broadcast_limit: int | None = None,
-                materialize: bool = True, closed: DataFrame | None = None,
-                collation: str | None = None, close_test: str = "auto") -> MergeParts:
+                broadcast_limit: int | None = None, closed: DataFrame | None = None,
+                collation: str | None = None, close_test: str = "auto",
+                carry: dict[str, Column] | None = None, _collated_now: bool = False) -> MergeParts:
     """The merge as separate parts (see ``MergeParts``).
 
     ``history`` holds every version; or, with ``closed`` given, ``history``
     holds the open versions only and ``closed`` the closed ones, so the open
-    branches never touch closed data.
+    branches never touch closed data.  ``carry`` names further columns of
+    ``history`` to keep, with their value for versions that ADD opens.
 
     ``collation`` (e.g. ``UTF8_LCASE``, ``UTF8_LCASE_RTRIM``) makes every
     string comparison of the merge -- key match, value difference, EXCEPT --
@@ -175,108 +233,74 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
     as plain strings.  Among CHANGE rows equal under the collation, EXCEPT
     keeps one (which one is unspecified, as in SQL).
 
-    ``close_test``: "pairwise" compares each touched open row with the CHANGE
-    rows of its key (semi/anti join on keys plus the difference test);
-    "summary" joins a per-key CHANGE summary (linear however many CHANGE rows
-    share a key); "auto" measures the largest number of CHANGE rows per key
-    (in the same job as the batch sizes) and uses pairwise only up to
-    ``PAIRWISE_MAX``.
+    ``close_test``: "pairwise" compares each open row with the CHANGE rows of
+    its key, gathered in one row; "summary" joins a per-key CHANGE summary
+    (linear however many CHANGE rows share a key); "auto" measures the largest
+    number of CHANGE rows per key (in the same job as the batch sizes), uses
+    pairwise only up to ``PAIRWISE_MAX`` and, where keys are unique, CHANGE as
+    it is.
     """
     if collation:
-        p = merge_parts(_collated(history, collation),
-                        _collated(add, collation) if add is not None else None,
-                        _collated(change, collation) if change is not None else None,
-                        mk, as_of, null_safe, broadcast_limit, materialize,
-                        _collated(closed, collation) if closed is not None else None,
-                        close_test=close_test)
-        return MergeParts(*[_plain(d, collation) for d in (p.shut, p.closing, p.staying,
-                                                            p.untouched, p.inserted)],
-                          cached=p.cached)
-    keys, values, biz = mk.keys, mk.values, mk.business
+        some = lambda d: None if d is None else _collated(d, collation)
+        p = merge_parts(some(history), some(add), some(change), mk, as_of, null_safe,
+                        broadcast_limit, some(closed), close_test=close_test, carry=carry,
+                        _collated_now=True)
+        back = [None if d is None else _plain(d, collation)
+                for d in (p.shut, p.flagged, p.inserted, p.added)]
+        return MergeParts(*back, as_of)
+    carry = carry or {}
+    keys, biz = mk.keys, mk.business
     layout = biz + VERSION_COLS
     cols = lambda df, names: df.select(*[F.col(f"`{n}`") for n in names])
-    hist = cols(history, layout)
+    hist = cols(history, layout + list(carry))
     spark = hist.sparkSession
-    cached: list = []
 
     # Measure both batches in one job; broadcast only what fits.
     limit = broadcast_limit if broadcast_limit is not None else broadcast_limit_of(spark)
     add_b = cols(add, biz) if add is not None else None
     chg = cols(change, biz) if change is not None else None
-    batches = [add_b] if add_b is not None else []
-    if chg is not None:
-        batches.append(chg)
+    batches = [b for b in (add_b, chg) if b is not None]
     multiplicity = 0
     if chg is not None and close_test == "auto":
         sizes, multiplicity = measure_with_multiplicity(batches, chg, keys)
     else:
         sizes = measure_all(batches) if batches else []
-    pairwise = close_test == "pairwise" or (close_test == "auto" and multiplicity <= PAIRWISE_MAX)
+    test = close_test if close_test != "auto" else (
+        "unique" if multiplicity <= 1 else "pairwise" if multiplicity <= PAIRWISE_MAX else "summary")
     add_fits = add is not None and fits(*sizes[0], limit)
     chg_fits = chg is not None and fits(*sizes[-1], limit)
 
     # 1. ADD -> new keys only, checked against every version.
-    if closed is None:
-        open0 = hist.filter(F.col(END_DATE).isNull())
-        shut = hist.filter(F.col(END_DATE).isNotNull())
-        versions = hist
-    else:
-        open0, shut = hist, cols(closed, layout)
-        versions = open0.unionByName(shut)
+    shut = cols(closed, layout) if closed is not None else None
+    ins_add, rows = None, hist
     if add is not None:
-        ins_add = stamp(new_key_rows(add_b, versions, keys, add_fits, limit), as_of, biz)
-        open1 = open0.unionByName(ins_add)
-    else:
-        open1 = open0
-
+        versions = cols(hist, keys) if shut is None else cols(hist, keys).unionByName(cols(shut, keys))
+        ins_add = stamp(new_key_rows(add_b, versions, keys, add_fits, limit), as_of, biz).withColumns(carry)
+        rows = hist.unionByName(ins_add)
     if chg is None:
-        empty = spark.createDataFrame([], hist.schema)
-        return MergeParts(shut, empty, empty, open1, empty, tuple(cached))
+        none = spark.createDataFrame([], hist.schema)
+        return MergeParts(shut, rows.withColumn(CLOSES, F.lit(False)), none, ins_add, as_of)
+
+    # 2. Flag what CHANGE closes, in one pass.
+    side_fits = chg_fits and (test != "summary" or fits(*_summary_bound(sizes[-1], len(mk.values)), limit))
+    flag = lambda df: _flag(df, chg, mk, null_safe, test, side_fits)
+    flagged = flag(rows)
 
-    # 2. Split open rows by whether CHANGE names their key (null-safe, so that
-    #    the EXCEPT below sees every row that could equal a CHANGE row).
-    chg_keys = chg.select(*[F.col(f"`{k}`") for k in keys])
+    # 3. CHANGE EXCEPT (distinct, null-equal) open rows.  Only rows that equal a
+    #    CHANGE row matter; of those, the ones that stay open.
+    alike = rows.filter(F.col(END_DATE).isNull()).alias("m")
     if chg_fits:
-        chg_keys = F.broadcast(chg_keys)
+        alike = alike.join(F.broadcast(chg).alias("b"), same_row(biz, "m", "b", _collated_now), "left_semi")
     else:
-        chg_keys = chg_keys.distinct()
-    hit = key_condition(keys, "m", "k", null_safe=True)
-    touched = open1.alias("m").join(chg_keys.alias("k"), hit, "left_semi")
-    untouched = open1.alias("m").join(chg_keys.alias("k"), hit, "left_anti")
-    if materialize:
-        # touched feeds both branches and the EXCEPT: persist once instead of
-        # three scans.  (persist, not a reliable checkpoint: checkpointing an
-        # unpersisted frame computes it twice -- a second pass over the open
-        # history; a lost executor's cached blocks are recomputed from lineage.)
-        touched = touched.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(touched)
-    layout_cols = [F.col(f"`{c}`") for c in layout]
-    if pairwise:
-        # 3a. Close by comparing with the (few) CHANGE rows of the key: semi
-        #     and anti on one condition are exact complements.
-        chg_side = F.broadcast(chg) if chg_fits else chg.distinct()
-        cond = key_condition(keys, "m", "c") & diff_condition(values, "m", "c", null_safe)
-        closing = (touched.alias("m").join(chg_side.alias("c"), cond, "left_semi")
-                   .withColumn(END_DATE, as_date(as_of)))
-        staying = touched.alias("m").join(chg_side.alias("c"), cond, "left_anti")
+        alike = alike.join(cols(chg, keys).distinct().alias("b"), key_condition(keys, "m", "b", True),
+                           "left_semi")
+    stay = cols(flag(alike).filter(~F.col(CLOSES)), biz)
+    if chg_fits:
+        new = chg.distinct().alias("b").join(F.broadcast(stay.distinct()).alias("r"),
+                                             same_row(biz, "b", "r", _collated_now), "left_anti")
     else:
-        # 3b. Close against a per-key summary of CHANGE (one row per key; see
-        #     change_summary): a plain equi-join, linear on a hot key.
-        summary = change_summary(chg, keys, values, null_safe)
-        sum_fits = chg_fits and fits(*_summary_bound(sizes[-1], len(values)), limit)
-        summary = F.broadcast(summary) if sum_fits else summary
-        flag = "__closes"
-        flagged = (touched.join(summary, keys, "left")
-                   .select(*layout_cols, closes_expr(values, null_safe).alias(flag)))
-        closing = (flagged.filter(F.col(flag)).select(*layout_cols)
-                   .withColumn(END_DATE, as_date(as_of)))
-        staying = flagged.filter(~F.col(flag)).select(*layout_cols)
-
-    # 4. CHANGE EXCEPT (distinct, null-equal) open rows; only `staying` can
-    #    hold rows equal to a CHANGE row (untouched keys differ, closed rows
-    #    are no longer open).
-    ins_chg = stamp(except_rows(chg, cols(staying, biz), biz, chg_fits), as_of, biz)
-    return MergeParts(shut, closing, staying, untouched, ins_chg, tuple(cached))
+        new = chg.subtract(stay)
+    return MergeParts(shut, flagged, stamp(new, as_of, biz).withColumns(carry), ins_add, as_of)
 
 
 _MIN, _MAX, _NN, _N = "__min_", "__max_", "__nn_", "__n"
@@ -311,7 +335,7 @@ def closes_expr(values: list[str], null_safe: bool = False) -> Column:
     alongside) with a differing value; False otherwise (never null)."""
     parts = []
     for i, v in enumerate(values):
-        m = F.col(f"`{v}`")
+        m = F.col(f"m.`{v}`")
         lo, hi = F.col(f"{_MIN}{i}"), F.col(f"{_MAX}{i}")
         if null_safe:
             nn = F.col(f"{_NN}{i}")
@@ -336,47 +360,35 @@ def except_rows(batch: DataFrame, rows: DataFrame, names: list[str],
                 batch_fits: bool) -> DataFrame:
     """``batch EXCEPT rows`` (distinct, nulls equal) over ``names``.
 
-    With a measured-small batch, ``rows`` is only streamed: a broadcast
-    null-safe semi join keeps its rows equal to some batch row, de-duplicated
-    map-side (so a hot key's many identical rows cost one row per task), and
+    With a measured-small batch, ``rows`` is only streamed: a broadcast semi
+    join keeps its rows equal to some batch row, de-duplicated map-side, and
     the distinct batch is anti-joined against that set, which is no larger
     than the batch.  Otherwise Spark's EXCEPT (both sides shuffled).
     """
     if not batch_fits:
         return batch.subtract(rows)
-    same = key_condition(names, "r", "b", null_safe=True)
-    equal = (rows.alias("r").join(F.broadcast(batch).alias("b"), same, "left_semi")
-             .distinct())
-    back = key_condition(names, "b", "r", null_safe=True)
-    return (batch.distinct().alias("b")
-            .join(F.broadcast(equal).alias("r"), back, "left_anti"))
+    equal = rows.alias("r").join(F.broadcast(batch).alias("b"), same_row(names, "r", "b"),
+                                 "left_semi").distinct()
+    return batch.distinct().alias("b").join(F.broadcast(equal).alias("r"),
+                                            same_row(names, "b", "r"), "left_anti")
 
 
 def merge(history: DataFrame, add: DataFrame | None, change: DataFrame | None,
           spec: FeedSpec | None = None, as_of=None, null_safe: bool = False,
           keys=None, values=None, broadcast_limit: int | None = None,
-          materialize: bool = True, collation: str | None = None,
-          close_test: str = "auto") -> DataFrame:
+          collation: str | None = None, close_test: str = "auto") -> DataFrame:
     """Merged history: business columns + start_date, end_date."""
     if as_of is None:
         raise ValueError("as_of is required: a fixed run date keeps reruns repeatable")
     mk = MergeKeys.of(spec, keys, values)
     return merge_parts(history, add, change, mk, as_of, null_safe, broadcast_limit,
-                       materialize, collation=collation, close_test=close_test).result()
+                       collation=collation, close_test=close_test).result()
 
 
 def open_versions(history: DataFrame) -> DataFrame:
     return history.filter(F.col(END_DATE).isNull())
 
 
-def close_changed(history: DataFrame, change: DataFrame, mk: MergeKeys, as_of,
-                  null_safe: bool = False, broadcast_limit: int | None = None) -> DataFrame:
-    """History after the close step alone (update-from-join)."""
-    p = merge_parts(history, None, change, mk, as_of, null_safe, broadcast_limit,
-                    materialize=False)
-    return p.shut.unionByName(p.closing).unionByName(p.staying).unionByName(p.untouched)
-
-
 def except_changed(history: DataFrame, change: DataFrame, mk: MergeKeys,
                    broadcast_limit: int | None = None) -> DataFrame:
     """CHANGE rows (distinct) equal to no open history row, value columns only.
@@ -396,9 +408,3 @@ def except_changed(history: DataFrame, change: DataFrame, mk: MergeKeys,
                 .join(keyset.alias("k"), key_condition(mk.keys, "m", "k", True), "left_semi")
                 .select(*cols))
     return except_rows(chg, open_rel, biz, small)
-
-
-def union_append(history: DataFrame, rows: DataFrame, as_of) -> DataFrame:
-    """INSERT ... SELECT: append new open versions by name."""
-    biz = [c for c in history.columns if c not in VERSION_COLS]
-    return history.unionByName(stamp(rows, as_of, biz))

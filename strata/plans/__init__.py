@@ -1,3 +1,3 @@
-from .sizing import Measured, bounded, broadcast_limit, measure
+from .sizing import broadcast_limit, fits, measure
 
-__all__ = ["Measured", "bounded", "broadcast_limit", "measure"]
+__all__ = ["broadcast_limit", "fits", "measure"]

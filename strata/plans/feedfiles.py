@@ -165,13 +165,15 @@ def _local(path: str) -> str:
     return path
 
 
-def zip_orders(spark: SparkSession, sf_dir: str, archives: int = 4, by_load: bool = False) -> str:
-    """Pack the orders feed into ``archives`` zip files (one member each, with
-    a header line), written by the tasks themselves; returns the folder.
+LINES_PER_ARCHIVE = 100_000
 
-    With ``by_load`` every task writes one archive per load kind, named like
-    published files (``mdrfoi<part>.zip``, ``...Add.zip``, ``...change.zip``),
-    the kind chosen by ``o_orderkey % 3``."""
+
+def zip_lines(spark: SparkSession, lines: DataFrame, header: str, prefix: str) -> str:
+    """Pack ``lines`` (columns line, kind: 0 base, 1 ADD, 2 CHANGE) into zip
+    files named like published ones (``<prefix><part>.zip``, ``..Add.zip``,
+    ``..change.zip``), one member each with a header line, as many as the lines
+    need; returns the folder.  Written by the tasks themselves, each file under
+    a name of its own first, so a task that runs twice changes nothing."""
     import os
     import zipfile
 
@@ -180,46 +182,59 @@ def zip_orders(spark: SparkSession, sf_dir: str, archives: int = 4, by_load: boo
 
     root = scratch_path(spark, "archives")
     local = _local(root)
-    header = HEADER
-
-    kinds = ("", "Add", "change")
+    suffixes = ("", "Add", "change")
 
     def write(batches):
         from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
+        task = TaskContext.get()
         os.makedirs(local, exist_ok=True)
-        prefix = f"mdrfoi{pid:05d}" if by_load else f"ordersfeed{pid:05d}"
-        names = [prefix + k for k in kinds] if by_load else [prefix]
-        zips = {nm: zipfile.ZipFile(os.path.join(local, nm + ".zip"), "w",
-                                    compression=zipfile.ZIP_DEFLATED) for nm in names}
-        members = {nm: zips[nm].open(nm + ".txt", "w") for nm in names}
-        counts = dict.fromkeys(names, 0)
-        for fh in members.values():
-            fh.write((header + "\n").encode())
+        out = {}
         for pdf in batches:
-            groups = pdf.groupby("_kind") if by_load else [(0, pdf)]
-            for kind, g in groups:
-                nm = names[int(kind)]
-                members[nm].write(("\n".join(g["line"]) + "\n").encode())
-                counts[nm] += len(g)
-        for nm in names:
-            members[nm].close()
-            zips[nm].close()
-        yield pd.DataFrame({"archive": [n + ".zip" for n in names],
-                            "lines": [counts[n] for n in names]})
-
-    schema = T.StructType([T.StructField("archive", T.StringType()),
-                           T.StructField("lines", T.LongType())])
-    lines = orders_lines(spark, sf_dir)
-    if by_load:
-        f = _fields(table(spark, sf_dir, "orders"))
-        f0, f1, f2, f3, f4 = (F.col(c) for c in ("f0", "f1", "f2", "f3", "f4"))
-        lines = f.select(_join(f0, f1, f2, f3, f4).alias("line"),
-                         F.pmod(F.col("_k"), 3).cast("int").alias("_kind"))
-    lines.repartition(archives).mapInPandas(write, schema).count()
+            for kind, g in pdf.groupby("kind"):
+                name = f"{prefix}{task.partitionId():05d}{suffixes[int(kind)]}"
+                if name not in out:
+                    path = os.path.join(local, f".{name}-{task.taskAttemptId()}")
+                    zf = zipfile.ZipFile(path, "w", compression=zipfile.ZIP_DEFLATED)
+                    member = zf.open(name + ".txt", "w")
+                    member.write((header + "\n").encode())
+                    out[name] = [path, zf, member, 0]
+                out[name][2].write(("\n".join(g["line"]) + "\n").encode())
+                out[name][3] += len(g)
+        for name, (path, zf, member, _) in out.items():
+            member.close()
+            zf.close()
+            os.replace(path, os.path.join(local, name + ".zip"))
+        yield pd.DataFrame({"archive": list(out), "lines": [x[3] for x in out.values()]})
+
+    schema = T.StructType([T.StructField("archive", T.StringType()), T.StructField("lines", T.LongType())])
+    n = max(4, -(-lines.count() // LINES_PER_ARCHIVE))
+    lines.select("line", "kind").repartition(n).mapInPandas(write, schema).count()
     return root
 
 
+def zip_orders(spark: SparkSession, sf_dir: str) -> str:
+    """The orders feed as archives named like the event feed's, the load kind
+    of an order by ``o_orderkey % 3``."""
+    f = _fields(table(spark, sf_dir, "orders"))
+    lines = f.select(_join(*[F.col(f"f{i}") for i in range(5)]).alias("line"),
+                     F.pmod(F.col("_k"), 3).cast("int").alias("kind"))
+    return zip_lines(spark, lines, HEADER, "mdrfoi")
+
+
+def zip_documents(spark: SparkSession, sf_dir: str) -> str:
+    """Every document as one line (``doc_id|text`` with line ends as spaces) of
+    the text feed's archives, the load kind by ``doc_id % 3``: text in four
+    languages with their accents."""
+    d = table(spark, sf_dir, "documents")
+    line = F.concat_ws("|", F.col("doc_id").cast("string"), F.regexp_replace("text", r"[\r\n]", " "))
+    return zip_lines(spark, d.select(line.alias("line"), F.pmod("doc_id", F.lit(3)).cast("int").alias("kind")),
+                     "DOC_ID|TEXT", "foitext")
+
+
+DOCUMENT_LINES_SQL = r"""lines AS (SELECT doc_id,
+  CAST(doc_id AS VARCHAR) || '|' || regexp_replace(text, '[\r\n]', ' ', 'g') AS line FROM documents)"""
+
+
 # --- file names for routing -----------------------------------------------------------
 
 def published_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,6 +269,44 @@ LOAD_SQL = """CASE WHEN lower(landed) LIKE '%change.txt' THEN 'change'
                    WHEN lower(landed) LIKE '%add.txt' THEN 'add' ELSE 'FUL' END"""
 
 
+# --- published index pages, one per event ----------------------------------------------
+
+AREA = "https://files.example/area/"
+
+
+def index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index page per event: a table of another class, then the index table
+    with a header row, the row of the event's file and a row without a link.
+    By event id, the file's name holds the excluded token (9), an entity (13),
+    its anchor is not closed (17), its cell has no anchor (11), its table is
+    nested in a cell of another (19)."""
+    n = published_names(spark, sf_dir)
+    i = F.col("event_id")
+    every = lambda k: F.pmod(i, F.lit(k)) == 0
+    named = F.when(every(9), F.concat(F.lit("problem"), "name")).otherwise(F.col("name"))
+    shown = F.when(every(13), F.concat(named, F.lit(" &amp;lt;new"))).otherwise(named)
+    anchor = F.concat(F.lit(f'<b><a class="x" href="{AREA}'), named, F.lit('">'), shown,
+                      F.when(every(17), "").otherwise("</a></b> 2 MB"))
+    cell = F.when(every(11), shown).otherwise(anchor)
+    row = F.concat(F.lit("<tr><td>"), cell, F.lit('</td><td><a href="/no">second</a></td></tr>'))
+    rows = F.when(every(19), F.concat(F.lit("<tr><td>more<table>"), row, F.lit("</table></td></tr>"))).otherwise(row)
+    html = F.concat(F.lit('<table class="other"><tr><td></td></tr><tr><td><a href="/no">no.zip</a></td></tr></table>'
+                          '<table class="big table"><tr><th>File</th></tr>'), rows,
+                    F.lit("<tr><td>none</td></tr></table>"))
+    return n.select(i.alias("page_id"), html.alias("html"))
+
+
+# A nested table's row is found twice: by the row around it and by itself.
+INDEX_LINKS_SQL = NAMES_SQL + f""",
+cells AS (SELECT event_id, CASE WHEN event_id % 9 = 0 THEN 'problem' || name ELSE name END AS named FROM names),
+links AS (SELECT event_id AS page_id, pos, named || CASE WHEN event_id % 13 = 0 THEN ' &lt;new' ELSE '' END AS name,
+                 '{AREA}' || named AS url
+          FROM cells, (VALUES (0), (1)) AS t(pos)
+          WHERE event_id % 11 <> 0 AND (pos = 0 OR event_id % 19 = 0)
+          UNION ALL  -- the row around a nested table without a file's link finds that table's other link
+          SELECT event_id, 0, 'second', '/no' FROM names WHERE event_id % 11 = 0 AND event_id % 19 = 0)"""
+
+
 # --- a published layout as text, filled from `events` -------------------------------
 
 _FMT_SPARK = ("MM/dd/yyyy", "yyyy/MM/dd", "dd/MM/yyyy")
@@ -299,14 +352,29 @@ def layout_text_columns(spec) -> list[tuple[str, object, str]]:
     return out
 
 
-def land_layout_from_events(spark: SparkSession, sf_dir: str, spec, load: str = "FUL") -> str:
-    """Land the whole `events` table as one feed's pipe text; returns the root."""
-    root = scratch_path(spark, f"landing-{spec.name}")
+def land_layout_from_events(spark: SparkSession, sf_dir: str, spec, root: str | None = None,
+                            incremental: bool = False) -> str:
+    """Land the whole `events` table as one feed's pipe text (FULL); returns the
+    root.  ``incremental`` adds an ADD folder with every fifth event (whose keys
+    exist) and a CHANGE folder with every fourth, its last text column
+    changed."""
+    root = root or scratch_path(spark, f"landing-{spec.name}")
     cols = layout_text_columns(spec)
+    last = [c.name for c in spec.columns if c.kind == "string" and not c.is_key][-1]
     e = table(spark, sf_dir, "events")
-    lines = e.select(_join(*[build() for _, build, _ in cols]).alias("line"),
-                     F.lit(spec.name).alias("feed"), F.lit(load).alias("load"))
-    land_lines(lines, root, "|".join(c.upper() for c in spec.names), partition_by=("feed", "load"))
+
+    def lines(rows, load, changed=False):
+        values = [F.concat(build(), F.lit(" changed")) if changed and name == last else build()
+                  for name, build, _ in cols]
+        return rows.select(_join(*values).alias("line"), F.lit(spec.name).alias("feed"), F.lit(load).alias("load"))
+
+    out = lines(e, "FUL")
+    if incremental:
+        out = out.unionByName(lines(e.where("event_id % 5 = 0"), "add")).unionByName(
+            lines(e.where("event_id % 4 = 0"), "change", True))
+    old = {new: old for old, new in spec.renames}
+    land_lines(out, root, "|".join(old.get(n, n).upper() for n in spec.names),
+               partition_by=("feed", "load"), mode="append")
     return root
 
 

@@ -2,6 +2,10 @@
 
 Each job is a handful of DataFrame statements; the only driver work is the
 loop over feeds and the snapshot pointer switch.
+
+Text lands as UTF-8 with a header line in every file and is read that way by
+default; ``**read`` of the loaders (``header``, ``encoding``, ``quote``,
+``corrupt_column``) is for text landed by others.
 """
 
 from __future__ import annotations
@@ -10,17 +14,22 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.checks import enforce_widths, spec_widths
 from ..operators.merge import MergeKeys, merge_parts
 from ..operators.typed import typed
 from ..functions import (file_stem, landing_key, load_filter, load_folder, member_name,
                          route_load, route_table, url_basename)
 from ..sources.archives import archive_lines
-from ..sources.delimited import read_feed
+from ..sources.delimited import land_lines, read_feed
 from ..specs import FEED_ORDER, FEEDS, FeedSpec
 from . import snapshot
 
 LOAD_FULL, LOAD_ADD, LOAD_CHANGE = "FUL", "add", "change"
+LANDED_HEADER = "line"
+#: Incremental runs since the last base after which a run writes a new one.
+COMPACT_AFTER = 50
 
 
 def published_files(links: DataFrame, load_type: str = "FUL",
@@ -38,39 +47,46 @@ def published_files(links: DataFrame, load_type: str = "FUL",
                                 landed).alias("landing_key")))
 
 
-def routed_lines(spark: SparkSession, archives_root: str, glob: str = "*.zip") -> DataFrame:
+def routed_lines(spark: SparkSession, archives_root: str, glob: str = "*.zip",
+                 encoding: str = "utf-8") -> DataFrame:
     """Every data line of every published archive with its feed and load kind
     (routed by the archive's name; the member's header line is dropped)."""
-    from pyspark.sql import functions as F
-    lines = archive_lines(spark, archives_root, glob)
+    lines = archive_lines(spark, archives_root, glob, encoding)
     return (lines.filter(F.col("line_no") > 0)
             .select(route_table("archive").alias("feed"),
                     route_load(member_name("archive")).alias("load"),
                     F.col("archive"), F.col("member"), F.col("line_no"), F.col("line")))
 
 
-def land_archives(spark: SparkSession, archives_root: str, landing: str,
-                  mode: str = "append") -> None:
+def land_archives(spark: SparkSession, archives_root: str, landing: str, glob: str = "*.zip",
+                  encoding: str = "utf-8") -> None:
     """Expand and route published archives and land their lines under
-    ``feed=/load=`` in one pass over the archives (headerless text: the
-    header was checked off at expansion; read with ``header=False``)."""
-    routed = routed_lines(spark, archives_root).select("feed", "load", "line")
-    (routed.select("line", "feed", "load").write.mode(mode)
-     .partitionBy("feed", "load").text(landing))
+    ``feed=/load=/archive=`` in one pass over the archives.
+
+    An archive that lands again replaces what it landed before and nothing
+    else.  Every file starts with a header line, which the loaders skip."""
+    routed = routed_lines(spark, archives_root, glob, encoding)
+    land_lines(routed, landing, LANDED_HEADER, partition_by=("feed", "load", "archive"),
+               replace_partitions=True)
 
 
 def typed_batch(spark: SparkSession, landing: str, spec: FeedSpec, load: str, as_of,
-                header: bool = True) -> DataFrame:
+                **read) -> DataFrame:
     """Scan one feed/load folder and type it (FULL loads also apply the
     feed's extra raw not-null rule)."""
-    raw = read_feed(spark, landing, spec, load, header=header)
+    raw = read_feed(spark, landing, spec, load, **read)
     return typed(raw, spec, as_of=as_of, full_load=(load == LOAD_FULL))
 
 
 def full_load(spark: SparkSession, landing: str, spec: FeedSpec, table_root: str, as_of,
-              header: bool = True) -> snapshot.Pointer:
-    """Replace the history with the FULL files, every row an open version."""
-    rows = typed_batch(spark, landing, spec, LOAD_FULL, as_of, header)
+              enforce: str | None = None, **read) -> snapshot.Pointer:
+    """Replace the history with the FULL files, every row an open version.
+
+    ``enforce`` applies the declared widths: "fail" on an over-long value (as a
+    width-checked target does), "null" it; None loads it."""
+    rows = typed_batch(spark, landing, spec, LOAD_FULL, as_of, **read)
+    if enforce:
+        rows = enforce_widths(rows, spec_widths(spec), enforce)
     return snapshot.publish(spark, table_root, rows, None, fresh=True)
 
 
@@ -81,10 +97,10 @@ class Staged:
 
 
 def incremental_load(spark: SparkSession, landing: str, spec: FeedSpec, as_of,
-                     staging_root: str | None = None, header: bool = True) -> Staged:
+                     staging_root: str | None = None, **read) -> Staged:
     """Type the ADD and CHANGE folders; optionally replace staging tables."""
-    add = typed_batch(spark, landing, spec, LOAD_ADD, as_of, header)
-    chg = typed_batch(spark, landing, spec, LOAD_CHANGE, as_of, header)
+    add = typed_batch(spark, landing, spec, LOAD_ADD, as_of, **read)
+    chg = typed_batch(spark, landing, spec, LOAD_CHANGE, as_of, **read)
     if staging_root:
         add_path, chg_path = staging_paths(staging_root, spec)
         add = snapshot.replace_table(add, add_path)
@@ -95,20 +111,22 @@ def incremental_load(spark: SparkSession, landing: str, spec: FeedSpec, as_of,
 def merge_into(spark: SparkSession, table_root: str, add: DataFrame | None,
                change: DataFrame | None, mk: MergeKeys, as_of, null_safe: bool = False,
                broadcast_limit: int | None = None, batch_id: int | None = None,
-               collation: str | None = None) -> snapshot.Pointer:
-    """Merge one ADD + CHANGE batch into a stored history and publish the
-    next version: newly closed rows are appended, open rows rewritten."""
+               collation: str | None = None, stream_id: str | None = None,
+               compact_after: int = COMPACT_AFTER) -> snapshot.Pointer:
+    """Merge one ADD + CHANGE batch into a stored history and publish the next
+    version: what the run opens and closes is written, the rest stays where it
+    is.  After ``compact_after`` such runs the open rows become a new base."""
     ptr = snapshot.current(spark, table_root)
-    open_rows = snapshot.read_open(spark, table_root, ptr=ptr)
+    open_rows = snapshot.open_with_run(spark, table_root, ptr=ptr)
     closed = snapshot.read_closed(spark, table_root, ptr=ptr)
     parts = merge_parts(open_rows, add, change, mk, as_of, null_safe, broadcast_limit,
-                        closed=closed, collation=collation)
-    try:
-        # one job writes the new open set and the rows this run closed
-        return snapshot.publish(spark, table_root, parts.open_rows, parts.closing,
-                                batch_id=batch_id, ptr=ptr)
-    finally:
-        parts.release()
+                        closed=closed, collation=collation,
+                        carry={snapshot.RUN: F.lit(None).cast("long")})
+    new = snapshot.publish_delta(spark, table_root, parts.opened, parts.closing, ptr,
+                                 batch_id=batch_id, stream_id=stream_id)
+    if new.version - new.base >= compact_after:
+        new = snapshot.compact(spark, table_root)
+    return new
 
 
 def staging_paths(staging_root: str, spec: FeedSpec) -> tuple[str, str]:
@@ -117,24 +135,21 @@ def staging_paths(staging_root: str, spec: FeedSpec) -> tuple[str, str]:
 
 
 def run_feed(spark: SparkSession, landing: str, table_root: str, spec: FeedSpec, as_of,
-             full: bool = False, header: bool = True,
-             staging_root: str | None = None) -> snapshot.Pointer:
+             full: bool = False, staging_root: str | None = None, **read) -> snapshot.Pointer:
     """One feed: optional FULL replace, then ADD/CHANGE staged and merged.
 
     With ``staging_root`` the typed batches are written as staging tables
-    (replaced each run), merged from there, and dropped after the merge;
-    otherwise they are persisted for the merge and released.
+    (replaced each run), merged from there, and dropped once the merge has
+    succeeded; otherwise they are persisted for the merge and released.
     """
     if full:
-        full_load(spark, landing, spec, table_root, as_of, header)
-    staged = incremental_load(spark, landing, spec, as_of, staging_root, header=header)
+        full_load(spark, landing, spec, table_root, as_of, **read)
+    staged = incremental_load(spark, landing, spec, as_of, staging_root, **read)
     if staging_root:
-        try:
-            return merge_into(spark, table_root, staged.add, staged.change,
-                              MergeKeys.of(spec), as_of)
-        finally:
-            for path in staging_paths(staging_root, spec):
-                snapshot.drop_table(spark, path)
+        ptr = merge_into(spark, table_root, staged.add, staged.change, MergeKeys.of(spec), as_of)
+        for path in staging_paths(staging_root, spec):
+            snapshot.drop_table(spark, path)
+        return ptr
     add = staged.add.persist(StorageLevel.MEMORY_AND_DISK)
     chg = staged.change.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -158,10 +173,10 @@ def for_each_feed(fn, names, parallel: bool = True) -> dict:
 
 
 def multi_feed_run(spark: SparkSession, landing: str, tables_root: str, as_of,
-                   full: bool = False, feeds=FEED_ORDER, header: bool = True,
-                   parallel: bool = True, staging_root: str | None = None) -> dict:
+                   full: bool = False, feeds=FEED_ORDER, parallel: bool = True,
+                   staging_root: str | None = None, **read) -> dict:
     """Every feed: optional FULL replace, then ADD + CHANGE merge; returns the
     published pointer per feed."""
     return for_each_feed(
         lambda name: run_feed(spark, landing, f"{tables_root.rstrip('/')}/{name}", FEEDS[name],
-                              as_of, full, header, staging_root), feeds, parallel)
+                              as_of, full, staging_root, **read), feeds, parallel)

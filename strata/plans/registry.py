@@ -14,17 +14,17 @@ from pyspark.sql import functions as F
 from ..functions import (file_stem, landing_key, load_filter, load_folder, member_name,
                          parse_date, parse_date_drop_time, route_load, route_table,
                          text_to_int, url_basename)
-from ..operators.checks import width_report
+from ..operators.checks import enforce_widths, width_report
 from ..operators.merge import (diff_condition, except_changed, key_condition, merge,
                                merge_parts, new_key_rows, open_versions)
 from ..operators.typed import lower_rename, stamp, typed
 from ..sources.archives import archive_lines
 from ..sources.delimited import read_feed, read_feed_files
 from ..sources.jdbc import jdbc_append, jdbc_read
-from ..sources.links import ANCHOR, anchor_links, kept_links, table_links
+from ..sources.links import anchor_links, kept_links, table_links
 from . import feedfiles as FF
 from .oracle import merge_ctes, merge_sql
-from ..specs import FEEDS
+from ..specs import FEED_ORDER, FEEDS, make_spec
 from .scenarios import AS_OF, LINEITEM_TRIO, ORDERS_TRIO, feed_from_events, lower_v1, table, trio
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,15 +90,13 @@ def q_union_append(spark, sf_dir):
 @register("close_changed", merge_ctes(ORDERS_TRIO) + "\nSELECT * FROM main2")
 def q_close_changed(spark, sf_dir):
     t = trio(spark, sf_dir, ORDERS_TRIO)
-    p = merge_parts(t.history, t.add, t.change, t.mk, AS_OF)
-    return p.shut.unionByName(p.closing).unionByName(p.staying).unionByName(p.untouched)
+    return merge_parts(t.history, t.add, t.change, t.mk, AS_OF).updated
 
 
 @register("except_changed", merge_ctes(ORDERS_TRIO) + "\nSELECT * FROM ins_chg")
 def q_except_changed(spark, sf_dir):
     t = trio(spark, sf_dir, ORDERS_TRIO)
-    p = merge_parts(t.history, t.add, t.change, t.mk, AS_OF)
-    main2 = p.shut.unionByName(p.closing).unionByName(p.staying).unionByName(p.untouched)
+    main2 = merge_parts(t.history, t.add, t.change, t.mk, AS_OF).updated
     return except_changed(main2, t.change, t.mk)
 
 
@@ -249,13 +247,17 @@ def q_ragged_rows(spark, sf_dir):
     return read_feed_files(spark, _folder(root), FF.ORDERS_FEED)
 
 
-@register("lower_rename", FF.RAW_PLAIN_SQL
-          + "\nSELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority FROM raw")
+_TEXT = FEEDS["foitext_text"]
+
+
+@register("lower_rename", "SELECT " + ", ".join(f'{q} AS "{n}"' for n, _, q in FF.layout_text_columns(_TEXT))
+          + " FROM events")
 def q_lower_rename(spark, sf_dir):
-    root = FF.land_orders(spark, sf_dir)
-    # header-named read (no schema, no inference: every column a string)
-    df = spark.read.option("header", True).option("sep", "|").csv(_folder(root))
-    return lower_rename(df, FF.ORDERS_FEED)
+    """Header-named read (no inference: every column a string) of the text
+    feed, whose published name of one column differs from the target's."""
+    root = FF.land_layout_from_events(spark, sf_dir, _TEXT)
+    df = spark.read.option("header", True).option("sep", "|").csv(f"{root}/feed={_TEXT.name}/load=FUL")
+    return lower_rename(df, _TEXT)
 
 
 _LOADS = ("FUL", "add", "change")
@@ -330,32 +332,25 @@ def q_history_scan(spark, sf_dir):
     return snapshot.read_history(spark, tbl)
 
 
-def _counts_sql(feed, t):
-    return (f"SELECT '{feed}' AS feed, COUNT(*) AS total_rows, "
-            "COUNT(*) FILTER (WHERE end_date IS NULL) AS open_rows, "
-            "COUNT(*) FILTER (WHERE end_date IS NOT NULL) AS closed_rows "
-            f"FROM ({merge_sql(t)}) s")
+_FOUR_FEEDS_SQL = "\nUNION ALL\n".join(
+    f"""SELECT '{feed}' AS feed, COUNT(*) + COUNT(*) FILTER (WHERE event_id % 4 = 0) AS total_rows,
+       COUNT(*) AS open_rows, COUNT(*) FILTER (WHERE event_id % 4 = 0) AS closed_rows FROM events"""
+    for feed in FEED_ORDER)
 
 
-@register("multi_feed_run", _counts_sql("orders", ORDERS_TRIO) + "\nUNION ALL\n"
-          + _counts_sql("lineitem", LINEITEM_TRIO))
+@register("multi_feed_run", _FOUR_FEEDS_SQL)
 def q_multi_feed_run(spark, sf_dir):
+    """The whole job on the four published layouts: FULL load, ADD of keys that
+    exist, CHANGE of every fourth event, through staging tables."""
     from ..session import scratch_path
     from . import jobs, snapshot
-    specs = {"orders": ORDERS_TRIO, "lineitem": LINEITEM_TRIO}
-
-    def one_feed(feed):
-        t = trio(spark, sf_dir, specs[feed])
-        tbl = scratch_path(spark, f"multi-{feed}")
-        open_rows, closed_rows = snapshot.split_open(t.history)
-        snapshot.publish(spark, tbl, open_rows, closed_rows, fresh=True)
-        jobs.merge_into(spark, tbl, t.add, t.change, t.mk, AS_OF)
-        return tbl
-
-    tables = jobs.for_each_feed(one_feed, specs)   # feeds run concurrently
+    landing, tables = scratch_path(spark, "landing"), scratch_path(spark, "tables")
+    for feed in FEED_ORDER:
+        FF.land_layout_from_events(spark, sf_dir, FEEDS[feed], landing, incremental=True)
+    jobs.multi_feed_run(spark, landing, tables, AS_OF, full=True, staging_root=scratch_path(spark, "staging"))
     out = None
-    for feed, tbl in tables.items():
-        h = snapshot.read_history(spark, tbl)
+    for feed in FEED_ORDER:
+        h = snapshot.read_history(spark, f"{tables}/{feed}")
         c = h.agg(F.lit(feed).alias("feed"), F.count(F.lit(1)).alias("total_rows"),
                   F.count(F.when(F.col("end_date").isNull(), 1)).alias("open_rows"),
                   F.count(F.when(F.col("end_date").isNotNull(), 1)).alias("closed_rows"))
@@ -363,6 +358,52 @@ def q_multi_feed_run(spark, sf_dir):
     return out
 
 
+def _stored_merge(spark, sf_dir, compacted):
+    from ..session import scratch_path
+    from . import jobs, snapshot
+    t = trio(spark, sf_dir, ORDERS_TRIO)
+    tbl = scratch_path(spark, "history")
+    open_rows, closed_rows = snapshot.split_open(t.history)
+    snapshot.publish(spark, tbl, open_rows, closed_rows, fresh=True)
+    jobs.merge_into(spark, tbl, t.add, t.change, t.mk, AS_OF)
+    if compacted:
+        snapshot.compact(spark, tbl)
+    return snapshot.read_history(spark, tbl)
+
+
+@register("stored_merge", merge_sql(ORDERS_TRIO))
+def q_stored_merge(spark, sf_dir):
+    """A stored history, merged on read after an incremental run."""
+    return _stored_merge(spark, sf_dir, False)
+
+
+@register("stored_merge_compacted", merge_sql(ORDERS_TRIO))
+def q_stored_merge_compacted(spark, sf_dir):
+    """The same history after its open rows became a new base."""
+    return _stored_merge(spark, sf_dir, True)
+
+
+@register("staging_drop", FF.RAW_PLAIN_SQL + f"""
+SELECT {FF.typed_select_sql(AS_OF)} FROM raw
+WHERE _k % 3 = 0 AND o_orderkey IS NOT NULL AND o_orderdate IS NOT NULL
+UNION ALL
+SELECT {FF.typed_select_sql(AS_OF)} FROM raw WHERE _k % 3 = 1 AND o_orderkey IS NOT NULL
+UNION ALL
+SELECT * FROM (SELECT DISTINCT {FF.typed_select_sql(AS_OF)} FROM raw
+               WHERE _k % 3 = 2 AND o_orderkey IS NOT NULL)""")
+def q_staging_drop(spark, sf_dir):
+    """A run through staging tables, which are gone once it has succeeded."""
+    from ..session import scratch_path
+    from . import jobs, snapshot
+    root = FF.land_orders(spark, sf_dir, loads=_LOADS)
+    tbl, staging = scratch_path(spark, "table"), scratch_path(spark, "staging")
+    jobs.run_feed(spark, root, tbl, FF.ORDERS_FEED, AS_OF, full=True, staging_root=staging)
+    for path in jobs.staging_paths(staging, FF.ORDERS_FEED):
+        if snapshot.exists(spark, path):
+            raise AssertionError(f"{path} was not dropped")
+    return snapshot.read_history(spark, tbl)
+
+
 # --- width check --------------------------------------------------------------------
 
 
@@ -385,6 +426,16 @@ def q_width_check(spark, sf_dir):
                       F.col("max_len").cast("int").alias("max_len"))
 
 
+@register("width_enforce", """
+SELECT doc_id, length(text) <= 4000 AS width_ok,
+       CASE WHEN length(text) <= 4000 THEN text END AS text FROM documents""")
+def q_width_enforce(spark, sf_dir):
+    """Over-long texts flagged, and nulled, by the declared width."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    flagged = enforce_widths(d, [("text", 4000)], "flag")
+    return enforce_widths(flagged, [("text", 4000)], "null")
+
+
 # --- routing of published files ------------------------------------------------------
 
 LANDING_PREFIX = "landing/"
@@ -444,11 +495,13 @@ def q_landing_key(spark, sf_dir):
 # --- link index from pages ----------------------------------------------------------
 
 
-_LINKS_SQL = f"""WITH p AS (
-  SELECT page_id, regexp_extract_all(html, '{ANCHOR}', 1) AS u,
-         regexp_extract_all(html, '{ANCHOR}', 2) AS n FROM pages),
-links AS (SELECT page_id, CAST(generate_subscripts(u, 1) - 1 AS INTEGER) AS pos,
-                 unnest(n) AS name, unnest(u) AS url FROM p)"""
+# an anchor as DuckDB sees it: what stands between "<a " and "</a>"
+_LINKS_SQL = """WITH a AS (
+  SELECT page_id, unnest(string_split(html, '<a ')[2:]) AS x,
+         generate_subscripts(string_split(html, '<a ')[2:], 1) - 1 AS pos FROM pages),
+links AS (SELECT page_id, CAST(pos AS INTEGER) AS pos,
+                 split_part(substr(x, instr(x, '>') + 1), '</a>', 1) AS name,
+                 split_part(split_part(x, 'href="', 2), '"', 1) AS url FROM a)"""
 
 
 @register("link_index", _LINKS_SQL + "\nSELECT * FROM links")
@@ -456,9 +509,13 @@ def q_link_index(spark, sf_dir):
     return anchor_links(table(spark, sf_dir, "pages"))
 
 
-@register("link_exclude", _LINKS_SQL + "\nSELECT * FROM links WHERE NOT contains(name, 'problem')")
+@register("link_exclude", "WITH " + FF.INDEX_LINKS_SQL
+          + "\nSELECT page_id, name, url FROM links WHERE NOT contains(name, 'problem')")
 def q_link_exclude(spark, sf_dir):
-    return kept_links(anchor_links(table(spark, sf_dir, "pages")))
+    """Every anchor of the index pages but those of the excluded family and of
+    cells that are no file's."""
+    links = table_links(FF.index_pages(spark, sf_dir))
+    return kept_links(links).select("page_id", "name", "url")
 
 
 @register("url_basename", "SELECT page_id, url, regexp_extract(url, '[^/]*$') AS basename FROM pages")
@@ -470,18 +527,23 @@ def q_url_basename(spark, sf_dir):
 # --- archives ------------------------------------------------------------------------
 
 
-@register("archive_expand", "WITH " + FF.FIELDS_SQL[0:] + """
-SELECT concat_ws('|', COALESCE(f0, ''), COALESCE(f1, ''), COALESCE(f2, ''), COALESCE(f3, ''),
-                 COALESCE(f4, '')) AS line FROM fields""")
+@register("archive_expand", "WITH " + FF.DOCUMENT_LINES_SQL + "\nSELECT line FROM lines")
 def q_archive_expand(spark, sf_dir):
-    root = FF.zip_orders(spark, sf_dir)
-    lines = archive_lines(spark, root)
+    """Every document's text, accents and all, through zip archives."""
+    lines = archive_lines(spark, FF.zip_documents(spark, sf_dir))
     return lines.filter(F.col("line_no") > 0).select("line")
 
 
 # --- JDBC ----------------------------------------------------------------------------
 
 
+JDBC_ORDERS = make_spec("jdbc_orders", """
+o_orderkey int key
+o_orderstatus nvarchar(1)
+o_orderpriority nvarchar(15)
+""")
+
+
 @register("jdbc_append", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
 FROM orders""")
 def q_jdbc_append(spark, sf_dir):
@@ -492,7 +554,7 @@ def q_jdbc_append(spark, sf_dir):
     props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                               "o_totalprice", "o_orderpriority")
-    jdbc_append(o, url, "ORDERS_COPY", props, num_partitions=4)
+    jdbc_append(o, url, "ORDERS_COPY", props, num_partitions=8, spec=JDBC_ORDERS)
     back = jdbc_read(spark, url, "ORDERS_COPY", props)
     return back.toDF(*[c.lower() for c in back.columns])
 
@@ -521,25 +583,67 @@ def q_stream_merge(spark, sf_dir):
     return snapshot.read_history(spark, tbl)
 
 
-@register("archive_landing", "WITH " + FF.FIELDS_SQL + """
-SELECT 'mdrfoi_event' AS feed,
-       CASE _k % 3 WHEN 0 THEN 'FUL' WHEN 1 THEN 'add' ELSE 'change' END AS load,
-       concat_ws('|', COALESCE(f0, ''), COALESCE(f1, ''), COALESCE(f2, ''), COALESCE(f3, ''),
-                 COALESCE(f4, '')) AS line
-FROM fields""")
+@register("stream_merge_restart", FF.RAW_PLAIN_SQL + f"""
+SELECT {FF.typed_select_sql(AS_OF)} FROM raw
+WHERE _k % 3 = 0 AND o_orderkey IS NOT NULL AND o_orderdate IS NOT NULL
+UNION ALL
+SELECT {FF.typed_select_sql(AS_OF)} FROM raw WHERE _k % 3 = 1 AND o_orderkey IS NOT NULL
+UNION ALL
+SELECT * FROM (SELECT DISTINCT {FF.typed_select_sql(AS_OF)} FROM raw
+               WHERE _k % 3 = 2 AND o_orderkey IS NOT NULL)""")
+def q_stream_merge_restart(spark, sf_dir):
+    """FULL load; the ADD files arrive and a first stream folds them in; the
+    CHANGE files arrive and a second start of the stream goes on from there."""
+    from ..session import scratch_path
+    from ..sources.delimited import land_lines
+    from ..streaming import start_merge_stream
+    from . import jobs, snapshot
+    source = FF.land_orders(spark, sf_dir, loads=_LOADS)
+    landing, tbl = scratch_path(spark, "landing"), scratch_path(spark, "stream-table")
+    for load in _LOADS:
+        lines = (spark.read.text(f"{source}/feed={FF.ORDERS_FEED.name}/load={load}")
+                 .filter(F.col("value") != FF.HEADER).select(
+                     F.col("value").alias("line"), F.lit(FF.ORDERS_FEED.name).alias("feed"), F.lit(load).alias("load")))
+        land_lines(lines, landing, FF.HEADER, partition_by=("feed", "load"), mode="append")
+        if load == "FUL":
+            jobs.full_load(spark, landing, FF.ORDERS_FEED, tbl, AS_OF)
+        else:
+            start_merge_stream(spark, landing, FF.ORDERS_FEED, tbl, AS_OF).awaitTermination()
+    return snapshot.read_history(spark, tbl)
+
+
+@register("archive_landing", "WITH " + FF.DOCUMENT_LINES_SQL + """
+SELECT 'foitext_text' AS feed,
+       CASE doc_id % 3 WHEN 0 THEN 'FUL' WHEN 1 THEN 'add' ELSE 'change' END AS load, line FROM lines""")
 def q_archive_landing(spark, sf_dir):
-    """Published archives -> expanded, routed by name -> landed by feed and
-    load kind -> read back."""
+    """Archives of every document -> expanded, routed by name -> landed by feed
+    and load kind, twice -> read back."""
     from ..session import scratch_path
     from . import jobs
-    archives = FF.zip_orders(spark, sf_dir, by_load=True)
-    landing = scratch_path(spark, "landing")
-    jobs.land_archives(spark, archives, landing)
-    back = spark.read.text(landing)
+    archives, landing = FF.zip_documents(spark, sf_dir), scratch_path(spark, "landing")
+    for _ in range(2):
+        jobs.land_archives(spark, archives, landing)
+    back = spark.read.text(landing).filter(F.col("value") != jobs.LANDED_HEADER)
     return back.select("feed", "load", F.col("value").alias("line"))
 
 
-@register("published_files", _LINKS_SQL + """,
+@register("archive_full_load", FF.RAW_PLAIN_SQL + f"\nSELECT {FF.typed_select_sql(AS_OF)} FROM raw "
+          "WHERE _k % 3 = 0 AND o_orderkey IS NOT NULL AND o_orderdate IS NOT NULL")
+def q_archive_full_load(spark, sf_dir):
+    """Archives landed twice, then a FULL load, all by defaults."""
+    from dataclasses import replace
+
+    from ..session import scratch_path
+    from . import jobs, snapshot
+    archives, landing = FF.zip_orders(spark, sf_dir), scratch_path(spark, "landing")
+    for _ in range(2):
+        jobs.land_archives(spark, archives, landing)
+    tbl = scratch_path(spark, "table")
+    jobs.full_load(spark, landing, replace(FF.ORDERS_FEED, name="mdrfoi_event"), tbl, AS_OF)
+    return snapshot.read_history(spark, tbl)
+
+
+@register("published_files", "WITH " + FF.INDEX_LINKS_SQL + """,
 f AS (SELECT name, url, regexp_extract(url, '[^/]*$') AS filename FROM links
       WHERE NOT contains(name, 'problem')
         AND NOT (lower(name) LIKE '%change.zip' OR lower(name) LIKE '%add.zip')),
@@ -561,20 +665,19 @@ SELECT name, url, filename, stem,
                ELSE 'FUL/' END || landed AS landing_key
 FROM g""")
 def q_published_files(spark, sf_dir):
-    """Link index of every page -> exclusion -> FULL load filter -> routing."""
+    """Index pages of every event -> links -> exclusion -> FULL load filter ->
+    routing."""
     from . import jobs
-    links = anchor_links(table(spark, sf_dir, "pages"))
-    return jobs.published_files(links, "FUL", LANDING_PREFIX)
+    return jobs.published_files(table_links(FF.index_pages(spark, sf_dir)), "FUL", LANDING_PREFIX)
 
 
-@register("link_table_rule", """SELECT CAST(NULL AS BIGINT) AS page_id, CAST(NULL AS INTEGER) AS pos,
-       CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS url WHERE false""")
+@register("link_table_rule", "WITH " + FF.INDEX_LINKS_SQL
+          + "\nSELECT page_id, CAST(pos AS INTEGER) AS pos, name, url FROM links")
 def q_link_table_rule(spark, sf_dir):
-    """The published-index rule (first `table.table`, first cell, first
-    anchor) over every page.  The generated pages carry no index table, so
-    the answer is empty; the rule itself is checked on a hand-written page in
-    tests/test_sources.py."""
-    return kept_links(table_links(table(spark, sf_dir, "pages")))
+    """The published-index rule over an index page of every event: other tables,
+    header rows, cells without an anchor, entities, unclosed anchors and nested
+    tables."""
+    return table_links(FF.index_pages(spark, sf_dir))
 
 
 # --- wide layouts: the published feed specs filled from `events` -------------------
@@ -612,19 +715,22 @@ def q_ragged_report(spark, sf_dir):
 @register("wide_full_load", FF.layout_typed_sql(FEEDS["mdrfoi_event"], AS_OF))
 def q_wide_full_load(spark, sf_dir):
     """The event feed's published 82-column layout end to end: the whole
-    `events` table landed as pipe text, scanned positionally, typed with the
-    feed spec (rotating date formats, a date with a time part, ints as text),
-    filtered and stamped."""
-    spec = FEEDS["mdrfoi_event"]
-    root = FF.land_layout_from_events(spark, sf_dir, spec)
-    return typed(read_feed(spark, root, spec, "FUL"), spec, as_of=AS_OF, full_load=True)
+    `events` table landed as pipe text and FULL-loaded (rotating date formats,
+    a date with a time part, ints as text), then read back."""
+    return _full_load_of(spark, sf_dir, FEEDS["mdrfoi_event"])
+
+
+def _full_load_of(spark, sf_dir, spec):
+    from ..session import scratch_path
+    from . import jobs, snapshot
+    root, tbl = FF.land_layout_from_events(spark, sf_dir, spec), scratch_path(spark, f"table-{spec.name}")
+    jobs.full_load(spark, root, spec, tbl, AS_OF)
+    return snapshot.read_history(spark, tbl)
 
 
 def _layout_full_load(feed):
     def q(spark, sf_dir):
-        spec = FEEDS[feed]
-        root = FF.land_layout_from_events(spark, sf_dir, spec)
-        return typed(read_feed(spark, root, spec, "FUL"), spec, as_of=AS_OF, full_load=True)
+        return _full_load_of(spark, sf_dir, FEEDS[feed])
     q.__doc__ = f"FULL load of the published {feed} layout from landed `events` text."
     return q
 

@@ -1,67 +1,58 @@
 """Broadcast only what has been measured.
 
-``bounded`` runs one aggregate over a (small, usually key-only) DataFrame to
-get its exact row count and payload bytes.  Only when the measured size fits
-the limit is the frame marked for broadcast; otherwise the caller's join falls
-back to a shuffle join (sort-merge, with AQE skew splitting).
+``measure`` runs one aggregate over a (small, usually key-only) DataFrame to
+get its exact row count and its bytes in Spark's row format.  Only when that
+``fits`` the limit does the caller mark the frame for broadcast; otherwise its
+join is a shuffle join (sort-merge, with AQE skew splitting).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_LIMIT = 64 * 1024 * 1024   # bytes of measured payload
-ROW_OVERHEAD = 24                   # per-row bytes on top of the payload (hash map entry, row header)
+DEFAULT_LIMIT = 64 * 1024 * 1024   # bytes of measured rows
+ROW_OVERHEAD = 24                   # per-row bytes on top of the row (hash map entry, row header)
 LIMIT_CONF = "strata.broadcast.maxBytes"
 
 
-@dataclass
-class Measured:
-    df: DataFrame          # broadcast-marked when small, else the plain frame
-    rows: int
-    bytes: int
-    broadcast: bool
-
-
 def broadcast_limit(spark: SparkSession) -> int:
     v = spark.conf.get(LIMIT_CONF, None)
     return int(v) if v else DEFAULT_LIMIT
 
 
 def measure(df: DataFrame) -> tuple[int, int]:
-    """Exact (rows, payload bytes) of ``df`` in one pass."""
+    """Exact (rows, bytes) of ``df`` in one pass."""
     if not df.columns:
         return df.count(), 0
     r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
     return int(r["n"]), int(r["b"] or 0)
 
 
-# Bytes of fixed-width values (as held in Spark's binary row format).
-FIXED_BYTES = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4,
-               "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
-
-
 def row_bytes(df: DataFrame):
-    """Per-row payload bytes: fixed widths for fixed-width types (no
-    per-value work), actual octets for strings and other variable types."""
-    fixed = 0
+    """Bytes of a row in Spark's binary format: the null bits, eight bytes per
+    column, and the octets of strings and other variable types, padded to
+    eight."""
+    fixed = 8 * ((len(df.columns) + 63) // 64) + 8 * len(df.columns)
     var = []
     for c, t in df.dtypes:
-        if t in FIXED_BYTES:
-            fixed += FIXED_BYTES[t]
-        elif t.startswith("string") or t == "binary":
-            var.append(F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)))
-        else:
-            var.append(F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)))
+        if t in FIXED:
+            continue
+        x = F.col(f"`{c}`")
+        n = F.octet_length(x if t.startswith("string") or t == "binary" else x.cast("string"))
+        var.append(F.coalesce(F.ceil(n / 8) * 8, F.lit(0)))
     return reduce(lambda a, b: a + b, var, F.lit(fixed))
 
 
+# Types held in a row's fixed part.
+FIXED = {"boolean", "tinyint", "smallint", "int", "date", "float", "bigint", "double", "timestamp",
+         "timestamp_ntz"}
+
+
 def measure_all(frames: list[DataFrame]) -> list[tuple[int, int]]:
-    """Exact (rows, payload bytes) of several frames in a single job."""
+    """Exact (rows, bytes) of several frames in a single job."""
     parts = []
     for i, df in enumerate(frames):
         parts.append(df.agg(F.lit(i).alias("i"), F.count(F.lit(1)).alias("n"),
@@ -95,16 +86,3 @@ def measure_with_multiplicity(frames: list[DataFrame], keyed: DataFrame,
 
 def fits(rows: int, payload: int, limit: int) -> bool:
     return payload + rows * ROW_OVERHEAD <= limit
-
-
-def bounded(df: DataFrame, limit: int | None = None, persist: bool = True) -> Measured:
-    """Measure ``df``; mark it for broadcast only if it fits ``limit``."""
-    if limit is None:
-        limit = broadcast_limit(df.sparkSession)
-    if persist:
-        df = df.persist()
-    rows, payload = measure(df)
-    size = payload + rows * ROW_OVERHEAD
-    if size <= limit:
-        return Measured(F.broadcast(df), rows, size, True)
-    return Measured(df, rows, size, False)

@@ -1,76 +1,120 @@
-"""History tables as versioned Parquet snapshots with an open/closed split.
+"""History tables as versioned Parquet snapshots, merged on read.
 
 Layout under a table root (any shared file system Spark writes to)::
 
-    data/run=<n>/is_open=true/     all open versions as of run n
-    data/run=<n>/is_open=false/    versions closed by run n (never rewritten)
-    _versions/                     append-only JSON pointers
-                                   {version, closed_from, batch_id}
-
-Run n writes its open set and its newly closed rows in ONE partitioned write
-(``data/run=n``), and only then appends pointer n; the highest pointer is
-current.  Readers therefore always see complete runs: a half-written or
-retried run has a number above the pointer, and its folder is simply
-overwritten by the retry.  Closed rows, the bulk of a long history, are
-written once and afterwards only read; the history at version v is
-
-    data/run=v/is_open=true  +  data/run in [closed_from, v]/is_open=false
-
-(partition-pruned).  A FULL load starts a fresh history by moving
-``closed_from`` to its own run.
+    data/run=<n>/part=base/      all versions open as of run n (FULL load, compaction)
+    data/run=<n>/part=new/       versions opened by run n
+    data/run=<n>/part=closed/    versions closed by run n, with the run that opened them
+    _versions/v<n>.json          pointer {version, base, closed_from, batch_id, stream_id}
+
+A run writes its parts in one partitioned write and only then creates its
+pointer; the highest pointer is current.  Pointers are created, never
+replaced: of two writers of one version the second fails.  A run takes a
+number above every pointer and every run folder, so what a failed run left
+behind is neither read nor written over.
+
+An incremental run writes what it opens and what it closes and nothing else;
+its cost follows the batch, not the history.  The open versions at version v
+are ``base`` and every ``new`` part since, less the ``closed`` parts since
+(matched on the opening run and all business columns; equal rows opened by one
+run close together).  ``compact`` writes them as a new base.  Readers name the
+exact folders of the runs that have pointers; nothing else is listed.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..specs import END_DATE
+from .sizing import broadcast_limit, fits, measure
 
-POINTER_SCHEMA = T.StructType([T.StructField("version", T.LongType()),
-                               T.StructField("closed_from", T.LongType()),
-                               T.StructField("batch_id", T.LongType())])
-PART_COLS = [T.StructField("run", T.LongType()), T.StructField("is_open", T.BooleanType())]
+RUN = "__run"            # the run that opened a version
+BASE, NEW, CLOSED = "base", "new", "closed"
 
 
 @dataclass(frozen=True)
 class Pointer:
     version: int
+    base: int
     closed_from: int
-    batch_id: int | None = None   # last stream micro-batch folded in (exactly-once)
+    batch_id: int | None = None    # last stream micro-batch folded in ...
+    stream_id: str | None = None   # ... of this stream
+
+
+class VersionExists(RuntimeError):
+    """Another writer has published this version."""
 
 
 def _p(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts])
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def _numbers(names: list[str], prefix: str, suffix: str = "") -> list[int]:
+    """The n of names ``<prefix>n<suffix>``, ascending."""
+    out = []
+    for name in names:
+        if name.startswith(prefix) and name.endswith(suffix):
+            n = name[len(prefix):len(name) - len(suffix)]
+            if n.isdigit():
+                out.append(int(n))
+    return sorted(out)
+
+
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Published versions, ascending."""
+    return _numbers(_names(spark, _p(root, "_versions")), "v", ".json")
+
+
 def current(spark: SparkSession, root: str) -> Pointer | None:
-    try:
-        row = (spark.read.schema(POINTER_SCHEMA).json(_p(root, "_versions"))
-               .orderBy(F.col("version").desc()).first())
-    except Exception:  # noqa: BLE001 - no table yet
-        return None
-    if row is None:
-        return None
-    b = row["batch_id"]
-    return Pointer(int(row["version"]), int(row["closed_from"]), None if b is None else int(b))
+    """The highest pointer; None only if the table has none.  A pointer that
+    cannot be read is an error, not an absent table."""
+    found = versions(spark, root)
+    return _pointer(spark, root, found[-1]) if found else None
 
 
-def _switch(spark: SparkSession, root: str, ptr: Pointer) -> None:
-    # Appending is atomic at job commit: the new pointer appears whole or not
-    # at all, and the previous pointers stay readable throughout.
-    (spark.createDataFrame([(ptr.version, ptr.closed_from, ptr.batch_id)], POINTER_SCHEMA)
-     .coalesce(1).write.mode("append").json(_p(root, "_versions")))
+def _pointer(spark: SparkSession, root: str, version: int) -> Pointer:
+    path = _p(root, "_versions", f"v{version}.json")
+    text = "".join(r[0] for r in spark.read.text(path, wholetext=True).take(1))
+    try:
+        return Pointer(**json.loads(text))
+    except (ValueError, TypeError) as e:
+        raise RuntimeError(f"unreadable version pointer {path}") from e
 
 
-def _data(spark: SparkSession, root: str, schema: T.StructType | None) -> DataFrame:
-    r = spark.read.option("basePath", _p(root, "data"))
-    if schema is not None:
-        r = r.schema(T.StructType(list(schema.fields) + PART_COLS))
-    return r.parquet(_p(root, "data"))
+def _switch(spark: SparkSession, root: str, ptr: Pointer) -> None:
+    fs, p = _fs(spark, _p(root, "_versions", f"v{ptr.version}.json"))
+    try:
+        out = fs.create(p, False)      # fails if it exists
+    except Exception as e:
+        if fs.exists(p):
+            raise VersionExists(f"version {ptr.version} of {root} exists") from e
+        raise
+    try:
+        out.write(bytearray(json.dumps(asdict(ptr)).encode()))
+    finally:
+        out.close()
 
 
 def _require(spark: SparkSession, root: str, ptr: Pointer | None) -> Pointer:
@@ -80,99 +124,168 @@ def _require(spark: SparkSession, root: str, ptr: Pointer | None) -> Pointer:
     return ptr
 
 
+def _next_run(spark: SparkSession, root: str) -> int:
+    used = versions(spark, root) + _numbers(_names(spark, _p(root, "data")), "run=")
+    return max(used, default=-1) + 1
+
+
+def _parts(spark: SparkSession, root: str, wanted: list[tuple[int, str]],
+           schema: T.StructType) -> DataFrame:
+    """Rows of the named parts that exist, with ``RUN`` as the part's run
+    unless the part holds it."""
+    schema = T.StructType([f for f in schema.fields if f.name != RUN])
+    paths = {False: [], True: []}
+    for run, part in wanted:
+        path = _p(root, "data", f"run={run}", f"part={part}")
+        if exists(spark, path):
+            paths[part == CLOSED].append(path)
+    out = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(RUN, T.LongType())]))
+    if paths[False]:
+        d = (spark.read.option("basePath", _p(root, "data"))
+             .schema(T.StructType([*schema.fields, T.StructField("run", T.LongType()),
+                                   T.StructField("part", T.StringType())])).parquet(*paths[False]))
+        out = d.withColumn(RUN, F.col("run")).drop("run", "part")
+    if paths[True]:
+        d = spark.read.schema(T.StructType([*schema.fields, T.StructField(RUN, T.LongType())])
+                              ).parquet(*paths[True])
+        out = out.unionByName(d) if paths[False] else d
+    return out
+
+
+def table_schema(spark: SparkSession, root: str, ptr: Pointer) -> T.StructType:
+    """Columns of a stored history (from the base part, which every version has)."""
+    found = spark.read.parquet(_p(root, "data", f"run={ptr.base}", f"part={BASE}")).schema
+    return T.StructType([f for f in found.fields if f.name != RUN])
+
+
+def _runs(spark: SparkSession, root: str, first: int, last: int) -> list[int]:
+    return [v for v in versions(spark, root) if first <= v <= last]
+
+
+def open_with_run(spark: SparkSession, root: str, schema: T.StructType | None = None,
+                  ptr: Pointer | None = None) -> DataFrame:
+    """Open versions with ``RUN``, the run that opened each."""
+    ptr = _require(spark, root, ptr)
+    schema = schema or table_schema(spark, root, ptr)
+    since = _runs(spark, root, ptr.base + 1, ptr.version)
+    rows = _parts(spark, root, [(ptr.base, BASE), *((r, NEW) for r in since)], schema)
+    if not since:
+        return rows
+    gone = _parts(spark, root, [(r, CLOSED) for r in since], schema)
+    names = [f.name for f in schema.fields if f.name != END_DATE]
+    gone = gone.select(*[F.col(f"`{c}`") for c in [*names, RUN]])
+    if fits(*measure(gone), broadcast_limit(spark)):
+        gone = F.broadcast(gone)
+    same = F.col(f"o.{RUN}") == F.col(f"g.{RUN}")
+    for c in names:
+        same &= F.col(f"o.`{c}`").eqNullSafe(F.col(f"g.`{c}`"))
+    return rows.alias("o").join(gone.alias("g"), same, "left_anti")
+
+
 def read_open(spark: SparkSession, root: str, schema: T.StructType | None = None,
               ptr: Pointer | None = None) -> DataFrame:
-    """Open versions of the current (or given) version: one folder."""
-    ptr = _require(spark, root, ptr)
-    d = _data(spark, root, schema)
-    return (d.filter((F.col("run") == ptr.version) & F.col("is_open"))
-            .drop("run", "is_open"))
+    """Open versions of the current (or given) version."""
+    return open_with_run(spark, root, schema, ptr).drop(RUN)
 
 
 def read_closed(spark: SparkSession, root: str, schema: T.StructType | None = None,
                 ptr: Pointer | None = None) -> DataFrame:
     """Closed versions visible at the current (or given) version."""
     ptr = _require(spark, root, ptr)
-    d = _data(spark, root, schema)
-    return (d.filter(F.col("run").between(ptr.closed_from, ptr.version) & ~F.col("is_open"))
-            .drop("run", "is_open"))
+    schema = schema or table_schema(spark, root, ptr)
+    runs = _runs(spark, root, ptr.closed_from, ptr.version)
+    return _parts(spark, root, [(r, CLOSED) for r in runs], schema).drop(RUN)
 
 
 def read_history(spark: SparkSession, root: str, schema: T.StructType | None = None,
                  ptr: Pointer | None = None, open_only: bool = False) -> DataFrame:
-    """Open plus visible closed versions, as one partition-pruned scan."""
+    """Open plus visible closed versions."""
     ptr = _require(spark, root, ptr)
-    if open_only:
-        return read_open(spark, root, schema, ptr)
-    d = _data(spark, root, schema)
-    keep = (((F.col("run") == ptr.version) & F.col("is_open"))
-            | (F.col("run").between(ptr.closed_from, ptr.version) & ~F.col("is_open")))
-    return d.filter(keep).drop("run", "is_open")
+    rows = read_open(spark, root, schema, ptr)
+    return rows if open_only else rows.unionByName(read_closed(spark, root, schema, ptr))
+
+
+def _publish(spark: SparkSession, root: str, parts: dict[str, DataFrame | None], prev: Pointer | None,
+             base: bool, fresh: bool, batch_id: int | None, stream_id: str | None) -> Pointer:
+    n = _next_run(spark, root)
+    if prev is not None and versions(spark, root)[-1] != prev.version:
+        raise VersionExists(f"{root} has moved on from version {prev.version}")
+    out = None
+    for name, rows in parts.items():
+        if rows is not None:
+            if RUN not in rows.columns:
+                rows = rows.withColumn(RUN, F.lit(n).cast("long"))
+            rows = rows.withColumn("part", F.lit(name))
+            out = rows if out is None else out.unionByName(rows)
+    out.write.mode("errorifexists").partitionBy("part").parquet(_p(root, "data", f"run={n}"))
+    if base and not exists(spark, _p(root, "data", f"run={n}", f"part={BASE}")):
+        # no row is open: an empty base part still holds the columns
+        parts[BASE].limit(0).write.parquet(_p(root, "data", f"run={n}", f"part={BASE}"))
+    if batch_id is None and prev is not None:
+        batch_id, stream_id = prev.batch_id, prev.stream_id
+    new = Pointer(n, n if base else prev.base, n if fresh or prev is None else prev.closed_from,
+                  batch_id, stream_id)
+    _switch(spark, root, new)
+    return new
 
 
 def publish(spark: SparkSession, root: str, open_rows: DataFrame,
-            closed_rows: DataFrame | None = None, fresh: bool = False,
-            batch_id: int | None = None, ptr: Pointer | None = None) -> Pointer:
-    """Write run n+1 (open set + newly closed rows, one job) and switch to it.
+            closed_rows: DataFrame | None = None, fresh: bool = False, batch_id: int | None = None,
+            stream_id: str | None = None, ptr: Pointer | None = None) -> Pointer:
+    """Write a new base (all open rows) and newly closed rows, and switch to it.
 
     ``fresh`` (a FULL load) hides every earlier closed run.
     """
     prev = ptr or current(spark, root)
-    n = 0 if prev is None else prev.version + 1
-    closed_from = n if (fresh or prev is None) else prev.closed_from
-    out = open_rows.withColumn("is_open", F.lit(True))
-    if closed_rows is not None:
-        out = out.unionByName(closed_rows.select(*open_rows.columns)
-                              .withColumn("is_open", F.lit(False)))
-    out.write.mode("overwrite").partitionBy("is_open").parquet(_p(root, "data", f"run={n}"))
-    if batch_id is None and prev is not None:
-        batch_id = prev.batch_id
-    new = Pointer(n, closed_from, batch_id)
-    _switch(spark, root, new)
-    return new
+    return _publish(spark, root, {BASE: open_rows.drop(RUN), CLOSED: closed_rows}, prev, True, fresh,
+                    batch_id, stream_id)
+
+
+def publish_delta(spark: SparkSession, root: str, opened: DataFrame, closing: DataFrame,
+                  ptr: Pointer, batch_id: int | None = None, stream_id: str | None = None) -> Pointer:
+    """Write only what a run opens and closes.  ``closing`` carries ``RUN``
+    (null: opened by this very run)."""
+    n = _next_run(spark, root)
+    closing = closing.withColumn(RUN, F.coalesce(F.col(RUN), F.lit(n).cast("long")))
+    return _publish(spark, root, {NEW: opened.drop(RUN), CLOSED: closing}, ptr, False, False,
+                    batch_id, stream_id)
+
+
+def compact(spark: SparkSession, root: str) -> Pointer:
+    """Write the open versions as a new base; the history stays the same."""
+    ptr = _require(spark, root, None)
+    return publish(spark, root, read_open(spark, root, ptr=ptr), None, ptr=ptr)
 
 
 def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Delete open sets superseded more than ``keep`` versions ago.
+    """Delete base and new parts that none of the last ``keep`` versions reads.
 
-    Closed folders and the pointers are never touched; versions older than
-    ``current - keep + 1`` can no longer be read afterwards.  Uses the Hadoop
-    file system of the table path, so it works on any store Spark writes to.
-    Returns the deleted folders.
+    Closed parts and pointers are never touched; older versions can no longer
+    be read afterwards.  Returns the deleted folders.
     """
-    ptr = current(spark, root)
-    if ptr is None or keep < 1:
+    found = versions(spark, root)
+    if not found or keep < 1:
         return []
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    base = jvm.org.apache.hadoop.fs.Path(_p(root, "data"))
-    fs = base.getFileSystem(conf)
+    oldest_base = _pointer(spark, root, found[-keep:][0]).base
     gone = []
-    for st in fs.listStatus(base):
-        name = st.getPath().getName()
-        if not name.startswith("run="):
-            continue
-        run = int(name[len("run="):])
-        if run <= ptr.version - keep:
-            open_dir = jvm.org.apache.hadoop.fs.Path(st.getPath(), "is_open=true")
-            if fs.exists(open_dir):
-                fs.delete(open_dir, True)
-                gone.append(open_dir.toString())
+    for run in _numbers(_names(spark, _p(root, "data")), "run="):
+        for part in (BASE, NEW):
+            path = _p(root, "data", f"run={run}", f"part={part}")
+            if run < oldest_base and drop_table(spark, path):
+                gone.append(path)
     return gone
 
 
 def drop_table(spark: SparkSession, path: str) -> bool:
     """Drop a path-based table if it exists (staging clean-up)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = _fs(spark, path)
     return bool(fs.exists(p) and fs.delete(p, True))
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
     """Drop-and-create of a staging or target table: overwrite, then read back."""
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def split_open(history: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,19 +1,21 @@
 """Zip archives -> text lines, one task per archive.
 
 Zip is not splittable, so each archive is expanded by the task that reads it
-(``binaryFile`` source + ``mapInPandas``).  Lines are yielded in bounded
-batches, so a large member never sits in memory as one frame.  Downstream,
-landed text is splittable again, so only the expansion itself is per-archive.
+(``binaryFile`` source + ``mapInArrow``).  Members are read in blocks and lines
+leave in batches, so a large member never sits in memory as one frame; landed
+text is splittable again.  ``binaryFile`` holds an archive as one value, which
+limits an archive (not a member) to 2 GB; a larger one fails the job.
+
+Text is kept as it is: bytes are decoded as UTF-8 unless another encoding is
+named, and bytes that the encoding cannot hold fail the job.
 """
 
 from __future__ import annotations
 
-import io
 import zipfile
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LINE_SCHEMA = T.StructType([
@@ -22,47 +24,49 @@ LINE_SCHEMA = T.StructType([
     T.StructField("line_no", T.LongType()),
     T.StructField("line", T.StringType()),
 ])
-BATCH_LINES = 50_000
+BLOCK_BYTES = 4 << 20
+
+
+def _line_blocks(member):
+    """Lists of whole lines (bytes, without their ends) of an open member."""
+    rest = b""
+    while block := member.read(BLOCK_BYTES):
+        *lines, rest = (rest + block).split(b"\n")
+        if lines:
+            yield [x.removesuffix(b"\r") for x in lines]
+    if rest:
+        yield [rest.removesuffix(b"\r")]
+
+
+def _text(lines: list[bytes], encoding: str) -> pa.Array:
+    if encoding.lower().replace("-", "") == "utf8":
+        return pa.array(lines, pa.binary()).cast(pa.string())     # checked, not copied
+    return pa.array([x.decode(encoding) for x in lines], pa.string())
 
 
 def _expand(batches, encoding: str):
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            archive = path.rsplit("/", 1)[-1]
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
+    names = LINE_SCHEMA.names
+    for b in batches:
+        for path, content in zip(b.column(0), b.column(1)):
+            archive = path.as_py().rsplit("/", 1)[-1]
+            with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as zf:
                 for info in zf.infolist():
                     if info.is_dir():
                         continue
-                    buf = {"archive": [], "member": [], "line_no": [], "line": []}
-                    with zf.open(info) as fh:
-                        text = io.TextIOWrapper(fh, encoding=encoding, errors="replace", newline=None)
-                        for i, line in enumerate(text):
-                            buf["archive"].append(archive)
-                            buf["member"].append(info.filename)
-                            buf["line_no"].append(i)
-                            buf["line"].append(line.rstrip("\r\n"))
-                            if len(buf["line"]) >= BATCH_LINES:
-                                yield pd.DataFrame(buf)
-                                buf = {k: [] for k in buf}
-                    if buf["line"]:
-                        yield pd.DataFrame(buf)
+                    done = 0
+                    with zf.open(info) as member:
+                        for lines in _line_blocks(member):
+                            n = len(lines)
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.repeat(pa.scalar(archive), n), pa.repeat(pa.scalar(info.filename), n),
+                                 pa.array(range(done, done + n), pa.int64()), _text(lines, encoding)], names)
+                            done += n
 
 
 def archive_lines(spark: SparkSession, path: str, glob: str = "*.zip",
-                  encoding: str = "latin-1") -> DataFrame:
-    """(archive, member, line_no, line) for every line of every zip member.
-
-    ``binaryFile`` holds one archive per row (up to 2 GB each); the read is
-    listed and distributed by Spark, one archive per task after expansion.
-    """
+                  encoding: str = "utf-8") -> DataFrame:
+    """(archive, member, line_no, line) for every line of every zip member."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").load(path)
              .select("path", "content"))
-    return files.mapInPandas(lambda it: _expand(it, encoding), LINE_SCHEMA)
-
-
-def archive_listing(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
-    """File names only (no content read): what routing needs."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true").load(path)
-            .select(F.substring_index("path", "/", -1).alias("name"), "path", "length"))
+    return files.mapInArrow(lambda it: _expand(it, encoding), LINE_SCHEMA)

@@ -60,25 +60,30 @@ def ragged_report(raw: DataFrame, spec: FeedSpec) -> DataFrame:
 def read_feed(spark: SparkSession, root: str, spec: FeedSpec, load: str, **kw) -> DataFrame:
     """Every file of one feed and load kind under a ``feed=/load=`` landing root.
 
-    The partition columns are pruned by the filter, so only the matching folder
-    is listed and read.
-    """
+    Names the exact folder, so no other is listed; a folder that does not
+    exist holds no rows."""
     schema = spec.raw_schema(with_tech=True)
-    schema = T.StructType(list(schema.fields) + [T.StructField("feed", T.StringType()),
-                                                 T.StructField("load", T.StringType())])
-    df = read_delimited(spark, root, schema, **kw)
-    return (df.filter((F.col("feed") == spec.name) & (F.col("load") == load))
-              .drop("feed", "load"))
+    path = f"{root.rstrip('/')}/feed={spec.name}/load={load}"
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return spark.createDataFrame([], schema)
+    df = read_delimited(spark, path, schema, **kw)
+    return df.drop("archive")     # the folder of the archive that a file came from
 
 
 def land_lines(lines: DataFrame, path: str, header: str, partition_by=(),
-               mode: str = "overwrite") -> None:
+               mode: str = "overwrite", replace_partitions: bool = False) -> None:
     """Write pre-joined text lines (column ``line``) so that every output file
     starts with ``header``: the CSV writer's own header, with quoting off and
-    a separator that never occurs, writes each line verbatim."""
+    a separator that never occurs, writes each line verbatim.  With
+    ``replace_partitions`` only the partitions that ``lines`` fills are
+    overwritten."""
     w = (lines.select(F.col("line").alias(header), *partition_by)
          .write.mode(mode).option("header", True).option("sep", "\u0001")
          .option("quote", "\u0000").option("escapeQuotes", False))
+    if replace_partitions:
+        w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)

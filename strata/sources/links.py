@@ -3,18 +3,19 @@
 Two rules:
 
 * ``table_links`` -- the published-index rule: in the first
-  ``<table class="table">`` of a page, skip the header row, take the first
-  cell of each row and its first anchor -> (name = anchor text, url = href);
-  rows whose first cell has no anchor are dropped.  Needs an HTML parser, so
-  it runs per batch of pages in ``mapInPandas`` (stdlib parser, no driver
-  round trip).
-* ``anchor_links`` -- every plain ``<a href="...">text</a>`` of a page, in
-  page order, with built-in ``regexp_extract_all`` + ``posexplode`` (JVM only).
+  ``<table class="table">`` of a page, skip the first row, take the first
+  cell of each other row, rows of nested tables included, and its first
+  anchor -> (name = anchor text, url = href); rows whose first cell has no
+  anchor are dropped.  An anchor that is not closed ends with its cell.  Needs
+  an HTML parser, so it runs per batch of pages in ``mapInPandas`` (stdlib
+  parser, no driver round trip).
+* ``anchor_links`` -- every ``<a .. href=..>text</a>`` of a page, in page order,
+  with built-in ``regexp_extract_all`` + ``posexplode`` (JVM only); tags inside
+  the text are taken out.
 """
 
 from __future__ import annotations
 
-from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -31,17 +32,29 @@ LINK_SCHEMA = T.StructType([
     T.StructField("url", T.StringType()),
 ])
 
-ANCHOR = r'<a href="([^"]*)">([^<]*)</a>'
+ANCHOR = r"""(?is)<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))[^>]*>(.*?)</a\s*>"""
 
 
 def anchor_links(pages: DataFrame, html_col: str = "html", id_col: str = "page_id") -> DataFrame:
-    hrefs = F.regexp_extract_all(F.col(html_col), F.lit(ANCHOR), 1)
-    texts = F.regexp_extract_all(F.col(html_col), F.lit(ANCHOR), 2)
-    return (pages.select(F.col(id_col).cast("long").alias("page_id"),
-                         F.arrays_zip(hrefs.alias("url"), texts.alias("name")).alias("a"))
-            .select("page_id", F.posexplode("a").alias("pos", "a"))
+    html = F.col(html_col)
+    group = lambda g: F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(g))
+    # the URL is in one of three groups, by its quotes; the others are empty
+    parts = F.arrays_zip(group(1).alias("a"), group(2).alias("b"), group(3).alias("c"), group(4).alias("t"))
+    return (pages.select(F.col(id_col).cast("long").alias("page_id"), F.posexplode(parts).alias("pos", "x"))
             .select("page_id", F.col("pos").cast("int").alias("pos"),
-                    F.col("a.name").alias("name"), F.col("a.url").alias("url")))
+                    F.regexp_replace("x.t", "<[^>]*>", "").alias("name"),
+                    F.concat("x.a", "x.b", "x.c").alias("url")))
+
+
+class _Row:
+    """A table row being read: its first cell and that cell's first anchor."""
+
+    def __init__(self):
+        self.cell = None      # how many cells were open when the first began
+        self.done = False     # the first cell has ended
+        self.href = None
+        self.text = None      # pieces of the anchor's text, once it has begun
+        self.reading = False
 
 
 class _IndexTable(HTMLParser):
@@ -49,68 +62,62 @@ class _IndexTable(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.links: list[tuple[str, str]] = []
-        self.depth = 0          # depth inside the chosen table (nested tables)
+        self.rows: list[_Row] = []      # in order of their start
+        self.open: list[_Row] = []
+        self.tables = self.cells = 0
         self.done = False
-        self.row = -1
-        self.cell = -1
-        self.in_first_cell = False
-        self.anchor_taken = False
-        self.in_anchor = False
-        self.href = None
-        self.text: list[str] = []
 
     def handle_starttag(self, tag, attrs):
         if self.done:
             return
-        if tag == "table":
-            if self.depth:
-                self.depth += 1
-            elif "table" in (dict(attrs).get("class") or "").split():
-                self.depth = 1
-            return
-        if self.depth != 1:
+        if tag == "table" and (self.tables or "table" in (dict(attrs).get("class") or "").split()):
+            self.tables += 1
+        if not self.tables:
             return
         if tag == "tr":
-            self.row += 1
-            self.cell = -1
-            self.in_first_cell = False
-            self.anchor_taken = False
-        elif tag in ("td", "th"):
-            if tag == "td":
-                self.cell += 1
-                self.in_first_cell = self.row > 0 and self.cell == 0
-            else:
-                self.in_first_cell = False
-        elif tag == "a" and self.in_first_cell and not self.anchor_taken:
-            self.in_anchor = True
-            self.anchor_taken = True
-            self.href = dict(attrs).get("href")
-            self.text = []
+            self.rows.append(_Row())
+            self.open.append(self.rows[-1])
+        elif tag == "td":
+            for r in self.open:
+                if r.cell is None:
+                    r.cell = self.cells
+            self.cells += 1
+        elif tag == "a":
+            for r in self.open:
+                r.reading = False
+                if r.cell is not None and not r.done and r.text is None:
+                    r.href, r.text, r.reading = dict(attrs).get("href"), [], True
 
     def handle_endtag(self, tag):
-        if self.done or not self.depth:
+        if self.done or not self.tables:
             return
-        if tag == "table":
-            self.depth -= 1
-            if self.depth == 0:
-                self.done = True
-        elif tag == "a" and self.in_anchor:
-            self.in_anchor = False
-            self.links.append(("".join(self.text), self.href))
-        elif tag == "td":
-            self.in_first_cell = False
+        if tag == "a":
+            for r in self.open:
+                r.reading = False
+        elif tag == "td" and self.cells:
+            self.cells -= 1
+            for r in self.open:
+                if r.cell == self.cells:
+                    r.done, r.reading = True, False
+        elif tag == "tr" and self.open:
+            r = self.open.pop()
+            r.done, r.reading = True, False
+        elif tag == "table":
+            self.tables -= 1
+            self.done = not self.tables
 
     def handle_data(self, data):
-        if self.in_anchor:
-            self.text.append(data)
+        if not self.done:
+            for r in self.open:
+                if r.reading:
+                    r.text.append(data)
 
 
 def parse_index_table(html: str) -> list[tuple[str, str]]:
     p = _IndexTable()
     p.feed(html or "")
     p.close()
-    return [(unescape(n), u) for n, u in p.links]
+    return [("".join(r.text), r.href) for r in p.rows[1:] if r.text is not None]
 
 
 def _table_batches(batches):

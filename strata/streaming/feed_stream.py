@@ -5,11 +5,13 @@ holds the newly landed ADD and CHANGE files; ``foreachBatch`` types them and
 merges them into the stored history in statement order (ADD first, then
 CHANGE), publishing one snapshot version per micro-batch.
 
-Exactly once: the micro-batch id is stored in the snapshot pointer together
-with the version it produced, so a batch replayed after a failure (its commit
-not yet logged by the stream) is recognised and skipped.  The stream's own
-checkpoint (offsets, seen files) lives under ``spark.checkpoint.dir`` unless a
-location is given.
+Exactly once: the id of the stream and of its micro-batch are stored in the
+snapshot pointer together with the version that the batch produced, so a batch
+replayed after a failure (its commit not yet logged by the stream) is
+recognised and skipped.  The stream's own checkpoint (its id, offsets, seen
+files) is kept with the table unless another place is given, so a later start
+goes on where the last one ended.  A stream with a new checkpoint has a new id;
+none of its batches is taken for one that was folded in before.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.merge import MergeKeys
 from ..operators.typed import typed
 from ..plans import jobs, snapshot
-from ..session import scratch_path
 from ..specs import FeedSpec
 
 
@@ -36,18 +37,22 @@ def feed_stream(spark: SparkSession, landing: str, spec: FeedSpec, header: bool
          .option("mode", "PERMISSIVE"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = r.csv(landing)
+    df = r.csv(landing).drop("archive")
     return df.filter((F.col("feed") == spec.name) & F.col("load").isin("add", "change"))
 
 
 def merge_batch(spark: SparkSession, table_root: str, spec: FeedSpec, as_of,
                 null_safe: bool = False):
-    """The foreachBatch body: type, split by load kind, merge, publish."""
+    """The foreachBatch body: type, split by load kind, merge, publish.
+    ``as_of``: a date, or a function of the batch id, for a stream that runs
+    over days."""
     mk = MergeKeys.of(spec)
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         ptr = snapshot.current(spark, table_root)
-        if ptr is not None and ptr.batch_id is not None and batch_id <= ptr.batch_id:
+        if ptr is not None and ptr.batch_id is not None and ptr.stream_id == stream_id \
+                and batch_id <= ptr.batch_id:
             return  # already folded in before a restart
         batch = batch.persist()
         try:
@@ -55,8 +60,9 @@ def merge_batch(spark: SparkSession, table_root: str, spec: FeedSpec, as_of,
                 return  # e.g. only FULL files arrived: nothing to merge, no version
             add = typed(batch.filter(F.col("load") == "add"), spec)
             chg = typed(batch.filter(F.col("load") == "change"), spec)
-            jobs.merge_into(spark, table_root, add, chg, mk, as_of, null_safe,
-                            batch_id=batch_id)
+            day = as_of(batch_id) if callable(as_of) else as_of
+            jobs.merge_into(spark, table_root, add, chg, mk, day, null_safe,
+                            batch_id=batch_id, stream_id=stream_id)
         finally:
             batch.unpersist()
     return run
@@ -70,7 +76,7 @@ def start_merge_stream(spark: SparkSession, landing: str, spec: FeedSpec, table_
     """Start the stream.  ``available_now`` drains what has landed and stops
     (a scheduled incremental run); otherwise it polls every
     ``processing_time``."""
-    checkpoint = checkpoint or scratch_path(spark, f"stream-{spec.name}")
+    checkpoint = checkpoint or f"{table_root.rstrip('/')}/_stream/{spec.name}"
     w = (feed_stream(spark, landing, spec, header, max_files_per_trigger).writeStream
          .foreachBatch(merge_batch(spark, table_root, spec, as_of, null_safe))
          .option("checkpointLocation", checkpoint))

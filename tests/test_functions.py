@@ -58,9 +58,9 @@ def test_ints_match_non_ansi_cast(spark, ansi):
 def test_ints_property(spark):
     """Random strings over digits, signs, dots and blanks: equal to the
     ANSI-off cast."""
-    hypothesis = pytest.importorskip("hypothesis")
-    from hypothesis import strategies as st
-    vals = [st.text(alphabet=" 0123456789+-.\tx", max_size=12).example() for _ in range(400)]
+    import random
+    rnd = random.Random(63)
+    vals = ["".join(rnd.choice(" 0123456789+-.\tx") for _ in range(rnd.randint(0, 12))) for _ in range(2000)]
     df = spark.createDataFrame([(v,) for v in vals], "raw string")
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
@@ -68,8 +68,7 @@ def test_ints_property(spark):
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
     got = [r[0] for r in df.select(text_to_int("raw")).collect()]
-    assert got == expected
-    assert hypothesis
+    assert got == expected and any(v is not None for v in got)
 
 
 ROUTING = [  # file, link kept, feed, load after the .txt rename

@@ -65,15 +65,11 @@ def test_properties(spark):
     h, add, chg = frames(spark)
     p = merge_parts(h, add, chg, MK, D)
     out = p.result().collect()
-    n_add = p.untouched.filter("start_date = DATE'2024-03-01'").count() + \
-        p.staying.filter("start_date = DATE'2024-03-01'").count() + \
-        p.closing.filter("start_date = DATE'2024-03-01'").count()
-    assert len(out) == h.count() + n_add + p.inserted.count()
+    assert len(out) == h.count() + p.added.count() + p.inserted.count()
     # closed versions never change
     closed_before = Counter(tuple(r) for r in h.filter("end_date IS NOT NULL").collect())
     after = Counter(tuple(r) for r in out)
     assert all(after[r] >= c for r, c in closed_before.items())
-    p.release()
     # a second run of the same ADD inserts nothing for non-null keys
     again = merge(p.result(), add, None, keys=MK.keys, values=MK.values, as_of=D)
     assert again.count() == len(out)
@@ -93,19 +89,52 @@ def _plan(df):
 
 def test_plan_streams_history_through_broadcasts(spark):
     h, add, chg = frames(spark)
-    p = merge_parts(h, add, chg, MK, D, materialize=False)
+    p = merge_parts(h, add, chg, MK, D)
     plan = _plan(p.result())
-    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "LeftSemi" in plan
-    assert "SortMergeJoin" not in plan.split("Except")[0] or True
-    # the untouched open rows (the bulk of a real history) never meet a shuffle
-    untouched = _plan(p.untouched)
-    assert "SortMergeJoin" not in untouched
+    for kind in ("LeftOuter", "LeftAnti", "LeftSemi"):
+        assert kind in plan
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    # the versions themselves (the bulk) never meet a shuffle
+    assert "SortMergeJoin" not in _plan(p.updated)
 
 
 def test_plan_fallback_is_shuffle_join(spark):
     h, add, chg = frames(spark)
-    p = merge_parts(h, add, chg, MK, D, broadcast_limit=0, materialize=False)
-    assert "SortMergeJoin" in _plan(p.untouched) or "ShuffledHashJoin" in _plan(p.untouched)
+    p = merge_parts(h, add, chg, MK, D, broadcast_limit=0)
+    assert "SortMergeJoin" in _plan(p.updated) or "ShuffledHashJoin" in _plan(p.updated)
+
+
+def test_stored_history_is_streamed_three_times_and_nothing_is_persisted(spark, tmp_root):
+    """Open versions: keys for ADD, the close pass, the rows equal to CHANGE."""
+    from strata.plans import snapshot
+    h, add, chg = frames(spark)
+    snapshot.publish(spark, tmp_root, *snapshot.split_open(h), fresh=True)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    p = merge_parts(snapshot.read_open(spark, tmp_root), add, chg, MK, D,
+                    closed=snapshot.read_closed(spark, tmp_root))
+    scans = lambda df: _plan(df).count("FileScan parquet")
+    # updated: closed rows, both parts' keys for ADD, one pass over the open rows;
+    # inserted: another pass over the open rows, and ADD's check again
+    assert scans(p.updated) == 4 and scans(p.inserted) == 3
+    assert Counter(map(tuple, p.result().collect())) == Counter(map(tuple, merge(
+        h, add, chg, keys=MK.keys, values=MK.values, as_of=D).collect()))
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_measured_size_of_wide_rows(spark):
+    """The measure of sparse 82-column rows against their real bytes."""
+    from pyspark.sql import functions as F
+    from strata.plans.sizing import measure
+    from strata.specs import FEEDS
+    spec = FEEDS["mdrfoi_event"]
+    rows = [tuple(None if i % 5 else ("v" * 9 if c.kind == "string" else None)
+                  for i, c in enumerate(spec.columns)) for _ in range(2000)]
+    df = spark.createDataFrame(rows, spec.typed_schema(with_tech=False))
+    n, measured = measure(df)
+    rdd = df._jdf.queryExecution().toRdd()
+    sizes = rdd.toJavaRDD().collect()
+    first = sizes[0]
+    assert n == 2000 and abs(measured / n - first.getSizeInBytes()) <= 0.2 * first.getSizeInBytes()
 
 
 def test_conflicting_changes_flip_on_rerun(spark):
@@ -155,7 +184,7 @@ def test_auto_picks_summary_for_a_hot_change_key(spark):
     h = spark.createDataFrame([(1, "a", "x", S, None), (2, "b", "y", S, None)], SCHEMA)
     chg = spark.createDataFrame([(1, "a", f"x{i % 3}") for i in range(PAIRWISE_MAX + 5)]
                                 + [(2, "b", "y")], BATCH)
-    auto = merge_parts(h, None, chg, MK, D, materialize=False)
+    auto = merge_parts(h, None, chg, MK, D)
     plan = _plan(auto.result())
     assert "LeftOuter" in plan
     want = Counter(tuple(r) for r in merge(h, None, chg, keys=MK.keys, values=MK.values, as_of=D,

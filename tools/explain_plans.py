@@ -57,26 +57,20 @@ def main():
                                ("history merge, lineitem (batches broadcast after measuring)", LINEITEM_TRIO, None),
                                ("history merge, orders, batches too large (limit 0: shuffle joins)", ORDERS_TRIO, 0)):
         t = trio(spark, sf, spec)
-        p = merge_parts(t.history, t.add, t.change, t.mk, AS_OF, broadcast_limit=limit,
-                        materialize=False)
-        sections.append((label + " -- untouched open rows (the bulk of a history)",
-                         formatted(p.untouched)))
         p = merge_parts(t.history, t.add, t.change, t.mk, AS_OF, broadcast_limit=limit)
-        sections.append((label + " -- whole result, touched rows persisted as in jobs",
-                         formatted(p.result())))
-        p.release()
+        sections.append((label + " -- versions after the close step", formatted(p.updated)))
+        sections.append((label + " -- whole result", formatted(p.result())))
 
     from strata.plans.registry import WIDE_EVENT
     t = trio(spark, sf, WIDE_EVENT)
     p = merge_parts(t.history, t.add, t.change, t.mk, AS_OF)
     sections.append(("history merge, published event layout (82 columns, 80 compared)"
                      " -- whole result", formatted(p.result())))
-    p.release()
 
     root = FF.land_orders(spark, sf, loads=("FUL", "add", "change"))
     df = typed(read_feed(spark, root, FF.ORDERS_FEED, "FUL"), FF.ORDERS_FEED, as_of=AS_OF,
                full_load=True)
-    sections.append(("FULL load scan + typing (pipe text, partition-pruned)", formatted(df)))
+    sections.append(("FULL load scan + typing (pipe text, one folder)", formatted(df)))
 
     with open(OUT, "w") as fh:
         fh.write("# PLANS\n\nPhysical plans (`explain(\"formatted\")`) of the headline "
@@ -86,8 +80,7 @@ def main():
                  "factor except through the measured broadcast decision.\n\n"
                  "Counts are occurrences in the printed operator tree: a subtree used "
                  "by several branches (e.g. the broadcast ADD keys) is printed once per "
-                 "use but planned once (`ReusedExchange`) or read from the persisted "
-                 "`touched` rows (`InMemoryTableScan`).  Here the merge inputs are "
+                 "use but planned once (`ReusedExchange`).  Here the merge inputs are "
                  "derived from one driver table, so every branch starts at a scan of "
                  "that table; a stored history is read as separate open and closed "
                  "scans instead.\n")
