@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import packed, row_key, stored, table, unpacked
 from strata.llm.decontaminate import decontaminate
 from strata.llm.line_dedup import dedup_lines
-from strata.llm.mixing import mix
+from strata.llm.mixing import RESULTS, mix
 from strata.llm.quality_rules import quality_rules
 from strata.llm.simhash import MAX_BITS, WIDTH, simhash_groups
 
@@ -58,7 +58,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     # repeated records are combined within each task before they are dealt out
     once = d.select("__row", "__k1", "__k2").dropDuplicates(["__k1", "__k2"])
     kept = once.join(stay, (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2")), "left_semi")
-    return kept.select(*unpacked(kept, docs.columns))
+    return kept.select(*unpacked(docs.columns))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -82,8 +82,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
         F.expr("sum(taken) div count(1)").alias("taken"), F.min("first_slot").alias("first_slot")), "mix")
     out = d.join(slim, (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2"))
                  & F.col("__source").eqNullSafe(F.col("s")))
-    return out.select(*unpacked(out, docs.columns), "size", "source_size", "target", "taken",
-                      "first_slot")
+    return out.select(*unpacked(docs.columns, RESULTS), *RESULTS)
 
 
 STAGES = [

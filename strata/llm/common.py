@@ -37,9 +37,12 @@ def packed(docs: DataFrame, *used: str) -> DataFrame:
                        *[F.col(f"`{c}`").alias(f"__{c}") for c in used])
 
 
-def unpacked(df: DataFrame, columns: list[str]) -> list[Column]:
-    """The columns that ``packed`` put away, for a select."""
-    return [F.col("__row").getField(c).alias(c) for c in columns]
+def unpacked(columns: list[str], results: list[str] = (), **new: Column) -> list[Column]:
+    """The columns that ``packed`` put away, for a select; ``new`` values take
+    the place of columns of that name, and columns named like one of the
+    operator's ``results`` are left out, the result replaces them."""
+    return [new[c].alias(c) if c in new else F.col("__row").getField(c).alias(c)
+            for c in columns if c not in results]
 
 
 def row_key(doc_id: Column, text: Column) -> list[Column]:

@@ -16,7 +16,8 @@ adaptive execution splits where one chunk fills many documents.
 Defined results: a null or empty text stays as it is; chunks without a word
 stay; rows without an id come after all others (then by a hash of their text);
 rows that agree in id and text are one record repeated and all keep what it
-keeps; an empty table gives an empty result; other columns are carried.
+keeps; an empty table gives an empty result; other columns are carried
+(one named ``lines_removed`` is replaced).
 """
 
 from __future__ import annotations
@@ -111,7 +112,6 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     inside = lambda i: F.exists(
         "gone", lambda g: (i >= g["first"]) & (i < g["first"] + g["n"]))
     left = F.array_join(F.filter(F.split("__text", "\n"), lambda _, i: ~inside(i)), "\n")
-    rest = F.when(F.col("gone").isNull(), F.col("__text")).otherwise(left).alias("text")
+    rest = F.when(F.col("gone").isNull(), F.col("__text")).otherwise(left)
     removed = F.coalesce(F.aggregate("gone", F.lit(0), lambda a, g: a + g["n"]), F.lit(0))
-    cols = [rest if c == "text" else F.col("__row").getField(c).alias(c) for c in docs.columns]
-    return out.select(*cols, removed.alias("lines_removed"))
+    return out.select(*unpacked(docs.columns, ["lines_removed"], text=rest), removed.alias("lines_removed"))

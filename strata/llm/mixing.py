@@ -21,7 +21,8 @@ row per source, or per bucket of a source.
 Defined results: a null source is a source of its own, the last; a null text
 has size 0 and takes nothing, as does every text without words; rows that
 repeat an id keep their own place on the line; a null id is ordered like an
-empty one; an empty table gives an empty mix.  Other columns are carried.
+empty one; an empty table gives an empty mix.  Other columns are carried; one
+named like a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ MIN_BLOCKS = 2048        # blocks of a source, at least (of a word at least)
 RUN = 65536              # slots ranked together
 CELLS = 4096             # equal cells that a point is looked up by
 SEED = "mix-1"
+RESULTS = ["size", "source_size", "target", "taken", "first_slot"]
 BUCKET_DIGITS = 3        # hexadecimal digits of the hash that deal out a source
 
 
@@ -155,7 +157,7 @@ def mix(docs: DataFrame, *, block_words: int = BLOCK_WORDS, min_blocks: int = MI
     keys rather than texts: rows are sorted and joined on the way."""
     carry = docs.columns if carry is None else carry
     d = packed(docs, "doc_id", "source", "text")
-    d = d.select(F.struct(*unpacked(d, carry)).alias("__row"), "__doc_id", "__source",
+    d = d.select(F.struct(*unpacked(carry, RESULTS), F.lit(0).alias("__none")).alias("__row"), "__doc_id", "__source",
                  F.xxhash64("__text").alias("__tie"), words_in(F.col("__text")).alias("size"))
     d = stored(d, "sizes")
     p = stored(plan(d.select(F.col("__source").alias("source"), "size"), block_words, min_blocks),
@@ -188,5 +190,5 @@ def mix(docs: DataFrame, *, block_words: int = BLOCK_WORDS, min_blocks: int = MI
         F.sum("taken").alias("taken"), F.min("slot").alias("slot"))
     out = d.join(taken, (F.col("size") > 0) & (F.col("sid") == F.col("tsid"))
                  & (F.col("at") == F.col("tat")), "left")
-    return out.select(*unpacked(out, carry), "size", "source_size", "target",
+    return out.select(*unpacked(carry, RESULTS), "size", "source_size", "target",
                       F.coalesce("taken", none).alias("taken"), F.col("slot").alias("first_slot"))

@@ -24,7 +24,7 @@ stored tables, so one entity that fills a third of the corpus is split.
 
 Defined results: null and empty texts stay; rows that agree in id and text are
 one record; the whole of every text is read; an empty table gives an empty
-result; other columns are carried.
+result; other columns are carried (one named ``n_replaced`` is replaced).
 """
 
 from __future__ import annotations
@@ -256,10 +256,9 @@ def replace_private(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
             F.when(p["whole"] == "name", F.regexp_extract(p["match"], rf"\A({_TITLE} )", 1)).otherwise(""))),
         p["new"]))
     text = F.concat(F.array_join(joined, ""), _after(F.element_at(parts, -1)), F.element_at(gaps, -1))
-    text = F.when(parts.isNull(), F.col("__text")).otherwise(text).alias("text")
-    cols = [text if c == "text" else F.col("__row").getField(c).alias(c) for c in docs.columns]
+    text = F.when(parts.isNull(), F.col("__text")).otherwise(text)
     n = F.size(F.array_distinct(F.transform(parts, lambda p: p["at"])))
-    return out.select(*cols, F.when(parts.isNull(), 0).otherwise(n).alias("n_replaced"))
+    return out.select(*unpacked(docs.columns, ["n_replaced"], text=text), F.when(parts.isNull(), 0).otherwise(n).alias("n_replaced"))
 
 
 def _after(part: Column) -> Column:

@@ -20,7 +20,7 @@ compared inside the row, without a shuffle.
 Defined results: a null text has no words (all counts 0) and fails the base
 rules, as an empty one does; null lang or source form groups of their own;
 repeated rows each get their verdict; an empty table gives an empty result;
-other columns, whatever their names, are carried untouched.
+other columns are carried untouched; one named like a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -183,7 +183,8 @@ def quality_rules(docs: DataFrame, *, min_docs: int = 200,
     m = metrics(docs)
     carry = docs.columns if carry is None else carry
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    m = _with_values(m.withColumn("__row", F.struct(*unpacked(m, carry))))
+    m = _with_values(m.withColumn("__row", F.struct(*unpacked(carry, [*counts, "base_failed", "kept"]),
+                                                    F.lit(0).alias("__none"))))
     m = stored(m.select("__row", "__lang", "__source", *counts, "base_failed",
                         *[f.metric for f in FENCES]), "quality")
     t = thresholds(sketches(m), min_docs).select(
@@ -195,5 +196,5 @@ def quality_rules(docs: DataFrame, *, min_docs: int = 200,
         inside &= F.col(f.metric) <= F.col(f"hi_{f.metric}")
         if f.two_sided:
             inside &= F.col(f.metric) >= F.col(f"lo_{f.metric}")
-    return j.select(*unpacked(j, carry), *[F.col(c) for c in counts], F.col("base_failed"),
+    return j.select(*unpacked(carry, [*counts, "base_failed", "kept"]), *[F.col(c) for c in counts], F.col("base_failed"),
                     F.coalesce(inside, F.lit(False)).alias("kept"))

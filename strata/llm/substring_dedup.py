@@ -19,7 +19,7 @@ id are ordered after all others by a hash of their text; rows that share an
 id count as parts of one document, of which the first place in each part stays; rows
 that agree in text as well are one record repeated, with equal results; an
 empty table gives an empty result; other columns are carried by
-``dedup_substrings``.
+``dedup_substrings`` (one named ``removed`` is replaced).
 """
 
 from __future__ import annotations
@@ -190,6 +190,5 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     raw = F.col("__text").cast("binary")
     left = F.array_join(F.zip_with(ends, starts, lambda a, b: F.decode(
         F.substring(raw, a + 1, b - a), "UTF-8")), "")
-    text = F.when(F.col("removed").isNull(), F.col("__text")).otherwise(left).alias("text")
-    cols = [text if c == "text" else F.col("__row").getField(c).alias(c) for c in docs.columns]
-    return d.select(*cols, "removed")
+    text = F.when(F.col("removed").isNull(), F.col("__text")).otherwise(left)
+    return d.select(*unpacked(docs.columns, ["removed"], text=text), "removed")

@@ -19,7 +19,8 @@ can split.
 
 Defined results: a URL that is null or lacks ``://`` has an empty host and
 path, no rule fits it, and it is allowed; repeated rows get equal verdicts;
-empty tables give empty results; all columns of the pages are carried.
+empty tables give empty results; all columns of the pages are carried, and
+one named like a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ from ..plans.sizing import broadcast_limit, fits, measure
 from .common import packed, stored, unpacked
 
 ALLOW, BLOCK = "allow", "block"
+RESULTS = ["host", "path", "rule", "pattern", "verdict"]
 
 #: Place rules, by verdict.
 PLACES = (("org/", ALLOW), ("example.org/es/", BLOCK), ("example.org/en/1", BLOCK),
@@ -113,8 +115,8 @@ def rule_index(tokens: DataFrame, rules: list[Rule], spark: SparkSession) -> Dat
         "rule string, regex string, kind string, verdict string, tokens array<string>")
     each = named.select("rule", "regex", "kind", "verdict", F.explode_outer("tokens").alias("token"))
     wanted = sorted({t for r in rules for t in r.tokens})
-    seen = tokens.join(spark.createDataFrame([(t,) for t in wanted] or [(None,)], "w string"),
-                       F.col("token") == F.col("w"), "left_semi")
+    those = spark.createDataFrame([(t,) for t in wanted] or [(None,)], "w string")
+    seen = tokens.join(those, F.col("token") == F.col("w"), "left_semi")
     n = seen.groupBy(F.col("token").alias("t")).agg(F.count(F.lit(1)).alias("n"))
     each = each.join(n, F.col("token") == F.col("t"), "left")
     rank = F.struct(F.coalesce("n", F.lit(0)), "token")
@@ -148,6 +150,6 @@ def filter_urls(pages: DataFrame, rules: list[Rule] | None = None, url: str = "u
     link = F.col(f"__{url}")
     out = p.join(best, link == F.col("u"), "left")
     by_pattern = F.when(F.col("pattern").isNotNull(), F.lit(BLOCK)).otherwise(F.lit(ALLOW))
-    return out.select(*unpacked(out, pages.columns), host_of(link).alias("host"),
+    return out.select(*unpacked(pages.columns, RESULTS), host_of(link).alias("host"),
                       path_of(link).alias("path"), "rule", "pattern",
                       F.coalesce("says", by_pattern).alias("verdict"))

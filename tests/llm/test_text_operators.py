@@ -101,9 +101,9 @@ def test_line_dedup_odd_rows(spark):
     rows = [(5, block), (3, block), (3, block), (9, "new first line\n" + block), (None, block), (None, None),
             (1, ""), (2, "\n\n\n\n"), (4, "\n\n\n\n"), (6, block + "\n" + block), (7, "one line"), (8, "one line"),
             (10, "é " * 50000 + "\n" + block), (11, None)]
-    df = keyed(spark, rows).selectExpr("*", "1 as first", "'x' as lines_removed2", "2 as k1", "3 as gone")
+    df = keyed(spark, rows).selectExpr("*", "1 as first", "'x' as lines_removed", "2 as k1", "3 as gone")
     out = LD.dedup_lines(df)
-    assert out.columns == [*df.columns, "lines_removed"]
+    assert sorted(out.columns) == sorted(df.columns)
     got = sorted([(r.doc_id, r.text, r.lines_removed) for r in out.collect()], key=str)
     assert got == plain_line_dedup(rows)
     kept = {r[0]: r[2] for r in got if r[0] in (3, 5)}
@@ -211,7 +211,7 @@ def test_substring_odd_rows(spark):
     cjk = "".join(chr(0x4E00 + i * 7 % 3000) for i in range(2500))
     rows = [(2, t), (1, t), (1, t), (None, t), (None, None), (3, None), (4, ""), (5, "x" * 5000), (6, cjk),
             (7, "前" + cjk), (8, "é" * 3000)]
-    df = spark.createDataFrame([(*r, 1, 2) for r in rows], COLS + ", ord int, removed2 int")
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], COLS + ", ord int, removed int")
     out = S.dedup_substrings(df).collect()
     assert len(out) == len(rows)
     text = collections.defaultdict(list)
