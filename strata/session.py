@@ -1,13 +1,18 @@
 """Session helpers: a tuned local/cluster session and a shared scratch folder.
 
 Scratch data always goes under ``spark.checkpoint.dir`` (the shared folder a
-cluster names there).  Only when that setting is absent, as in tests, do we
-create a local folder and register it.
+cluster names there).  Only when that setting is absent and the master is
+local, as in tests, do we create a local folder and register it; on a cluster
+its absence is an error, for other machines would not see such a folder.
+
+Functions that run in Python workers are imported there by name, so the package
+is shipped with the session (or give its zip to ``--py-files``).
 """
 
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -47,11 +52,28 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the session's Python workers, wherever they run."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="strata-pkg-"), "strata")
+    archive = shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return ``spark.checkpoint.dir``; set a local one only when unset."""
+    """Return ``spark.checkpoint.dir``; set a local one only when unset, and
+    only for a local master."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a remote session has no SparkContext
@@ -64,6 +86,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
