@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ..sources.delimited import land_lines
 from ..specs import make_spec
-from .scenarios import table
+from .scenarios import layout_columns, table
 
 # Spec of the orders feed used by the text-scan scenarios.
 ORDERS_FEED = make_spec("orders_feed", """
@@ -314,41 +314,24 @@ _FMT_SQL = ("%m/%d/%Y", "%Y/%m/%d", "%d/%m/%Y")
 
 
 def layout_text_columns(spec) -> list[tuple[str, object, str]]:
-    """Per layout column: (name, Spark text expression builder, SQL text).
-
-    Keys from the event and user ids, text columns from the event type and
-    properties, ints from the value, dates from the timestamp shifted by the
-    column position and written in one of the three accepted formats (by
-    position); a date carrying a time part gets the event's time appended.
+    """Per layout column: (name, Spark text expression builder, SQL text): the
+    typed columns of ``layout_columns`` written out, dates in one of the three
+    accepted formats (by position); a date carrying a time part gets the
+    event's time appended.
     """
     out = []
-    for i, c in enumerate(spec.columns):
-        if c.is_key:
-            src = ("event_id", "user_id")[spec.keys.index(c.name) % 2]
-            out.append((c.name, lambda s=src: F.col(s).cast("string"), f"CAST({src} AS VARCHAR)"))
-        elif c.kind == "string":
-            if i % 3 == 0:
-                out.append((c.name, lambda: F.col("event_type"), "event_type"))
-            elif i % 3 == 1:
-                out.append((c.name, lambda: F.col("props"), "props"))
-            else:
-                out.append((c.name, lambda i=i: F.concat(F.col("event_type"), F.lit(f"_{i}")),
-                            f"event_type || '_{i}'"))
-        elif c.kind == "int":
-            out.append((c.name, lambda i=i: (F.floor("value") % 1000 + i).cast("string"),
-                        f"CAST(CAST(floor(value) AS BIGINT) % 1000 + {i} AS VARCHAR)"))
-        else:
-            f_s, f_q = _FMT_SPARK[i % 3], _FMT_SQL[i % 3]
+    for i, (c, build, sql) in enumerate(layout_columns(spec)):
+        if c.kind == "int":
+            text, text_sql = lambda b=build: b().cast("string"), f"CAST({sql} AS VARCHAR)"
+        elif c.kind == "date":
+            text = lambda b=build, f=_FMT_SPARK[i % 3]: F.date_format(b(), f)
+            text_sql = f"strftime({sql}, '{_FMT_SQL[i % 3]}')"
             if c.drop_time:
-                out.append((c.name,
-                            lambda i=i, f=f_s: F.concat(
-                                F.date_format(F.date_add(F.to_date("ts"), i), f), F.lit(" "),
-                                F.date_format("ts", "HH:mm:ss")),
-                            f"strftime(CAST(ts AS DATE) + {i}, '{f_q}') || ' ' || strftime(ts, '%H:%M:%S')"))
-            else:
-                out.append((c.name,
-                            lambda i=i, f=f_s: F.date_format(F.date_add(F.to_date("ts"), i), f),
-                            f"strftime(CAST(ts AS DATE) + {i}, '{f_q}')"))
+                text = lambda t=text: F.concat(t(), F.lit(" "), F.date_format("ts", "HH:mm:ss"))
+                text_sql += " || ' ' || strftime(ts, '%H:%M:%S')"
+        else:
+            text, text_sql = build, sql
+        out.append((c.name, text, text_sql))
     return out
 
 

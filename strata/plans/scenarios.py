@@ -121,35 +121,37 @@ def q(name: str) -> str:
     return name if name.replace("_", "").isalnum() else f'"{name}"'
 
 
-def feed_from_events(spec, case_col: str = "event_id") -> TrioSpec:
-    """A feed layout filled from ``events``: keys from the event and user ids,
-    text columns from the event type and properties, ints from the value,
-    dates from the timestamp (shifted by column position).  Value columns 2-4
-    of the layout play v0 (text), v1 (text) and v2 (int)."""
-    texts = [c.name for c in spec.columns if not c.is_key and c.kind == "string"]
-    nums = [c.name for c in spec.columns if not c.is_key and c.kind == "int"] or \
-        [c.name for c in spec.columns if not c.is_key and c.kind == "date"]
-    v0, v1, v2 = texts[0], texts[1], nums[0]   # v2 + 1: next int, or next day
-    derived = []
+def layout_columns(spec) -> list[tuple]:
+    """A feed layout filled from ``events``, typed: (column, Spark expression
+    builder, SQL).  Keys from the event and user ids, text columns from the
+    event type and properties, ints from the value, dates from the timestamp
+    (shifted by column position)."""
+    out = []
     for i, c in enumerate(spec.columns):
         if c.is_key:
             src = ("event_id", "user_id")[spec.keys.index(c.name) % 2]
-            derived.append((c.name, lambda s=src: F.col(s).cast("string"),
-                            f"CAST({src} AS VARCHAR)"))
+            out.append((c, lambda s=src: F.col(s).cast("string"), f"CAST({src} AS VARCHAR)"))
+        elif c.kind == "string" and i % 3 < 2:
+            src = ("event_type", "props")[i % 3]
+            out.append((c, lambda s=src: F.col(s), src))
         elif c.kind == "string":
-            if i % 3 == 0:
-                derived.append((c.name, lambda: F.col("event_type"), "event_type"))
-            elif i % 3 == 1:
-                derived.append((c.name, lambda: F.col("props"), "props"))
-            else:
-                derived.append((c.name, lambda i=i: F.concat(F.col("event_type"), F.lit(f"_{i}")),
-                                f"event_type || '_{i}'"))
+            out.append((c, lambda i=i: F.concat(F.col("event_type"), F.lit(f"_{i}")), f"event_type || '_{i}'"))
         elif c.kind == "int":
-            derived.append((c.name, lambda i=i: (F.floor("value") % 1000 + i).cast("int"),
-                            f"CAST(CAST(floor(value) AS BIGINT) % 1000 + {i} AS INTEGER)"))
+            out.append((c, lambda i=i: (F.floor("value") % 1000 + i).cast("int"),
+                        f"CAST(CAST(floor(value) AS BIGINT) % 1000 + {i} AS INTEGER)"))
         else:
-            derived.append((c.name, lambda i=i: F.date_add(F.to_date("ts"), i),
-                            f"CAST(ts AS DATE) + {i}"))
+            out.append((c, lambda i=i: F.date_add(F.to_date("ts"), i), f"CAST(ts AS DATE) + {i}"))
+    return out
+
+
+def feed_from_events(spec, case_col: str = "event_id") -> TrioSpec:
+    """``layout_columns`` as merge inputs.  The first two text columns of the
+    layout play v0 and v1, its first int (or date) v2."""
+    texts = [c.name for c in spec.columns if not c.is_key and c.kind == "string"]
+    nums = [c.name for c in spec.columns if not c.is_key and c.kind == "int"] or \
+        [c.name for c in spec.columns if not c.is_key and c.kind == "date"]
+    v0, v1, v2 = texts[0], texts[1], nums[0]   # v2 + 1: next int, or next day
+    derived = [(c.name, build, sql) for c, build, sql in layout_columns(spec)]
     derived.append((case_col, lambda: F.col(case_col), case_col))
     carry = tuple(n for n in spec.values if n not in (v0, v1, v2))
     return TrioSpec("events", tuple(spec.keys), case_col, (v0, v1, v2), carry, tuple(derived))
