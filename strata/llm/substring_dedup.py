@@ -36,7 +36,7 @@ REACH = 16            # bytes that a boundary depends on
 ONE_IN = 4            # words per boundary, on average
 ONE_IN_WIDE = 16      # three-byte characters per boundary, on average
 MAX_CHUNK = 1024      # bytes
-MIN_RUN = 140         # bytes
+MIN_RUN = 112         # bytes, some twenty words
 _GEAR = np.random.default_rng(6).integers(0, 1 << 16, 256, dtype=np.uint16)
 
 
