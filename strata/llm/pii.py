@@ -245,7 +245,8 @@ def replace_private(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
         "at", "nr", "whole", "match",
         dressed(F.col("kind"), F.col("original"), F.col("surrogate")).alias("new")))).alias("parts"))
     new = stored(new.select(F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), "parts"), "new")
-    out = d.join(new, (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2")), "left")
+    # texts are dealt out by key at every size, see line_dedup
+    out = d.join(new.hint("merge"), (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2")), "left")
     # what stands before each part: the text between matches, and inside a
     # match its title, the @ or a space
     gaps = F.split("__text", ANY, -1)
