@@ -116,6 +116,8 @@ def rule_index(tokens: DataFrame, rules: list[Rule], spark: SparkSession) -> Dat
     each = named.select("rule", "regex", "kind", "verdict", F.explode_outer("tokens").alias("token"))
     wanted = sorted({t for r in rules for t in r.tokens})
     those = spark.createDataFrame([(t,) for t in wanted] or [(None,)], "w string")
+    if fits(len(wanted), sum(map(len, wanted)), broadcast_limit(spark)):
+        those = F.broadcast(those)
     seen = tokens.join(those, F.col("token") == F.col("w"), "left_semi")
     n = seen.groupBy(F.col("token").alias("t")).agg(F.count(F.lit(1)).alias("n"))
     each = each.join(n, F.col("token") == F.col("t"), "left")
@@ -148,7 +150,8 @@ def filter_urls(pages: DataFrame, rules: list[Rule] | None = None, url: str = "u
     best = stored(best.select("u", "best.rule", "best.says", "pattern"), "judged")
     p = packed(pages, url)
     link = F.col(f"__{url}")
-    out = p.join(best, link == F.col("u"), "left")
+    # dealt out by URL at every size: the verdicts grow with the pages
+    out = p.join(best.hint("merge"), link == F.col("u"), "left")
     by_pattern = F.when(F.col("pattern").isNotNull(), F.lit(BLOCK)).otherwise(F.lit(ALLOW))
     return out.select(*unpacked(pages.columns, RESULTS), host_of(link).alias("host"),
                       path_of(link).alias("path"), "rule", "pattern",
