@@ -120,7 +120,7 @@ def _linked(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     return out
 
 
-def _links_of_runs(width: int, n_keys: int, max_bits: int):
+def _links_of_runs(n_keys: int, max_bits: int):
     """mapInArrow function over sorted (k0, .., fp): rows (a, b, k0, ..) that
     are links (no k0) or members of an over-long run (a only)."""
 
@@ -207,12 +207,12 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError(f"max_bits must be between 0 and {MAX_BITS}")
     members, found = fps.select("fp"), None
-    for level, width in enumerate(LEVELS):
+    for level in range(len(LEVELS)):
         keys = [f"k{i}" for i in range(level + 1)]
         dealt = (_variants(members, level).repartition(*keys)
                  .sortWithinPartitions(*keys, "fp").select(*keys, "fp"))
         schema = "a long, b long, " + ", ".join(f"{k} long" for k in keys)
-        got = stored(dealt.mapInArrow(_links_of_runs(width, len(keys), max_bits), schema), "runs")
+        got = stored(dealt.mapInArrow(_links_of_runs(len(keys), max_bits), schema), "runs")
         here = got.where("b is not null").select("a", "b")
         found = here if found is None else found.unionByName(here)
         over = got.where("b is null")
