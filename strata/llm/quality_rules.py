@@ -30,6 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.sizing import broadcast_limit, fits, measure
 from .common import GAP, packed, stored, unpacked
 
 WINDOW = 8
@@ -187,8 +188,13 @@ def quality_rules(docs: DataFrame, *, min_docs: int = 200,
                                                     F.lit(0).alias("__none"))))
     m = stored(m.select("__row", "__lang", "__source", *counts, "base_failed",
                         *[f.metric for f in FENCES]), "quality")
-    t = thresholds(sketches(m), min_docs).select(
-        F.col("__lang").alias("tl"), F.col("__source").alias("ts"), "*").drop("__lang", "__source")
+    t = stored(thresholds(sketches(m), min_docs).select(
+        F.col("__lang").alias("tl"), F.col("__source").alias("ts"), "*").drop("__lang", "__source"),
+        "thresholds")
+    # a row per (lang, source): while they fit, documents are not dealt out by
+    # source to meet them; beyond that, adaptive execution splits hot sources
+    if fits(*measure(t), broadcast_limit(m.sparkSession)):
+        t = F.broadcast(t)
     j = m.join(t, F.col("__lang").eqNullSafe(F.col("tl"))
                & F.col("__source").eqNullSafe(F.col("ts")), "left")
     inside = ~F.col("base_failed")
