@@ -33,6 +33,9 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.sizing import broadcast_limit, fits, measure
+from .common import stored
+
 UND = "und"
 SAMPLE_DOCS = 400
 PIECE = 400
@@ -65,6 +68,9 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     draw = F.xxhash64(F.lit("langid"), "doc_id")
     chance = F.shiftrightunsigned(draw, 11) / F.lit(float(1 << 53))
     n = d.groupBy(F.col("lang").alias("l")).agg(F.count(F.lit(1)).alias("n"))
+    n = stored(n, "languages")
+    # a row per language; texts are not shuffled to meet it
+    n = F.broadcast(n) if fits(*measure(n), broadcast_limit(d.sparkSession)) else n
     d = d.join(n, F.col("lang") == F.col("l"))
     d = d.where(chance * F.col("n") < SAMPLE_DOCS)
     start = F.pmod(draw, F.greatest(F.char_length("text") - PIECE, F.lit(1))).cast("int") + 1
