@@ -1,48 +1,57 @@
-"""De-duplication of multi-line chunks with content-defined boundaries.
+"""De-duplication of repeated runs of lines.
 
-A text's lines are hashed, and a rolling hash over the last ``WINDOW`` line
-hashes chooses chunk boundaries, so that lines inserted or removed elsewhere do
-not move them.  A chunk of two lines or more that occurs again anywhere is
-removed there; its first occurrence, by (doc_id, place in the text), stays.
-Single lines are never removed.
+A text's lines are hashed, and a rolling hash over ``WINDOW`` line hashes gives
+a digest of every two adjacent lines.  Two adjacent lines that occur again
+anywhere are removed there; their first occurrence, by (doc_id, place in the
+text), stays.  Every place is compared, none is chosen, so a repeated run of two
+lines or more is removed whole wherever it begins and whatever stands around
+it.  Single lines are never removed.
 
-Only line hashes leave the JVM for the boundary search, and only chunk digests
-are shuffled to find repeats.  Chunks whose digest repeats are then compared by
-their bytes: the text of a chunk is part of the grouping key, so chunks of one
+Only line hashes leave the JVM for the rolling hash, and only digests are
+shuffled to find repeats.  Lines whose digest repeats are then compared by
+their bytes: the text of both lines is part of the grouping key, so pairs of one
 digest but different bytes are told apart.  Counting combines copies within
 each task before the shuffle; the joins are between stored tables, which
-adaptive execution splits where one chunk fills many documents.
+adaptive execution splits where one pair fills many documents.
 
-Defined results: a null or empty text stays as it is; chunks without a word
+Defined results: a null or empty text stays as it is; pairs without a word
 stay; rows without an id come after all others (then by a hash of their text);
 rows that agree in id and text are one record repeated and all keep what it
-keeps; an empty table gives an empty result; other columns are carried
-(one named ``lines_removed`` is replaced).
+keeps; a repeat that overlaps its own first occurrence (one line three times or
+more) loses only what lies beyond it; of runs that overlap, each line stays
+somewhere, though not each run in one place; an empty table gives an empty
+result; other columns are carried (one named ``lines_removed`` is replaced).
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import packed, row_key, stored, unpacked
 
-WINDOW = 2          # lines that a boundary depends on
-ONE_IN = 2          # lines per boundary, on average, beyond MIN_LINES
+WINDOW = 2          # lines that a digest covers
+ONE_IN = 2          # these three: of chunk_ends only
 MIN_LINES = 2
 MAX_LINES = 32
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def chunk_ends(hashes: np.ndarray) -> list[int]:
-    """Where the chunks of a text end (exclusive), from its line hashes."""
+def rolling(hashes: np.ndarray) -> np.ndarray:
+    """Hash of the last WINDOW line hashes at each line."""
     roll = np.zeros(len(hashes), np.uint64)
     for back in range(WINDOW):
         roll[back:] = roll[back:] * _MULTIPLIER + hashes[:len(hashes) - back]
-    at_cut = (roll >> np.uint64(32)) % np.uint64(ONE_IN) == 0
+    return roll
+
+
+def chunk_ends(hashes: np.ndarray) -> list[int]:
+    """Where content-defined chunks of a text would end (exclusive), from its
+    line hashes.  Not used to find repeats: a run that begins or ends inside a
+    chunk would be lost."""
+    at_cut = (rolling(hashes) >> np.uint64(32)) % np.uint64(ONE_IN) == 0
     ends, start = [], 0
     for i, cut in enumerate(at_cut.tolist(), 1):
         if i - start >= MAX_LINES or cut and i - start >= MIN_LINES:
@@ -51,67 +60,89 @@ def chunk_ends(hashes: np.ndarray) -> list[int]:
     return ends if start == len(hashes) else [*ends, len(hashes)]
 
 
-def _chunks(batches):
+def _pairs(batches):
+    for b in batches:
+        lines = b.column(2)
+        upto = lines.offsets.to_numpy()
+        h = lines.values.to_numpy(zero_copy_only=False).view(np.uint64)[:upto[-1]]
+        own = np.diff(upto)
+        row = np.repeat(np.arange(len(own)), own)
+        place = np.arange(upto[0], upto[-1]) - np.repeat(upto[:-1], own)
+        last = place >= WINDOW - 1      # the digest reaches back within the text
+        digest = rolling(h[upto[0]:])[last]
+        row = pa.array(row[last])
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0).take(row), b.column(1).take(row),
+             pa.array((place[last] - (WINDOW - 1)).astype(np.int32)), pa.array(digest.view(np.int64))],
+            ["k1", "k2", "first", "digest"])
+
+
+def _runs(batches):
+    """Removed places as runs: where the lines that stay begin and end."""
     for b in batches:
-        k1, k2, first, n, digest = [], [], [], [], []
-        keys = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)
-        for a, c, lines in zip(*keys):
-            h = lines.values.to_numpy(zero_copy_only=False).view(np.uint64)
-            start = 0
-            for end in chunk_ends(h):
-                if end - start >= 2:
-                    k1.append(a)
-                    k2.append(c)
-                    first.append(start)
-                    n.append(end - start)
-                    digest.append(xxhash.xxh3_64_intdigest(h[start:end].tobytes()))
-                start = end
+        begin, end, n = [], [], []
+        for gone in b.column(2).to_pylist():
+            lines = np.unique(np.concatenate([np.arange(g["at"], g["at"] + g["n"]) for g in gone]))
+            step = np.flatnonzero(np.diff(lines) > 1)
+            begin.append([0, *(lines[step] + 1).tolist(), int(lines[-1]) + 1])
+            end.append([int(lines[0]), *lines[step + 1].tolist(), -1])      # -1: of the text
+            n.append(len(lines))
+        ints = pa.list_(pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(first, pa.int32()),
-             pa.array(n, pa.int32()), pa.array(np.array(digest, np.uint64).view(np.int64))],
-            ["k1", "k2", "first", "n", "digest"])
+            [b.column(0), b.column(1), pa.array(begin, ints), pa.array(end, ints), pa.array(n, pa.int32())],
+            ["k1", "k2", "begin", "end", "n"])
+
+
+def _with(value, use):
+    """``use`` of a value that is computed once per row."""
+    return F.transform(F.array(value), use)[0]
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(k1, k2, first, n) of the chunks to remove, by row key; ``docs`` has the
-    row key columns, __doc_id and __text."""
+def repeated_lines(docs: DataFrame) -> DataFrame:
+    """(k1, k2, at, n) of the lines to remove, by row key; ``docs`` has the
+    row key columns, __doc_id and __text.  Places may overlap."""
     lines = F.split("__text", "\n")
     hashed = docs.where("__text is not null").select(
         "__k1", "__k2", F.transform(lines, lambda x: F.xxhash64(x)).alias("h"))
-    chunks = stored(hashed.mapInArrow(
-        _chunks, "k1 long, k2 long, first int, n int, digest long"), "chunks")
-    again = stored(chunks.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
+    pairs = stored(hashed.mapInArrow(_pairs, "k1 long, k2 long, first int, digest long"), "pairs")
+    again = stored(pairs.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
                    .where("copies > 1").select(F.col("digest").alias("again")), "again")
-    marked = chunks.join(again, F.col("digest") == F.col("again")).groupBy("k1", "k2").agg(
-        F.collect_set(F.struct("first", "n", "digest")).alias("marks"))
-    marked = stored(marked, "marked")       # as many as the document has chunks
-    text = F.array_join(F.slice(lines, F.col("m.first") + 1, F.col("m.n")), "\n")
+    marked = pairs.join(again, F.col("digest") == F.col("again")).groupBy("k1", "k2").agg(
+        F.collect_set(F.struct("first", "digest")).alias("marks"))
+    marked = stored(marked, "marked")       # as many as the document has lines
+    texts = _with(lines, lambda x: F.transform("marks", lambda m: F.struct(
+        m["first"].alias("first"), m["digest"].alias("digest"),
+        F.array_join(F.slice(x, m["first"] + 1, F.lit(WINDOW)), "\n").alias("pair"))))
     # texts are dealt out by key at every size, also where the marks would
     # still fit a broadcast: one plan, whose cost is in proportion to the texts
     seen = (docs.join(marked.hint("merge"), (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2")))
-            .select("__doc_id", "k1", "k2", "__text", F.explode("marks").alias("m"))
-            .select("__doc_id", "k1", "k2", "m.first", "m.n", "m.digest", text.alias("chunk"))
-            .where(F.rlike("chunk", F.lit(r"[^\x20\x09-\x0D]"))))
+            .select("__doc_id", "k1", "k2", F.explode(texts).alias("m"))
+            .select("__doc_id", "k1", "k2", "m.first", "m.digest", "m.pair")
+            .where(F.rlike("pair", F.lit(r"[^\x20\x09-\x0D]"))))
     seen = stored(seen, "seen")
-    place = F.struct(F.col("__doc_id").isNull(), "k1", "k2", "first")
-    kept = stored(seen.groupBy(F.col("digest").alias("d"), F.col("chunk").alias("c"))
+    place = F.struct(F.col("__doc_id").isNull().alias("late"), "k1", "k2", "first")
+    kept = stored(seen.groupBy(F.col("digest").alias("d"), F.col("pair").alias("p"))
                   .agg(F.min(place).alias("kept")), "kept")
-    return (seen.join(kept, (F.col("digest") == F.col("d")) & (F.col("chunk") == F.col("c")))
-            .where(place != F.col("kept")).select("k1", "k2", "first", "n"))
+    own = ((F.col("kept.late") == F.col("__doc_id").isNull()) & (F.col("kept.k1") == F.col("k1"))
+           & (F.col("kept.k2") == F.col("k2")))
+    over = F.when(own, F.greatest(F.col("kept.first") + WINDOW - F.col("first"), F.lit(0))).otherwise(0)
+    return (seen.join(kept, (F.col("digest") == F.col("d")) & (F.col("pair") == F.col("p")))
+            .where(place != F.col("kept"))
+            .select("k1", "k2", (F.col("first") + over).alias("at"), (F.lit(WINDOW) - over).alias("n")))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``text`` less its repeated chunks, and ``lines_removed``
-    (0 where nothing was)."""
+    """``docs`` with ``text`` less its repeated runs of lines, and
+    ``lines_removed`` (0 where nothing was)."""
     d = packed(docs, "doc_id", "text")
     d = d.select("*", *row_key(F.col("__doc_id"), F.col("__text")))
-    gone = repeated_chunks(d).groupBy("k1", "k2").agg(
-        F.collect_set(F.struct("first", "n")).alias("gone"))
-    gone = stored(gone, "gone")
+    gone = repeated_lines(d).groupBy("k1", "k2").agg(
+        F.collect_set(F.struct("at", "n")).alias("gone"))
+    ints = "array<int>"
+    gone = stored(gone.mapInArrow(_runs, f"k1 long, k2 long, begin {ints}, end {ints}, n int"), "gone")
     out = d.join(gone.hint("merge"), (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2")), "left")
-    inside = lambda i: F.exists(
-        "gone", lambda g: (i >= g["first"]) & (i < g["first"] + g["n"]))
-    left = F.array_join(F.filter(F.split("__text", "\n"), lambda _, i: ~inside(i)), "\n")
-    rest = F.when(F.col("gone").isNull(), F.col("__text")).otherwise(left)
-    removed = F.coalesce(F.aggregate("gone", F.lit(0), lambda a, g: a + g["n"]), F.lit(0))
+    left = _with(F.split("__text", "\n"), lambda x: F.array_join(F.flatten(F.zip_with(
+        "begin", "end", lambda a, b: F.slice(x, a + 1, F.when(b < 0, F.size(x)).otherwise(b) - a))), "\n"))
+    rest = F.when(F.col("n").isNull(), F.col("__text")).otherwise(left)
+    removed = F.coalesce("n", F.lit(0))
     return out.select(*unpacked(docs.columns, ["lines_removed"], text=rest), removed.alias("lines_removed"))
