@@ -3,6 +3,9 @@
 Texts are cut into variable chunks where a gear hash of the last 16 bytes says
 so, at word ends (or, in scripts of three-byte characters, which have no
 spaces, between characters), so an insertion moves no boundary but its own.
+More than ``JOINED`` bytes without white space (encoded data, joined words) are
+cut between any characters, by the hash alone.  Only where the bytes repeat so
+that the hash says nothing are there cuts every ``MAX_CHUNK`` bytes.
 Chunks are compared by a 64-bit digest over all documents.  A run of adjacent
 chunks that each occur elsewhere is a *shared* span if it has ``MIN_RUN``
 bytes; the part of it that is not the first occurrence, by (doc_id, place), is
@@ -35,6 +38,8 @@ from .common import packed, stored, unpacked
 REACH = 16            # bytes that a boundary depends on
 ONE_IN = 4            # words per boundary, on average
 ONE_IN_WIDE = 16      # three-byte characters per boundary, on average
+ONE_IN_ANY = 32       # characters per boundary, on average, beyond JOINED bytes without white space
+JOINED = 32           # at least twice REACH, so that no boundary depends on the text before
 MAX_CHUNK = 1024      # bytes
 MIN_RUN = 112         # bytes, some twenty words
 _GEAR = np.random.default_rng(6).integers(0, 1 << 16, 256, dtype=np.uint16)
@@ -56,9 +61,14 @@ def cuts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[list[in
         return [[] for _ in starts]
     h = gear(data) >> np.uint16(4)
     space = (data == 32) | (data >= 9) & (data <= 13)
+    whole = np.ones(len(data), bool)        # a character ends here
+    whole[:-1] = data[1:] & 0xC0 != 0x80
     wide = np.zeros(len(data), bool)
     wide[2:] = (data[:-2] >= 0xE0) & (data[2:] & 0xC0 == 0x80)
-    at = np.flatnonzero(space & (h % np.uint16(ONE_IN) == 0) | wide & (h % np.uint16(ONE_IN_WIDE) == 0)) + 1
+    wide = wide & whole & (h % np.uint16(ONE_IN_WIDE) == 0)
+    cut = space & (h % np.uint16(ONE_IN) == 0) | wide
+    cut[_joined(h, space, whole, starts)] = True
+    at = np.flatnonzero(cut) + 1
     lo = np.searchsorted(at, starts + REACH, "right")   # none that saw bytes before the text
     hi = np.searchsorted(at, ends, "left")
     out = []
@@ -75,6 +85,18 @@ def cuts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[list[in
     return out
 
 
+def _joined(h: np.ndarray, space: np.ndarray, whole: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where the hash asks for a boundary inside a stretch without white space:
+    not in its first JOINED bytes, and not within REACH bytes of another such
+    place, which constant bytes would have everywhere."""
+    at = np.flatnonzero(whole & (h % np.uint16(ONE_IN_ANY) == 0))
+    at = at[np.diff(at, prepend=-REACH - 1) > REACH]
+    spaces = np.flatnonzero(space)
+    begin = np.concatenate([[0], spaces + 1])[np.searchsorted(spaces, at, "right")]
+    begin = np.maximum(begin, starts[np.searchsorted(starts, at, "right") - 1])
+    return at[at - begin >= JOINED]
+
+
 def _between(data: np.ndarray, i: int) -> int:
     """The last place between characters up to ``i``."""
     while data[i] & 0xC0 == 0x80:

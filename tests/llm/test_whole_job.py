@@ -8,7 +8,10 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import numpy as np
+
 import strata.llm.line_dedup as LD
+import strata.llm.substring_dedup as S
 import test_pipeline
 import test_text_operators as T
 from strata.llm.queries import QUERIES
@@ -79,3 +82,48 @@ def test_line_dedup_odd_rows_by_plain_run_search(spark):
 def test_every_stage_equals_brute_force_with_plain_run_search(spark, monkeypatch):
     monkeypatch.setattr(test_pipeline, "plain_line_dedup", plain_runs)
     test_pipeline.test_every_stage_equals_brute_force(spark)
+
+
+# ---- op6: text without white space
+
+def cut(texts):
+    """Chunks of each text, all in one batch."""
+    raw = [t.encode() for t in texts]
+    edge = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    ends = S.cuts(np.frombuffer(b"".join(raw), np.uint8), edge[:-1], edge[1:])
+    data = b"".join(raw)
+    return [[data[s:e] for s, e in zip([int(edge[k]), *own], own)] for k, own in enumerate(ends)]
+
+
+@pytest.mark.parametrize("kind, size", [("base64", 20000), ("base64", 900), ("dna", 20000), ("nbsp", 6000), ("emoji", 3000)])
+def test_a_shifted_blob_without_white_space_is_found(kind, size):
+    rnd = random.Random(kind)
+    letters = {"base64": [chr(c) for c in range(48, 112)], "dna": list("ACGT"),
+               "emoji": [chr(0x1F600 + k) for k in range(60)],
+               "nbsp": ["\u00a0", *"abcdefghij"]}[kind]
+    for _ in range(40):
+        blob = "".join(rnd.choices(letters, k=size))
+        a, b = cut([p * rnd.randint(1, 300) + f"{rnd.random()} =" + blob + "= " + p for p in "xy"])
+        common = sum(map(len, set(a) & set(b)))
+        ends = 20 * S.ONE_IN_ANY * (4 if kind == "emoji" else 1)      # chunks that reach beyond the blob
+        assert common > len(blob.encode()) - ends, (kind, common)
+        for c in a + b:
+            c.decode()
+
+
+def test_chunks_of_a_text_do_not_depend_on_its_neighbours():
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choices("ab ABCDé前", k=rnd.randint(0, 3000))) for _ in range(30)]
+    texts += [c * 5000 for c in map(chr, range(33, 127))] + ["", "".join(rnd.choices("ACGT", k=5000)), ""]
+    assert cut(texts) == [cut([t])[0] for t in texts]
+    assert max(len(c) for t in cut(texts) for c in t) <= S.MAX_CHUNK
+    assert max(len(c) for c in cut([chr(k) * 5000 for k in range(33, 127)])) < 10
+
+
+def test_shifted_blobs_are_removed(spark):
+    rnd = random.Random(8)
+    blob = "".join(rnd.choices("ABCDEFGHabcdefgh0123+/", k=20000))
+    rows = [(1, f"first text {blob} its end"), (2, f"another beginning:{blob}; another end")]
+    got = {r.doc_id: r.text for r in S.dedup_substrings(spark.createDataFrame(rows, COLS)).collect()}
+    assert got[1] == rows[0][1] and len(got[2]) < 400
+    assert got[2].startswith("another beginning:") and got[2].endswith("another end")
