@@ -8,34 +8,41 @@ bit-parallel distance, which lets the match begin and end anywhere near the
 place that the hit implies.  Nothing is sampled or capped: a text that holds no
 piece of an item within its budget cannot hold the item.
 
-Items and texts are compared as lower-case words: everything but letters and
-digits counts as one space.  Items of fewer than ``MIN_CHARS`` characters in
-that form are not matched, they are no evidence of a leak.
+Items and texts are compared as lower-case words: ASCII other than letters and
+digits counts as one space.  Every item that has a character in that form is
+matched.  An item of fewer than ``MIN_CHARS`` characters counts only where the
+part of the text that it matches begins and ends with words (at a space, an end
+of the text, or beside a character of a script without spaces), so that "art"
+is not found in "start"; an end inside a word is one edit more.
 
 The automaton goes to every task, so its size is bounded: items are taken in
 groups of about ``GROUP_BYTES``, one pass over the documents each.  Documents
 are never shuffled or joined, so equal texts, hot sources and passages shared
 by many documents spread as the input does.
 
-Defined results: a null or empty text, or an item of null text, matches
-nothing; repeated rows each get their result; of several places of one item in
+Defined results: a null or empty text, or an item of null text or without a
+letter or digit, matches nothing; repeated rows each get their result; of several places of one item in
 a text the best, then the first, is returned; empty tables give empty results;
 other columns are carried.
 """
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ERRORS = 0.08
-MIN_CHARS = 40
+MIN_CHARS = 40        # shorter items have to match whole words
 GROUP_BYTES = 1 << 20
 
 # ASCII other than letters and digits becomes a space
 _SPACES = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+_GAP = "\0"           # in a pattern: an end of a word; no text holds one
 LEAKS = "array<struct<item_id:bigint,distance:int>>"
 
 
@@ -44,14 +51,35 @@ def plain(text: str) -> str:
     return b" ".join(text.lower().encode().translate(_SPACES).split()).decode()
 
 
+def _spaceless(c: str) -> bool:
+    """A character of a script that puts no space between words."""
+    return c >= "\u2e80" or "\u0e00" <= c <= "\u0eff" or "\u1000" <= c <= "\u109f" or "\u1780" <= c <= "\u17ff"
+
+
+@lru_cache(1 << 16)
+def _parts(c: str) -> bool:
+    """Whether a word may begin or end beside a character."""
+    return _spaceless(c) or not (c.isalnum() or unicodedata.category(c)[0] == "M")
+
+
+def whole_words(item: str) -> str:
+    """The pattern of an item that has to match whole words."""
+    return (_GAP * (not _parts(item[0])) + item + _GAP * (not _parts(item[-1])))
+
+
 def best_match(item: str, text: str, most: int) -> int | None:
     """Least edit distance of ``item`` to any part of ``text``, None if over
-    ``most`` (Myers' bit vectors, the whole pattern in one integer)."""
+    ``most`` (Myers' bit vectors, the whole pattern in one integer).  A gap in
+    ``item`` equals whatever parts words."""
     if item in text:
         return 0
     m, masks = len(item), {}
     for i, c in enumerate(item):
         masks[c] = masks.get(c, 0) | 1 << i
+    if gaps := masks.get(_GAP):
+        for c in set(text):
+            if _parts(c):
+                masks[c] = masks.get(c, 0) | gaps
     full, top = (1 << m) - 1, 1 << (m - 1)
     up, down, score, best = full, 0, m, m
     for c in text:
@@ -76,13 +104,14 @@ class Matcher:
         found: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             text = plain(text)
-            if len(text) < MIN_CHARS:
+            if not text:
                 continue
             most = int(ERRORS * len(text))
             at = [round(j * len(text) / (most + 1)) for j in range(most + 2)]
             for a, b in zip(at, at[1:]):
                 found.setdefault(text[a:b], []).append((len(self.items), a))
-            self.items.append((item_id, text, most))
+            self.items.append((item_id, text if len(text) >= MIN_CHARS else whole_words(text), most,
+                               len(text) < MIN_CHARS))
         self.auto = ahocorasick.Automaton()
         for piece, where in found.items():
             self.auto.add_word(piece, (len(piece), where))
@@ -98,9 +127,9 @@ class Matcher:
         for end, (size, where) in self.auto.iter(text):
             for item, at in where:
                 starts.setdefault(item, set()).add(end + 1 - size - at)
-        out = []
+        out, ends = [], f"{_GAP}{text}{_GAP}"
         for item, places in sorted(starts.items()):
-            item_id, pattern, most = self.items[item]
+            item_id, pattern, most, short = self.items[item]
             best, done = None, []
             for s in sorted(places):    # windows that touch are searched as one
                 lo, hi = max(0, s - most), s + len(pattern) + most
@@ -109,7 +138,8 @@ class Matcher:
                 else:
                     done.append([lo, hi])
             for lo, hi in done:
-                d = best_match(pattern, text[lo:hi], most)
+                # of ends, one character more on both sides
+                d = best_match(pattern, ends[lo:hi + 2] if short else text[lo:hi], most)
                 if d is not None and (best is None or d < best):
                     best = d
                 if best == 0:

@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import numpy as np
 
+import strata.llm.decontaminate as D
 import strata.llm.line_dedup as LD
 import strata.llm.substring_dedup as S
 import test_pipeline
@@ -127,3 +128,52 @@ def test_shifted_blobs_are_removed(spark):
     got = {r.doc_id: r.text for r in S.dedup_substrings(spark.createDataFrame(rows, COLS)).collect()}
     assert got[1] == rows[0][1] and len(got[2]) < 400
     assert got[2].startswith("another beginning:") and got[2].endswith("another end")
+
+
+# ---- op8: short items
+
+def whole_word_distance(item, text):
+    """Least edits from an item to a part of a text, a part's end inside a word
+    being one more; by the table."""
+    gap = [not D._parts(item[0]), not D._parts(item[-1])]
+    cells = [None] * gap[0] + list(item) + [None] * gap[1]
+    text = [None, *text, None]
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(cells, 1):
+        new = [i]
+        for j, b in enumerate(text, 1):
+            same = (b is None or D._parts(b)) if a is None else a == b
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (not same)))
+        row = new
+    return min(row)
+
+
+def test_short_items_are_found_as_whole_words(spark):
+    items = [(1, "What is the capital of France?"), (2, "法国的首都是哪里?"), (3, "art"), (4, "日本"), (5, "?!"),
+             (6, "Où est l’été ?"), (7, "สวัสดี")]
+    rows = [(1, "Q: what is the capital of France? A: Paris"), (2, "问:法国的首都是哪里?巴黎"), (3, "start of the article"),
+            (4, "“Art”"), (5, "art"), (6, "在日本的人"), (7, "he asked: où est l’été ?"), (8, "What is teh capital of France"),
+            (9, "?!"), (10, "state of the art."), (11, "ครับสวัสดีครับ"), (12, "somewhat is the capital of france")]
+    out = D.decontaminate(spark.createDataFrame(rows, COLS), spark.createDataFrame(items, COLS.replace("doc_", "item_")))
+    got = {(r.doc.doc_id, x.item_id, x.distance) for r in out.collect() for x in r.leaks}
+    assert got == {(1, 1, 0), (2, 2, 0), (4, 3, 0), (5, 3, 0), (6, 4, 0), (7, 6, 0), (8, 1, 2), (10, 3, 0),
+                   (11, 7, 0), (12, 1, 1)}
+
+
+def test_short_items_by_the_table():
+    rnd = random.Random(6)
+    found = 0
+    for _ in range(1500):
+        item = D.plain("".join(rnd.choices("aab c前é’", k=rnd.randint(1, 39))))
+        if not item:
+            continue
+        t = list(item)
+        for _ in range(rnd.randint(0, 3)):
+            k = rnd.randrange(len(t) + 1)
+            t[k:k + rnd.randint(0, 1)] = rnd.choice(["", "x", " "])
+        text = D.plain("".join(rnd.choices("aab c前é’", k=rnd.randint(0, 9))) + "".join(t) + rnd.choice(["", " ", "a", "a b"]))
+        want, most = whole_word_distance(item, text), int(D.ERRORS * len(item))
+        got = D.Matcher([(0, item)]).leaks(text)
+        assert got == ([{"item_id": 0, "distance": want}] if want <= most and text else []), (item, text)
+        found += bool(got)
+    assert found > 300
