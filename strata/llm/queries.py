@@ -13,6 +13,7 @@ from .decontaminate import decontaminate
 from .langid import identify
 from .line_dedup import dedup_lines
 from .mixing import mix
+from .pieces import round_trip
 from .pii import replace_private
 from .quality_rules import quality_rules
 from .simhash import simhash_groups
@@ -99,3 +100,12 @@ def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated quality of every document by text, by metadata and by both."""
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of every text's ids and digest of what they decode
+    to; ``agrees``: the library gives the same ids and text."""
+    from public_tokenizers import path
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return round_trip(docs, path("piece_bpe_32k.model"))

@@ -1,0 +1,100 @@
+"""The merge-type SentencePiece codec against the library."""
+
+import hashlib
+import random
+
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from public_tokenizers import path
+
+import strata.llm.pieces as P
+from strata.llm.queries import QUERIES
+
+MODEL = path("piece_bpe_32k.model")
+SF = "/root/testdata/sf0.001"
+LIBRARY = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return P.Codec(P.model_bytes(MODEL))
+
+
+BITS = st.sampled_from(["a", "e", "t", " ", "  ", "▁", "\n", "\t", "é", "é", "日", "本", "😀", "\x00", "<s>",
+                        "<0x41>", "</s>", "<unk>", "ing", "the", "    ", ".", "(", "12", "　", "ﬁ", "\xa0", "\U0010ffff"])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(BITS, max_size=60).map("".join) | st.text(max_size=80))
+def test_ids_and_text_equal_the_library(codec, text):
+    ids = codec.encode(text)
+    assert ids == LIBRARY.encode(text)
+    assert codec.decode(ids) == LIBRARY.decode(ids)
+
+
+def test_long_stretches_equal_the_library(codec):
+    rnd = random.Random(3)
+    for n in (63, 64, 65, 66, 200, 20_000):
+        for letters in ("ACGT", "abcdefghinrst", "日本語のé", "=+/0aZ\n", " ", "▁x"):
+            text = "".join(rnd.choices(letters, k=n))
+            assert codec.encode(text) == LIBRARY.encode(text), (n, letters)
+    assert codec.encode("aaaa" * 5000) == LIBRARY.encode("aaaa" * 5000)
+
+
+def test_a_matrix_row_and_a_heap_give_the_same_ids(codec):
+    rnd = random.Random(5)
+    some = list({"▁" * rnd.randint(0, 3) + "".join(rnd.choices("etaonis.\né日", k=rnd.randint(1, 60)))
+                 for _ in range(3000)})
+    assert codec._rows(some) == [codec._heap(s) for s in some]
+
+
+def test_what_is_remembered_is_bounded_and_right(codec, monkeypatch):
+    monkeypatch.setattr(P, "REMEMBERED", 10)
+    codec.known, codec.older = {}, {}
+    rnd = random.Random(6)
+    for _ in range(200):
+        texts = [" ".join(rnd.choices(["one", "two", "three.", "four\n"], k=4)) + f" {rnd.random()}" for _ in range(3)]
+        assert codec.encode_all(texts) == LIBRARY.encode(texts)
+        assert len(codec.known) + len(codec.older) < 100
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 300) | st.integers(0, 31_999) | st.sampled_from([259, 261, 28705]), max_size=12))
+def test_any_ids_decode_like_the_library(codec, ids):
+    assert codec.decode(ids) == LIBRARY.decode(ids)
+
+
+def test_query_equals_the_library(spark):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = {r.doc_id: r for r in QUERIES["op11_sentencepiece"](spark, SF).collect()}
+    assert got.keys() == docs.keys() and all(r.agrees for r in got.values())
+    for i, text in docs.items():
+        ids = LIBRARY.encode(text)
+        assert got[i].n_tokens == len(ids)
+        assert got[i].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert got[i].decoded_sha256 == hashlib.sha256(LIBRARY.decode(ids).encode()).hexdigest()
+
+
+def test_odd_rows(spark):
+    rows = [(1, None), (1, None), (None, ""), (2, "a b"), (2, "a b"), (3, "x y " * 60_000), (4, "▁ ▁"), (5, "\x00")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "7 as ids", "'z' as agrees", "1 as `a.b`")
+    out = P.encode(df, MODEL, check=True)
+    assert set(out.columns) == {"doc_id", "text", "ids", "agrees", "a.b"}
+    got = out.collect()
+    assert sorted((str(r.doc_id), r.text or "", r.ids) for r in got) == sorted(
+        (str(i), t or "", LIBRARY.encode(t or "")) for i, t in rows)
+    assert all(r.agrees for r in got)
+    back = P.decode(out.drop("text"), MODEL).collect()
+    assert sorted(r.decoded for r in back) == sorted(LIBRARY.decode(LIBRARY.encode(t or "")) for _, t in rows)
+    assert P.decode(spark.createDataFrame([(None,)], "ids array<int>"), MODEL).first().decoded == ""
+    assert P.round_trip(df.limit(0), MODEL).count() == 0
+    trip = P.round_trip(df, MODEL, check=False)
+    assert trip.columns == ["doc_id", "text", "ids", "agrees", "a.b", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert trip.where("text is null").first().n_tokens == 0
+
+
+def test_other_vocabularies_are_refused_or_right():
+    with pytest.raises(Exception):
+        P.Codec(b"no model")
