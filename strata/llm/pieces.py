@@ -8,9 +8,10 @@ the agenda, until none is left.  Symbols that are no piece become byte pieces
 
 No symbol ever reaches over two characters that stand side by side in no piece
 of the vocabulary, so a text may be cut there, and each stretch between cuts is
-encoded by itself, with the same result as the whole.  Texts are cut where a
-blank follows something else (if no piece has that, else not at all), and
-stretches of more than ``SHORT`` characters at all such places.  The agendas of
+encoded by itself, with the same result as the whole.  Texts are cut before a
+blank that follows something else, and between letters and what is neither
+letter nor blank, each if no piece has such a pair; stretches of more than
+``SHORT`` characters are cut at all such places.  The agendas of
 short stretches are the rows of one matrix, from which each round takes every
 row's best pair; a longer stretch has a heap.
 
@@ -38,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLANK = "\u2581"        # how the vocabulary writes a space
@@ -66,8 +68,7 @@ class Codec:
         self.byte_of = {i: int(sp.id_to_piece(i)[1:-1], 16) for i in ids if sp.is_byte(i)}
         self.id_of_byte = {b: i for i, b in self.byte_of.items()}
         self.beside = {p[k:k + 2] for p in score for k in range(len(p) - 1)}
-        cuts = not any(p[0] != BLANK == p[1] for p in self.beside)
-        self.stretches = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+" if cuts else r"(?s:.+)").findall
+        self.stretches = re.compile(self._cuts()).findall
         self._pairs()
         self.text_of = [sp.id_to_piece(i).replace(BLANK, " ") for i in ids]
         for i in ids:
@@ -81,27 +82,48 @@ class Codec:
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
 
+    def _cuts(self) -> str:
+        """A pattern of the stretches that no piece reaches over."""
+        letters = r"[^\W\d_%s]"
+
+        def kind(x, letter):
+            return "blank" if x == BLANK else "letter" if re.match(letter, x) else "other"
+        # a letter that some piece has before something else counts as something else
+        odd = {p[0] for p in self.beside if [kind(x, letters % "") for x in p] == ["letter", "other"]}
+        odd = "".join(map(re.escape, sorted(odd)))
+        letter, other = letters % odd, f"(?:[\\d_{odd}]|[^\\w{BLANK}])"
+        pairs = {(kind(p[0], letter), kind(p[1], letter)) for p in self.beside}
+        if pairs & {("letter", "blank"), ("other", "blank")}:
+            return "(?s:.+)"
+        if ("letter", "other") in pairs:
+            return f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+"
+        if ("other", "letter") in pairs:
+            return f"{BLANK}+{other}*{letter}*|{other}+{letter}*|{letter}+"
+        return f"{BLANK}*{letter}+|{BLANK}+{other}*|{other}+"
+
     def _pairs(self) -> None:
         """Numbers of the symbols (0: none), and a hash table of every two that
         make a piece, with its order and number."""
         self.names = names = ["", *sorted(self.ids.keys() | {x for p in self.order for x in p})]
         self.number = {x: k for k, x in enumerate(names)}
         self.id_of = np.array([self.ids.get(x, -1) for x in names], np.int32)
+        self.number_of = np.full(0x110000, len(names), np.int32)    # by code point
+        for x, k in self.number.items():
+            if len(x) == 1:
+                self.number_of[ord(x)] = k
         made = [(self.number[p[:k]] << 32 | self.number[p[k:]], o, self.number[p])
                 for p, o in self.order.items() for k in range(1, len(p))
                 if p[:k] in self.number and p[k:] in self.number]
         pair, order, number = np.array(made, np.int64).reshape(-1, 3).T
         bits = max(4, (4 * len(pair)).bit_length())
         self.shift = np.uint64(64 - bits)
-        self.probes, self.slots = 0, np.full(1 << bits, -1, np.int64)
-        slot, rest = self._slot(pair), np.arange(len(pair))
-        at = np.zeros(len(pair), np.int64)
+        self.slots = np.full(1 << bits, -1, np.int64)
+        at, rest = self._slot(pair), np.arange(len(pair))
         while len(rest):                    # who finds its slot taken tries the next one
-            at[rest] = (slot[rest] + self.probes) % len(self.slots)
             free = rest[self.slots[at[rest]] == -1]
             self.slots[at[free]] = pair[free]
             rest = rest[self.slots[at[rest]] != pair[rest]]
-            self.probes += 1
+            at[rest] = (at[rest] + 1) % len(self.slots)
         self.slot_order = np.full(len(self.slots), NONE, np.int32)
         self.slot_made = np.zeros(len(self.slots), np.int32)
         self.slot_order[at], self.slot_made[at] = order, number
@@ -112,11 +134,14 @@ class Codec:
     def _best(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Order and number of the piece that two symbols make (order NONE if none)."""
         pair = a.astype(np.int64) << 32 | b
-        at, slot = np.full(len(pair), -1), self._slot(pair)
-        for k in range(self.probes):
-            look = (slot + k) % len(self.slots)
-            at = np.where(self.slots[look] == pair, look, at)
-        return np.where(at < 0, NONE, self.slot_order[at]), self.slot_made[at]
+        at = self._slot(pair)
+        there = self.slots[at]
+        rest = np.flatnonzero((there != pair) & (there >= 0))
+        while len(rest):                    # another pair's slot: the next one
+            at[rest] = look = (at[rest] + 1) % len(self.slots)
+            there[rest] = own = self.slots[look]
+            rest = rest[(own != pair[rest]) & (own >= 0)]
+        return np.where(there == pair, self.slot_order[at], NONE), self.slot_made[at]
 
     # ---- encoding
 
@@ -129,9 +154,9 @@ class Codec:
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
         new = set(chain.from_iterable(cut)).difference(self.known)
-        again = new.intersection(self.older)
-        self.known.update((s, self.older[s]) for s in again)
-        new -= again
+        again = {s: self.older[s] for s in new if s in self.older}
+        self.known.update(again)
+        new.difference_update(again)
         short = [s for s in new if len(s) <= SHORT]
         self.known.update(zip(short, self._rows(short)))
         for s in new.difference(short):
@@ -159,7 +184,7 @@ class Codec:
     def _rows(self, stretches: list[str]) -> list[tuple[int, ...]]:
         """Ids of short stretches, those of like length in one matrix."""
         out: list = [None] * len(stretches)
-        by_size = sorted(range(len(stretches)), key=lambda r: len(stretches[r]))
+        by_size = np.argsort([len(s) for s in stretches], kind="stable").tolist()
         for k in range(0, len(by_size), ROWS):
             own = by_size[k:k + ROWS]
             for r, ids in zip(own, self._matrix([stretches[r] for r in own])):
@@ -168,41 +193,46 @@ class Codec:
 
     def _matrix(self, stretches: list[str]) -> list[tuple[int, ...]]:
         """Ids of stretches, each with its agenda in a row: the order of the
-        pair that begins at each place."""
-        number, size = self.number, np.array([len(s) for s in stretches])
-        wide = int(size.max()) + 1          # a symbol 0 ends each row
+        pair that begins at each place.  A symbol 0 stands at a row's both
+        ends; merged symbols point over the places they have taken."""
+        size = np.array([len(s) for s in stretches])
+        wide = int(size.max()) + 2
+        codes = np.frombuffer("".join(stretches).encode("utf-32-le"), np.uint32)
         symbols = np.zeros((len(stretches), wide), np.int32)
-        other = len(self.names)             # any character of no piece
-        symbols[np.arange(wide) < size[:, None]] = [number.get(x, other) for s in stretches for x in s]
+        place = np.arange(wide)
+        symbols[(place > 0) & (place <= size[:, None])] = self.number_of[codes]
         agenda = np.full(symbols.shape, NONE)
-        agenda[:, :-1] = self._best(symbols[:, :-1].ravel(), symbols[:, 1:].ravel())[0].reshape(-1, wide - 1)
-        symbols, right = symbols.ravel(), np.arange(1, symbols.size + 1)
+        order, made = self._best(symbols[:, :-1].ravel(), symbols[:, 1:].ravel())
+        agenda[:, :-1] = order.reshape(-1, wide - 1)
+        piece = np.zeros(symbols.shape, np.int32)
+        piece[:, :-1] = made.reshape(-1, wide - 1)
+        rows, symbols, piece = agenda, symbols.ravel(), piece.ravel()
+        agenda, right = agenda.ravel(), np.arange(1, symbols.size + 1)
         left = right - 2
-        row = np.arange(len(stretches))
-        while len(row):
-            at = agenda[row].argmin(1)      # best score, then first place
-            live = agenda[row, at] != NONE
-            row, at = row[live], row[live] * wide + at[live]
+        begin = np.arange(0, symbols.size, wide)
+        while len(begin):
+            at = begin + rows.argmin(1)     # best score, then first place
+            live = agenda[at] != NONE
+            if not live.all():
+                begin, at = begin[live], at[live]
             r = right[at]
-            piece = self._best(symbols[at], symbols[r])[1]
-            symbols[at], symbols[r] = piece, 0
-            flat = agenda.reshape(-1)
-            flat[r] = NONE
+            symbols[at], symbols[r] = new, _ = piece[at], 0
+            agenda[r] = NONE
             right[at] = r = right[r]
-            inside = r % wide > 0           # else the row ended with the pair
-            left[r[inside]] = at[inside]
-            flat[at] = np.where(inside, self._best(piece, symbols[np.where(inside, r, 0)])[0], NONE)
-            some = at % wide > 0
-            b = left[at[some]]
-            flat[b] = self._best(symbols[b], piece[some])[0]
+            left[r] = at
+            agenda[at], piece[at] = self._best(new, symbols[r])
+            b = left[at]
+            agenda[b], piece[b] = self._best(symbols[b], new)
+            rows = agenda.reshape(-1, wide)[begin // wide]
         symbols = symbols.reshape(-1, wide)
+        other = len(self.names)             # any character of no piece
         ids = self.id_of[np.minimum(symbols, other - 1)]
         odd = ((symbols == other) | (ids < 0) & (symbols > 0)).any(1).tolist()
         there = symbols > 0
         ids = ids[there].tolist()
         upto = np.concatenate([[0], np.cumsum(there.sum(1))]).tolist()
-        return [self._ids([s[k] if x == other else self.names[x] for k, x in enumerate(symbols[i].tolist()) if x])
-                if odd[i] else tuple(ids[a:b])
+        return [self._ids([s[k - 1] if x == other else self.names[x]
+                           for k, x in enumerate(symbols[i].tolist()) if x]) if odd[i] else tuple(ids[a:b])
                 for i, (s, a, b) in enumerate(zip(stretches, upto, upto[1:]))]
 
     def _heap(self, s: str) -> tuple[int, ...]:
@@ -280,7 +310,7 @@ def _extended(docs: DataFrame, per_batch, source: str, results: list[T.StructFie
     names = {f.name for f in results}
     kept = [f for f in docs.schema.fields if f.name not in names]
     # the source travels beside the carried columns: it may be replaced itself
-    slim = docs.select(*[docs[f"`{f.name}`"] for f in kept], docs[f"`{source}`"].alias("__source"))
+    slim = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{source}`").alias("__source"))
 
     def run(batches):
         for b in batches:
