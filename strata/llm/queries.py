@@ -104,8 +104,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Number and digest of every text's ids and digest of what they decode
-    to; ``agrees``: the library gives the same ids and text."""
+    """Number and digest of every text's ids, and digest of what they decode to."""
     from public_tokenizers import path
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return round_trip(docs, path("piece_bpe_32k.model"))

@@ -69,7 +69,7 @@ def test_any_ids_decode_like_the_library(codec, ids):
 def test_query_equals_the_library(spark):
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = {r.doc_id: r for r in QUERIES["op11_sentencepiece"](spark, SF).collect()}
-    assert got.keys() == docs.keys() and all(r.agrees for r in got.values())
+    assert got.keys() == docs.keys()
     for i, text in docs.items():
         ids = LIBRARY.encode(text)
         assert got[i].n_tokens == len(ids)
@@ -86,11 +86,11 @@ def test_odd_rows(spark):
     assert sorted((str(r.doc_id), r.text or "", r.ids) for r in got) == sorted(
         (str(i), t or "", LIBRARY.encode(t or "")) for i, t in rows)
     assert all(r.agrees for r in got)
-    back = P.decode(out.drop("text"), MODEL).collect()
+    back = P.decode(P.encode(df, MODEL).drop("text"), MODEL).collect()
     assert sorted(r.decoded for r in back) == sorted(LIBRARY.decode(LIBRARY.encode(t or "")) for _, t in rows)
     assert P.decode(spark.createDataFrame([(None,)], "ids array<int>"), MODEL).first().decoded == ""
     assert P.round_trip(df.limit(0), MODEL).count() == 0
-    trip = P.round_trip(df, MODEL, check=False)
+    trip = P.round_trip(df, MODEL)
     assert trip.columns == ["doc_id", "text", "ids", "agrees", "a.b", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert trip.where("text is null").first().n_tokens == 0
 
@@ -98,3 +98,13 @@ def test_odd_rows(spark):
 def test_other_vocabularies_are_refused_or_right():
     with pytest.raises(Exception):
         P.Codec(b"no model")
+
+
+def test_a_difference_from_the_library_fails(codec):
+    codec.known, codec.older = {}, {}
+    texts = ["the end.\n\nA 12 (x)", "  two\t日本 ▁ ▁▁a", "", ".", "x" * 300 + "."]
+    assert codec.encode_all(texts, check=True) == LIBRARY.encode(texts)
+    codec.known = {"▁end": (1, 2)}
+    with pytest.raises(ValueError):
+        codec._compare(["▁end"])
+    codec.known = {}
