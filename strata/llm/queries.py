@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import sql
 from .common import table
+from .conversations import repaired_damage
 from .cotraining import classify
 from .decontaminate import decontaminate
 from .langid import identify
@@ -17,6 +18,7 @@ from .pieces import round_trip
 from .pii import replace_private
 from .quality_rules import quality_rules
 from .simhash import simhash_groups
+from .spelling import spelling_variants
 from .substring_dedup import find_repeats
 from .url_filter import filter_urls
 
@@ -25,6 +27,8 @@ ORACLE: dict[str, str] = {
     "op3_url_filters": sql.URLS,
     "op7_mix_sources": sql.MIX,
     "op10_quality_rules": sql.QUALITY,
+    "op12_conversation_repair": sql.CONVERSATIONS,
+    "op13_spelling_variants": sql.SPELLING,
 }
 
 
@@ -108,3 +112,15 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return round_trip(docs, path("piece_bpe_32k.model"))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, and its cheapest repair."""
+    return repaired_damage(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its near words, form and root."""
+    return spelling_variants(table(spark, sf_dir, "documents"))

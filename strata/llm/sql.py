@@ -131,3 +131,114 @@ r AS (SELECT *, list_reverse_sort(list_filter([{_places()}], lambda x: x IS NOT
 SELECT page_id, host, path, best.rule AS rule, pattern,
   coalesce(best.says, CASE WHEN pattern IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict FROM r
 """
+
+
+def _crc32(text: str) -> str:
+    """crc32 of a text's UTF-8 bytes, with the list ``t`` of crc_table in scope."""
+    digit = "instr('0123456789ABCDEF', substr(hex(encode({0})), {1}, 1)) - 1"
+    byte = f"16 * ({digit.format(text, 'i')}) + {digit.format(text, 'i + 1')}"
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295, list_transform("
+            f"range(1, 2 * octet_length(encode({text})) + 1, 2), lambda i: {byte})), "
+            f"lambda h, b: xor(h >> 8, t[(xor(h, b) & 255) + 1])))")
+
+
+CRC_TABLE = """crc_bits(b, x, k) AS (
+  SELECT range, range, 0 FROM range(256)
+  UNION ALL
+  SELECT b, CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, k + 1 FROM crc_bits WHERE k < 8),
+crc_table AS (SELECT list(x ORDER BY b) AS t FROM crc_bits WHERE k = 8)"""
+
+SPELLING = rf"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+     unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]{{7,}}')) AS run FROM documents),
+lowered AS (SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run,
+     count(*) AS c FROM runs GROUP BY ALL),
+hashed AS (SELECT run, c, {_crc32("id || ':' || run")} AS h FROM lowered, crc_table),
+words AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+     ELSE run END AS word, CAST(sum(c) AS BIGINT) AS n FROM hashed GROUP BY 1 HAVING length(word) >= 7 AND n >= 2),
+places AS (SELECT word, n, unnest(range(length(word))) AS p FROM words),
+cut AS (SELECT word, n, p, substr(word, 1, p) || substr(word, p + 2) AS less FROM places),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.less = b.less AND a.p = b.p AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.less = w.word
+  UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.less = w.word),
+best AS (SELECT word, count(*) AS n_near, max(m) AS top_n, list(other ORDER BY m DESC, other)[1] AS top
+  FROM near GROUP BY word),
+formed AS (SELECT w.word, n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near,
+     CASE WHEN top_n >= 10 * n THEN top END AS form, CASE WHEN top_n >= 10 * n THEN top_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+paths(word, root) AS (SELECT word, word FROM formed UNION ALL
+  SELECT p.word, f.form FROM paths p JOIN formed f ON p.root = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, p.root
+FROM formed f JOIN paths p ON p.word = f.word JOIN formed l ON l.word = p.root WHERE l.form IS NULL
+"""
+
+
+def _way(state: str, cost: str, initial: str, line: str | None) -> str:
+    """A path that begins with one edit and goes on as from ``state``."""
+    rest = f"{state}.r" if line is None else f"chr(10) || {line} || {state}.r"
+    return f"{{'c': {state}.c + {cost}, 'a': '{initial}' || {state}.a, 'r': {rest}}}"
+
+
+def _least(ways: list[str]) -> str:
+    return f"list_sort([{', '.join(ways)}])[1]"
+
+
+_STATES = {"x": ("u", "user"), "s": ("u", "user"), "u": ("a", "assistant"), "a": ("u", "user")}
+_KEEPS = {"x": [("s", "s"), ("u", "u")], "s": [("u", "u")], "u": [("a", "a")], "a": [("u", "u")]}
+_NEVER = "{'c': 1000000000000, 'a': '', 'r': ''}"
+
+
+def _row_ways(q: str) -> str:
+    to, name = _STATES[q]
+    keeps = [f"CASE WHEN keeps AND initial = '{i}' THEN {_way('p.' + t, 'more', 'K', 'line')} ELSE {_NEVER} END"
+             for i, t in _KEEPS[q]]
+    reroles = f"CASE WHEN keeps THEN {_way('p.' + to, '3 + more', 'R', chr(39) + name + ':' + chr(39) + ' || text')} ELSE {_NEVER} END"
+    return _least([_way("p." + q, "4", "D", None), *keeps, reroles])
+
+
+def _insert(q: str, source: str) -> str:
+    to, name = _STATES[q]
+    return _least([f"{source}{q}", _way(source + to, "3", "I", f"'{name}:'")])
+
+
+CONVERSATIONS = rf"""
+WITH RECURSIVE {CRC_TABLE},
+hit AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc32(
+    "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS f
+  FROM conversations, crc_table),
+broken AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+     CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+     unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy FROM hit WHERE f <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id
+     ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text)) AS i,
+     regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS last FROM broken),
+judged AS (SELECT *, CASE WHEN last = '' THEN 'blank'
+       WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+       WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+     left(role, 1) AS initial, role || ':' || text AS line,
+     lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM placed),
+turns AS (SELECT *, fault NOT IN ('blank', 'duplicate') AS keeps, 3 * CAST(fault = 'truncated' AS INT) AS more FROM judged),
+counted AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+     count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+     count(*) FILTER (fault = 'truncated') AS truncated,
+     count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS rows
+  FROM turns GROUP BY conv_id),
+paths(conv_id, i, p) AS (
+  SELECT conv_id, rows + 1, {{'x': {{'c': 0, 'a': '', 'r': ''}}, 's': {{'c': 6, 'a': 'II', 'r': chr(10) || 'user:' || chr(10) || 'assistant:'}},
+     'u': {{'c': 3, 'a': 'I', 'r': chr(10) || 'assistant:'}}, 'a': {{'c': 0, 'a': '', 'r': ''}}}} FROM counted
+  UNION ALL
+  SELECT conv_id, i, {{'x': {_insert('x', 'g.')}, 's': {_insert('s', 'g.')}, 'u': g.u, 'a': g.a}}
+  FROM (SELECT conv_id, i, {{'x': h.x, 's': h.s, 'u': {_insert('u', 'h.')}, 'a': {_insert('a', 'h.')}}} AS g
+    FROM (SELECT p.conv_id, t.i, {{'x': {_row_ways('x').replace('p.', 'p.p.')}, 's': {_row_ways('s').replace('p.', 'p.p.')},
+        'u': {_row_ways('u').replace('p.', 'p.p.')}, 'a': {_row_ways('a').replace('p.', 'p.p.')}}} AS h
+      FROM paths p JOIN turns t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = p.i - 1))),
+best AS (SELECT conv_id, p.x.c AS cost, p.x.a AS audit, sha256(substr(p.x.r, 2)) AS repaired_sha256 FROM paths WHERE i = 1)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+  coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
