@@ -31,47 +31,61 @@ def documents(spark):
 
 # ---- line de-duplication
 
+def worded(text):
+    """(place, line) of the lines with a word."""
+    return [(i, x) for i, x in enumerate(text.split("\n")) if x.strip(" \t\n\x0b\x0c\r")]
+
+
 def plain_chunks(text):
-    """(first line, text) of a text's chunks, one line at a time."""
+    """(first line, lines, lines with a word that follow up to the next boundary, as
+    (last line, text)) of a text's chunks, one line at a time."""
     import xxhash
-    lines, out, start = text.split("\n"), [], 0
-    h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in lines]
-    for i in range(len(lines)):
-        roll = 0
-        for back in range(LD.WINDOW):
-            if i - back >= 0:
-                roll = (roll * 0x9E3779B97F4A7C15 + h[i - back]) % 2**64
-        n = i + 1 - start
-        if n >= LD.MAX_LINES or n >= LD.MIN_LINES and (roll >> 32) % LD.ONE_IN == 0 or i == len(lines) - 1:
-            out.append((start, lines[start:i + 1]))
-            start = i + 1
+    own, lines = worded(text), text.split("\n")
+    h = [xxhash.xxh64_intdigest(x.encode(), 42) for _, x in own]
+
+    def boundary(j):
+        return (h[j] * 0x9E3779B97F4A7C15 + h[j - 1]) % 2**64 >> 32 & 31 != 0
+    out = []
+    for i in range(len(own) - 1):
+        e = i + 1
+        while e < len(own) - 1 and e < i + 31 and not boundary(e):
+            e += 1
+        after, k = [], e + 1
+        while k < len(own) and k <= e + 32 and not boundary(k):
+            after.append((own[k][0], "\n".join(lines[own[k - 1][0] + 1:own[k][0] + 1])))
+            k += 1
+        out.append((own[i][0], lines[own[i][0]:own[e][0] + 1], after))
     return out
 
 
 def plain_line_dedup(rows):
+    """(doc_id, text, lines_removed) by the definition, one chunk at a time."""
     first = {}
-    rows_seen = [(i, t) for i, t in rows if t is not None]
 
     def rank(i, t, s):
         return (i is None, i if i is not None else 0, KEY2[i, t], s)
-    for i, t in rows_seen:
-        for s, ls in plain_chunks(t):
-            if len(ls) > 1 and "".join(ls).strip(" \t\n\x0b\x0c\r"):
-                k = "\n".join(ls)
-                first[k] = min(first.get(k, rank(i, t, s)), rank(i, t, s))
+    for i, t in rows:
+        for s, ls, after in plain_chunks(t) if t is not None else []:
+            k = "\n".join(ls)
+            first[k] = min(first.get(k, (rank(i, t, s), after)), (rank(i, t, s), after))
     out = []
     for i, t in rows:
         if t is None:
             out.append((i, t, 0))
             continue
-        keep, gone = [], 0
-        for s, ls in plain_chunks(t):
-            k = "\n".join(ls)
-            if k in first and len(ls) > 1 and first[k] != rank(i, t, s):
-                gone += len(ls)
-            else:
-                keep += ls
-        out.append((i, "\n".join(keep), gone))
+        gone = set()
+        for s, ls, after in plain_chunks(t):
+            kept, theirs = first["\n".join(ls)]
+            if kept == rank(i, t, s):
+                continue
+            end = s + len(ls)
+            for (e, x), (_, y) in zip(after, theirs):
+                if x != y:
+                    break
+                end = e + 1
+            begin = max(s, kept[3] + end - s) if kept[:3] == rank(i, t, s)[:3] else s
+            gone |= set(range(begin, end))
+        out.append((i, "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone), len(gone)))
     return sorted(out, key=str)
 
 
