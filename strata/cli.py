@@ -43,6 +43,8 @@ def main(argv=None) -> int:
     la.add_argument("--encoding", default="utf-8", help="of the archives' text")
     lo.add_argument("--staging", default=None,
                     help="write ADD/CHANGE staging tables here; dropped after the merge")
+    lo.add_argument("--widths", default=None, choices=["fail", "null"],
+                    help="what becomes of a value over its declared width, in all loads")
     lo.add_argument("--vacuum-keep", type=int, default=0,
                     help="after the run, delete open sets older than this many versions")
     args = ap.parse_args(argv)
@@ -61,7 +63,7 @@ def main(argv=None) -> int:
         out = jobs.multi_feed_run(spark, args.landing, args.tables, args.as_of,
                                   full=args.load_type == "FUL",
                                   feeds=[x for x in args.feeds.split(",") if x],
-                                  staging_root=args.staging, encoding=args.encoding)
+                                  staging_root=args.staging, enforce=args.widths, encoding=args.encoding)
         if args.vacuum_keep > 0:
             from .plans import snapshot
             for name in out:

@@ -219,7 +219,8 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
                 mk: MergeKeys, as_of, null_safe: bool = False,
                 broadcast_limit: int | None = None, closed: DataFrame | None = None,
                 collation: str | None = None, close_test: str = "auto",
-                carry: dict[str, Column] | None = None, _collated_now: bool = False) -> MergeParts:
+                carry: dict[str, Column] | None = None, changes_only: bool = False,
+                _collated_now: bool = False) -> MergeParts:
     """The merge as separate parts (see ``MergeParts``).
 
     ``history`` holds every version; or, with ``closed`` given, ``history``
@@ -227,6 +228,11 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
     branches never touch closed data.  ``carry`` names further columns of
     ``history`` to keep, with their value for versions that ADD opens.
 
+    ``changes_only``: the caller needs the versions that open and close, not
+    those that stay.  Where CHANGE is too large to broadcast, versions without
+    a CHANGE key are then left out by a semi join on the keys, which Spark's
+    run-time Bloom filter can take ahead of the shuffle.
+
     ``collation`` (e.g. ``UTF8_LCASE``, ``UTF8_LCASE_RTRIM``) makes every
     string comparison of the merge -- key match, value difference, EXCEPT --
     follow that collation, as a database collation would; results come back
@@ -244,7 +250,7 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
         some = lambda d: None if d is None else _collated(d, collation)
         p = merge_parts(some(history), some(add), some(change), mk, as_of, null_safe,
                         broadcast_limit, some(closed), close_test=close_test, carry=carry,
-                        _collated_now=True)
+                        changes_only=changes_only, _collated_now=True)
         back = [None if d is None else _plain(d, collation)
                 for d in (p.shut, p.flagged, p.inserted, p.added)]
         return MergeParts(*back, as_of)
@@ -283,6 +289,9 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
 
     # 2. Flag what CHANGE closes, in one pass.
     side_fits = chg_fits and (test != "summary" or fits(*_summary_bound(sizes[-1], len(mk.values)), limit))
+    if changes_only and not chg_fits:
+        rows = rows.filter(F.col(END_DATE).isNull()).alias("m").join(
+            cols(chg, keys).distinct().alias("b"), key_condition(keys, "m", "b", True), "left_semi")
     flag = lambda df: _flag(df, chg, mk, null_safe, test, side_fits)
     flagged = flag(rows)
 

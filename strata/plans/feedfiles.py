@@ -335,15 +335,20 @@ def layout_text_columns(spec) -> list[tuple[str, object, str]]:
     return out
 
 
+def last_text(spec) -> str:
+    return [c.name for c in spec.columns if c.kind == "string" and not c.is_key][-1]
+
+
 def land_layout_from_events(spark: SparkSession, sf_dir: str, spec, root: str | None = None,
-                            incremental: bool = False) -> str:
+                            incremental: bool = False, held_back: bool = False) -> str:
     """Land the whole `events` table as one feed's pipe text (FULL); returns the
-    root.  ``incremental`` adds an ADD folder with every fifth event (whose keys
-    exist) and a CHANGE folder with every fourth, its last text column
-    changed."""
+    root.  ``incremental`` adds an ADD folder with every fifth event and a CHANGE
+    folder with every fourth, its last text column changed.  ``held_back`` leaves
+    every tenth event out of FULL, so half of the ADD keys are new; else all
+    exist."""
     root = root or scratch_path(spark, f"landing-{spec.name}")
     cols = layout_text_columns(spec)
-    last = [c.name for c in spec.columns if c.kind == "string" and not c.is_key][-1]
+    last = last_text(spec)
     e = table(spark, sf_dir, "events")
 
     def lines(rows, load, changed=False):
@@ -351,7 +356,7 @@ def land_layout_from_events(spark: SparkSession, sf_dir: str, spec, root: str |
                   for name, build, _ in cols]
         return rows.select(_join(*values).alias("line"), F.lit(spec.name).alias("feed"), F.lit(load).alias("load"))
 
-    out = lines(e, "FUL")
+    out = lines(e.where("event_id % 10 <> 0") if held_back else e, "FUL")
     if incremental:
         out = out.unionByName(lines(e.where("event_id % 5 = 0"), "add")).unionByName(
             lines(e.where("event_id % 4 = 0"), "change", True))

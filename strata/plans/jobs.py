@@ -78,16 +78,18 @@ def typed_batch(spark: SparkSession, landing: str, spec: FeedSpec, load: str, as
     return typed(raw, spec, as_of=as_of, full_load=(load == LOAD_FULL))
 
 
+def _within_widths(rows: DataFrame, spec: FeedSpec, enforce: str | None) -> DataFrame:
+    return enforce_widths(rows, spec_widths(spec), enforce) if enforce else rows
+
+
 def full_load(spark: SparkSession, landing: str, spec: FeedSpec, table_root: str, as_of,
               enforce: str | None = None, **read) -> snapshot.Pointer:
     """Replace the history with the FULL files, every row an open version.
 
     ``enforce`` applies the declared widths: "fail" on an over-long value (as a
     width-checked target does), "null" it; None loads it."""
-    rows = typed_batch(spark, landing, spec, LOAD_FULL, as_of, **read)
-    if enforce:
-        rows = enforce_widths(rows, spec_widths(spec), enforce)
-    return snapshot.publish(spark, table_root, rows, None, fresh=True)
+    rows = _within_widths(typed_batch(spark, landing, spec, LOAD_FULL, as_of, **read), spec, enforce)
+    return snapshot.publish(spark, table_root, rows, None, fresh=True, cluster=spec.keys)
 
 
 @dataclass
@@ -97,10 +99,11 @@ class Staged:
 
 
 def incremental_load(spark: SparkSession, landing: str, spec: FeedSpec, as_of,
-                     staging_root: str | None = None, **read) -> Staged:
-    """Type the ADD and CHANGE folders; optionally replace staging tables."""
-    add = typed_batch(spark, landing, spec, LOAD_ADD, as_of, **read)
-    chg = typed_batch(spark, landing, spec, LOAD_CHANGE, as_of, **read)
+                     staging_root: str | None = None, enforce: str | None = None, **read) -> Staged:
+    """Type the ADD and CHANGE folders; optionally replace staging tables.
+    ``enforce`` as for the FULL load."""
+    add = _within_widths(typed_batch(spark, landing, spec, LOAD_ADD, as_of, **read), spec, enforce)
+    chg = _within_widths(typed_batch(spark, landing, spec, LOAD_CHANGE, as_of, **read), spec, enforce)
     if staging_root:
         add_path, chg_path = staging_paths(staging_root, spec)
         add = snapshot.replace_table(add, add_path)
@@ -115,13 +118,18 @@ def merge_into(spark: SparkSession, table_root: str, add: DataFrame | None,
                compact_after: int = COMPACT_AFTER) -> snapshot.Pointer:
     """Merge one ADD + CHANGE batch into a stored history and publish the next
     version: what the run opens and closes is written, the rest stays where it
-    is.  After ``compact_after`` such runs the open rows become a new base."""
+    is.  After ``compact_after`` such runs the open rows become a new base.
+
+    Of a history dealt out by key ranges only those are read that hold keys of
+    the batch (under a collation keys may match across ranges: all are)."""
     ptr = snapshot.current(spark, table_root)
-    open_rows = snapshot.open_with_run(spark, table_root, ptr=ptr)
-    closed = snapshot.read_closed(spark, table_root, ptr=ptr)
+    ranges = snapshot.touched(spark, table_root, ptr, [add, change]) if ptr and collation is None \
+        and ptr.cluster[:1] and ptr.cluster[0] in mk.keys else None
+    open_rows = snapshot.open_with_run(spark, table_root, ptr=ptr, ranges=ranges)
+    closed = snapshot.read_closed(spark, table_root, ptr=ptr, ranges=ranges)
     parts = merge_parts(open_rows, add, change, mk, as_of, null_safe, broadcast_limit,
                         closed=closed, collation=collation,
-                        carry={snapshot.RUN: F.lit(None).cast("long")})
+                        carry={snapshot.RUN: F.lit(None).cast("long")}, changes_only=True)
     new = snapshot.publish_delta(spark, table_root, parts.opened, parts.closing, ptr,
                                  batch_id=batch_id, stream_id=stream_id)
     if new.version - new.base >= compact_after:
@@ -135,16 +143,18 @@ def staging_paths(staging_root: str, spec: FeedSpec) -> tuple[str, str]:
 
 
 def run_feed(spark: SparkSession, landing: str, table_root: str, spec: FeedSpec, as_of,
-             full: bool = False, staging_root: str | None = None, **read) -> snapshot.Pointer:
+             full: bool = False, staging_root: str | None = None, enforce: str | None = None,
+             **read) -> snapshot.Pointer:
     """One feed: optional FULL replace, then ADD/CHANGE staged and merged.
+    ``enforce`` applies the declared widths to all three.
 
     With ``staging_root`` the typed batches are written as staging tables
     (replaced each run), merged from there, and dropped once the merge has
     succeeded; otherwise they are persisted for the merge and released.
     """
     if full:
-        full_load(spark, landing, spec, table_root, as_of, **read)
-    staged = incremental_load(spark, landing, spec, as_of, staging_root, **read)
+        full_load(spark, landing, spec, table_root, as_of, enforce, **read)
+    staged = incremental_load(spark, landing, spec, as_of, staging_root, enforce, **read)
     if staging_root:
         ptr = merge_into(spark, table_root, staged.add, staged.change, MergeKeys.of(spec), as_of)
         for path in staging_paths(staging_root, spec):
@@ -174,9 +184,9 @@ def for_each_feed(fn, names, parallel: bool = True) -> dict:
 
 def multi_feed_run(spark: SparkSession, landing: str, tables_root: str, as_of,
                    full: bool = False, feeds=FEED_ORDER, parallel: bool = True,
-                   staging_root: str | None = None, **read) -> dict:
-    """Every feed: optional FULL replace, then ADD + CHANGE merge; returns the
-    published pointer per feed."""
+                   staging_root: str | None = None, enforce: str | None = None, **read) -> dict:
+    """Every feed: optional FULL replace, then ADD + CHANGE merge, under the
+    declared widths if ``enforce``; returns the published pointer per feed."""
     return for_each_feed(
         lambda name: run_feed(spark, landing, f"{tables_root.rstrip('/')}/{name}", FEEDS[name],
-                              as_of, full, staging_root, **read), feeds, parallel)
+                              as_of, full, staging_root, enforce, **read), feeds, parallel)

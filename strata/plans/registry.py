@@ -358,13 +358,54 @@ def q_multi_feed_run(spark, sf_dir):
     return out
 
 
+def _row_digest(names) -> str:
+    """md5 of a row's columns as text, in SQL of both engines."""
+    quoted = [f"coalesce(CAST({{q}}{n}{{q}} AS STRING), '~')" for n in names]
+    return "md5(concat_ws('|', " + ", ".join(quoted) + "))"
+
+
+def _contents_sql(feed):
+    spec = FEEDS[feed]
+    last, key = FF.last_text(spec), spec.keys[0]
+    digest = _row_digest(spec.names).format(q='"').replace("AS STRING", "AS VARCHAR")
+    typed_rows = FF.layout_typed_sql(spec, AS_OF)
+    changed = f"""SELECT * REPLACE ("{last}" || ' changed' AS "{last}") FROM t WHERE CAST({key} AS BIGINT) % 4 = 0"""
+    return f"""SELECT '{feed}' AS feed, row_digest, start_date, end_date FROM (
+  WITH t AS ({typed_rows})
+  SELECT {digest} AS row_digest, start_date,
+         CASE WHEN CAST({key} AS BIGINT) % 4 = 0 THEN DATE '{AS_OF}' END AS end_date FROM t
+  UNION ALL
+  SELECT {digest}, start_date, end_date FROM ({changed}))"""
+
+
+@register("multi_feed_contents", "\nUNION ALL\n".join(map(_contents_sql, FEED_ORDER)))
+def q_multi_feed_contents(spark, sf_dir):
+    """The whole job on the four published layouts, every version by a digest of
+    all its columns.  Half of the ADD keys are new, half exist; some of the new
+    ones are changed in the same run."""
+    from ..session import scratch_path
+    from . import jobs, snapshot
+    landing, tables = scratch_path(spark, "landing"), scratch_path(spark, "tables")
+    for feed in FEED_ORDER:
+        FF.land_layout_from_events(spark, sf_dir, FEEDS[feed], landing, incremental=True, held_back=True)
+    jobs.multi_feed_run(spark, landing, tables, AS_OF, full=True, staging_root=scratch_path(spark, "staging"),
+                        enforce="fail")
+    out = None
+    for feed in FEED_ORDER:
+        h = snapshot.read_history(spark, f"{tables}/{feed}")
+        c = h.select(F.lit(feed).alias("feed"), F.expr(_row_digest(FEEDS[feed].names).format(q="`")).alias("row_digest"),
+                     "start_date", "end_date")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
 def _stored_merge(spark, sf_dir, compacted):
     from ..session import scratch_path
     from . import jobs, snapshot
     t = trio(spark, sf_dir, ORDERS_TRIO)
     tbl = scratch_path(spark, "history")
     open_rows, closed_rows = snapshot.split_open(t.history)
-    snapshot.publish(spark, tbl, open_rows, closed_rows, fresh=True)
+    snapshot.publish(spark, tbl, open_rows, closed_rows, fresh=True, cluster=t.mk.keys)
     jobs.merge_into(spark, tbl, t.add, t.change, t.mk, AS_OF)
     if compacted:
         snapshot.compact(spark, tbl)

@@ -3,27 +3,36 @@
 Layout under a table root (any shared file system Spark writes to)::
 
     data/run=<n>/part=base/      all versions open as of run n (FULL load, compaction)
+    data/run=<n>/part=shut/      all versions closed as of run n (compaction)
     data/run=<n>/part=new/       versions opened by run n
     data/run=<n>/part=closed/    versions closed by run n, with the run that opened them
-    _versions/v<n>.json          pointer {version, base, closed_from, batch_id, stream_id}
+    data/run=<n>/part=ranges/    key ranges of the run's base and shut parts
+    _versions/v<n>.json          pointer: version, base, parts to read, key columns, stream batch
 
-A run writes its parts in one partitioned write and only then creates its
-pointer; the highest pointer is current.  Pointers are created, never
-replaced: of two writers of one version the second fails.  A run takes a
-number above every pointer and every run folder, so what a failed run left
-behind is neither read nor written over.
+A run writes its parts and only then its pointer; the highest pointer is
+current.  A pointer is written under another name and renamed, never replaced:
+a reader sees all of it or none, and of two writers of one version the second
+fails.  A run takes a number above every pointer and every run folder, so what a
+failed run left behind is neither read nor written over.
+
+With key columns (``cluster``) the base and shut parts are dealt out by ranges
+of the first of them, one folder ``kr=<i>`` each, sorted by all of them and with
+Bloom filters on them; a hot key spreads over several ranges.  ``touched`` says
+which ranges hold keys of a batch, so a run reads these folders and no others.
 
 An incremental run writes what it opens and what it closes and nothing else;
 its cost follows the batch, not the history.  The open versions at version v
 are ``base`` and every ``new`` part since, less the ``closed`` parts since
 (matched on the opening run and all business columns; equal rows opened by one
-run close together).  ``compact`` writes them as a new base.  Readers name the
-exact folders of the runs that have pointers; nothing else is listed.
+run close together).  ``compact`` writes them as a new base, and all closed
+versions as a new shut part, so what a reader opens does not grow with the
+number of runs.  The pointer names the parts; nothing is listed or probed.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +43,9 @@ from ..specs import END_DATE
 from .sizing import broadcast_limit, fits, measure
 
 RUN = "__run"            # the run that opened a version
-BASE, NEW, CLOSED = "base", "new", "closed"
+KEY_RANGE = "kr"
+BASE, NEW, CLOSED, SHUT, RANGES = "base", "new", "closed", "shut", "ranges"
+MAX_RANGES = 512         # of a part; what ``touched`` brings to the driver is bounded by it
 
 
 @dataclass(frozen=True)
@@ -44,6 +55,10 @@ class Pointer:
     closed_from: int
     batch_id: int | None = None    # last stream micro-batch folded in ...
     stream_id: str | None = None   # ... of this stream
+    new: tuple[int, ...] = ()      # runs since the base that opened versions
+    closed: tuple[int, ...] = ()   # runs since the shut part that closed versions
+    shut: int | None = None        # run of the shut part
+    cluster: tuple[str, ...] = ()  # key columns that the base and shut parts are dealt out by
 
 
 class VersionExists(RuntimeError):
@@ -98,23 +113,32 @@ def _pointer(spark: SparkSession, root: str, version: int) -> Pointer:
     path = _p(root, "_versions", f"v{version}.json")
     text = "".join(r[0] for r in spark.read.text(path, wholetext=True).take(1))
     try:
-        return Pointer(**json.loads(text))
+        return Pointer(**{k: tuple(v) if isinstance(v, list) else v for k, v in json.loads(text).items()})
     except (ValueError, TypeError) as e:
         raise RuntimeError(f"unreadable version pointer {path}") from e
 
 
 def _switch(spark: SparkSession, root: str, ptr: Pointer) -> None:
-    fs, p = _fs(spark, _p(root, "_versions", f"v{ptr.version}.json"))
-    try:
-        out = fs.create(p, False)      # fails if it exists
-    except Exception as e:
-        if fs.exists(p):
-            raise VersionExists(f"version {ptr.version} of {root} exists") from e
-        raise
+    """Publish a pointer: written whole under another name, then renamed, which
+    fails if the name exists."""
+    jvm = spark.sparkContext._jvm
+    fs, final = _fs(spark, _p(root, "_versions", f"v{ptr.version}.json"))
+    part = jvm.org.apache.hadoop.fs.Path(_p(root, "_versions", f"_{uuid.uuid4().hex}"))
+    out = fs.create(part, False)
     try:
         out.write(bytearray(json.dumps(asdict(ptr)).encode()))
     finally:
         out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(fs.makeQualified(part), fs.makeQualified(final), none)
+    except Exception as e:
+        fs.delete(part, False)
+        if fs.exists(final):
+            raise VersionExists(f"version {ptr.version} of {root} exists") from e
+        raise
 
 
 def _require(spark: SparkSession, root: str, ptr: Pointer | None) -> Pointer:
@@ -129,49 +153,73 @@ def _next_run(spark: SparkSession, root: str) -> int:
     return max(used, default=-1) + 1
 
 
-def _parts(spark: SparkSession, root: str, wanted: list[tuple[int, str]],
-           schema: T.StructType) -> DataFrame:
-    """Rows of the named parts that exist, with ``RUN`` as the part's run
-    unless the part holds it."""
-    schema = T.StructType([f for f in schema.fields if f.name != RUN])
-    paths = {False: [], True: []}
-    for run, part in wanted:
-        path = _p(root, "data", f"run={run}", f"part={part}")
-        if exists(spark, path):
-            paths[part == CLOSED].append(path)
-    out = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(RUN, T.LongType())]))
-    if paths[False]:
-        d = (spark.read.option("basePath", _p(root, "data"))
-             .schema(T.StructType([*schema.fields, T.StructField("run", T.LongType()),
-                                   T.StructField("part", T.StringType())])).parquet(*paths[False]))
-        out = d.withColumn(RUN, F.col("run")).drop("run", "part")
-    if paths[True]:
-        d = spark.read.schema(T.StructType([*schema.fields, T.StructField(RUN, T.LongType())])
-                              ).parquet(*paths[True])
-        out = out.unionByName(d) if paths[False] else d
-    return out
+def _folders(root: str, run: int, part: str, ranges: set[int] | None) -> list[str]:
+    path = _p(root, "data", f"run={run}", f"part={part}")
+    return [path] if ranges is None else [_p(path, f"{KEY_RANGE}={r}") for r in sorted(ranges)]
+
+
+def _rows(spark: SparkSession, root: str, folders: list[str], schema: T.StructType,
+          has_run: bool, ranged: bool = False) -> DataFrame:
+    """Rows of part folders with ``RUN``, as the parts hold it or else their run."""
+    fields = [f for f in schema.fields if f.name != RUN]
+    run = T.StructField(RUN, T.LongType())
+    if not folders:
+        return spark.createDataFrame([], T.StructType([*fields, run]))
+    if has_run:
+        return spark.read.schema(T.StructType([*fields, run])).parquet(*folders)
+    at = [T.StructField("run", T.LongType()), T.StructField("part", T.StringType()),
+          *[T.StructField(KEY_RANGE, T.IntegerType())] * ranged]
+    d = spark.read.option("basePath", _p(root, "data")).schema(T.StructType([*fields, *at])).parquet(*folders)
+    return d.withColumn(RUN, F.col("run")).drop("run", "part", KEY_RANGE)
 
 
 def table_schema(spark: SparkSession, root: str, ptr: Pointer) -> T.StructType:
     """Columns of a stored history (from the base part, which every version has)."""
     found = spark.read.parquet(_p(root, "data", f"run={ptr.base}", f"part={BASE}")).schema
-    return T.StructType([f for f in found.fields if f.name != RUN])
-
-
-def _runs(spark: SparkSession, root: str, first: int, last: int) -> list[int]:
-    return [v for v in versions(spark, root) if first <= v <= last]
+    return T.StructType([f for f in found.fields if f.name not in (RUN, KEY_RANGE)])
+
+
+def touched(spark: SparkSession, root: str, ptr: Pointer, batches: list[DataFrame]) -> dict[str, set[int]] | None:
+    """The ranges of the base and shut parts that may hold keys of the batches;
+    None if the parts have no ranges.  At most MAX_RANGES of each are compared,
+    and only their numbers come to the driver."""
+    key = ptr.cluster[0] if ptr.cluster else None
+    batches = [b for b in batches if b is not None]
+    if key is None or not all(key in b.columns for b in batches):
+        return None
+    out = {}
+    for part, run in ((BASE, ptr.base), (SHUT, ptr.shut)):
+        out[part] = set()
+        if run is None or not batches:
+            continue
+        ranges = spark.read.parquet(_p(root, "data", f"run={run}", f"part={RANGES}")).where(F.col("of") == part)
+        found = ranges.collect()
+        for b in batches:
+            k, kind = F.col("k"), b.schema[key].dataType
+            fitting = F.array(*[F.when(
+                F.coalesce(k.between(F.lit(r.low).cast(kind), F.lit(r.high).cast(kind)), k.isNull() & F.lit(r.nulls > 0)),
+                F.lit(r.kr)) for r in found])
+            keys = b.select(F.col(f"`{key}`").alias("k")).distinct()
+            out[part] |= {r[0] for r in keys.select(F.explode(fitting).alias("r")).where("r is not null")
+                          .distinct().collect()} if found else set()
+    return out
 
 
 def open_with_run(spark: SparkSession, root: str, schema: T.StructType | None = None,
-                  ptr: Pointer | None = None) -> DataFrame:
-    """Open versions with ``RUN``, the run that opened each."""
+                  ptr: Pointer | None = None, ranges: dict[str, set[int]] | None = None) -> DataFrame:
+    """Open versions with ``RUN``, the run that opened each; of the base only
+    the ``ranges`` given."""
     ptr = _require(spark, root, ptr)
     schema = schema or table_schema(spark, root, ptr)
-    since = _runs(spark, root, ptr.base + 1, ptr.version)
-    rows = _parts(spark, root, [(ptr.base, BASE), *((r, NEW) for r in since)], schema)
+    base = _folders(root, ptr.base, BASE, ranges and ranges[BASE])
+    rows = _rows(spark, root, base, schema, False, bool(ptr.cluster))
+    if ptr.new:
+        rows = rows.unionByName(_rows(spark, root, [x for r in ptr.new for x in _folders(root, r, NEW, None)],
+                                      schema, False))
+    since = [r for r in ptr.closed if r > ptr.base]
     if not since:
         return rows
-    gone = _parts(spark, root, [(r, CLOSED) for r in since], schema)
+    gone = _rows(spark, root, [x for r in since for x in _folders(root, r, CLOSED, None)], schema, True)
     names = [f.name for f in schema.fields if f.name != END_DATE]
     gone = gone.select(*[F.col(f"`{c}`") for c in [*names, RUN]])
     if fits(*measure(gone), broadcast_limit(spark)):
@@ -189,12 +237,19 @@ def read_open(spark: SparkSession, root: str, schema: T.StructType | None = None
 
 
 def read_closed(spark: SparkSession, root: str, schema: T.StructType | None = None,
-                ptr: Pointer | None = None) -> DataFrame:
-    """Closed versions visible at the current (or given) version."""
+                ptr: Pointer | None = None, ranges: dict[str, set[int]] | None = None) -> DataFrame:
+    """Closed versions visible at the current (or given) version; of the shut
+    part only the ``ranges`` given."""
     ptr = _require(spark, root, ptr)
     schema = schema or table_schema(spark, root, ptr)
-    runs = _runs(spark, root, ptr.closed_from, ptr.version)
-    return _parts(spark, root, [(r, CLOSED) for r in runs], schema).drop(RUN)
+    out = None
+    if ptr.shut is not None:
+        out = _rows(spark, root, _folders(root, ptr.shut, SHUT, ranges and ranges[SHUT]), schema, False,
+                    bool(ptr.cluster)).drop(RUN)
+    if ptr.closed or out is None:
+        rows = _rows(spark, root, [x for r in ptr.closed for x in _folders(root, r, CLOSED, None)], schema, True).drop(RUN)
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def read_history(spark: SparkSession, root: str, schema: T.StructType | None = None,
@@ -205,40 +260,80 @@ def read_history(spark: SparkSession, root: str, schema: T.StructType | None = N
     return rows if open_only else rows.unionByName(read_closed(spark, root, schema, ptr))
 
 
+def _write_whole(spark: SparkSession, root: str, run: int, part: str, rows: DataFrame,
+                 cluster: tuple[str, ...], ranges: int | None) -> None:
+    """Write a base or shut part, by key ranges if there are key columns."""
+    path = _p(root, "data", f"run={run}", f"part={part}")
+    rows = rows.drop(RUN)
+    if not cluster:
+        rows.write.parquet(path)
+        return
+    n = max(1, min(MAX_RANGES, ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    keys = [F.col(f"`{c}`") for c in cluster]
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])     # the rows of a hot key
+    w = (rows.repartitionByRange(n, keys[0], spread).withColumn(KEY_RANGE, F.spark_partition_id())
+         .sortWithinPartitions(KEY_RANGE, *keys).write.partitionBy(KEY_RANGE)
+         .option("parquet.bloom.filter.adaptive.enabled", "true"))
+    for c in cluster:
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    w.parquet(path)
+    if not _names(spark, path) or _names(spark, path) == ["_SUCCESS"]:
+        # no row: an empty range still holds the columns
+        rows.limit(0).write.mode("append").parquet(_p(path, f"{KEY_RANGE}=0"))
+    key = F.col(f"`{cluster[0]}`")
+    (spark.read.parquet(path).groupBy(KEY_RANGE).agg(
+        F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.when(key.isNull(), 1)).alias("nulls"))
+     .select(F.lit(part).alias("of"), F.col(KEY_RANGE).alias("kr"), "low", "high", "nulls")
+     .coalesce(1).write.mode("append").parquet(_p(root, "data", f"run={run}", f"part={RANGES}")))
+
+
 def _publish(spark: SparkSession, root: str, parts: dict[str, DataFrame | None], prev: Pointer | None,
-             base: bool, fresh: bool, batch_id: int | None, stream_id: str | None) -> Pointer:
+             fresh: bool, batch_id: int | None, stream_id: str | None,
+             cluster: tuple[str, ...] = (), ranges: int | None = None) -> Pointer:
     n = _next_run(spark, root)
     if prev is not None and versions(spark, root)[-1] != prev.version:
         raise VersionExists(f"{root} has moved on from version {prev.version}")
+    fresh = fresh or prev is None
+    base = BASE in parts
     out = None
     for name, rows in parts.items():
-        if rows is not None:
-            if RUN not in rows.columns:
-                rows = rows.withColumn(RUN, F.lit(n).cast("long"))
-            rows = rows.withColumn("part", F.lit(name))
-            out = rows if out is None else out.unionByName(rows)
-    out.write.mode("errorifexists").partitionBy("part").parquet(_p(root, "data", f"run={n}"))
-    if base and not exists(spark, _p(root, "data", f"run={n}", f"part={BASE}")):
-        # no row is open: an empty base part still holds the columns
-        parts[BASE].limit(0).write.parquet(_p(root, "data", f"run={n}", f"part={BASE}"))
+        if rows is None:
+            continue
+        if name in (BASE, SHUT):
+            _write_whole(spark, root, n, name, rows, cluster, ranges)
+            continue
+        if RUN not in rows.columns:
+            rows = rows.withColumn(RUN, F.lit(n).cast("long"))
+        rows = rows.withColumn("part", F.lit(name))
+        out = rows if out is None else out.unionByName(rows)
+    if out is not None:
+        out.write.mode("append" if base else "errorifexists").partitionBy("part").parquet(_p(root, "data", f"run={n}"))
+    written = [part for part in (NEW, CLOSED) if parts.get(part) is not None
+               and exists(spark, _p(root, "data", f"run={n}", f"part={part}"))]
+    shut = n if parts.get(SHUT) is not None else None if fresh else prev.shut
+    closed = () if fresh or shut == n else prev.closed
     if batch_id is None and prev is not None:
         batch_id, stream_id = prev.batch_id, prev.stream_id
-    new = Pointer(n, n if base else prev.base, n if fresh or prev is None else prev.closed_from,
-                  batch_id, stream_id)
+    new = Pointer(n, n if base else prev.base, n if fresh else prev.closed_from, batch_id, stream_id,
+                  (*(() if base else prev.new), *[n] * (NEW in written)), (*closed, *[n] * (CLOSED in written)),
+                  shut, tuple(cluster) if base else prev.cluster)
     _switch(spark, root, new)
     return new
 
 
 def publish(spark: SparkSession, root: str, open_rows: DataFrame,
             closed_rows: DataFrame | None = None, fresh: bool = False, batch_id: int | None = None,
-            stream_id: str | None = None, ptr: Pointer | None = None) -> Pointer:
+            stream_id: str | None = None, ptr: Pointer | None = None, cluster=(),
+            ranges: int | None = None) -> Pointer:
     """Write a new base (all open rows) and newly closed rows, and switch to it.
 
-    ``fresh`` (a FULL load) hides every earlier closed run.
+    ``fresh`` (a FULL load) hides every earlier closed run.  ``cluster`` names
+    the key columns to deal the base out by, in ``ranges`` ranges of the first
+    (default: as many as shuffle partitions, MAX_RANGES at most).
     """
     prev = ptr or current(spark, root)
-    return _publish(spark, root, {BASE: open_rows.drop(RUN), CLOSED: closed_rows}, prev, True, fresh,
-                    batch_id, stream_id)
+    return _publish(spark, root, {BASE: open_rows, CLOSED: closed_rows}, prev, fresh, batch_id, stream_id,
+                    tuple(cluster), ranges)
 
 
 def publish_delta(spark: SparkSession, root: str, opened: DataFrame, closing: DataFrame,
@@ -247,31 +342,37 @@ def publish_delta(spark: SparkSession, root: str, opened: DataFrame, closing: Da
     (null: opened by this very run)."""
     n = _next_run(spark, root)
     closing = closing.withColumn(RUN, F.coalesce(F.col(RUN), F.lit(n).cast("long")))
-    return _publish(spark, root, {NEW: opened.drop(RUN), CLOSED: closing}, ptr, False, False,
-                    batch_id, stream_id)
+    return _publish(spark, root, {NEW: opened.drop(RUN), CLOSED: closing}, ptr, False, batch_id, stream_id)
 
 
-def compact(spark: SparkSession, root: str) -> Pointer:
-    """Write the open versions as a new base; the history stays the same."""
+def compact(spark: SparkSession, root: str, ranges: int | None = None) -> Pointer:
+    """Write the open versions as a new base and the closed ones as a new shut
+    part; the history stays the same."""
     ptr = _require(spark, root, None)
-    return publish(spark, root, read_open(spark, root, ptr=ptr), None, ptr=ptr)
+    shut = read_closed(spark, root, ptr=ptr) if ptr.closed or ptr.shut is not None else None
+    return _publish(spark, root, {BASE: read_open(spark, root, ptr=ptr), SHUT: shut}, ptr, False, None, None,
+                    ptr.cluster, ranges)
 
 
-def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Delete base and new parts that none of the last ``keep`` versions reads.
+def vacuum(spark: SparkSession, root: str, keep: int = 2, closed: bool = False) -> list[str]:
+    """Delete base and new parts (with ``closed`` also closed and shut parts)
+    that none of the last ``keep`` versions reads.
 
-    Closed parts and pointers are never touched; older versions can no longer
-    be read afterwards.  Returns the deleted folders.
+    Pointers are never touched; older versions can no longer be read
+    afterwards.  Returns the deleted folders.
     """
     found = versions(spark, root)
     if not found or keep < 1:
         return []
-    oldest_base = _pointer(spark, root, found[-keep:][0]).base
+    kept = [_pointer(spark, root, v) for v in found[-keep:]]
+    read = {(p.base, x) for p in kept for x in (BASE, RANGES)} | {(r, NEW) for p in kept for r in p.new}
+    read |= {(r, CLOSED) for p in kept for r in p.closed} | {(p.shut, x) for p in kept for x in (SHUT, RANGES)}
     gone = []
     for run in _numbers(_names(spark, _p(root, "data")), "run="):
-        for part in (BASE, NEW):
+        for part in (BASE, NEW, RANGES, *((CLOSED, SHUT) if closed else ())):
             path = _p(root, "data", f"run={run}", f"part={part}")
-            if run < oldest_base and drop_table(spark, path):
+            # a run beyond the last pointer may be in the making
+            if run < found[-1] and (run, part) not in read and drop_table(spark, path):
                 gone.append(path)
     return gone
 
