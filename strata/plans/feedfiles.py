@@ -166,6 +166,10 @@ def _local(path: str) -> str:
 
 
 LINES_PER_ARCHIVE = 100_000
+DOCUMENT_HEADER = "DOC_ID|TEXT"
+# What stands before and after a line, by doc_id % 5; SQL of both engines.
+_EXACT = ("CASE doc_id % 5 WHEN 0 THEN '  ' WHEN 1 THEN {char}(9) WHEN 2 THEN '\"' WHEN 3 THEN {char}(1) ELSE '' END, x, "
+          "CASE doc_id % 5 WHEN 0 THEN ' ' WHEN 1 THEN {char}(9) WHEN 2 THEN '  ' WHEN 3 THEN {char}(13) ELSE '' END")
 
 
 def zip_lines(spark: SparkSession, lines: DataFrame, header: str, prefix: str) -> str:
@@ -228,13 +232,28 @@ def zip_documents(spark: SparkSession, sf_dir: str) -> str:
     d = table(spark, sf_dir, "documents")
     line = F.concat_ws("|", F.col("doc_id").cast("string"), F.regexp_replace("text", r"[\r\n]", " "))
     return zip_lines(spark, d.select(line.alias("line"), F.pmod("doc_id", F.lit(3)).cast("int").alias("kind")),
-                     "DOC_ID|TEXT", "foitext")
+                     DOCUMENT_HEADER, "foitext")
+
+
+def zip_exact(spark: SparkSession, sf_dir: str) -> str:
+    """Every line of every document as a line of the text feed's archives,
+    between what the document's id gives: blanks, tabs, quotes, a control
+    character, a carriage return at the end."""
+    d = table(spark, sf_dir, "documents").where("text is not null")
+    line = F.expr(f"concat({_EXACT.format(char='char')})")
+    lines = d.select("doc_id", F.explode(F.split("text", "\n")).alias("x")).select(
+        line.alias("line"), F.pmod("doc_id", F.lit(3)).cast("int").alias("kind"))
+    return zip_lines(spark, lines, DOCUMENT_HEADER, "foitext")
 
 
 DOCUMENT_LINES_SQL = r"""lines AS (SELECT doc_id,
   CAST(doc_id AS VARCHAR) || '|' || regexp_replace(text, '[\r\n]', ' ', 'g') AS line FROM documents)"""
 
 
+EXACT_LINES_SQL = f"""lines AS (SELECT doc_id, concat({_EXACT.format(char='chr')}) AS line
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM documents))"""
+
+
 # --- file names for routing -----------------------------------------------------------
 
 def published_names(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,6 @@ from ..specs import FEED_ORDER, FEEDS, FeedSpec
 from . import snapshot
 
 LOAD_FULL, LOAD_ADD, LOAD_CHANGE = "FUL", "add", "change"
-LANDED_HEADER = "line"
 #: Incremental runs since the last base after which a run writes a new one.
 COMPACT_AFTER = 50
 
@@ -49,13 +48,12 @@ def published_files(links: DataFrame, load_type: str = "FUL",
 
 def routed_lines(spark: SparkSession, archives_root: str, glob: str = "*.zip",
                  encoding: str = "utf-8") -> DataFrame:
-    """Every data line of every published archive with its feed and load kind
-    (routed by the archive's name; the member's header line is dropped)."""
-    lines = archive_lines(spark, archives_root, glob, encoding)
-    return (lines.filter(F.col("line_no") > 0)
-            .select(route_table("archive").alias("feed"),
-                    route_load(member_name("archive")).alias("load"),
-                    F.col("archive"), F.col("member"), F.col("line_no"), F.col("line")))
+    """Every line of every published archive, as it is, with its feed and load
+    kind (routed by the archive's name); ``is_header``: a member's first."""
+    lines = archive_lines(spark, archives_root, glob, encoding, keep_cr=True)
+    return lines.select(route_table("archive").alias("feed"),
+                        route_load(member_name("archive")).alias("load"),
+                        "archive", "member", "line_no", "line", (F.col("line_no") == 0).alias("is_header"))
 
 
 def land_archives(spark: SparkSession, archives_root: str, landing: str, glob: str = "*.zip",
@@ -64,10 +62,11 @@ def land_archives(spark: SparkSession, archives_root: str, landing: str, glob: s
     ``feed=/load=/archive=`` in one pass over the archives.
 
     An archive that lands again replaces what it landed before and nothing
-    else.  Every file starts with a header line, which the loaders skip."""
+    else.  A landed file holds the bytes of its archive's members (as UTF-8; a
+    last line gets its line feed), from the second member on without the header
+    line; every file starts with one, which the loaders skip."""
     routed = routed_lines(spark, archives_root, glob, encoding)
-    land_lines(routed, landing, LANDED_HEADER, partition_by=("feed", "load", "archive"),
-               replace_partitions=True)
+    land_lines(routed, landing, partition_by=("feed", "load", "archive"), replace_partitions=True)
 
 
 def typed_batch(spark: SparkSession, landing: str, spec: FeedSpec, load: str, as_of,

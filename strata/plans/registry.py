@@ -664,10 +664,26 @@ def q_archive_landing(spark, sf_dir):
     archives, landing = FF.zip_documents(spark, sf_dir), scratch_path(spark, "landing")
     for _ in range(2):
         jobs.land_archives(spark, archives, landing)
-    back = spark.read.text(landing).filter(F.col("value") != jobs.LANDED_HEADER)
+    back = spark.read.text(landing).filter(F.col("value") != FF.DOCUMENT_HEADER)
     return back.select("feed", "load", F.col("value").alias("line"))
 
 
+@register("landing_bytes", "WITH " + FF.EXACT_LINES_SQL + """
+SELECT CASE doc_id % 3 WHEN 0 THEN 'FUL' WHEN 1 THEN 'add' ELSE 'change' END AS load,
+       hex(encode(line)) AS line_hex, count(*) AS lines FROM lines GROUP BY ALL""")
+def q_landing_bytes(spark, sf_dir):
+    """Lines with blanks at both ends, tabs, quotes, control characters and
+    carriage returns, and empty lines, through archives and landing; the bytes
+    of the landed lines, how often each occurs."""
+    from ..session import scratch_path
+    from . import jobs
+    landing = scratch_path(spark, "landing")
+    jobs.land_archives(spark, FF.zip_exact(spark, sf_dir), landing)
+    back = spark.read.option("lineSep", "\n").text(landing).filter(F.col("value") != FF.DOCUMENT_HEADER)
+    line_hex = F.hex(F.col("value").cast("binary")).alias("line_hex")
+    return back.groupBy("load", line_hex).agg(F.count(F.lit(1)).alias("lines"))
+
+
 @register("archive_full_load", FF.RAW_PLAIN_SQL + f"\nSELECT {FF.typed_select_sql(AS_OF)} FROM raw "
           "WHERE _k % 3 = 0 AND o_orderkey IS NOT NULL AND o_orderdate IS NOT NULL")
 def q_archive_full_load(spark, sf_dir):

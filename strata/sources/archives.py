@@ -27,15 +27,16 @@ LINE_SCHEMA = T.StructType([
 BLOCK_BYTES = 4 << 20
 
 
-def _line_blocks(member):
+def _line_blocks(member, keep_cr: bool):
     """Lists of whole lines (bytes, without their ends) of an open member."""
+    end = b"" if keep_cr else b"\r"
     rest = b""
     while block := member.read(BLOCK_BYTES):
         *lines, rest = (rest + block).split(b"\n")
         if lines:
-            yield [x.removesuffix(b"\r") for x in lines]
+            yield [x.removesuffix(end) for x in lines]
     if rest:
-        yield [rest.removesuffix(b"\r")]
+        yield [rest.removesuffix(end)]
 
 
 def _text(lines: list[bytes], encoding: str) -> pa.Array:
@@ -44,7 +45,7 @@ def _text(lines: list[bytes], encoding: str) -> pa.Array:
     return pa.array([x.decode(encoding) for x in lines], pa.string())
 
 
-def _expand(batches, encoding: str):
+def _expand(batches, encoding: str, keep_cr: bool):
     names = LINE_SCHEMA.names
     for b in batches:
         for path, content in zip(b.column(0), b.column(1)):
@@ -55,7 +56,7 @@ def _expand(batches, encoding: str):
                         continue
                     done = 0
                     with zf.open(info) as member:
-                        for lines in _line_blocks(member):
+                        for lines in _line_blocks(member, keep_cr):
                             n = len(lines)
                             yield pa.RecordBatch.from_arrays(
                                 [pa.repeat(pa.scalar(archive), n), pa.repeat(pa.scalar(info.filename), n),
@@ -64,9 +65,11 @@ def _expand(batches, encoding: str):
 
 
 def archive_lines(spark: SparkSession, path: str, glob: str = "*.zip",
-                  encoding: str = "utf-8") -> DataFrame:
-    """(archive, member, line_no, line) for every line of every zip member."""
+                  encoding: str = "utf-8", keep_cr: bool = False) -> DataFrame:
+    """(archive, member, line_no, line) for every line of every zip member,
+    without its end (a line feed, before it a carriage return unless
+    ``keep_cr``)."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").load(path)
              .select("path", "content"))
-    return files.mapInArrow(lambda it: _expand(it, encoding), LINE_SCHEMA)
+    return files.mapInArrow(lambda it: _expand(it, encoding, keep_cr), LINE_SCHEMA)

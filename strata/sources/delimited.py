@@ -10,6 +10,9 @@ may hold the delimiter.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,18 +75,67 @@ def read_feed(spark: SparkSession, root: str, spec: FeedSpec, load: str, **kw) -
     return df.drop("archive")     # the folder of the archive that a file came from
 
 
-def land_lines(lines: DataFrame, path: str, header: str, partition_by=(),
+HEADS, PLACE = "__heads", "__place"
+
+
+def _headed(header: str | None, flag: int | None, parts: int):
+    """Lines of one task with their place, and a header line at place 0 of every
+    partition they fill: ``header``, or the first line flagged as one (further
+    flagged lines go)."""
+    def run(batches):
+        seen, place = set(), 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            columns = b.columns
+            at = columns[len(columns) - parts:] if parts else []
+            key = (pc.binary_join_element_wise(*[pc.coalesce(c.cast(pa.string()), pa.scalar("")) for c in at], "\0")
+                   if at else pa.repeat(pa.scalar(""), b.num_rows))
+            lines, places = columns[0], np.arange(place, place + b.num_rows) + 1
+            place += b.num_rows
+            if flag is None:
+                new = [k for k in pc.unique(key).to_pylist() if k not in seen]
+                first = [pc.index(key, pa.scalar(k)).as_py() for k in new]
+                seen.update(new)
+                if first:
+                    take = pa.array(first)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.repeat(pa.scalar(header), len(first)), pa.array(np.zeros(len(first), np.int64)),
+                         *[c.take(take) for c in at]], ["line", PLACE, *[f"p{i}" for i in range(parts)]])
+                keep = slice(None)
+            else:
+                keep = np.ones(b.num_rows, bool)
+                for i in np.flatnonzero(columns[flag].to_numpy(zero_copy_only=False)).tolist():
+                    k = key[i].as_py()
+                    keep[i] = k not in seen
+                    places[i] = 0
+                    seen.add(k)
+            out = pa.RecordBatch.from_arrays([lines, pa.array(places), *at],
+                                             ["line", PLACE, *[f"p{i}" for i in range(parts)]])
+            yield out if flag is None else out.filter(pa.array(keep))
+    return run
+
+
+def land_lines(lines: DataFrame, path: str, header: str | None = None, partition_by=(),
                mode: str = "overwrite", replace_partitions: bool = False) -> None:
-    """Write pre-joined text lines (column ``line``) so that every output file
-    starts with ``header``: the CSV writer's own header, with quoting off and
-    a separator that never occurs, writes each line verbatim.  With
+    """Write lines of text (column ``line``) as they are, byte for byte in UTF-8,
+    each with a line feed, in their order; every output file starts with a
+    header line.  That is ``header``, or, if it is None, the first line of a
+    partition that column ``is_header`` flags in a task's rows (its other flagged
+    lines, headers of further members, are not written).  With
     ``replace_partitions`` only the partitions that ``lines`` fills are
     overwritten."""
-    w = (lines.select(F.col("line").alias(header), *partition_by)
-         .write.mode(mode).option("header", True).option("sep", "\u0001")
-         .option("quote", "\u0000").option("escapeQuotes", False))
+    flag = [] if header is not None else [F.col("is_header").alias(HEADS)]
+    slim = lines.select("line", *flag, *[F.col(c).alias(f"p{i}") for i, c in enumerate(partition_by)])
+    kinds = [T.StructField(f"p{i}", lines.schema[c].dataType) for i, c in enumerate(partition_by)]
+    schema = T.StructType([T.StructField("line", T.StringType()), T.StructField(PLACE, T.LongType()), *kinds])
+    names = [F.col(f"p{i}").alias(c) for i, c in enumerate(partition_by)]
+    out = slim.mapInArrow(_headed(header, 1 if flag else None, len(partition_by)), schema)
+    # a writer of partitions sorts by them; with the place, lines keep their order
+    out = out.select("line", PLACE, *names).sortWithinPartitions(*partition_by, PLACE).drop(PLACE)
+    w = out.write.mode(mode).option("lineSep", "\n")
     if replace_partitions:
         w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.csv(path)
+    w.text(path)

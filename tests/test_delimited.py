@@ -107,3 +107,40 @@ def test_latin1_feed_file(spark, tmp_root):
         fh.write("K|T|D\n1|Müller café|x\n".encode("latin-1"))
     r = read_feed_files(spark, path, SPEC, encoding="ISO-8859-1").first()
     assert r.text == "Müller café"
+
+
+def test_lines_land_byte_for_byte(spark, tmp_root):
+    import glob
+    texts = ["  4|5..", "trailing \t ", "", '"quoted" |"', "a\x01b\x00c", "x\r", "é ", "﻿bom", "line"]
+    path = os.path.join(tmp_root, "exact")
+    df = spark.createDataFrame([(t, k) for k in "ab" for t in texts * 3], "line string, k string").coalesce(1)
+    land_lines(df, path, "H|é", partition_by=("k",))
+    for k in "ab":
+        name, = glob.glob(f"{path}/k={k}/part-*")
+        with open(name, "rb") as f:
+            assert f.read() == "".join(x + "\n" for x in ["H|é", *texts * 3]).encode()
+    many = os.path.join(tmp_root, "many")
+    land_lines(df.repartition(3), many, "H")
+    names = glob.glob(f"{many}/part-*")
+    assert len(names) > 1 and all(open(n, "rb").read().startswith(b"H\n") for n in names)
+
+
+def test_a_landed_archive_equals_its_member(spark, tmp_root):
+    import glob
+    import zipfile
+
+    from strata.plans import jobs
+    body = b"H1|H2\r\n  4|5..\r\n\r\n\n\t x \n\"q|\x01\nlast\n"
+    arch, landing = f"{tmp_root}/arch", f"{tmp_root}/landing"
+    os.makedirs(arch)
+    with zipfile.ZipFile(f"{arch}/patient.zip", "w") as zf:
+        zf.writestr("patient.txt", body)
+    with zipfile.ZipFile(f"{arch}/patientAdd.zip", "w") as zf:
+        zf.writestr("a.txt", b"A\n1\n2")
+        zf.writestr("b.txt", b"B\n3\n")
+    for _ in range(2):
+        jobs.land_archives(spark, arch, landing)
+        name, = glob.glob(f"{landing}/feed=patient/load=FUL/archive=patient.zip/part-*")
+        assert open(name, "rb").read() == body
+        name, = glob.glob(f"{landing}/feed=patient/load=add/archive=patientAdd.zip/part-*")
+        assert open(name, "rb").read() == b"A\n1\n2\n3\n"
