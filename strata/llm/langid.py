@@ -48,7 +48,9 @@ ENCODER = dict(window_log=18, chain_log=16, hash_log=16, search_log=5, min_match
 MIN_MARGIN = 0.02
 SHARPNESS = 0.5         # bits of size that count as a bit of evidence
 
-_OTHER = re.compile(r"[\W\d_]+")
+# numerals other than decimal digits (fractions, superscripts) are word characters, but no letters
+_NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_OTHER = re.compile(rf"[\W\d_{_NUMERALS}]+")
 
 
 def letters(text: str) -> str:
@@ -74,9 +76,9 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     d = d.join(n, F.col("lang") == F.col("l"))
     d = d.where(chance * F.col("n") < SAMPLE_DOCS)
     start = F.pmod(draw, F.greatest(F.char_length("text") - PIECE, F.lit(1))).cast("int") + 1
-    rows = d.select("lang", "n", "doc_id", F.substring("text", start, F.lit(PIECE)).alias("piece")).collect()
+    rows = d.select("lang", "n", draw.alias("draw"), F.substring("text", start, F.lit(PIECE)).alias("piece")).collect()
     texts: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (-r.n, r.lang, r.doc_id, r.piece)):
+    for r in sorted(rows, key=lambda r: (-r.n, r.lang, r.draw, r.piece)):
         texts.setdefault(r.lang, []).append(letters(r.piece))
     most = min(DICT_BYTES, ALL_BYTES // max(1, len(texts)))
     found = {k: " ".join(v).encode()[:most] for k, v in texts.items()}

@@ -6,21 +6,25 @@ spaces, between characters), so an insertion moves no boundary but its own.
 More than ``JOINED`` bytes without white space (encoded data, joined words) are
 cut between any characters, by the hash alone.  Only where the bytes repeat so
 that the hash says nothing are there cuts every ``MAX_CHUNK`` bytes.
-Chunks are compared by a 64-bit digest over all documents.  A run of adjacent
-chunks that each occur elsewhere is a *shared* span if it has ``MIN_RUN``
-bytes; the part of it that is not the first occurrence, by (doc_id, place), is
-*removed* if that part has ``MIN_RUN`` bytes.  A run takes some three
-or more digests to agree in a row, so a chance collision of one removes nothing.
-
-The gear hash is computed for a whole Arrow batch at once.  Chunks are counted
+The fewest chunks from each one on, and up to each one, that make ``MIN_RUN``
+bytes are a *window*; windows are compared by a 64-bit digest of their bytes over all documents.  What is
+covered by windows that occur elsewhere is a *shared* span.  Windows in a row
+that are not the first occurrences, by (doc_id, place), and whose first
+occurrences follow each other in one document, are a *removed* span: each stands
+there as a whole, in the same words.  So nothing is removed whose only copies
+are pieces in different documents.  Where two removed spans would overlap, the
+second begins at the first one's end.  Of n windows some n * n / 2**65
+agree by chance, far below one at 10**9 windows.
+
+The gear hash is computed for a whole Arrow batch at once.  Windows are counted
 with partial aggregation; the joins meet at stored tables, so a passage that a
 third of all documents share is split by adaptive execution; a document's
-chunks come together again only as that document's marks.
+windows come together again only as that document's marks.
 
 Defined results: null and empty texts have no chunks and stay; rows without an
 id are ordered after all others by a hash of their text; rows that share an
-id count as parts of one document, of which the first place in each part stays; rows
-that agree in text as well are one record repeated, with equal results; an
+id are parts of one document; rows that agree in text as well are one record
+repeated, with equal results; a copy that overlaps its first occurrence stays; an
 empty table gives an empty result; other columns are carried by
 ``dedup_substrings`` (one named ``removed`` is replaced).
 """
@@ -111,21 +115,31 @@ def _chunked(batches):
         buffer = texts.buffers()[2]
         data = np.frombuffer(buffer, np.uint8)[:offsets[-1]] if buffer else np.zeros(0, np.uint8)
         raw, digest = memoryview(data.tobytes()), xxhash.xxh3_64_intdigest
-        size, digests, upto = [], [], [0]
+        size, upto, digests, windows = [], [0], [], [0]
         for s, ends in zip(offsets.tolist(), cuts(data, offsets[:-1], offsets[1:])):
-            for e in ends:
-                size.append(e - s)
-                digests.append(digest(raw[s:e]))
-                s = e
+            edge = np.array([s, *ends])
+            size += np.diff(edge).tolist()
             upto.append(len(size))
-        upto = pa.array(upto, pa.int32())
+            begin, end = windows_of(edge)
+            digests += [digest(raw[a:e]) for a, e in zip(begin.tolist(), end.tolist())]
+            windows.append(len(digests))
         yield pa.RecordBatch.from_arrays(
             [b.column(0), b.column(1),
-             pa.ListArray.from_arrays(upto, pa.array(size, pa.int32())),
-             pa.ListArray.from_arrays(upto, pa.array(np.array(digests, np.uint64).view(np.int64)))],
+             pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(size, pa.int32())),
+             pa.ListArray.from_arrays(pa.array(windows, pa.int32()),
+                                      pa.array(np.array(digests, np.uint64).view(np.int64)))],
             ["ord", "part", "sizes", "digests"])
 
 
+def windows_of(edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(begin, end) of the windows, in order, given the chunks' edges."""
+    n, k = len(edge), np.arange(len(edge))
+    to = np.searchsorted(edge, edge + MIN_RUN)                      # the first end for each begin
+    of = np.searchsorted(edge, edge - MIN_RUN, "right") - 1         # the last begin for each end
+    pairs = np.unique(np.concatenate([(k * n + to)[to < n], (of * n + k)[of >= 0]]))
+    return edge[pairs // n], edge[pairs % n]
+
+
 def document_order(doc_id: Column, text: Column) -> list[Column]:
     """(ord, part): rank of a row among documents, and its part of the one id."""
     h = F.xxhash64(text)
@@ -137,49 +151,42 @@ def document_order(doc_id: Column, text: Column) -> list[Column]:
 def spans_of(chunks: DataFrame) -> DataFrame:
     """(ord, part, shared, removed) of the documents with a shared span: arrays
     of (start, end, first: the ord of the first document that has its first
-    chunk), in bytes.  ``chunks`` is a stored table as made by ``_chunked``."""
+    window), in bytes.  ``chunks`` is a stored table as made by ``_chunked``."""
     each = chunks.select("ord", "part", F.posexplode("digests").alias("i", "d"))
-    first = stored(each.groupBy("d").agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("first"))
-                   .where("n > 1").select(F.col("d").alias("again"), "first"), "again")
+    first = stored(each.groupBy("d").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("ord", "part", "i")).alias("first"))
+                   .where("n > 1").select(F.col("d").alias("again"), "first.*")
+                   .withColumnsRenamed({"ord": "ford", "part": "fpart", "i": "fi"}), "again")
     marks = each.join(first, F.col("d") == F.col("again")).groupBy("ord", "part").agg(
-        F.map_from_entries(F.collect_set(F.struct("i", "first"))).alias("marks"))
+        F.sort_array(F.collect_set(F.struct("i", "ford", "fpart", "fi"))).alias("marks"))
     marks = stored(marks.select(F.col("ord").alias("mord"), F.col("part").alias("mpart"),
-                                F.map_keys("marks").alias("at"), F.map_values("marks").alias("first")),
-                   "marks")
+                                *[F.col(f"marks.{c}").alias(c) for c in ("i", "ford", "fpart", "fi")]), "marks")
     both = chunks.join(marks, (F.col("ord") == F.col("mord")) & (F.col("part") == F.col("mpart")))
     span = "array<struct<start:int,end:int,first:bigint>>"
-    found = both.select("ord", "part", "sizes", "digests", "at", "first").mapInArrow(
+    found = both.select("ord", "part", "sizes", "i", "ford", "fpart", "fi").mapInArrow(
         _spans, f"ord long, part int, n_bytes int, shared {span}, removed {span}")
     return found.where(F.size("shared") > 0).dropDuplicates(["ord", "part"])
 
 
-def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
-    """Maximal runs of true flags."""
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
-    return list(zip(edge[::2].tolist(), edge[1::2].tolist()))
-
-
 def _spans(batches):
     for b in batches:
         shared, removed, total = [], [], []
-        ords = b.column(0).to_pylist()
         for k in range(b.num_rows):
-            size, d, at, first = (b.column(c)[k].values.to_numpy(zero_copy_only=False)
-                                  for c in (2, 3, 4, 5))
+            size, i, ford, fpart, fi = (b.column(c)[k].values.to_numpy(zero_copy_only=False) for c in range(2, 7))
             edge = np.concatenate([[0], np.cumsum(size)])
-            seen = np.zeros(len(d), bool)
-            seen[at] = True
-            by = np.zeros(len(d), np.int64)
-            by[at] = first
-            _, own = np.unique(d, return_index=True)    # first place in this text
-            later = np.ones(len(d), bool)
-            later[own] = False
-            drop = seen & ((by != ords[k]) | later)
-            spans = lambda flags: [
-                {"start": int(edge[i]), "end": int(edge[j]), "first": int(by[i])}
-                for i, j in _runs(flags) if edge[j] - edge[i] >= MIN_RUN]
-            shared.append(spans(seen))
-            removed.append(spans(drop))
+            begins, ends = windows_of(edge)
+            begin, end = begins[i], ends[i]
+            # covered by windows: a new span where one begins beyond the last one's end
+            new = np.flatnonzero(np.concatenate([[True], begin[1:] > end[:-1]]))
+            shared.append(_listed(begin, end, ford, new, len(i)))
+            here = (ford == b.column(0)[k].as_py()) & (fpart == b.column(1)[k].as_py())
+            apart = np.ones(len(i), bool)       # from a first occurrence in this text
+            apart[here] = ends[fi[here]] <= begin[here]
+            later = np.flatnonzero(apart)
+            new = np.flatnonzero(np.concatenate([[True], (np.diff(i[later]) != 1) | (np.diff(ford[later]) != 0) | (
+                np.diff(fpart[later]) != 0) | (np.diff(fi[later]) != 1)])) if len(later) else np.zeros(0, np.int64)
+            copy_ends = np.where(here, ends[np.where(here, fi, 0)], -1)
+            new = _apart(begin[later], copy_ends[later], new)
+            removed.append(_listed(begin[later], end[later], ford[later], new, len(later)))
             total.append(int(edge[-1]))
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("first", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
@@ -187,6 +194,28 @@ def _spans(batches):
              pa.array(removed, kind)], ["ord", "part", "n_bytes", "shared", "removed"])
 
 
+def _apart(begin: np.ndarray, copy_ends: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """``new`` with spans split where their copy in the same text would reach
+    into the span itself."""
+    out = []
+    for a, z in zip(new.tolist(), [*new[1:].tolist(), len(begin)]):
+        out.append(a)
+        while copy_ends[z - 1] > begin[out[-1]]:
+            out.append(out[-1] + int(np.searchsorted(copy_ends[out[-1]:z], begin[out[-1]], "right")))
+    return np.array(out, np.int64)
+
+
+def _listed(begin, end, first, new, n) -> list[dict]:
+    """Spans from the windows numbered ``new`` each up to the next, none
+    before the end of the one before."""
+    out, upto = [], 0
+    for a, z in zip(new.tolist(), [*new[1:].tolist(), n]):
+        if end[z - 1] > upto:
+            out.append({"start": max(int(begin[a]), upto), "end": int(end[z - 1]), "first": int(first[a])})
+            upto = int(end[z - 1])
+    return out
+
+
 def find_repeats(docs: DataFrame) -> DataFrame:
     """(ord, part, n_bytes, shared, removed) of the documents that share a span."""
     d = docs.where("text is not null").select(

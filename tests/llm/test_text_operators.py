@@ -145,48 +145,62 @@ def test_gear_hash_reaches_back_sixteen_bytes():
 
 
 def plain_spans(rows):
-    """Shared and removed spans, chunk by chunk, by the chunks' own bytes."""
-    def chunks(t):
-        raw, out, s = t.encode(), [], 0
-        data = np.frombuffer(raw, np.uint8)
-        for e in S.cuts(data, np.array([0]), np.array([len(raw)]))[0]:
-            out.append(raw[s:e])
-            s = e
-        assert b"".join(out) == raw
-        return out
-    cut = {(i, t): chunks(t) for i, t in rows if t}
-    count = collections.Counter(c for i, t in rows if t for c in cut[i, t])
-    first = {}
-    for i, t in rows:
-        if t:
-            for c in cut[i, t]:
-                first[c] = min(first.get(c, i), i)
-    out = set()
+    """Shared and removed spans, window by window, by the windows' own bytes."""
+    windows, count, first = {}, collections.Counter(), {}
     for i, t in rows:
         if not t:
             continue
-        at, seen, flags, edge = 0, set(), [], [0]
-        for c in cut[i, t]:
-            flags.append((count[c] > 1, count[c] > 1 and (first[c] != i or c in seen)))
-            seen.add(c)
-            at += len(c)
-            edge.append(at)
-        spans = []
-        for k in (0, 1):
-            own, s = [], None
-            for j, f in enumerate([*(x[k] for x in flags), False]):
-                if f and s is None:
-                    s = j
-                elif not f and s is not None:
-                    if edge[j] - edge[s] >= S.MIN_RUN:
-                        own.append((edge[s], edge[j]))
-                    s = None
-            spans.append(tuple(own))
-        if spans[0]:
-            out.add((i, *spans))
+        raw = t.encode()
+        edge = [0, *S.cuts(np.frombuffer(raw, np.uint8), np.array([0]), np.array([len(raw)]))[0]]
+        pairs = {(a, min(x for x in edge if x - a >= S.MIN_RUN)) for a in edge if edge[-1] - a >= S.MIN_RUN}
+        pairs |= {(max(x for x in edge if e - x >= S.MIN_RUN), e) for e in edge if e >= S.MIN_RUN}
+        own = [(k, a, e, raw[a:e]) for k, (a, e) in enumerate(sorted(pairs))]
+        windows[i] = own
+        for k, _, _, w in own:
+            count[w] += 1
+            first[w] = min(first.get(w, (i, k)), (i, k))
+    out = set()
+    for i, own in windows.items():
+        ends = {k: e for k, _, e, _ in own}
+        shared, removed, last = [], [], None
+        for k, a, e, w in own:
+            if count[w] < 2:
+                continue
+            if shared and a <= shared[-1][1]:
+                shared[-1] = (shared[-1][0], e)
+            else:
+                shared.append((a, e))
+            fi, fk = first[w]
+            if fi == i and ends[fk] > a:
+                continue
+            if last == (k - 1, fi, fk - 1) and not (fi == i and ends[fk] > removed[-1][0]):
+                removed[-1] = (removed[-1][0], e)
+            else:
+                removed.append((a, e))
+            last = (k, fi, fk)
+        upto, apart = 0, []
+        for a, e in removed:
+            if e > upto:
+                apart.append((max(a, upto), e))
+                upto = e
+        if shared:
+            out.add((i, tuple(shared), tuple(apart)))
     return out
 
 
+def test_every_removed_span_stands_elsewhere_as_a_whole(spark):
+    """Independent of chunks: plain search for the removed bytes."""
+    sf = SF.replace("0.001", "0.01")
+    texts = {r.doc_id: r.text.encode() for r in spark.read.parquet(f"{sf}/documents.parquet").collect() if r.text}
+    n = 0
+    for r in QUERIES["op6_substring_dedup"](spark, sf).collect():
+        for s in r.removed:
+            span, n = texts[r.doc_id][s.start:s.end], n + 1
+            assert span and span in (texts[s.first] if s.first != r.doc_id else texts[s.first][:s.start])
+            assert s.first <= r.doc_id
+    assert n > 300
+
+
 def test_substring_query_equals_brute_force(spark):
     got = {(r.doc_id, tuple((s.start, s.end) for s in r.shared), tuple((s.start, s.end) for s in r.removed))
            for r in QUERIES["op6_substring_dedup"](spark, SF).collect()}
@@ -511,3 +525,7 @@ def test_no_quadratic_joins(spark):
                  "op7_mix_sources", "op9_pii_surrogates", "op10_quality_rules"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_numerals_are_no_letters():
+    assert [L.letters(t) for t in ("½ ² ①", "x²", "Ⅷ 12", "éß前")] == ["", "x", "", "éß前"]
