@@ -48,14 +48,17 @@ ENCODER = dict(window_log=18, chain_log=16, hash_log=16, search_log=5, min_match
 MIN_MARGIN = 0.02
 SHARPNESS = 0.5         # bits of size that count as a bit of evidence
 
+_OTHER = re.compile(r"[\W\d_]+")
 # numerals other than decimal digits (fractions, superscripts) are word characters, but no letters
-_NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_OTHER = re.compile(rf"[\W\d_{_NUMERALS}]+")
+_NUMERALS = {c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal()}
 
 
 def letters(text: str) -> str:
     """Lower-case letters of a text, a space for everything between."""
-    return _OTHER.sub(" ", text.lower()).strip()
+    out = _OTHER.sub(" ", text.lower())
+    if not out.isascii() and not _NUMERALS.isdisjoint(out):
+        out = _OTHER.sub(" ", "".join(" " if c in _NUMERALS else c for c in out))
+    return out.strip()
 
 
 def is_held_out(doc_id: Column) -> Column:
