@@ -75,7 +75,9 @@ def start_merge_stream(spark: SparkSession, landing: str, spec: FeedSpec, table_
                        max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream.  ``available_now`` drains what has landed and stops
     (a scheduled incremental run); otherwise it polls every
-    ``processing_time``."""
+    ``processing_time``, and ``as_of`` has to be a function."""
+    if processing_time and not available_now and not callable(as_of):
+        raise ValueError("a polling stream runs over days: as_of has to be a function of the batch id")
     checkpoint = checkpoint or f"{table_root.rstrip('/')}/_stream/{spec.name}"
     w = (feed_stream(spark, landing, spec, header, max_files_per_trigger).writeStream
          .foreachBatch(merge_batch(spark, table_root, spec, as_of, null_safe))

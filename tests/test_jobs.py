@@ -293,3 +293,11 @@ def test_full_load_enforces_widths(spark, tmp_root):
         jobs.full_load(spark, landing, SPEC, tbl, D1, enforce="fail")
     jobs.full_load(spark, landing, SPEC, tbl, D1, enforce="null")
     assert sorted(str(r.mdr_report_key) for r in snapshot.read_history(spark, tbl).collect()) == ["1", "None"]
+
+
+def test_a_polling_stream_refuses_a_fixed_date(spark, tmp_root):
+    import pytest
+
+    from strata.streaming import start_merge_stream
+    with pytest.raises(ValueError, match="as_of"):
+        start_merge_stream(spark, tmp_root, SPEC, f"{tmp_root}/t", D2, available_now=False, processing_time="1 minute")
