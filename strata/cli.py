@@ -45,9 +45,13 @@ def main(argv=None) -> int:
                     help="write ADD/CHANGE staging tables here; dropped after the merge")
     lo.add_argument("--widths", default=None, choices=["fail", "null"],
                     help="what becomes of a value over its declared width, in all loads")
+    lo.add_argument("--rejects", default=None, help="write lines that do not fit their layout here")
+    lo.add_argument("--drop-rejects", action="store_true", help="leave those lines out of the load")
     lo.add_argument("--vacuum-keep", type=int, default=0,
                     help="after the run, delete open sets older than this many versions")
     args = ap.parse_args(argv)
+    if args.cmd == "load" and args.drop_rejects and not args.rejects:
+        ap.error("--drop-rejects needs --rejects")
 
     spark = get_spark()
     ensure_checkpoint_dir(spark)
@@ -60,15 +64,19 @@ def main(argv=None) -> int:
     elif args.cmd == "land":
         jobs.land_archives(spark, args.archives, args.landing, encoding=args.encoding)
     else:
+        from .sources.rejects import RejectChannel
+        channel = RejectChannel(args.rejects, args.drop_rejects) if args.rejects else None
         out = jobs.multi_feed_run(spark, args.landing, args.tables, args.as_of,
                                   full=args.load_type == "FUL",
                                   feeds=[x for x in args.feeds.split(",") if x],
-                                  staging_root=args.staging, enforce=args.widths, encoding=args.encoding)
+                                  staging_root=args.staging, enforce=args.widths, encoding=args.encoding,
+                                  rejects=channel)
         if args.vacuum_keep > 0:
             from .plans import snapshot
             for name in out:
                 snapshot.vacuum(spark, f"{args.tables.rstrip('/')}/{name}", args.vacuum_keep)
-        print(json.dumps({k: vars(v) for k, v in out.items()}))
+        lines = {f"{feed} {load}": n for (feed, load), n in channel.counts.items()} if channel else None
+        print(json.dumps({k: vars(v) for k, v in out.items()} | ({"rejects": lines} if channel else {})))
     return 0
 
 

@@ -5,7 +5,8 @@ loop over feeds and the snapshot pointer switch.
 
 Text lands as UTF-8 with a header line in every file and is read that way by
 default; ``**read`` of the loaders (``header``, ``encoding``, ``quote``,
-``corrupt_column``) is for text landed by others.
+``corrupt_column``) is for text landed by others, and ``rejects`` (a
+``RejectChannel``) for lines that do not fit their layout.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from ..functions import (file_stem, landing_key, load_filter, load_folder, membe
                          route_load, route_table, url_basename)
 from ..sources.archives import archive_lines
 from ..sources.delimited import land_lines, read_feed
+from ..sources.rejects import RejectChannel
 from ..specs import FEED_ORDER, FEEDS, FeedSpec
 from . import snapshot
+from .tables import create_table, replace_rows
 
 LOAD_FULL, LOAD_ADD, LOAD_CHANGE = "FUL", "add", "change"
 #: Incremental runs since the last base after which a run writes a new one.
@@ -70,10 +73,13 @@ def land_archives(spark: SparkSession, archives_root: str, landing: str, glob: s
 
 
 def typed_batch(spark: SparkSession, landing: str, spec: FeedSpec, load: str, as_of,
-                **read) -> DataFrame:
+                rejects: RejectChannel | None = None, **read) -> DataFrame:
     """Scan one feed/load folder and type it (FULL loads also apply the
-    feed's extra raw not-null rule)."""
-    raw = read_feed(spark, landing, spec, load, **read)
+    feed's extra raw not-null rule).  Lines that do not fit the layout are
+    written to the channel ``rejects``, if there is one, in the same pass."""
+    raw = read_feed(spark, landing, spec, load, record=rejects is not None, **read)
+    if rejects is not None:
+        raw = rejects.route(raw, spec, load)
     return typed(raw, spec, as_of=as_of, full_load=(load == LOAD_FULL))
 
 
@@ -91,6 +97,15 @@ def full_load(spark: SparkSession, landing: str, spec: FeedSpec, table_root: str
     return snapshot.publish(spark, table_root, rows, None, fresh=True, cluster=spec.keys)
 
 
+def declared_load(spark: SparkSession, landing: str, spec: FeedSpec, load: str, as_of, name: str,
+                  root: str, **read) -> None:
+    """Replace the catalog table ``name`` with one load's typed rows (FULL, ADD or
+    CHANGE).  It is created in the layout's declared types under ``root`` if need
+    be; a value over its declared width fails the load and the table stays."""
+    create_table(spark, name, spec, root)
+    replace_rows(spark, typed_batch(spark, landing, spec, load, as_of, **read), name, spec, root)
+
+
 @dataclass
 class Staged:
     add: DataFrame

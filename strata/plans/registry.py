@@ -769,6 +769,72 @@ def q_ragged_report(spark, sf_dir):
     return ragged_report(raw, FF.ORDERS_FEED).select("o_orderkey", "short_line", "surplus_fields")
 
 
+@register("ragged_rejects", f"""WITH {FF.FIELDS_SQL},
+rejected AS (
+  SELECT concat_ws('|', COALESCE(f0, ''), COALESCE(f1, ''),
+                   CASE _k % 7 WHEN 0 THEN COALESCE(f2, '')
+                   WHEN 1 THEN concat_ws('|', COALESCE(f2, ''), COALESCE(f3, ''), COALESCE(f4, ''), 'x1', 'y1')
+                   ELSE concat_ws('|', '"' || COALESCE(f2, ''), COALESCE(f3, ''), COALESCE(f4, '')) END) AS record,
+         _k % 7 <> 1 AS short_line
+  FROM fields WHERE _k % 7 IN (0, 1, 3))
+SELECT record, short_line, (SELECT count(*) FROM orders) AS lines, count(*) OVER () AS rejected,
+       count(*) FILTER (WHERE short_line) OVER () AS short_lines,
+       count(*) FILTER (WHERE NOT short_line) OVER () AS surplus_lines
+FROM rejected""")
+def q_ragged_rejects(spark, sf_dir):
+    """FULL load of a ragged feed that drops what does not fit the layout: the
+    rejected lines, whole, and the counts observed by the load."""
+    from ..session import scratch_path
+    from ..sources.rejects import RejectChannel
+    from . import jobs
+    root, channel = FF.land_orders(spark, sf_dir, ragged=True), RejectChannel(scratch_path(spark, "rejects"), drop=True)
+    jobs.full_load(spark, root, FF.ORDERS_FEED, scratch_path(spark, "table"), AS_OF, rejects=channel)
+    counts, = channel.counts.values()
+    out = channel.rejected(spark, FF.ORDERS_FEED, jobs.LOAD_FULL)
+    return out.select("record", F.col("o_orderpriority").isNull().alias("short_line"),
+                      *[F.lit(n).cast("long").alias(c) for c, n in counts.items()])
+
+
+@register("ragged_strict_load", FF.RAW_RAGGED_SQL + f"""
+SELECT {FF.typed_select_sql(AS_OF)} FROM raw
+WHERE _k % 7 NOT IN (0, 1, 3) AND o_orderkey IS NOT NULL AND o_orderdate IS NOT NULL""")
+def q_ragged_strict_load(spark, sf_dir):
+    """What such a load keeps: the lines with as many fields as the layout."""
+    from ..session import scratch_path
+    from ..sources.rejects import RejectChannel
+    from . import jobs, snapshot
+    root, tbl = FF.land_orders(spark, sf_dir, ragged=True), scratch_path(spark, "table")
+    jobs.full_load(spark, root, FF.ORDERS_FEED, tbl, AS_OF,
+                   rejects=RejectChannel(scratch_path(spark, "rejects"), drop=True))
+    return snapshot.read_history(spark, tbl)
+
+
+_LOADED = FF.layout_typed_sql(_TEXT, AS_OF)
+
+
+@register("declared_tables", f"""SELECT * FROM ({_LOADED})
+UNION ALL SELECT * FROM ({_LOADED.replace('FROM events)', 'FROM events WHERE event_id % 5 = 0)')})""")
+def q_declared_tables(spark, sf_dir):
+    """FULL and ADD loads of the text feed into catalog tables of the declared
+    types, then the ADD table's rows inserted by position into the FULL one."""
+    import uuid
+
+    from ..session import scratch_path
+    from . import jobs, tables
+    root = FF.land_layout_from_events(spark, sf_dir, _TEXT, incremental=True)
+    run, at = uuid.uuid4().hex[:12], scratch_path(spark, "declared")
+    full, add = f"declared_full_{run}", f"declared_add_{run}"
+    try:
+        jobs.declared_load(spark, root, _TEXT, jobs.LOAD_FULL, AS_OF, full, f"{at}-full")
+        jobs.declared_load(spark, root, _TEXT, jobs.LOAD_ADD, AS_OF, add, f"{at}-add")
+        tables.insert_select(spark, full, add)
+        out = spark.read.schema(spark.table(full).schema).parquet(tables.location(spark, full))
+    finally:
+        for name in (full, add):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return out
+
+
 @register("wide_full_load", FF.layout_typed_sql(FEEDS["mdrfoi_event"], AS_OF))
 def q_wide_full_load(spark, sf_dir):
     """The event feed's published 82-column layout end to end: the whole

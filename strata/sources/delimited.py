@@ -60,18 +60,20 @@ def ragged_report(raw: DataFrame, spec: FeedSpec) -> DataFrame:
         (F.col("start_date").isNotNull() | F.col("end_date").isNotNull()).alias("surplus_fields"))
 
 
-def read_feed(spark: SparkSession, root: str, spec: FeedSpec, load: str, **kw) -> DataFrame:
+def read_feed(spark: SparkSession, root: str, spec: FeedSpec, load: str, record: bool = False, **kw) -> DataFrame:
     """Every file of one feed and load kind under a ``feed=/load=`` landing root.
 
     Names the exact folder, so no other is listed; a folder that does not
-    exist holds no rows."""
-    schema = spec.raw_schema(with_tech=True)
+    exist holds no rows.  With ``record`` the rows are those of the layout alone
+    and column ``CORRUPT`` holds the whole line wherever its fields are not as
+    many as the layout's, else null."""
+    schema = spec.raw_schema(with_tech=not record)
     path = f"{root.rstrip('/')}/feed={spec.name}/load={load}"
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        return spark.createDataFrame([], schema)
-    df = read_delimited(spark, path, schema, **kw)
+        return spark.createDataFrame([], schema.add(CORRUPT, T.StringType()) if record else schema)
+    df = read_delimited(spark, path, schema, **({**kw, "corrupt_column": CORRUPT} if record else kw))
     return df.drop("archive")     # the folder of the archive that a file came from
 
 
