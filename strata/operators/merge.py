@@ -215,6 +215,19 @@ def _differs(c: Column, values: list[str], null_safe: bool) -> Column:
     return reduce(lambda x, y: x | y, parts, F.lit(False))
 
 
+def _unmet(chg: DataFrame, open_rows: DataFrame, mk: MergeKeys, collated: bool) -> DataFrame:
+    """CHANGE rows, one of a key, that equal no open version (alias m).  Rows meet
+    by their keys, nulls equal, and compare column by column there: wide rows are
+    shuffled by their keys and neither hashed nor sorted whole.  What goes back to
+    CHANGE is the keys of the rows that were met."""
+    ks = [f"__k{i}" for i in range(len(mk.keys))]
+    met = (open_rows.join(chg.alias("b"), key_condition(mk.keys, "m", "b", True))
+           .groupBy(*[_c("b", k).alias(x) for k, x in zip(mk.keys, ks)])
+           .agg(F.bool_or(same_row(mk.business, "m", "b", collated)).alias("__same")).where("__same"))
+    on = reduce(lambda x, y: x & y, [_c("b", k).eqNullSafe(F.col(x)) for k, x in zip(mk.keys, ks)])
+    return chg.alias("b").join(met, on, "left_anti")
+
+
 def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | None,
                 mk: MergeKeys, as_of, null_safe: bool = False,
                 broadcast_limit: int | None = None, closed: DataFrame | None = None,
@@ -296,19 +309,22 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
     flagged = flag(rows)
 
     # 3. CHANGE EXCEPT (distinct, null-equal) open rows.  Only rows that equal a
-    #    CHANGE row matter; of those, the ones that stay open.
+    #    CHANGE row matter; of those, the ones that stay open.  Where each key has
+    #    one CHANGE row, a version that equals it differs from none and stays, and
+    #    CHANGE is distinct as it is.
+    once = test == "unique"
     alike = rows.filter(F.col(END_DATE).isNull()).alias("m")
-    if chg_fits:
-        alike = alike.join(F.broadcast(chg).alias("b"), same_row(biz, "m", "b", _collated_now), "left_semi")
-    else:
+    if once and not chg_fits:
+        new = _unmet(chg, alike, mk, _collated_now)
+    elif not chg_fits:
         alike = alike.join(cols(chg, keys).distinct().alias("b"), key_condition(keys, "m", "b", True),
                            "left_semi")
-    stay = cols(flag(alike).filter(~F.col(CLOSES)), biz)
-    if chg_fits:
-        new = chg.distinct().alias("b").join(F.broadcast(stay.distinct()).alias("r"),
-                                             same_row(biz, "b", "r", _collated_now), "left_anti")
+        new = chg.subtract(cols(flag(alike).filter(~F.col(CLOSES)), biz))
     else:
-        new = chg.subtract(stay)
+        alike = alike.join(F.broadcast(chg).alias("b"), same_row(biz, "m", "b", _collated_now), "left_semi")
+        stay = cols(alike if once else flag(alike).filter(~F.col(CLOSES)), biz)
+        new = (chg if once else chg.distinct()).alias("b").join(F.broadcast(stay.distinct()).alias("r"),
+                                                                same_row(biz, "b", "r", _collated_now), "left_anti")
     return MergeParts(shut, flagged, stamp(new, as_of, biz).withColumns(carry), ins_add, as_of)
 
 

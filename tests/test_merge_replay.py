@@ -84,3 +84,32 @@ def test_merge_equals_imperative_replay(spark, seed):
                         null_safe=null_safe, broadcast_limit=limit, close_test=close_test)
             assert Counter(tuple(r) for r in got.collect()) == want, (seed, limit, close_test)
     spark.catalog.clearCache()
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_one_change_row_per_key_equals_imperative_replay(spark, seed):
+    """Keys (null ones too) that occur once in CHANGE, many rows of which equal a version."""
+    hist, add, chg = make_trio(100 + seed)
+    rng = random.Random(seed)
+    chg += [rng.choice(hist)[:4] for _ in range(12)]
+    chg = list({r[:2]: r for r in chg}.values())
+    h = spark.createDataFrame(hist, "k long, k2 long, v string, w string, start_date date, end_date date")
+    a = spark.createDataFrame(add, "k long, k2 long, v string, w string")
+    c = spark.createDataFrame(chg, "k long, k2 long, v string, w string")
+    want = replay(hist, add, chg, seed % 2 == 1)
+    for limit in (None, 0):
+        got = merge(h, a, c, keys=["k", "k2"], values=["v", "w"], as_of=D,
+                    null_safe=seed % 2 == 1, broadcast_limit=limit)
+        assert Counter(tuple(r) for r in got.collect()) == want, (seed, limit)
+
+
+def test_wide_rows_are_not_hashed_whole(spark):
+    """Beyond the broadcast limit, CHANGE with one row per key meets the versions by keys alone."""
+    h = spark.createDataFrame([(1, 1, "a", "b", S, None)],
+                              "k long, k2 long, v string, w string, start_date date, end_date date")
+    c = spark.createDataFrame([(1, 1, "a", "b"), (2, 1, "a", None)], "k long, k2 long, v string, w string")
+    from strata.operators.merge import MergeKeys, merge_parts
+    new = merge_parts(h, None, c, MergeKeys(["k", "k2"], ["v", "w"]), D, broadcast_limit=0).inserted
+    plan = new._jdf.queryExecution().optimizedPlan().toString()
+    assert "named_struct" not in "".join(x for x in plan.splitlines() if "Join" in x)
+    assert [(r.k, r.v) for r in new.collect()] == [(2, "a")]
