@@ -6,16 +6,18 @@ hashed) and its metadata (source, language, and the sizes on its page: length,
 lines, length of lines).  Each view has a naive Bayes classifier
 (one pass over the training rows), calibrated (Platt) on labelled documents
 that neither view learns from.  Over ``ROUNDS`` rounds both are trained, score
-a pool of unlabelled documents, and each hands the other the labels that it is
-confident of.  In the end the calibrated views are combined as independent
-evidence, the log-odds of both less the prior's, to score every document whole.
-
-Training is bounded: about ``LABELLED`` labelled documents and a pool of about
-``POOL`` unlabelled ones, both drawn by a hash of the id with equal chances;
-``PER_ROUND`` labels of each class at most are handed over by a view in a
-round, the surest first (a limit of the method, on the training pool only).
-Documents are filtered by that hash before they meet the labels, so whole
-texts are never shuffled.  Scoring covers all rows in one pass without a shuffle.
+every document that they have no label of, and each hands the other all the
+labels that it is confident of.  Handed-over labels are weighted so that each class keeps
+its share among the labelled documents and all of them together count as much as
+those, however many there are.  In the end the calibrated views are combined as
+independent evidence, the log-odds of both less the prior's, to score every
+document whole.
+
+About ``LABELLED`` labelled documents are learned from, drawn by a hash of the id
+with equal chances; the drawn ids (bounded by that) are broadcast.  Every other
+document is unlabelled, its label, if it has one, is not read.  Nothing else is
+bounded.  The views of all documents are computed and stored once; neither texts
+nor views are shuffled, but for those of the drawn documents.
 
 Defined results: a null text is scored like an empty one, null metadata are
 values of their own; a document with labels that disagree takes the majority, a
@@ -35,14 +37,12 @@ from pyspark.sql import functions as F
 
 from .common import GAP, stored
 
-LABELLED = 20_000
-POOL = 20_000
+LABELLED = 20_000     # expected number of labelled documents learned from
 ROUNDS = 3
-PER_ROUND = 2_000
 SURE = 0.95           # confidence at which a label is handed over
 HELD = 5              # one in so many labelled documents is for calibration
 TEXT_SIZE, META_SIZE = 1 << 14, 1 << 10
-PARTS = 8             # files of the training sample, whatever the session's shuffles
+PARTS = 8             # files of the labelled sample, whatever the session's shuffles
 KEEP = 0.5
 
 
@@ -89,7 +89,7 @@ def _chance(salt: str) -> Column:
 
 
 def _fit(rows: DataFrame, view: str) -> NaiveBayesModel:
-    return NaiveBayes(featuresCol=view, labelCol="label", smoothing=0.1, probabilityCol="p",
+    return NaiveBayes(featuresCol=view, labelCol="label", weightCol="weight", smoothing=0.1, probabilityCol="p",
                       rawPredictionCol="raw", predictionCol="said").fit(rows)
 
 
@@ -117,68 +117,83 @@ def _calibrated(view: tuple, rows: DataFrame, out: str) -> DataFrame:
     return _z(model, rows, "z").withColumn(out, 1 / (1 + F.exp(-(a * F.col("z") + b)))).drop("z")
 
 
-def _sure(scored: DataFrame, p: str) -> DataFrame:
-    """(doc_id, label) that the view is surest of, PER_ROUND of each class."""
-    sure = [scored.where(F.col(p) >= SURE).orderBy(F.desc(p), "doc_id").limit(PER_ROUND)
-            .select("doc_id", F.lit(1.0).alias("label")),
-            scored.where(F.col(p) <= 1 - SURE).orderBy(p, "doc_id").limit(PER_ROUND)
-            .select("doc_id", F.lit(0.0).alias("label"))]
-    return sure[0].unionByName(sure[1])
+def _drawn(labels: DataFrame) -> DataFrame:
+    """Stored (doc_id, label) of the labelled documents to learn from."""
+    named = stored(labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
+                   .agg((F.avg("quality") >= 0.5).cast("double").alias("label")), "labels")
+    return stored(named.where(_chance("labelled") < LABELLED / max(named.count(), 1)).coalesce(PARTS), "drawn")
 
 
-def _samples(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Stored (doc_id, views, label) rows: labelled ones, and the pool."""
-    named = (labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
-             .agg((F.avg("quality") >= 0.5).cast("double").alias("label")))
-    named = stored(named, "labels")
-    n_docs, n_named = docs.count(), named.count()
-    ids = docs.where("doc_id is not null")
-    share = lambda want, n: min(1.0, want / max(n, 1))
-    few = ids.where(_chance("labelled") < share(LABELLED, n_named)).join(named, "doc_id")
-    pool = ids.where(_chance("pool") < share(POOL, n_docs)).join(named, "doc_id", "left_anti")
-    seen = views(few).dropDuplicates(["doc_id"]).join(named, "doc_id")
-    return (stored(seen.coalesce(PARTS), "labelled"),
-            stored(views(pool).dropDuplicates(["doc_id"]).coalesce(PARTS), "pool"))
+def _samples(seen: DataFrame, drawn: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``views``: the drawn documents' with their label, one of an id; and
+    all other documents'."""
+    few = seen.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"])
+    pool = seen.where("doc_id is not null").join(F.broadcast(drawn), "doc_id", "left_anti")
+    return few, pool
 
 
-class QualityModel:
-    """Trained views, their calibration and the prior."""
+def _sure(view: tuple, pool: DataFrame, sure: float) -> DataFrame:
+    """Rows that one view is confident of, with the ``label`` it gives them."""
+    p = F.col("said_p")
+    return _calibrated(view, pool, "said_p").where((p >= sure) | (p <= 1 - sure)).withColumn(
+        "label", (p >= 0.5).cast("double")).drop("said_p")
+
+
+def _weights(counts: dict[float, int], train: dict[float, int]) -> dict[float, float]:
+    """Weight of a handed-over label by class: the classes keep their shares among
+    the training rows, and all labels together weigh as much as those rows."""
+    return {c: train[c] / n for c, n in counts.items() if n}
 
-    def __init__(self, docs: DataFrame, labels: DataFrame):
-        rows, pool = _samples(docs, labels)
+
+def _counts(rows: DataFrame) -> dict[float, int]:
+    return {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+
+
+class QualityModel:
+    """Trained views, their calibration and the prior.  ``seen`` holds the views of
+    all documents; ``handed`` how many labels of each class each view was given,
+    round by round."""
+
+    def __init__(self, docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sure: float = SURE):
+        self.seen = stored(views(docs), "views")
+        few, pool = _samples(self.seen, _drawn(labels))
+        rows = stored(few.repartition(PARTS), "labelled")
         good, n = rows.agg(F.sum("label"), F.count(F.lit(1))).first()
         self.prior = (good or 0) / n if n else 0.5
-        self.views = {}
+        self.views, self.handed = {}, []
         held = F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(HELD)) == 0
         train, calibrate = rows.where(~held), rows.where(held)
-        if any(x.select("label").distinct().count() < 2 for x in (train, calibrate)):
+        classes = _counts(train)
+        if len(classes) < 2 or len(_counts(calibrate)) < 2:
             return
-        extra, models = {"text_view": None, "meta_view": None}, {}
-        for k in range(ROUNDS + 1):
-            for v in extra:
-                use = train.select("doc_id", v, "label")
-                if extra[v] is not None:
-                    use = use.unionByName(pool.select("doc_id", v).join(extra[v], "doc_id")).coalesce(PARTS)
+        other = {"text_view": "meta_view", "meta_view": "text_view"}
+        models = {}
+        for k in range(rounds + 1):
+            taught, given = {}, {}
+            for v in other:
+                use = train.select(v, "label", F.lit(1.0).alias("weight"))
+                if models:      # each view teaches the other
+                    new = _sure(models[other[v]], pool.select("text_view", "meta_view"), sure)
+                    given[v] = _counts(new.select("label"))
+                    w = F.lit(0.0)
+                    for c, x in _weights(given[v], classes).items():
+                        w = F.when(F.col("label") == c, F.lit(x)).otherwise(w)
+                    use = use.unionByName(new.select(v, "label", w.alias("weight")))
                 model = _fit(use, v)
                 a, b = _platt(_z(model, calibrate.select(v, "label"), "z").select("z", "label"))
-                models[v] = model, a, b
-            if k == ROUNDS:
-                break
-            scored = pool
-            for v, out in (("text_view", "pt"), ("meta_view", "pm")):
-                scored = _calibrated(models[v], scored, out)
-            scored = stored(scored.select("doc_id", "pt", "pm"), "scored")
-            # each view teaches the other
-            extra = {"text_view": stored(_sure(scored, "pm"), "from-meta"),
-                     "meta_view": stored(_sure(scored, "pt"), "from-text")}
+                taught[v] = model, a, b
+            models = taught
+            if given:
+                self.handed.append(given)
         self.views = models
 
-    def score(self, docs: DataFrame) -> DataFrame:
-        """(doc_id, p_text, p_meta, score) of every row."""
+    def score(self, docs: DataFrame | None = None) -> DataFrame:
+        """(doc_id, p_text, p_meta, score) of every row; by default of those that
+        the model was made with, whose views are stored."""
+        d = self.seen if docs is None else views(docs)
         if not self.views:
             p = F.lit(float(self.prior))
-            return docs.select("doc_id", p.alias("p_text"), p.alias("p_meta"), p.alias("score"))
-        d = views(docs)
+            return d.select("doc_id", p.alias("p_text"), p.alias("p_meta"), p.alias("score"))
         logits = []
         for v, out in (("text_view", "p_text"), ("meta_view", "p_meta")):
             d = _calibrated(self.views[v], d, out).drop(v)
@@ -189,5 +204,5 @@ class QualityModel:
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, p_text, p_meta, score and kept of every document."""
-    docs = docs.select("doc_id", "text", "lang", "source")
-    return QualityModel(docs, labels).score(docs).withColumn("kept", F.col("score") >= KEEP)
+    model = QualityModel(docs.select("doc_id", "text", "lang", "source"), labels)
+    return model.score().withColumn("kept", F.col("score") >= KEEP)

@@ -366,6 +366,37 @@ def test_cotraining_held_out_accuracy(spark):
     assert all(0 <= p <= 1 for r in rows for p in (r.p_text, r.p_meta, r.score))
 
 
+def test_cotraining_hands_over_all_confident_labels(spark):
+    """One round against a plain computation from the calibrated probabilities,
+    and the same class shares whatever the pool's."""
+    from pyspark.sql import functions as F
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    start = C.QualityModel(docs, labels, rounds=0)
+    drawn = {r.doc_id: r.label for r in labels.where("quality is not null").groupBy("doc_id")
+             .agg((F.avg("quality") >= 0.5).cast("double").alias("label")).collect()}
+    want = {v: collections.Counter() for v in ("text_view", "meta_view")}
+    for r in start.score().collect():
+        if r.doc_id in drawn:
+            continue
+        for v, p in (("meta_view", r.p_text), ("text_view", r.p_meta)):
+            if p >= C.SURE or p <= 1 - C.SURE:
+                want[v][float(p >= 0.5)] += 1
+    got, = C.QualityModel(docs, labels, rounds=1).handed
+    assert got == {v: dict(c) for v, c in want.items()} and sum(want["meta_view"].values()) > 0
+    w = C._weights({0.0: 5, 1.0: 400}, {0.0: 20, 1.0: 80})
+    assert (5 * w[0.0], 400 * w[1.0]) == (20, 80) and C._weights({1.0: 0}, {1.0: 3}) == {}
+
+
+def test_cotraining_moves_no_unlabelled_views(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.select("doc_id", "text", "lang", "source")
+    few, pool = C._samples(C.views(docs), labels.limit(100).selectExpr("doc_id", "double(quality) as label"))
+    for df in (pool, few):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert "hashpartitioning" not in pool._jdf.queryExecution().executedPlan().toString()
+
+
 def test_cotraining_odd_rows(spark):
     cols = COLS + ", lang string, source string, label int, z string"
     docs = spark.createDataFrame([(1, None, None, None, 1, "z"), (None, "a b", "en", "s", 1, "z"), (2, "", "en", "s", 1, "z"),
