@@ -9,7 +9,11 @@ that neither view learns from.  Over ``ROUNDS`` rounds both are trained, score
 every document that they have no label of, and each hands the other all the
 labels that it is confident of.  Handed-over labels are weighted so that each class keeps
 its share among the labelled documents and all of them together count as much as
-those, however many there are.  In the end the calibrated views are combined as
+those, however many there are.  A naive Bayes classifier reads only the weighted
+sum of its rows by class, so what a class is handed goes in as its mean row with
+the class's whole weight: a round is one pass over the stored views, which scores
+both and adds up, within tasks and then in ``SPREAD`` parts, what they hand over.
+In the end the calibrated views are combined as
 independent evidence, the log-odds of both less the prior's, to score every
 document whole.
 
@@ -32,6 +36,7 @@ from __future__ import annotations
 from pyspark.ml.classification import LogisticRegression, NaiveBayes, NaiveBayesModel
 from pyspark.ml.feature import HashingTF, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +48,8 @@ SURE = 0.95           # confidence at which a label is handed over
 HELD = 5              # one in so many labelled documents is for calibration
 TEXT_SIZE, META_SIZE = 1 << 14, 1 << 10
 PARTS = 8             # files of the labelled sample, whatever the session's shuffles
+SPREAD = 64           # parts in which the tasks' means of a view and class are combined first
+OTHER = {"text_view": "meta_view", "meta_view": "text_view"}
 KEEP = 0.5
 
 
@@ -132,11 +139,24 @@ def _samples(seen: DataFrame, drawn: DataFrame) -> tuple[DataFrame, DataFrame]:
     return few, pool
 
 
-def _sure(view: tuple, pool: DataFrame, sure: float) -> DataFrame:
-    """Rows that one view is confident of, with the ``label`` it gives them."""
-    p = F.col("said_p")
-    return _calibrated(view, pool, "said_p").where((p >= sure) | (p <= 1 - sure)).withColumn(
-        "label", (p >= 0.5).cast("double")).drop("said_p")
+def _handed(models: dict[str, tuple], pool: DataFrame, sure: float) -> DataFrame:
+    """Stored (view, label, n, mean) of what each view is handed by the other:
+    how many rows of ``pool`` the other is confident of by class, and the mean of
+    the view's vectors of these."""
+    rows = pool.select(*OTHER)
+    for v in OTHER:
+        rows = _calibrated(models[v], rows, f"p_{v}")
+    given = []
+    for v, teacher in OTHER.items():
+        p = F.col(f"p_{teacher}")
+        label = F.when(p >= sure, F.lit(1.0)).when(p <= 1 - sure, F.lit(0.0))
+        given.append(F.struct(F.lit(v).alias("view"), label.alias("label"), F.col(v).alias("x")))
+    rows = rows.select(F.pmod(F.spark_partition_id(), F.lit(SPREAD)).alias("part"),
+                       F.explode(F.filter(F.array(*given), lambda g: g["label"].isNotNull())).alias("g"))
+    parts = rows.select("part", "g.*").groupBy("part", "view", "label").agg(
+        F.count(F.lit(1)).alias("n"), Summarizer.mean(F.col("x")).alias("x"))
+    return stored(parts.groupBy("view", "label").agg(
+        F.sum("n").alias("n"), Summarizer.mean(F.col("x"), F.col("n").cast("double")).alias("mean")), "handed")
 
 
 def _weights(counts: dict[float, int], train: dict[float, int]) -> dict[float, float]:
@@ -166,19 +186,19 @@ class QualityModel:
         classes = _counts(train)
         if len(classes) < 2 or len(_counts(calibrate)) < 2:
             return
-        other = {"text_view": "meta_view", "meta_view": "text_view"}
         models = {}
         for k in range(rounds + 1):
+            new = _handed(models, pool, sure) if models else None
             taught, given = {}, {}
-            for v in other:
+            for v in OTHER:
                 use = train.select(v, "label", F.lit(1.0).alias("weight"))
                 if models:      # each view teaches the other
-                    new = _sure(models[other[v]], pool.select("text_view", "meta_view"), sure)
-                    given[v] = _counts(new.select("label"))
+                    mine = new.where(F.col("view") == v)
+                    given[v] = {r["label"]: r["n"] for r in mine.select("label", "n").collect()}
                     w = F.lit(0.0)
                     for c, x in _weights(given[v], classes).items():
-                        w = F.when(F.col("label") == c, F.lit(x)).otherwise(w)
-                    use = use.unionByName(new.select(v, "label", w.alias("weight")))
+                        w = F.when(F.col("label") == c, F.lit(x) * F.col("n")).otherwise(w)
+                    use = use.unionByName(mine.select(F.col("mean").alias(v), "label", w.alias("weight")))
                 model = _fit(use, v)
                 a, b = _platt(_z(model, calibrate.select(v, "label"), "z").select("z", "label"))
                 taught[v] = model, a, b

@@ -387,6 +387,29 @@ def test_cotraining_hands_over_all_confident_labels(spark):
     assert (5 * w[0.0], 400 * w[1.0]) == (20, 80) and C._weights({1.0: 0}, {1.0: 3}) == {}
 
 
+def test_cotraining_mean_rows_teach_what_the_rows_would(spark):
+    """Classifiers fitted on the weighted mean rows of the classes against ones
+    fitted on every handed-over row with its weight."""
+    from pyspark.sql import functions as F
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    start = C.QualityModel(docs, labels, rounds=0)
+    pool = start.seen
+    means = C._handed(start.views, pool, C.SURE)
+    train = pool.limit(0).select(*C.OTHER, F.lit(1.0).alias("label"), F.lit(1.0).alias("weight"))
+    for v, teacher in C.OTHER.items():
+        p = F.col("p")
+        rows = C._calibrated(start.views[teacher], pool, "p").where((p >= C.SURE) | (p <= 1 - C.SURE)).select(
+            v, (p >= 0.5).cast("double").alias("label"))
+        w = F.when(F.col("label") == 1, 0.5).otherwise(0.125)
+        if v == "text_view" and rows.select("label").distinct().count() < 2:
+            continue
+        many = C._fit(train.select(v, "label", "weight").unionByName(rows.withColumn("weight", w)), v)
+        few = C._fit(means.where(F.col("view") == v).select(
+            F.col("mean").alias(v), "label", (w * F.col("n")).alias("weight")), v)
+        assert np.allclose(many.theta.toArray(), few.theta.toArray(), rtol=1e-9, atol=1e-9)
+        assert np.allclose(many.pi.toArray(), few.pi.toArray())
+
+
 def test_cotraining_moves_no_unlabelled_views(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
     docs = docs.select("doc_id", "text", "lang", "source")
