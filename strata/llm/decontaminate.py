@@ -16,7 +16,9 @@ of the text, or beside a character of a script without spaces), so that "art"
 is not found in "start"; an end inside a word is one edit more.
 
 The automaton goes to every task, so its size is bounded: items are taken in
-groups of about ``GROUP_BYTES``, one pass over the documents each.  Documents
+groups of about ``GROUP_BYTES``, one pass over the documents each.  Between two
+groups the result so far is stored, and the group's broadcast and what was stored
+before go: a task holds one group's automaton, however many there are.  Documents
 are never shuffled or joined, so equal texts, hot sources and passages shared
 by many documents spread as the input does.
 
@@ -33,9 +35,11 @@ from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 ERRORS = 0.08
 MIN_CHARS = 40        # shorter items have to match whole words
 GROUP_BYTES = 1 << 20
@@ -159,6 +163,11 @@ def item_groups(items: DataFrame) -> list[list[tuple[int, str]]]:
         yield sorted(((r.item_id, r.text) for r in rows.collect()), key=str)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` beside ``leaks``: the items that each text contains, as
     (doc: struct of the columns, leaks)."""
@@ -166,8 +175,16 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     d = docs.select(F.struct(*cols).alias("doc"),
                     F.array().cast(LEAKS).alias("leaks"))
     place = docs.columns.index("text")
+    spark, shared, path = docs.sparkSession, None, None
     for group in item_groups(items):
-        shared = docs.sparkSession.sparkContext.broadcast(group)
+        if shared is not None:
+            before, path = path, scratch_path(spark, "llm-leaks")
+            d.write.parquet(path)
+            d = spark.read.schema(d.schema).parquet(path)
+            shared.destroy()
+            if before is not None:
+                _delete(spark, before)
+        shared = spark.sparkContext.broadcast(group)
 
         def run(batches, shared=shared):
             matcher = Matcher(shared.value)

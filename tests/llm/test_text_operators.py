@@ -3,6 +3,7 @@ classification and surrogates, against brute force and by hand."""
 
 import collections
 import hashlib
+import os
 import random
 import re
 import warnings
@@ -306,7 +307,11 @@ def test_items_in_many_groups_and_empty_tables(spark, monkeypatch):
     one = sorted(map(tuple, QUERIES["op8_decontaminate"](spark, SF).collect()))
     assert one
     monkeypatch.setattr(D, "GROUP_BYTES", 3000)
+    gone = []
+    monkeypatch.setattr(D, "_delete", lambda s, path, delete=D._delete: (gone.append(path), delete(s, path)))
     many = D.decontaminate(docs, items)
+    assert many._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert gone and not any(os.path.exists(p.removeprefix("file:")) for p in gone)
     got = sorted((r.doc.doc_id, x.item_id, x.distance) for r in many.collect() for x in r.leaks)
     assert got == one
     assert D.decontaminate(docs.limit(0), items).count() == 0
