@@ -35,7 +35,7 @@ import json
 import uuid
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -179,10 +179,22 @@ def table_schema(spark: SparkSession, root: str, ptr: Pointer) -> T.StructType:
     return T.StructType([f for f in found.fields if f.name not in (RUN, KEY_RANGE)])
 
 
+def _below(bounds: Column, n: int, x: Column, equal: bool) -> Column:
+    """How many of ``n`` ascending bounds are less than ``x`` (``equal``: or equal to
+    it), by a binary search: about log2(n) comparisons a row."""
+    if not n:
+        return F.lit(0)
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(n.bit_length()))])
+    at = lambda i: F.get(bounds, i - 1)  # noqa: E731 - null beyond the last
+    return F.aggregate(steps, F.lit(0), lambda i, step: F.when(
+        (at(i + step) <= x) if equal else (at(i + step) < x), i + step).otherwise(i))
+
+
 def touched(spark: SparkSession, root: str, ptr: Pointer, batches: list[DataFrame]) -> dict[str, set[int]] | None:
     """The ranges of the base and shut parts that may hold keys of the batches;
-    None if the parts have no ranges.  At most MAX_RANGES of each are compared,
-    and only their numbers come to the driver."""
+    None if the parts have no ranges.  Each key is placed among the bounds of the
+    (at most MAX_RANGES) ranges of a part, where it stands, without a shuffle; only
+    places come to the driver, about two per range at most."""
     key = ptr.cluster[0] if ptr.cluster else None
     batches = [b for b in batches if b is not None]
     if key is None or not all(key in b.columns for b in batches):
@@ -193,15 +205,20 @@ def touched(spark: SparkSession, root: str, ptr: Pointer, batches: list[DataFram
         if run is None or not batches:
             continue
         ranges = spark.read.parquet(_p(root, "data", f"run={run}", f"part={RANGES}")).where(F.col("of") == part)
-        found = ranges.collect()
+        found = ranges.orderBy("low", "high").collect()
+        held = [r for r in found if r.low is not None]
         for b in batches:
-            k, kind = F.col("k"), b.schema[key].dataType
-            fitting = F.array(*[F.when(
-                F.coalesce(k.between(F.lit(r.low).cast(kind), F.lit(r.high).cast(kind)), k.isNull() & F.lit(r.nulls > 0)),
-                F.lit(r.kr)) for r in found])
-            keys = b.select(F.col(f"`{key}`").alias("k")).distinct()
-            out[part] |= {r[0] for r in keys.select(F.explode(fitting).alias("r")).where("r is not null")
-                          .distinct().collect()} if found else set()
+            k, kind = F.col(f"`{key}`"), b.schema[key].dataType
+            if kind != ranges.schema["low"].dataType:     # of another order: all may hold its keys
+                out[part] = {r.kr for r in found}
+                break
+            first, last = (_below(F.array(*[F.lit(getattr(r, end)).cast(kind) for r in held]), len(held), k, end == "low")
+                           for end in ("high", "low"))
+            spans = b.select(F.when(k.isNotNull(), first).alias("first"),
+                             F.when(k.isNotNull(), last).alias("last")).distinct().collect() if found else []
+            for s in spans:
+                out[part] |= {r.kr for r in found if r.nulls} if s.first is None else \
+                    {r.kr for r in held[s.first:s.last]}
     return out
 
 

@@ -147,3 +147,24 @@ def test_pointers_name_their_parts(spark, tmp_root):
     assert snapshot.read_history(spark, tbl).count() == 0
     jobs.merge_into(spark, tbl, spark.createDataFrame([(1, "a")], "k long, v string"), None, KV, D2)
     assert snapshot.read_open(spark, tbl).count() == 1 and ptr.base == 1
+
+
+def test_touched_places_keys_without_a_shuffle_or_a_test_per_range(spark, tmp_root):
+    """The same ranges as by comparing each key with each range; the plan does not
+    grow with them and shuffles no keys."""
+    rnd = random.Random(11)
+    for kind, make in (("long", lambda i: i), ("string", lambda i: f"k{i}é")):
+        keys = [None] * 5 + [make(rnd.randrange(400)) for _ in range(300)] + [make(7)] * 60
+        tbl = f"{tmp_root}/{kind}"
+        df = spark.createDataFrame([(k, f"v{i}", D1, None) for i, k in enumerate(keys)], f"k {kind}, v string, start_date date, end_date date")
+        ptr = snapshot.publish(spark, tbl, df, fresh=True, cluster=["k"], ranges=40)
+        ranges = spark.read.parquet(f"{tbl}/data/run=0/part=ranges").collect()
+        for some in ([None], [make(7)], [make(rnd.randrange(450)) for _ in range(4)], [make(-3), None], []):
+            want = {r.kr for r in ranges for k in some
+                    if (r.nulls > 0 if k is None else r.low is not None and r.low <= k <= r.high)}
+            batch = spark.createDataFrame([(k,) for k in some], f"k {kind}")
+            assert snapshot.touched(spark, tbl, ptr, [batch])[snapshot.BASE] == want, (kind, some)
+    at = snapshot._below(F.array(*[F.lit(2 * i) for i in range(100)]), 100, F.col("id"), True)
+    plan = spark.range(300).select(at.alias("i"))
+    assert [r.i for r in plan.orderBy("id").collect()] == [min(100, i // 2 + 1) for i in range(300)]
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("CASE WHEN") == 1
