@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.dates import DATE_FORMATS
 from strata.functions import (file_stem, landing_key, link_kept, load_filter, load_folder,
                               member_name, parse_date, parse_date_drop_time, route_load,
                               route_table, text_to_int, url_basename)
@@ -111,3 +112,18 @@ def test_width_enforcement(spark):
     assert [r.width_ok for r in enforce_widths(df, {"a": 4}, "flag").collect()] == [True, False]
     with pytest.raises(Exception):
         enforce_widths(df, {"a": 4}, "fail").collect()
+
+
+def test_dates_of_another_shape_are_not_tried(spark):
+    """Same dates as by trying every format on every text; a plan tries a format
+    only where the text has its shape."""
+    texts = ["12/25/2020", "25/12/2020", "2020/12/25", "03/04/2020", "2/3/2020", "02/30/2020", "30/02/2020", "31/04/2020",
+             "13/13/2020", "2020/13/01", "2020/01/32", "unknown", "", " 12/25/2020", "12/25/2020 ", "12/25/20", "12-25-2020",
+             "-2020/12/25", "+12020/12/25", "12/25/-0044", "12/25/12020", "12/25/+12020", "0000/01/01", "12/25/2020\n", "١٢/25/2020", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    plain = F.coalesce(*[F.try_to_timestamp("t", F.lit(f)).cast("date") for f in DATE_FORMATS])
+    bad = df.select("t", parse_date("t").cast("string").alias("a"), plain.cast("string").alias("b")).where("not (a <=> b)")
+    assert bad.collect() == []
+    plan = df.select(parse_date("t").alias("d"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == len(DATE_FORMATS)
+    assert "RLIKE" not in df.select(parse_date("t", ("MMM d, yyyy",)).alias("d"))._jdf.queryExecution().optimizedPlan().toString()
