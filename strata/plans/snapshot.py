@@ -35,7 +35,7 @@ import json
 import uuid
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +46,7 @@ RUN = "__run"            # the run that opened a version
 KEY_RANGE = "kr"
 BASE, NEW, CLOSED, SHUT, RANGES = "base", "new", "closed", "shut", "ranges"
 MAX_RANGES = 512         # of a part; what ``touched`` brings to the driver is bounded by it
+SAMPLE_PER_RANGE = 100   # rows to cut the ranges by, as many as Spark's range exchange takes
 
 
 @dataclass(frozen=True)
@@ -186,8 +187,12 @@ def _below(bounds: Column, n: int, x: Column, equal: bool) -> Column:
         return F.lit(0)
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(n.bit_length()))])
     at = lambda i: F.get(bounds, i - 1)  # noqa: E731 - null beyond the last
-    return F.aggregate(steps, F.lit(0), lambda i, step: F.when(
-        (at(i + step) <= x) if equal else (at(i + step) < x), i + step).otherwise(i))
+
+    def half(found, step):      # holds x, too, which is evaluated once
+        i = found["i"] + step
+        before = at(i) <= found["x"] if equal else at(i) < found["x"]
+        return F.struct(F.when(before, i).otherwise(found["i"]).alias("i"), found["x"].alias("x"))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("i"), x.alias("x")), half, lambda found: found["i"])
 
 
 def touched(spark: SparkSession, root: str, ptr: Pointer, batches: list[DataFrame]) -> dict[str, set[int]] | None:
@@ -241,9 +246,8 @@ def open_with_run(spark: SparkSession, root: str, schema: T.StructType | None =
     gone = gone.select(*[F.col(f"`{c}`") for c in [*names, RUN]])
     if fits(*measure(gone), broadcast_limit(spark)):
         gone = F.broadcast(gone)
-    same = F.col(f"o.{RUN}") == F.col(f"g.{RUN}")
-    for c in names:
-        same &= F.col(f"o.`{c}`").eqNullSafe(F.col(f"g.`{c}`"))
+    # one struct, nulls equal: columns on their own would be two join keys each
+    same = F.struct(*[F.col(f"o.`{c}`") for c in [*names, RUN]]) == F.struct(*[F.col(f"g.`{c}`") for c in [*names, RUN]])
     return rows.alias("o").join(gone.alias("g"), same, "left_anti")
 
 
@@ -277,6 +281,23 @@ def read_history(spark: SparkSession, root: str, schema: T.StructType | None = N
     return rows if open_only else rows.unionByName(read_closed(spark, root, schema, ptr))
 
 
+def _cuts(rows: DataFrame, key: str, n: int) -> list[Column]:
+    """Ascending bounds (k, s) that deal rows out in ``n`` about equal ranges, from
+    a random sample of a bounded size.  Only the key is read for it; ``s`` stands
+    for the hash that spreads the rows of one key and is as uniform."""
+    if n < 2:
+        return []
+    kind = rows.schema[key].dataType
+    i = F.monotonically_increasing_id()
+    sample = (rows.select(F.col(f"`{key}`").alias("k"), i.alias("i"))
+              .select("k", F.xxhash64(F.lit(1), "i").alias("s"), F.xxhash64(F.lit(2), "i").alias("o"))
+              .orderBy("o").limit(SAMPLE_PER_RANGE * n))
+    tiles = (sample.select("k", "s", F.ntile(n).over(Window.orderBy("k", "s")).alias("t"))
+             .groupBy("t").agg(F.max(F.struct("k", "s")).alias("at")).orderBy("t"))
+    last = tiles.collect()[:-1]
+    return [F.struct(F.lit(r.at.k).cast(kind).alias("k"), F.lit(r.at.s).cast("long").alias("s")) for r in last]
+
+
 def _write_whole(spark: SparkSession, root: str, run: int, part: str, rows: DataFrame,
                  cluster: tuple[str, ...], ranges: int | None) -> None:
     """Write a base or shut part, by key ranges if there are key columns."""
@@ -288,7 +309,9 @@ def _write_whole(spark: SparkSession, root: str, run: int, part: str, rows: Data
     n = max(1, min(MAX_RANGES, ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))))
     keys = [F.col(f"`{c}`") for c in cluster]
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])     # the rows of a hot key
-    w = (rows.repartitionByRange(n, keys[0], spread).withColumn(KEY_RANGE, F.spark_partition_id())
+    cuts = _cuts(rows, cluster[0], n)
+    at = F.struct(keys[0].alias("k"), spread.alias("s"))
+    w = (rows.withColumn(KEY_RANGE, _below(F.array(*cuts), len(cuts), at, False)).repartitionById(n, F.col(KEY_RANGE))
          .sortWithinPartitions(KEY_RANGE, *keys).write.partitionBy(KEY_RANGE)
          .option("parquet.bloom.filter.adaptive.enabled", "true"))
     for c in cluster:

@@ -168,3 +168,35 @@ def test_touched_places_keys_without_a_shuffle_or_a_test_per_range(spark, tmp_ro
     plan = spark.range(300).select(at.alias("i"))
     assert [r.i for r in plan.orderBy("id").collect()] == [min(100, i // 2 + 1) for i in range(300)]
     assert plan._jdf.queryExecution().optimizedPlan().toString().count("CASE WHEN") == 1
+
+
+def test_ranges_are_cut_from_keys_alone_and_spread_a_hot_key(spark, tmp_root):
+    import pathlib
+    text = f"{tmp_root}/text"
+    rows = [f"{i if i % 2 else 7}|{i}|{'x' * 50}" for i in range(4000)]
+    spark.createDataFrame([(r,) for r in rows], "value string").write.text(text)
+    df = spark.read.schema("k long, v string, w string").option("sep", "|").csv(text)
+    cuts = snapshot._cuts(df, "k", 8)
+    assert len(cuts) == 7
+    ptr = snapshot.publish(spark, f"{tmp_root}/t", df.selectExpr("*", "date'2024-01-01' as start_date", "cast(null as date) as end_date"),
+                           fresh=True, cluster=["k"], ranges=8)
+    base = spark.read.parquet(f"{tmp_root}/t/data/run=0/part=base")
+    sizes = [r["count"] for r in base.groupBy("kr").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 3 * 4000 / 8
+    assert base.where("k = 7").select("kr").distinct().count() >= 3
+    hot = spark.createDataFrame([(7,)], "k long")
+    assert len(snapshot.touched(spark, f"{tmp_root}/t", ptr, [hot])[snapshot.BASE]) >= 3
+    src = pathlib.Path(snapshot.__file__).read_text()
+    assert "repartitionByRange" not in src      # it computes whole rows twice, once for a sample
+
+
+def test_a_stored_version_is_matched_by_one_join_key(spark, tmp_root):
+    """Columns compared on their own were two join keys each, 170 of the widest feed."""
+    tbl = f"{tmp_root}/t"
+    rows = [(1, None, D1, None), (1, "a", D1, None), (2, "b", D1, None), (None, "c", D1, None)]
+    snapshot.publish(spark, tbl, spark.createDataFrame(rows, SCH), fresh=True)
+    jobs.merge_into(spark, tbl, None, spark.createDataFrame([(1, "b"), (2, "b")], "k long, v string"), KV, D2)
+    got = snapshot.open_with_run(spark, tbl)
+    assert sorted(map(str, got.select("k", "v").collect())) == sorted(map(str, spark.createDataFrame(
+        [(1, None), (1, "b"), (2, "b"), (None, "c")], "k long, v string").collect()))
+    assert "coalesce" not in got._jdf.queryExecution().optimizedPlan().toString()
