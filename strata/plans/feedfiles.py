@@ -358,6 +358,9 @@ def last_text(spec) -> str:
     return [c.name for c in spec.columns if c.kind == "string" and not c.is_key][-1]
 
 
+EVENTS_PER_FILE = 250_000
+
+
 def land_layout_from_events(spark: SparkSession, sf_dir: str, spec, root: str | None = None,
                             incremental: bool = False, held_back: bool = False) -> str:
     """Land the whole `events` table as one feed's pipe text (FULL); returns the
@@ -370,18 +373,21 @@ def land_layout_from_events(spark: SparkSession, sf_dir: str, spec, root: str |
     last = last_text(spec)
     e = table(spark, sf_dir, "events")
 
-    def lines(rows, load, changed=False):
+    n = -(-e.count() // EVENTS_PER_FILE)     # dealt out narrow, as they are wide as text
+    e = e.repartitionByRange(max(n, spark.sparkContext.defaultParallelism), "event_id", F.xxhash64(*e.columns))
+    old = {new: old for old, new in spec.renames}
+    header = "|".join(old.get(n, n).upper() for n in spec.names)
+
+    def land(rows, load, changed=False):
         values = [F.concat(build(), F.lit(" changed")) if changed and name == last else build()
                   for name, build, _ in cols]
-        return rows.select(_join(*values).alias("line"), F.lit(spec.name).alias("feed"), F.lit(load).alias("load"))
+        land_lines(rows.select(_join(*values).alias("line")), f"{root}/feed={spec.name}/load={load}", header,
+                   mode="append", compression="gzip")
 
-    out = lines(e.where("event_id % 10 <> 0") if held_back else e, "FUL")
+    land(e.where("event_id % 10 <> 0") if held_back else e, "FUL")
     if incremental:
-        out = out.unionByName(lines(e.where("event_id % 5 = 0"), "add")).unionByName(
-            lines(e.where("event_id % 4 = 0"), "change", True))
-    old = {new: old for old, new in spec.renames}
-    land_lines(out, root, "|".join(old.get(n, n).upper() for n in spec.names),
-               partition_by=("feed", "load"), mode="append")
+        land(e.where("event_id % 5 = 0"), "add")
+        land(e.where("event_id % 4 = 0"), "change", True)
     return root
 
 

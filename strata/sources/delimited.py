@@ -118,15 +118,27 @@ def _headed(header: str | None, flag: int | None, parts: int):
     return run
 
 
+def _writer(lines: DataFrame, mode: str, compression: str | None):
+    w = lines.write.mode(mode).option("lineSep", "\n")
+    return w.option("compression", compression) if compression else w
+
+
 def land_lines(lines: DataFrame, path: str, header: str | None = None, partition_by=(),
-               mode: str = "overwrite", replace_partitions: bool = False) -> None:
+               mode: str = "overwrite", replace_partitions: bool = False, compression: str | None = None) -> None:
     """Write lines of text (column ``line``) as they are, byte for byte in UTF-8,
     each with a line feed, in their order; every output file starts with a
     header line.  That is ``header``, or, if it is None, the first line of a
     partition that column ``is_header`` flags in a task's rows (its other flagged
     lines, headers of further members, are not written).  With
     ``replace_partitions`` only the partitions that ``lines`` fills are
-    overwritten."""
+    overwritten.  ``compression`` names a codec for the files, which readers know by
+    their names; a file then is one task's to read."""
+    if header is not None and not partition_by:
+        # a task's rows are one file: its first line carries the header
+        first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+        line = F.when(first, F.concat_ws("\n", F.lit(header), "line")).otherwise(F.col("line"))
+        _writer(lines.select(line.alias("line")), mode, compression).text(path)
+        return
     flag = [] if header is not None else [F.col("is_header").alias(HEADS)]
     slim = lines.select("line", *flag, *[F.col(c).alias(f"p{i}") for i, c in enumerate(partition_by)])
     kinds = [T.StructField(f"p{i}", lines.schema[c].dataType) for i, c in enumerate(partition_by)]
@@ -135,7 +147,7 @@ def land_lines(lines: DataFrame, path: str, header: str | None = None, partition
     out = slim.mapInArrow(_headed(header, 1 if flag else None, len(partition_by)), schema)
     # a writer of partitions sorts by them; with the place, lines keep their order
     out = out.select("line", PLACE, *names).sortWithinPartitions(*partition_by, PLACE).drop(PLACE)
-    w = out.write.mode(mode).option("lineSep", "\n")
+    w = _writer(out, mode, compression)
     if replace_partitions:
         w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:

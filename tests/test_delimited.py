@@ -144,3 +144,32 @@ def test_a_landed_archive_equals_its_member(spark, tmp_root):
         assert open(name, "rb").read() == body
         name, = glob.glob(f"{landing}/feed=patient/load=add/archive=patientAdd.zip/part-*")
         assert open(name, "rb").read() == b"A\n1\n2\n3\n"
+
+
+def test_whole_folders_land_without_python_or_a_sort_and_compressed(spark, tmp_root):
+    import glob
+    import gzip
+    df = spark.range(100, numPartitions=3).selectExpr("concat(id, '|é ') as line", "id")
+    land_lines(df.where("id % 7 <> 0"), tmp_root + "/z", "H|T", compression="gzip")
+    names = glob.glob(f"{tmp_root}/z/part-*.gz")
+    text = [gzip.open(n, "rb").read().decode().splitlines() for n in names]
+    assert len(names) == 3 and all(t[0] == "H|T" and t.count("H|T") == 1 for t in text)
+    assert sorted(x for t in text for x in t[1:]) == sorted(f"{i}|é " for i in range(100) if i % 7)
+
+
+def test_wide_layouts_land_small(spark, tmp_root):
+    """Landed text of a layout was the larger part of what a run wrote."""
+    import glob
+    import gzip
+    import os
+
+    from strata.plans import feedfiles as FF
+    from strata.specs import FEEDS
+    spark.range(3000).selectExpr("id as event_id", "timestamp'2024-01-01 00:00:01' as ts", "id % 50 as user_id", "'view' as event_type",
+                                 "1.5D as value", "'{\"k\": 7}' as props").write.parquet(f"{tmp_root}/sf/events.parquet")
+    spec = FEEDS["mdrfoi_event"]
+    root = FF.land_layout_from_events(spark, f"{tmp_root}/sf", spec, f"{tmp_root}/landing", incremental=True)
+    names = glob.glob(f"{root}/feed={spec.name}/load=*/part-*")
+    whole = sum(len(gzip.open(n).read()) for n in names)
+    assert sum(map(os.path.getsize, names)) * 4 < whole
+    assert [read_feed(spark, root, spec, load).count() for load in ("FUL", "add", "change")] == [3000, 600, 750]
