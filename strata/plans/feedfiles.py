@@ -166,6 +166,7 @@ def _local(path: str) -> str:
 
 
 LINES_PER_ARCHIVE = 100_000
+ROWS_AT_ONCE = 500
 DOCUMENT_HEADER = "DOC_ID|TEXT"
 # What stands before and after a line, by doc_id % 5; SQL of both engines.
 _EXACT = ("CASE doc_id % 5 WHEN 0 THEN '  ' WHEN 1 THEN {char}(9) WHEN 2 THEN '\"' WHEN 3 THEN {char}(1) ELSE '' END, x, "
@@ -181,7 +182,8 @@ def zip_lines(spark: SparkSession, lines: DataFrame, header: str, prefix: str) -
     import os
     import zipfile
 
-    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.compute as pc
     from pyspark.sql import types as T
 
     root = scratch_path(spark, "archives")
@@ -193,26 +195,30 @@ def zip_lines(spark: SparkSession, lines: DataFrame, header: str, prefix: str) -
         task = TaskContext.get()
         os.makedirs(local, exist_ok=True)
         out = {}
-        for pdf in batches:
-            for kind, g in pdf.groupby("kind"):
-                name = f"{prefix}{task.partitionId():05d}{suffixes[int(kind)]}"
-                if name not in out:
-                    path = os.path.join(local, f".{name}-{task.taskAttemptId()}")
-                    zf = zipfile.ZipFile(path, "w", compression=zipfile.ZIP_DEFLATED)
-                    member = zf.open(name + ".txt", "w")
-                    member.write((header + "\n").encode())
-                    out[name] = [path, zf, member, 0]
-                out[name][2].write(("\n".join(g["line"]) + "\n").encode())
-                out[name][3] += len(g)
+        for b in batches:
+            # a few rows at a time: a worker holds a batch and little more
+            for rows in (b.slice(i, ROWS_AT_ONCE) for i in range(0, b.num_rows, ROWS_AT_ONCE)):
+                for kind in pc.unique(rows.column(1)).drop_null().to_pylist():
+                    name = f"{prefix}{task.partitionId():05d}{suffixes[kind]}"
+                    if name not in out:
+                        path = os.path.join(local, f".{name}-{task.taskAttemptId()}")
+                        zf = zipfile.ZipFile(path, "w", compression=zipfile.ZIP_DEFLATED)
+                        member = zf.open(name + ".txt", "w")
+                        member.write((header + "\n").encode())
+                        out[name] = [path, zf, member, 0]
+                    g = rows.column(0).filter(pc.equal(rows.column(1), kind)).to_pylist()
+                    out[name][2].write(("\n".join(g) + "\n").encode())
+                    out[name][3] += len(g)
         for name, (path, zf, member, _) in out.items():
             member.close()
             zf.close()
             os.replace(path, os.path.join(local, name + ".zip"))
-        yield pd.DataFrame({"archive": list(out), "lines": [x[3] for x in out.values()]})
+        yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.string()),
+                                          pa.array([x[3] for x in out.values()], pa.int64())], ["archive", "lines"])
 
     schema = T.StructType([T.StructField("archive", T.StringType()), T.StructField("lines", T.LongType())])
     n = max(4, -(-lines.count() // LINES_PER_ARCHIVE))
-    lines.select("line", "kind").repartition(n).mapInPandas(write, schema).count()
+    lines.select("line", "kind").repartition(n).mapInArrow(write, schema).count()
     return root
 
 
