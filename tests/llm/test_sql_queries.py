@@ -24,6 +24,7 @@ DOCS = [
     (10, "\u00a0 \u2003 no break", "de", "Z"), (11, "w" * 9000, "en", ""), (12, "😀 " * 40, "en", "s1"),
     (13, " ".join(f"w{i}" for i in range(40)), "en", "s1"), (14, " lead and trail ", "en", "big"),
     (15, " ".join(f"v{i}" for i in range(3000)), "en", "big"), (16, "AB " * 30, "en", "\u00e9"),
+    (17, "station " * 30 + "Stations stations statoin statoin", "en", "s1"), (18, "\u00c9trang\u00e8re \u00e9trang\u00e8re " * 2, "fr", "s2"),
 ]
 PAGES = [
     (1, "http://a.org"), (1, "http://a.org"), (2, None), (3, "no scheme/org/"), (4, "https://A.Example.ORG/es/x?y"),
@@ -33,6 +34,15 @@ PAGES = [
     (16, "http://q.net/run.exe?x"), (17, "http://org#f"), (18, "http://notorg/"), (19, "http://É.ORG/É"),
     (None, "http://q.net/doubleclick"), (20, "http://q.net/doubleclicks"), (21, "http://a.org\n/x"), (22, "://"),
 ]
+# blanks here are space, tab and newline only: the SQL of op12_ takes \x0b, \x0c and
+# \r for characters; test_conversations.py has those against a plain program
+TURNS = [
+    *[(1, k, "user" if k % 2 == 0 else "assistant", f"t{k}.") for k in range(60)], *[(2, 5, "user", "same.")] * 3,
+    (3, None, "user", "no turn."), (3, 1, None, None), (None, 1, "system", "s."), (None, None, "assistant", "a!"),
+    (4, 0, "system", "s."), (4, 2, "user", "u?"), (4, 9, "assistant", "cut off"), (5, 0, "tool", " \t\n "),
+    (6, 0, "assistant", "É…"), (6, 1, "", "x.\n\t"), (7, -3, "user", "😀"), (7, 3, "u", "w " * 5000 + "."),
+    *[(c, 0, "user", "a.") for c in range(100, 160)],
+]
 
 
 def compare(spark, name, folder, tables):
@@ -66,19 +76,23 @@ def odd(tmp_path_factory):
         p = [(*r, "clash") for r in PAGES] if keep else []
         pq.write_table(pa.table([pa.array([r[i] for r in p], k) for i, k in enumerate(
             [pa.int64(), pa.string(), pa.string()])], ["page_id", "url", "verdict"]), f"{folder}/pages.parquet")
+        c = TURNS if keep else []
+        pq.write_table(pa.table([pa.array([r[i] for r in c], k) for i, k in enumerate(
+            [pa.int64(), pa.int64(), pa.string(), pa.string()])], ["conv_id", "turn", "role", "text"]),
+            f"{folder}/conversations.parquet")
         out.append(folder)
     return out
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_driver_tables(spark, name):
-    compare(spark, name, SF, ["documents", "pages"])
+    compare(spark, name, SF, ["documents", "pages", "conversations"])
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 @pytest.mark.parametrize("which", [0, 1])
 def test_odd_and_empty_tables(spark, odd, name, which):
-    rows = compare(spark, name, odd[which], ["documents", "pages"])
+    rows = compare(spark, name, odd[which], ["documents", "pages", "conversations"])
     assert bool(rows) == (which == 0)
 
 
