@@ -142,6 +142,11 @@ class MergeParts:
         """Versions opened by this run, whether or not it closes them too."""
         return self.inserted if self.added is None else self.added.unionByName(self.inserted)
 
+    def opened_to_stay(self, new: Column) -> DataFrame:
+        """Versions opened by this run that it does not close; ``new`` tells the
+        versions of ADD in ``flagged``."""
+        return self._end(self.flagged.filter(new & ~F.col(CLOSES))).select(*self.inserted.columns).unionByName(self.inserted)
+
     @property
     def updated(self) -> DataFrame:
         """The history after the close step."""
@@ -233,7 +238,7 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
                 broadcast_limit: int | None = None, closed: DataFrame | None = None,
                 collation: str | None = None, close_test: str = "auto",
                 carry: dict[str, Column] | None = None, changes_only: bool = False,
-                _collated_now: bool = False) -> MergeParts:
+                with_keys=None, _collated_now: bool = False) -> MergeParts:
     """The merge as separate parts (see ``MergeParts``).
 
     ``history`` holds every version; or, with ``closed`` given, ``history``
@@ -242,9 +247,11 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
     ``history`` to keep, with their value for versions that ADD opens.
 
     ``changes_only``: the caller needs the versions that open and close, not
-    those that stay.  Where CHANGE is too large to broadcast, versions without
-    a CHANGE key are then left out by a semi join on the keys, which Spark's
-    run-time Bloom filter can take ahead of the shuffle.
+    those that stay.  Where CHANGE is too large to broadcast, versions of
+    ``history`` without a CHANGE key are then left out by a semi join on the keys,
+    which Spark's run-time Bloom filter can take ahead of the shuffle, or by
+    ``with_keys(rows, change, keys)``, which a store has that can tell them without
+    a shuffle of wide rows.
 
     ``collation`` (e.g. ``UTF8_LCASE``, ``UTF8_LCASE_RTRIM``) makes every
     string comparison of the merge -- key match, value difference, EXCEPT --
@@ -303,8 +310,10 @@ def merge_parts(history: DataFrame, add: DataFrame | None, change: DataFrame | N
     # 2. Flag what CHANGE closes, in one pass.
     side_fits = chg_fits and (test != "summary" or fits(*_summary_bound(sizes[-1], len(mk.values)), limit))
     if changes_only and not chg_fits:
-        rows = rows.filter(F.col(END_DATE).isNull()).alias("m").join(
+        still = hist.filter(F.col(END_DATE).isNull())
+        rows = with_keys(still, chg, keys) if with_keys is not None else still.alias("m").join(
             cols(chg, keys).distinct().alias("b"), key_condition(keys, "m", "b", True), "left_semi")
+        rows = rows if ins_add is None else rows.unionByName(ins_add)
     flag = lambda df: _flag(df, chg, mk, null_safe, test, side_fits)
     flagged = flag(rows)
 

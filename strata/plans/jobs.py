@@ -143,8 +143,12 @@ def merge_into(spark: SparkSession, table_root: str, add: DataFrame | None,
     closed = snapshot.read_closed(spark, table_root, ptr=ptr, ranges=ranges)
     parts = merge_parts(open_rows, add, change, mk, as_of, null_safe, broadcast_limit,
                         closed=closed, collation=collation,
-                        carry={snapshot.RUN: F.lit(None).cast("long")}, changes_only=True)
-    new = snapshot.publish_delta(spark, table_root, parts.opened, parts.closing, ptr,
+                        carry={c: F.lit(None).cast(kind) for c, kind in snapshot.CARRIED.items()},
+                        changes_only=True, with_keys=snapshot.with_keys if collation is None else None)
+    new_now = F.col(snapshot.RUN).isNull()
+    # what ADD opens and CHANGE closes is written as closed alone, so it has no place
+    closing = parts.closing.withColumn(snapshot.FILE, F.when(new_now, F.lit("")).otherwise(F.col(snapshot.FILE)))
+    new = snapshot.publish_delta(spark, table_root, parts.opened_to_stay(new_now), closing, ptr,
                                  batch_id=batch_id, stream_id=stream_id)
     if new.version - new.base >= compact_after:
         new = snapshot.compact(spark, table_root)

@@ -4,8 +4,8 @@ Layout under a table root (any shared file system Spark writes to)::
 
     data/run=<n>/part=base/      all versions open as of run n (FULL load, compaction)
     data/run=<n>/part=shut/      all versions closed as of run n (compaction)
-    data/run=<n>/part=new/       versions opened by run n
-    data/run=<n>/part=closed/    versions closed by run n, with the run that opened them
+    data/run=<n>/part=new/       versions opened by run n that it does not close
+    data/run=<n>/part=closed/    versions closed by run n, with the run that opened them and their place
     data/run=<n>/part=ranges/    key ranges of the run's base and shut parts
     _versions/v<n>.json          pointer: version, base, parts to read, key columns, stream batch
 
@@ -22,9 +22,13 @@ which ranges hold keys of a batch, so a run reads these folders and no others.
 
 An incremental run writes what it opens and what it closes and nothing else;
 its cost follows the batch, not the history.  The open versions at version v
-are ``base`` and every ``new`` part since, less the ``closed`` parts since
-(matched on the opening run and all business columns; equal rows opened by one
-run close together).  ``compact`` writes them as a new base, and all closed
+are ``base`` and every ``new`` part since, less the ``closed`` parts since.  A
+closed version names its place, the file and row that it was read from; places
+are broadcast as a bit for each stored row, so no wide row is shuffled for them.
+What a run opens and closes itself is in its ``closed`` part alone, with an empty
+file name.  Closed versions without a file name, of runs that noted no places, are
+matched on the opening run and all business columns (equal rows opened by one run
+close together).  ``compact`` writes them as a new base, and all closed
 versions as a new shut part, so what a reader opens does not grow with the
 number of runs.  The pointer names the parts; nothing is listed or probed.
 """
@@ -34,6 +38,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -43,6 +48,9 @@ from ..specs import END_DATE
 from .sizing import broadcast_limit, fits, measure
 
 RUN = "__run"            # the run that opened a version
+FILE, ROW = "__file", "__row"    # where a stored open version is: file below data/, row in it
+CARRIED = {RUN: "long", FILE: "string", ROW: "long"}
+BLOCK, WORD = 12, 6      # 2 ** 12 rows are a row of ``places``, 2 ** 6 a word of bits
 KEY_RANGE = "kr"
 BASE, NEW, CLOSED, SHUT, RANGES = "base", "new", "closed", "shut", "ranges"
 MAX_RANGES = 512         # of a part; what ``touched`` brings to the driver is bounded by it
@@ -161,23 +169,63 @@ def _folders(root: str, run: int, part: str, ranges: set[int] | None) -> list[st
 
 def _rows(spark: SparkSession, root: str, folders: list[str], schema: T.StructType,
           has_run: bool, ranged: bool = False) -> DataFrame:
-    """Rows of part folders with ``RUN``, as the parts hold it or else their run."""
-    fields = [f for f in schema.fields if f.name != RUN]
-    run = T.StructField(RUN, T.LongType())
+    """Rows of part folders with the columns CARRIED, as the parts hold them or else
+    their run and where they are."""
+    fields = [f for f in schema.fields if f.name not in CARRIED]
+    carried = [T.StructField(RUN, T.LongType()), T.StructField(FILE, T.StringType()), T.StructField(ROW, T.LongType())]
     if not folders:
-        return spark.createDataFrame([], T.StructType([*fields, run]))
+        return spark.createDataFrame([], T.StructType([*fields, *carried]))
     if has_run:
-        return spark.read.schema(T.StructType([*fields, run])).parquet(*folders)
+        return spark.read.schema(T.StructType([*fields, *carried])).parquet(*folders)
     at = [T.StructField("run", T.LongType()), T.StructField("part", T.StringType()),
           *[T.StructField(KEY_RANGE, T.IntegerType())] * ranged]
     d = spark.read.option("basePath", _p(root, "data")).schema(T.StructType([*fields, *at])).parquet(*folders)
-    return d.withColumn(RUN, F.col("run")).drop("run", "part", KEY_RANGE)
+    # the path may hold folders of other names; below data/ none is named so
+    file = F.substring_index("_metadata.file_path", "/data/", -1)
+    return d.select(*[F.col(f"`{f.name}`") for f in fields], F.col("run").alias(RUN), file.alias(FILE),
+                    F.col("_metadata.row_index").alias(ROW))
+
+
+def _place_of(row: Column) -> tuple[Column, Column, Column]:
+    """Block, word and bit of a row's place."""
+    word = F.shiftright(row.bitwiseAND(F.lit((1 << BLOCK) - 1)), WORD).cast("int")
+    return F.shiftright(row, BLOCK), word, row.bitwiseAND(F.lit((1 << WORD) - 1)).cast("int")
+
+
+def places(rows: DataFrame) -> DataFrame:
+    """The places of ``rows`` (FILE, ROW; those without left out), a row for each file and
+    2 ** BLOCK rows of it: its words hold a bit per row."""
+    block, word, bit = _place_of(F.col(ROW))
+    bits = (rows.where(F.col(ROW).isNotNull()).select(FILE, block.alias("block"), word.alias("w"), bit.alias("bit"))
+            .groupBy(FILE, "block", "w").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")))
+    held = F.map_from_entries(F.collect_list(F.struct("w", "bits")))
+    words = F.sequence(F.lit(0), F.lit((1 << BLOCK - WORD) - 1))
+    return bits.groupBy(FILE, "block").agg(held.alias("held")).select(
+        FILE, "block", F.transform(words, lambda w: F.coalesce(F.try_element_at("held", w), F.lit(0))).alias("words"))
+
+
+def at_places(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """``rows`` (with FILE, ROW) that are (``how`` left_semi) or are not (left_anti)
+    at the places ``found``, which are broadcast: about a bit for each stored row."""
+    block, word, bit = _place_of(F.col(ROW))
+    found = found.select(F.col(FILE).alias("__f"), F.col("block").alias("__b"), F.col("words").alias("__w"))
+    on = (F.col(FILE) == F.col("__f")) & (block == F.col("__b")) & (F.getbit(F.get("__w", word), bit) == 1)
+    return rows.join(F.broadcast(found), on, how)
+
+
+def with_keys(rows: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Stored ``rows`` (with FILE, ROW) whose keys, nulls equal, ``batch`` has.  Only
+    keys and places are shuffled for it."""
+    narrow = rows.select(*[F.col(f"`{k}`") for k in keys], FILE, ROW).alias("m")
+    some = batch.select(*[F.col(f"`{k}`") for k in keys]).distinct().alias("b")
+    on = reduce(lambda x, y: x & y, [F.col(f"m.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys])
+    return at_places(rows, places(narrow.join(some, on, "left_semi")), "left_semi")
 
 
 def table_schema(spark: SparkSession, root: str, ptr: Pointer) -> T.StructType:
     """Columns of a stored history (from the base part, which every version has)."""
     found = spark.read.parquet(_p(root, "data", f"run={ptr.base}", f"part={BASE}")).schema
-    return T.StructType([f for f in found.fields if f.name not in (RUN, KEY_RANGE)])
+    return T.StructType([f for f in found.fields if f.name not in (*CARRIED, KEY_RANGE)])
 
 
 def _below(bounds: Column, n: int, x: Column, equal: bool) -> Column:
@@ -229,32 +277,40 @@ def touched(spark: SparkSession, root: str, ptr: Pointer, batches: list[DataFram
 
 def open_with_run(spark: SparkSession, root: str, schema: T.StructType | None = None,
                   ptr: Pointer | None = None, ranges: dict[str, set[int]] | None = None) -> DataFrame:
-    """Open versions with ``RUN``, the run that opened each; of the base only
-    the ``ranges`` given."""
+    """Open versions with the run that opened each and its place (CARRIED); of the
+    base only the ``ranges`` given."""
     ptr = _require(spark, root, ptr)
     schema = schema or table_schema(spark, root, ptr)
-    base = _folders(root, ptr.base, BASE, ranges and ranges[BASE])
-    rows = _rows(spark, root, base, schema, False, bool(ptr.cluster))
-    if ptr.new:
-        rows = rows.unionByName(_rows(spark, root, [x for r in ptr.new for x in _folders(root, r, NEW, None)],
-                                      schema, False))
+    parts = {ptr.base: _rows(spark, root, _folders(root, ptr.base, BASE, ranges and ranges[BASE]), schema, False,
+                             bool(ptr.cluster))}
+    for r in ptr.new:
+        new = _rows(spark, root, _folders(root, r, NEW, None), schema, False)
+        parts[r] = parts[r].unionByName(new) if r in parts else new
+    union = lambda found: reduce(lambda a, b: a.unionByName(b), found)
     since = [r for r in ptr.closed if r > ptr.base]
     if not since:
-        return rows
+        return union(parts.values())
     gone = _rows(spark, root, [x for r in since for x in _folders(root, r, CLOSED, None)], schema, True)
-    names = [f.name for f in schema.fields if f.name != END_DATE]
-    gone = gone.select(*[F.col(f"`{c}`") for c in [*names, RUN]])
-    if fits(*measure(gone), broadcast_limit(spark)):
-        gone = F.broadcast(gone)
+    open_rows = lambda found: at_places(union(found), places(gone.select(FILE, ROW)), "left_anti")
+    unplaced = gone.where(F.col(FILE).isNull())
+    runs = {r[0] for r in unplaced.select(RUN).distinct().collect()} & set(parts)
+    if not runs:
+        return open_rows(parts.values())
+    names = [f.name for f in schema.fields if f.name != END_DATE and f.name not in CARRIED]
+    unplaced = unplaced.select(*[F.col(f"`{c}`") for c in [*names, RUN]])
+    if fits(*measure(unplaced), broadcast_limit(spark)):
+        unplaced = F.broadcast(unplaced)
     # one struct, nulls equal: columns on their own would be two join keys each
     same = F.struct(*[F.col(f"o.`{c}`") for c in [*names, RUN]]) == F.struct(*[F.col(f"g.`{c}`") for c in [*names, RUN]])
-    return rows.alias("o").join(gone.alias("g"), same, "left_anti")
+    some = open_rows([parts[r] for r in sorted(runs)]).alias("o").join(unplaced.alias("g"), same, "left_anti")
+    rest = [p for r, p in parts.items() if r not in runs]
+    return some.unionByName(open_rows(rest)) if rest else some
 
 
 def read_open(spark: SparkSession, root: str, schema: T.StructType | None = None,
               ptr: Pointer | None = None) -> DataFrame:
     """Open versions of the current (or given) version."""
-    return open_with_run(spark, root, schema, ptr).drop(RUN)
+    return open_with_run(spark, root, schema, ptr).drop(*CARRIED)
 
 
 def read_closed(spark: SparkSession, root: str, schema: T.StructType | None = None,
@@ -266,9 +322,9 @@ def read_closed(spark: SparkSession, root: str, schema: T.StructType | None = No
     out = None
     if ptr.shut is not None:
         out = _rows(spark, root, _folders(root, ptr.shut, SHUT, ranges and ranges[SHUT]), schema, False,
-                    bool(ptr.cluster)).drop(RUN)
+                    bool(ptr.cluster)).drop(*CARRIED)
     if ptr.closed or out is None:
-        rows = _rows(spark, root, [x for r in ptr.closed for x in _folders(root, r, CLOSED, None)], schema, True).drop(RUN)
+        rows = _rows(spark, root, [x for r in ptr.closed for x in _folders(root, r, CLOSED, None)], schema, True).drop(*CARRIED)
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -302,7 +358,7 @@ def _write_whole(spark: SparkSession, root: str, run: int, part: str, rows: Data
                  cluster: tuple[str, ...], ranges: int | None) -> None:
     """Write a base or shut part, by key ranges if there are key columns."""
     path = _p(root, "data", f"run={run}", f"part={part}")
-    rows = rows.drop(RUN)
+    rows = rows.drop(*CARRIED)
     if not cluster:
         rows.write.parquet(path)
         return
@@ -342,8 +398,8 @@ def _publish(spark: SparkSession, root: str, parts: dict[str, DataFrame | None],
         if name in (BASE, SHUT):
             _write_whole(spark, root, n, name, rows, cluster, ranges)
             continue
-        if RUN not in rows.columns:
-            rows = rows.withColumn(RUN, F.lit(n).cast("long"))
+        rows = rows.withColumns({c: F.lit(n if c == RUN else None).cast(kind) for c, kind in CARRIED.items()
+                                 if c not in rows.columns})
         rows = rows.withColumn("part", F.lit(name))
         out = rows if out is None else out.unionByName(rows)
     if out is not None:
@@ -379,10 +435,10 @@ def publish(spark: SparkSession, root: str, open_rows: DataFrame,
 def publish_delta(spark: SparkSession, root: str, opened: DataFrame, closing: DataFrame,
                   ptr: Pointer, batch_id: int | None = None, stream_id: str | None = None) -> Pointer:
     """Write only what a run opens and closes.  ``closing`` carries ``RUN``
-    (null: opened by this very run)."""
+    (null: opened by this very run) and, if known, the place of each."""
     n = _next_run(spark, root)
     closing = closing.withColumn(RUN, F.coalesce(F.col(RUN), F.lit(n).cast("long")))
-    return _publish(spark, root, {NEW: opened.drop(RUN), CLOSED: closing}, ptr, False, batch_id, stream_id)
+    return _publish(spark, root, {NEW: opened.drop(*CARRIED), CLOSED: closing}, ptr, False, batch_id, stream_id)
 
 
 def compact(spark: SparkSession, root: str, ranges: int | None = None) -> Pointer:
