@@ -194,14 +194,12 @@ def _place_of(row: Column) -> tuple[Column, Column, Column]:
 
 def places(rows: DataFrame) -> DataFrame:
     """The places of ``rows`` (FILE, ROW; those without left out), a row for each file and
-    2 ** BLOCK rows of it: its words hold a bit per row."""
+    2 ** BLOCK rows of it: its words hold a bit per row (null: none)."""
     block, word, bit = _place_of(F.col(ROW))
     bits = (rows.where(F.col(ROW).isNotNull()).select(FILE, block.alias("block"), word.alias("w"), bit.alias("bit"))
             .groupBy(FILE, "block", "w").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")))
-    held = F.map_from_entries(F.collect_list(F.struct("w", "bits")))
-    words = F.sequence(F.lit(0), F.lit((1 << BLOCK - WORD) - 1))
-    return bits.groupBy(FILE, "block").agg(held.alias("held")).select(
-        FILE, "block", F.transform(words, lambda w: F.coalesce(F.try_element_at("held", w), F.lit(0))).alias("words"))
+    words = [F.max(F.when(F.col("w") == i, F.col("bits"))) for i in range(1 << BLOCK - WORD)]
+    return bits.groupBy(FILE, "block").agg(F.array(*words).alias("words"))
 
 
 def at_places(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
@@ -293,7 +291,8 @@ def open_with_run(spark: SparkSession, root: str, schema: T.StructType | None =
     gone = _rows(spark, root, [x for r in since for x in _folders(root, r, CLOSED, None)], schema, True)
     open_rows = lambda found: at_places(union(found), places(gone.select(FILE, ROW)), "left_anti")
     unplaced = gone.where(F.col(FILE).isNull())
-    runs = {r[0] for r in unplaced.select(RUN).distinct().collect()} & set(parts)
+    seen = unplaced.agg(*[F.bool_or(F.col(RUN) == r) for r in parts]).first()
+    runs = {r for r, found in zip(parts, seen) if found}
     if not runs:
         return open_rows(parts.values())
     names = [f.name for f in schema.fields if f.name != END_DATE and f.name not in CARRIED]
